@@ -1,7 +1,7 @@
 """Field-level discrepancy evidence over the wide project view.
 
-Rules are read once, when the plan is built, and become plain Column expressions: comparing all
-fields of all projects is a projection without any shuffle of its own.
+Rules are read once, when the plan is built, and become Column expressions: comparing all fields of
+all projects is a chain of projections without any shuffle of its own.
 """
 
 from __future__ import annotations
@@ -12,99 +12,107 @@ from pyspark.sql import functions as F
 from accordant import policy
 from accordant.functions.numbers import fixed_text, parse_number
 from accordant.functions.text import alphanumeric_core, choose, is_blank, normalize_evidence
-from accordant.operators.align import field_value
+from accordant.operators.align import field_value, first_record
 
 # Verdict texts.
 TOO_FEW = "fewer than two sources report this field"
 NO_SOURCE = "no source reports this field"
-ONLY_SOURCE = "only reporting source"
 NO_ACTION = "No action — sources agree."
 ASK_MISSING = "Request the missing value from the non-reporting source."
 
 
-def _known(values: dict[str, Column]) -> Column:
-    return F.array_compact(F.array(*values.values()))
-
-
-def compare_numeric(values: dict[str, Column], tolerance: float, review_above: float) -> tuple[Column, Column]:
-    """Verdict and detail from the spread of the readable numbers."""
-    numbers = {s: parse_number(v) for s, v in values.items()}
-    known = F.size(_known(numbers))
-    spread = F.greatest(*numbers.values()) - F.least(*numbers.values())
-    text = F.concat(F.lit("max spread "), fixed_text(spread, 2))
-    verdict = (F.when(known < 2, "MISSING").when(spread <= tolerance, "MATCH")
-               .when(spread > review_above, "CONFLICT").otherwise("REVIEW"))
-    detail = (F.when(known < 2, TOO_FEW)
-              .when(spread <= tolerance, F.concat(text, F.lit(f" within tolerance {tolerance}")))
-              .when(spread > review_above, F.concat(text, F.lit(f" exceeds review limit {review_above}")))
-              .otherwise(F.concat(text, F.lit(f" inside grey zone ({tolerance}, {review_above}]"))))
-    return verdict, detail
-
-
-def compare_text(values: dict[str, Column]) -> tuple[Column, Column]:
-    """Equal texts match; texts that differ in case and punctuation only are a format variant."""
-    known = _known({s: normalize_evidence(v) for s, v in values.items()})
-    distinct = F.array_distinct(known)
-    cores = F.array_distinct(F.transform(distinct, alphanumeric_core))
-    verdict = (F.when(F.size(known) < 2, "MISSING").when(F.size(distinct) == 1, "MATCH")
-               .when(F.size(cores) == 1, "FORMAT").otherwise("CONFLICT"))
-    detail = (F.when(F.size(known) < 2, TOO_FEW)
-              .when(F.size(distinct) == 1, "identical after normalization")
-              .when(F.size(cores) == 1, "same content, different formatting")
-              .otherwise(F.concat(F.size(distinct).cast("string"), F.lit(" distinct normalized values"))))
-    return verdict, detail
-
-
-def compare_category(values: dict[str, Column], equivalents: list[list[str]]) -> tuple[Column, Column]:
-    """Values of one equivalence group agree; a value in several groups belongs to the first."""
-    group_of: dict[str, str] = {}
-    for number, group in enumerate(equivalents):
+def long_values(wide: DataFrame, fields: list[str] | None = None) -> DataFrame:
+    """(project_id, field, one value column per authority key) for the given canonical fields."""
+    rows = []
+    for field in fields or policy.FIELD_SOURCES:
+        held = {key: field_value(field, source) for key, source, _ in policy.FIELD_SOURCES[field]}
+        rows.append(F.struct(F.lit(field).alias("field"), *[
+            held.get(key, F.lit(None)).cast("string").alias(key) for key in policy.SOURCE_PRIORITY]))
+    return wide.select("project_id", F.explode(F.array(*rows)).alias("r")).select("project_id", "r.*")
+
+
+def _group_numbers(equivalents: list[list[str]]) -> dict[str, str]:
+    """Normalised member -> number of the first group that lists it."""
+    numbers: dict[str, str] = {}
+    for i, group in enumerate(equivalents):
         for member in group:
-            group_of.setdefault(" ".join(member.split()).lower(), str(number))
-
-    def group(text: Column) -> Column:
-        return F.coalesce(choose(text, group_of), F.concat(F.lit("other:"), text)) if group_of else text
-
-    known = _known({s: normalize_evidence(v) for s, v in values.items()})
-    groups = F.size(F.array_distinct(F.transform(known, group)))
-    verdict = F.when(F.size(known) < 2, "MISSING").when(groups == 1, "MATCH").otherwise("CONFLICT")
-    detail = (F.when(F.size(known) < 2, TOO_FEW).when(groups == 1, "same status group across sources")
-              .otherwise(F.concat(groups.cast("string"), F.lit(" distinct status groups"))))
-    return verdict, detail
-
-
-def compare_field(field: str, values: dict[str, Column], rules: dict | None = None) -> Column:
-    """One comparison record; a field without a rule is compared as text."""
-    rule = (policy.FIELD_RULES if rules is None else rules).get(field, {"kind": "text"})
-    if rule["kind"] == "numeric":
-        verdict, detail = compare_numeric(values, rule["tolerance"], rule["review_above"])
-    elif rule["kind"] == "category":
-        verdict, detail = compare_category(values, rule["equivalents"])
-    else:
-        verdict, detail = compare_text(values)
-    return F.struct(
-        F.lit(field).alias("field"), verdict.alias("verdict"),
-        choose(verdict, policy.SEVERITY_OF_VERDICT, "LOW").alias("severity"),
-        F.lit(policy.CATEGORY_OF_FIELD.get(field, "OTHER")).alias("category"),
-        detail.alias("detail"))
-
-
-def authoritative_value(values: dict[str, Column], priority: dict[str, int] | None = None) -> Column:
-    """Struct (source, value, reason) of the reporting source with the best priority."""
-    ranks = policy.SOURCE_PRIORITY if priority is None else priority
-    ordered = sorted((s for s in values if s in ranks), key=ranks.get)
-    unranked = [s for s in values if s not in ranks]
-
-    def entry(source: str, reason: str) -> Column:
-        filled = F.struct(F.lit(source).alias("source"), values[source].cast("string").alias("value"),
-                          F.lit(reason).alias("reason"))
-        return F.when(~is_blank(values[source]), filled)
+            numbers.setdefault(" ".join(member.split()).lower(), str(i))
+    return numbers
+
+
+def judge(rows: DataFrame, rules: dict | None = None, priority: dict[str, int] | None = None) -> DataFrame:
+    """Compare the reported values of each (project, field) row.
 
+    ``rows`` has a ``field`` column and one text column per source key of ``priority``. Adds
+    verdict, severity, category, detail, the authoritative source with its value, and the
+    recommended action. Each value is normalised once; later steps refer to earlier columns.
+    """
+    rules = policy.FIELD_RULES if rules is None else rules
+    priority = policy.SOURCE_PRIORITY if priority is None else priority
+    sources = sorted((s for s in rows.columns if s in priority), key=priority.get)
+    field = F.col("field")
+    kinds = {f: r["kind"] for f, r in rules.items() if r["kind"] != "text"}
+    numeric = {f: r for f, r in rules.items() if r["kind"] == "numeric"}
+    categories = {f: _group_numbers(r["equivalents"]) for f, r in rules.items() if r["kind"] == "category"}
+
+    def group_of(text: Column) -> Column:
+        result = None
+        for name, numbers in categories.items():
+            mapped = F.coalesce(choose(text, numbers), F.concat(F.lit("other:"), text)) if numbers else text
+            result = F.when(field == name, mapped) if result is None else result.when(field == name, mapped)
+        return text if result is None else result.otherwise(text)
+
+    normalised = rows.withColumns({
+        "_kind": choose(field, kinds, "text") if kinds else F.lit("text"),
+        "_texts": F.array_compact(F.array(*[normalize_evidence(s) for s in sources]))})
+    parsed = normalised.withColumns({
+        "_known": F.size("_texts"), "_distinct": F.array_distinct("_texts"),
+        "_numbers": F.when(F.col("_kind") == "numeric", F.array_compact(F.array(*[parse_number(F.col(s)) for s in sources])))})
+    counted = parsed.withColumns({
+        "_readable": F.size("_numbers"),
+        "_spread": F.when(F.col("_kind") == "numeric", F.array_max("_numbers") - F.array_min("_numbers")),
+        "_variants": F.when(F.col("_kind") == "text", F.size(F.array_distinct(F.transform("_distinct", alphanumeric_core))))
+        .when(F.col("_kind") == "category", F.size(F.array_distinct(F.transform("_distinct", group_of))))})
+
+    def limit(name: str, default: float) -> Column:
+        return choose(field, {f: float(r.get(name, default)) for f, r in numeric.items()}) if numeric else F.lit(None)
+
+    is_kind = {k: F.col("_kind") == k for k in ("numeric", "category", "text")}
+    missing = F.when(is_kind["numeric"], F.col("_readable") < 2).otherwise(F.col("_known") < 2)
+    verdict = (F.when(missing, "MISSING")
+               .when(is_kind["numeric"], F.when(F.col("_spread") <= limit("tolerance", 1.0), "MATCH")
+                     .when(F.col("_spread") > limit("review_above", 2.0), "CONFLICT").otherwise("REVIEW"))
+               .when(is_kind["category"], F.when(F.col("_variants") == 1, "MATCH").otherwise("CONFLICT"))
+               .when(F.size("_distinct") == 1, "MATCH").when(F.col("_variants") == 1, "FORMAT").otherwise("CONFLICT"))
+    judged = counted.withColumns({"verdict": verdict, "_authority": _authority(sources)})
+
+    tolerance, review = limit("tolerance", 1.0).cast("string"), limit("review_above", 2.0).cast("string")
+    v = F.col("verdict")
+    spread = F.concat(F.lit("max spread "), fixed_text(F.col("_spread"), 2))
+    detail = (F.when(v == "MISSING", TOO_FEW)
+              .when(is_kind["numeric"], F.when(v == "MATCH", F.concat(spread, F.lit(" within tolerance "), tolerance))
+                    .when(v == "CONFLICT", F.concat(spread, F.lit(" exceeds review limit "), review))
+                    .otherwise(F.concat(spread, F.lit(" inside grey zone ("), tolerance, F.lit(", "), review, F.lit("]"))))
+              .when(is_kind["category"], F.when(v == "MATCH", "same status group across sources")
+                    .otherwise(F.concat(F.col("_variants").cast("string"), F.lit(" distinct status groups"))))
+              .when(v == "MATCH", "identical after normalization").when(v == "FORMAT", "same content, different formatting")
+              .otherwise(F.concat(F.size("_distinct").cast("string"), F.lit(" distinct normalized values"))))
+    source, value = F.col("_authority.source"), F.col("_authority.value")
+    return judged.withColumns({
+        "severity": choose(v, policy.SEVERITY_OF_VERDICT, "LOW"),
+        "category": choose(field, policy.CATEGORY_OF_FIELD, "OTHER"), "detail": detail,
+        "authority_source": source, "authority_value": value, "authority_reason": F.col("_authority.reason"),
+        "action": recommended_action(v, source, value)}).drop(*[c for c in judged.columns if c.startswith("_")])
+
+
+def _authority(sources: list[str]) -> Column:
+    """Struct (source, value, reason) of the first source, in priority order, that reports a value."""
+    entries = [F.when(~is_blank(s), F.struct(
+        F.lit(s).alias("source"), F.col(s).cast("string").alias("value"),
+        F.lit(f"{s} outranks others by source priority").alias("reason"))) for s in sources]
     nothing = F.struct(F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("value"),
                        F.lit(NO_SOURCE).alias("reason"))
-    return F.coalesce(
-        *[entry(s, f"{s} outranks others by source priority") for s in ordered],
-        *[entry(s, ONLY_SOURCE) for s in unranked], nothing)
+    return F.coalesce(*entries, nothing)
 
 
 def recommended_action(verdict: Column, source: Column, value: Column) -> Column:
@@ -114,27 +122,12 @@ def recommended_action(verdict: Column, source: Column, value: Column) -> Column
     return F.when(verdict == "MATCH", NO_ACTION).when(verdict == "MISSING", ASK_MISSING).otherwise(long)
 
 
-def field_values(field: str) -> dict[str, Column]:
-    """Authority key -> value column of the wide view for one canonical field."""
-    return {key: field_value(field, source) for key, source, _ in policy.FIELD_SOURCES[field]}
-
-
-def evidence(wide: DataFrame, rules: dict | None = None, priority: dict[str, int] | None = None) -> DataFrame:
-    """All fields of all projects in long form: values, verdict, severity, authority and action."""
-    records = []
-    for field in policy.FIELD_SOURCES:
-        values = field_values(field)
-        shown = [F.coalesce(values[s].cast("string") if s in values else F.lit(None).cast("string"), F.lit("—")).alias(s)
-                 for s in policy.SOURCE_PRIORITY]
-        records.append(F.struct(compare_field(field, values, rules).alias("comparison"),
-                                authoritative_value(values, priority).alias("authority"), *shown))
-    long = wide.select("project_id", F.explode(F.array(*records)).alias("r"))
-    return long.select(
-        "project_id", "r.comparison.*", "r.crm", "r.erp", "r.partner", F.col("r.signed_document").alias("document"),
-        F.col("r.authority.source").alias("authority_source"), F.col("r.authority.value").alias("authority_value"),
-        F.col("r.authority.reason").alias("authority_reason"),
-        recommended_action(F.col("r.comparison.verdict"), F.col("r.authority.source"),
-                           F.col("r.authority.value")).alias("action"))
+def evidence(wide: DataFrame, rules: dict | None = None, priority: dict[str, int] | None = None,
+             fields: list[str] | None = None) -> DataFrame:
+    """All (or the given) fields of all projects in long form; missing values are shown as a dash."""
+    judged = judge(long_values(wide, fields), rules, priority)
+    shown = {s: F.coalesce(F.col(s), F.lit("—")) for s in policy.SOURCE_PRIORITY}
+    return judged.withColumns(shown).withColumnRenamed("signed_document", "document")
 
 
 def flagged_lines(evidence_rows: DataFrame) -> DataFrame:
@@ -158,8 +151,6 @@ def correction_proposals(evidence_rows: DataFrame, resolved: DataFrame) -> DataF
 
 def provenance_lines(master: DataFrame, crm: DataFrame, document: DataFrame) -> DataFrame:
     """What is known about recency per project."""
-    from accordant.operators.align import first_record
-
     updated = first_record(crm.select("project_id", "updated_at", "ord"), ["project_id"], ["ord"])
     signed = first_record(
         document.select(F.col("project_reference").alias("project_id"), "signed_date", "document_name", "ord"),

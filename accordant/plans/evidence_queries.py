@@ -20,34 +20,26 @@ CAPACITY = "system_size_kw"
     FROM evidence WHERE field = '{CAPACITY}' AND verdict <> 'MATCH'""")
 def capacity_conflicts(d):
     """Projects whose reported capacity differs, with the authoritative source and the next step."""
-    values = evidence.field_values(CAPACITY)
-    verdict, detail = evidence.compare_numeric(values, 1.0, 2.0)
-    judged = d.wide.select("project_id", verdict.alias("verdict"), detail.alias("detail"),
-                           evidence.authoritative_value(values).alias("a"))
+    judged = evidence.evidence(d.wide, fields=[CAPACITY])
     return judged.where(F.col("verdict") != "MATCH").select(
-        "project_id", "verdict", "detail", F.col("a.source").alias("authority_source"),
-        F.round(F.col("a.value").cast("double"), 4).alias("authority_value"),
-        evidence.recommended_action(F.col("verdict"), F.col("a.source"), F.col("a.value")).alias("action"))
+        "project_id", "verdict", "detail", "authority_source", F.round(F.col("authority_value").cast("double"), 4).alias("authority_value"),
+        "action")
 
 
 @query("e1_numeric_verdict_counts", f"SELECT verdict, COUNT(*) AS projects FROM evidence WHERE field = '{CAPACITY}' GROUP BY verdict")
 def numeric_verdicts(d):
-    verdict, _ = evidence.compare_numeric(evidence.field_values(CAPACITY), 1.0, 2.0)
-    return d.wide.groupBy(verdict.alias("verdict")).agg(F.count("*").alias("projects"))
+    return evidence.evidence(d.wide, fields=[CAPACITY]).groupBy("verdict").agg(F.count("*").alias("projects"))
 
 
 @query("e2_text_verdicts", "SELECT field, verdict, detail, COUNT(*) AS projects FROM evidence WHERE field IN ('customer_name', 'installer', 'address') GROUP BY ALL")
 def text_verdicts(d):
-    fields = ["customer_name", "installer", "address"]
-    entries = [F.struct(F.lit(f).alias("field"), *[c.alias(n) for c, n in zip(evidence.compare_text(evidence.field_values(f)), ("verdict", "detail"))])
-               for f in fields]
-    return d.wide.select(F.explode(F.array(*entries)).alias("e")).groupBy("e.field", "e.verdict", "e.detail").agg(F.count("*").alias("projects"))
+    judged = evidence.evidence(d.wide, fields=["customer_name", "installer", "address"])
+    return judged.groupBy("field", "verdict", "detail").agg(F.count("*").alias("projects"))
 
 
 @query("e3_category_verdicts", "SELECT verdict, detail, COUNT(*) AS projects FROM evidence WHERE field = 'status' GROUP BY ALL")
 def category_verdicts(d):
-    verdict, detail = evidence.compare_category(evidence.field_values("status"), policy.FIELD_RULES["status"]["equivalents"])
-    return d.wide.groupBy(verdict.alias("verdict"), detail.alias("detail")).agg(F.count("*").alias("projects"))
+    return evidence.evidence(d.wide, fields=["status"]).groupBy("verdict", "detail").agg(F.count("*").alias("projects"))
 
 
 @query("e4_field_records", "SELECT project_id, field, verdict, severity, category, detail FROM evidence")
@@ -147,7 +139,7 @@ def status_mapping(d):
 
 @query("p3_first_existing_column", """
     SELECT 'erp' AS source_system, COUNT(region) AS states, COUNT(record_status) AS statuses, 0::BIGINT AS cities FROM erp
-    UNION ALL SELECT 'partner', 0, COUNT(completion_status), 0 FROM partner UNION ALL SELECT 'document', 0, 0, 0 FROM document
+    UNION ALL SELECT 'partner', 0, COUNT(completion_status), 0 FROM partner UNION ALL SELECT 'document', 0, 0, COUNT(*) * 0 FROM document
     UNION ALL SELECT 'crm', COUNT(state), COUNT(status), COUNT(city) FROM crm""")
 def first_existing_column(d):
     parts = [df.agg(F.lit(name).alias("source_system"), F.count(align.existing(df, ["state", "region"])).alias("states"),
@@ -336,10 +328,10 @@ def first_violators(d):
     return profile.first_violators(d.table("part"), "p_name", "p_brand")
 
 
-@query("w4_first_record", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) = 1")
+@query("w4_first_record", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1")
 def first_record(d):
-    lines = d.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return align.first_record(lines, ["l_orderkey"], ["l_linenumber", "l_partkey"])
+    lines = d.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return align.first_record(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
 
 
 # Constraints -------------------------------------------------------------------------------------------

@@ -1 +1,478 @@
-"""Queries."""
+"""Pairs, features, classes, queue, metrics, splits and models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from accordant import policy
+from accordant.functions import similarity, text
+from accordant.operators import explain, features, kpi, metrics, models, pairs, quality, queue
+from accordant.plans.domain import AS_OF
+from accordant.plans.oracle import hash_int, jw, norm, pair_key, rnd
+from accordant.plans.registry import query
+from accordant.session import scratch_path
+
+PAIR_COLUMNS = ", ".join(pairs.COLUMNS)
+
+# Pairs ---------------------------------------------------------------------------------------------
+
+
+@query("j5_positive_pairs", f"SELECT {PAIR_COLUMNS} FROM positives")
+def positive_pairs(d):
+    return d.positives
+
+
+@query("j6_negative_pairs", f"SELECT {PAIR_COLUMNS} FROM negatives")
+def negative_pairs(d):
+    return d.negatives
+
+
+def _hard_sql() -> str:
+    ranked = " UNION ALL ".join(
+        f"SELECT project_id, '{c}' AS rule, {c} AS v, crm, erp, partner FROM held" for c in ("customer_name", "installer", "address"))
+    s1 = hash_int("a || '|' || b", 42, 3)
+    s2 = f"({s1} + 1 + {hash_int(chr(97) + ' || ' + chr(39) + '|' + chr(39) + ' || b', 43, 2)}) % 3"
+    side = " AND ".join("(" + " OR ".join(f"(source_{s} = '{n}' AND {s}_{n})" for n in pairs.HARD_SOURCES) + ")" for s in "ab")
+    return f"""
+      SELECT {pair_key('source_a', 'a', 'source_b', 'b')} AS pair_id, source_a, source_b, a AS record_a_id, b AS record_b_id, a AS master_id_a, b AS master_id_b, 0 AS label
+      FROM (SELECT p.a, p.b, x.crm AS a_crm, x.erp AS a_erp, x.partner AS a_partner, y.crm AS b_crm, y.erp AS b_erp, y.partner AS b_partner,
+              ['crm','erp','partner'][{s1} + 1] AS source_a, ['crm','erp','partner'][{s2} + 1] AS source_b
+        FROM (SELECT DISTINCT project_id AS a, nxt AS b FROM (SELECT project_id, LEAD(project_id) OVER (PARTITION BY rule, v ORDER BY MD5('42|' || project_id), project_id) AS nxt
+              FROM ({ranked}) WHERE v IS NOT NULL) WHERE nxt IS NOT NULL) p JOIN held x ON x.project_id = p.a JOIN held y ON y.project_id = p.b)
+      WHERE {side}"""
+
+
+@query("j7_hard_negatives", _hard_sql())
+def hard_negatives(d):
+    return pairs.hard_negative_pairs(d.master, d.records)
+
+
+@query("j4_pair_records", """
+    SELECT p.pair_id, a.customer_name AS customer_name_a, b.customer_name AS customer_name_b, a.status AS status_a, b.status AS status_b
+    FROM pairs p JOIN records a ON a.source_system = p.source_a AND a.record_id = p.record_a_id JOIN records b ON b.source_system = p.source_b AND b.record_id = p.record_b_id""")
+def pair_records(d):
+    return features.pair_records(d.pairs, d.records).select("pair_id", "customer_name_a", "customer_name_b", "status_a", "status_b")
+
+
+@query("j8_f21_blocked_candidates", """
+    SELECT p.pair_id, LOWER(a.state) || '_' || LOWER(a.city) AS block_key, p.label FROM pairs p JOIN master a ON a.project_id = p.master_id_a
+    JOIN master b ON b.project_id = p.master_id_b WHERE a.state = b.state AND a.city = b.city""")
+def blocked_candidates(d):
+    keyed = pairs.with_block_keys(d.master.withColumnRenamed("project_id", "record_id")).select("record_id", "block_key")
+    return pairs.block_filter(d.pairs, keyed).select("pair_id", "block_key", "label")
+
+
+@query("a27_block_sizes", "SELECT LOWER(state) || '_' || LOWER(city) AS block_key, COUNT(*) AS records, CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT) AS candidates FROM master GROUP BY 1")
+def block_sizes(d):
+    return pairs.block_sizes(pairs.with_block_keys(d.master))
+
+
+@query("a27_blocking_statistics", """
+    SELECT COUNT(*) AS blocks, SUM(n)::BIGINT AS records, MAX(n) AS largest_block, CAST(SUM(n) * (SUM(n) - 1) // 2 AS BIGINT) AS candidates_before,
+      SUM(n * (n - 1) // 2)::BIGINT AS candidates_after, ROUND(1 - SUM(n * (n - 1) // 2) / (SUM(n) * (SUM(n) - 1) / 2e0), 6) AS reduction_ratio
+    FROM (SELECT state, city, COUNT(*) AS n FROM master GROUP BY ALL)""")
+def blocking_statistics(d):
+    return pairs.blocking_statistics(pairs.with_block_keys(d.master))
+
+
+@query("a27_candidate_recall", """
+    SELECT COUNT(*) AS true_pairs, COUNT(*) FILTER (WHERE c.city IS NOT NULL) AS kept_pairs, ROUND(COUNT(*) FILTER (WHERE c.city IS NOT NULL) / COUNT(*)::DOUBLE, 6) AS recall
+    FROM positives p JOIN crm c ON c.project_id = p.master_id_a""")
+def candidate_recall(d):
+    keyed = pairs.with_block_keys(d.crm.withColumnRenamed("project_id", "record_id")).select("record_id", "block_key")
+    return pairs.candidate_recall(d.positives, pairs.block_filter(d.positives, keyed))
+
+
+@query("a25_c8_leakage", """SELECT COUNT(*) FILTER (WHERE label = 0 AND master_id_a = master_id_b) AS negatives_same_project, COUNT(*) FILTER (WHERE label = 1 AND master_id_a <> master_id_b) AS positives_different_project,
+    COUNT(*) FILTER (WHERE label = 1) AS positives, COUNT(*) FILTER (WHERE label = 0) AS negatives FROM pairs""")
+def leakage(d):
+    return pairs.leakage(d.pairs)
+
+
+@query("c8_label_consistency", "SELECT source_a, source_b, COUNT(*) FILTER (WHERE (label = 1) <> (master_id_a = master_id_b)) AS violations FROM pairs GROUP BY ALL")
+def label_consistency(d):
+    wrong = quality.check_labels(d.pairs).select(F.col("source_record_id").alias("pair_id"), F.lit(1).alias("hit"))
+    return d.pairs.join(wrong, "pair_id", "left").groupBy("source_a", "source_b").agg(F.count("hit").alias("violations"))
+
+
+@query("w3_f11_numbered_pairs", """
+    SELECT 'PAIR-' || LPAD(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR), GREATEST(6, LENGTH(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR))), '0') AS pair_id,
+      source_a, source_b, record_a_id, record_b_id, master_id_a, master_id_b, label FROM positives""")
+def numbered_pairs(d):
+    return pairs.numbered(d.positives, "positive", ["record_a_id", "source_a", "source_b"])
+
+
+@query("u1_record_map", "SELECT source_system AS source_name, COUNT(record_id) AS ids, COUNT(*) AS records, MIN(record_id) AS first_id, MAX(record_id) AS last_id FROM records GROUP BY 1")
+def record_map(d):
+    return pairs.record_map(d.records).groupBy("source_name").agg(
+        F.count("source_record_id").alias("ids"), F.count("*").alias("records"), F.min("master_project_id").alias("first_id"),
+        F.max("master_project_id").alias("last_id"))
+
+
+@query("u2_entity_ids", "SELECT DISTINCT master_id_a AS entity FROM pairs UNION SELECT DISTINCT master_id_b FROM pairs")
+def entity_ids(d):
+    return pairs.entity_ids(d.pairs)
+
+
+@query("u3_unreported_projects", "SELECT project_id FROM master WHERE project_id NOT IN (SELECT project_reference FROM erp WHERE project_reference IS NOT NULL)")
+def unreported_projects(d):
+    return d.master.select("project_id").join(d.erp.select(F.col("project_reference").alias("project_id")), "project_id", "left_anti")
+
+
+# Features and classes ----------------------------------------------------------------------------------
+
+FEATURE_SQL = ("pair_id, ROUND(customer_similarity, 6) AS customer_similarity, ROUND(installer_similarity, 6) AS installer_similarity, "
+               "ROUND(address_similarity, 6) AS address_similarity, city_match, state_match, ROUND(capacity_diff, 6) AS capacity_diff, status_match, label")
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("customer_similarity", "installer_similarity", "address_similarity", "capacity_diff")})
+
+
+@query("m1_pairwise_features", f"SELECT {FEATURE_SQL} FROM features")
+def pairwise_features(d):
+    return _rounded(d.features)
+
+
+@query("f4_jaro_winkler", f"""
+    SELECT p_partkey, ROUND({jw('a', 'b')}, 6) AS names, ROUND({jw('a', 'c')}, 6) AS brands FROM
+      (SELECT p_partkey, {norm('p_name')} AS a, {norm("p_type || ' ' || p_name")} AS b, {norm('p_brand')} AS c FROM part)""")
+def jaro_winkler(d):
+    return d.table("part").select(
+        "p_partkey", F.round(similarity.jaro_winkler("p_name", F.concat_ws(" ", "p_type", "p_name")), 6).alias("names"),
+        F.round(similarity.jaro_winkler("p_name", "p_brand"), 6).alias("brands"))
+
+
+@query("f4_similar_installers", f"""
+    SELECT a.ord, ROUND({jw('x', 'y')}, 6) AS similarity FROM (SELECT ord, {norm('installer')} AS x FROM crm) a JOIN (SELECT ord, {norm('installer_name')} AS y FROM partner) b ON b.ord = a.ord""")
+def similar_installers(d):
+    joined = d.crm.select("ord", "installer").join(d.partner.select("ord", "installer_name"), "ord")
+    return joined.select("ord", F.round(similarity.jaro_winkler("installer", "installer_name"), 6).alias("similarity"))
+
+
+BASE = "(customer_similarity + installer_similarity + address_similarity + city_match + state_match) / 5 >= 0.8"
+
+
+@query("m2_deterministic_baseline", f"""
+    SELECT tp, fp, fn, tn, COALESCE(tp / NULLIF(tp + fp, 0)::DOUBLE, 0) AS precision, COALESCE(tp / NULLIF(tp + fn, 0)::DOUBLE, 0) AS recall, COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0)::DOUBLE, 0) AS f1
+    FROM (SELECT COUNT(*) FILTER (WHERE label = 1 AND p) AS tp, COUNT(*) FILTER (WHERE label = 0 AND p) AS fp, COUNT(*) FILTER (WHERE label = 1 AND NOT p) AS fn,
+      COUNT(*) FILTER (WHERE label = 0 AND NOT p) AS tn FROM (SELECT label, {BASE} AS p FROM features))""")
+def deterministic_baseline(d):
+    return metrics.classification_report(features.baseline_prediction(d.features), "label", "prediction")
+
+
+@query("m3_exact_title_baseline", f"""
+    SELECT tp, fp, fn, tn, ROUND(COALESCE(tp / NULLIF(tp + fp, 0)::DOUBLE, 0), 6) AS precision, ROUND(COALESCE(tp / NULLIF(tp + fn, 0)::DOUBLE, 0), 6) AS recall, ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0)::DOUBLE, 0), 6) AS f1
+    FROM (SELECT COUNT(*) FILTER (WHERE label = 1 AND p) AS tp, COUNT(*) FILTER (WHERE label = 0 AND p) AS fp, COUNT(*) FILTER (WHERE label = 1 AND NOT p) AS fn,
+      COUNT(*) FILTER (WHERE label = 0 AND NOT p) AS tn FROM (SELECT label, {norm('left_title')} = {norm('right_title')} AS p FROM text_pairs))""")
+def exact_title_baseline(d):
+    report = metrics.classification_report(features.exact_title_prediction(d.text_pairs), "label", "prediction")
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query("r1_discrepancy_classes", "SELECT label, classification, COUNT(*) AS pairs FROM explained GROUP BY ALL")
+def discrepancy_classes(d):
+    return d.explained.groupBy("label", "classification").agg(F.count("*").alias("pairs"))
+
+
+@query("r2_r3_summaries", "SELECT pair_id, classification, summary, clarification FROM explained")
+def summaries(d):
+    return d.explained.select("pair_id", "classification", "summary", "clarification")
+
+
+@query("r4_explanations", """SELECT pair_id, summary AS what_differs, 'Classification: ' || classification AS why_flagged, 4::BIGINT AS considered,
+    'Verify flagged fields and confirm match status.' AS reviewer_action FROM explained""")
+def explanations(d):
+    schema = "what_differs string, why_flagged string, evidence_considered array<string>, reviewer_action string"
+    parsed = d.explained.select("pair_id", F.from_json("explanation", schema).alias("e"))
+    return parsed.select("pair_id", "e.what_differs", "e.why_flagged", F.size("e.evidence_considered").cast("long").alias("considered"), "e.reviewer_action")
+
+
+DECISION = "CASE classification WHEN 'ENTITY_MISMATCH' THEN 'REJECT / NON-MATCH' WHEN 'NUMERIC_CONFLICT' THEN 'REQUEST CLARIFICATION' ELSE 'APPROVE / MATCH' END"
+SIMULATED = f"(SELECT pair_id, {DECISION} AS decision, 'AI classification: ' || classification AS reason, label FROM explained ORDER BY pair_id LIMIT 100)"
+
+
+@query("r5_t4_simulated_decisions", f"SELECT pair_id, decision, reason FROM {SIMULATED}")
+def simulated_decisions(d):
+    return explain.simulate_decisions(d.explained, AS_OF).select("pair_id", "decision", "reason")
+
+
+@query("a24_simulated_agreement", f"""SELECT COUNT(*) AS decisions, COUNT(*) FILTER (WHERE a) AS agreed, ROUND(COUNT(*) FILTER (WHERE a) / COUNT(*)::DOUBLE, 6) AS agreement_rate
+    FROM (SELECT (decision = 'APPROVE / MATCH' AND label = 1) OR (decision = 'REJECT / NON-MATCH' AND label = 0) AS a FROM {SIMULATED})""")
+def simulated_agreement(d):
+    decided = explain.agreement(explain.simulate_decisions(d.explained, AS_OF))
+    return decided.agg(F.count("*").alias("decisions"), F.count_if("agreed").alias("agreed"),
+                       F.round(F.count_if("agreed") / F.count("*"), 6).alias("agreement_rate"))
+
+
+@query("r17_feedback_rows", f"SELECT pair_id, decision, reason, '{AS_OF}' AS timestamp, 'v1.0' AS model_version FROM {SIMULATED}")
+def feedback_rows(d):
+    return explain.simulate_decisions(d.explained, AS_OF).select("pair_id", "decision", "reason", "timestamp", "model_version")
+
+
+# Queue -----------------------------------------------------------------------------------------------------
+
+@query("r6_j1_j2_queue", "SELECT pair_id, source_a, source_b, classification, match_probability, route, uncertainty FROM queue")
+def queue_frame(d):
+    frame = queue.queue_frame(d.pairs, d.features, d.explained)
+    return frame.select("pair_id", "source_a", "source_b", "classification", "match_probability", "route", "uncertainty")
+
+
+@query("p10_a1_a2_route_shares", "SELECT route, COUNT(*) AS rows, ROUND(COUNT(*) / SUM(COUNT(*)) OVER (), 6) AS share FROM queue GROUP BY route")
+def route_shares(d):
+    return kpi.shares(d.queue, "route")
+
+
+@query("r7_j12_enriched_queue", "SELECT pair_id, case_status, age_days, severity, sla_breach, priority FROM enriched")
+def enriched_queue(d):
+    return d.enriched.select("pair_id", "case_status", "age_days", "severity", "sla_breach", "priority")
+
+
+VIEW_FILTER = {"Needs review": "route = 'MANUAL_REVIEW'", "High risk": "route = 'MANUAL_REVIEW' AND classification = 'ENTITY_MISMATCH'",
+               "Auto-matchable": "route = 'AUTO_MATCH'", "Non-match": "route = 'NON_MATCH'", "All pairs": "TRUE"}
+
+
+@query("p5_saved_views", "SELECT " + ", ".join(f"COUNT(*) FILTER (WHERE {c}) AS {v.lower().replace(' ', '_').replace('-', '_')}" for v, c in VIEW_FILTER.items()) + " FROM queue")
+def saved_views(d):
+    def condition(spec):
+        parts = [F.col(c).isin(v) for c, v in spec.items() if v]
+        return parts[0] & parts[1] if len(parts) == 2 else (parts[0] if parts else F.lit(True))
+
+    return d.queue.agg(*[F.count_if(condition(s)).alias(v.lower().replace(" ", "_").replace("-", "_")) for v, s in policy.QUEUE_VIEWS.items()])
+
+
+@query("t2_t3_queue_by_priority", "SELECT pair_id, priority FROM enriched WHERE route = 'MANUAL_REVIEW' ORDER BY priority DESC, pair_id LIMIT 75")
+def queue_by_priority(d):
+    return queue.queue_view(d.enriched, "Needs review").select("pair_id", "priority")
+
+
+@query("t2_queue_by_uncertainty", "SELECT pair_id, uncertainty FROM queue ORDER BY uncertainty DESC, pair_id LIMIT 300")
+def queue_by_uncertainty(d):
+    return queue.queue_view(d.queue, "All pairs", "Most uncertain first", 300).select("pair_id", "uncertainty")
+
+
+@query("t2_queue_lowest_probability", "SELECT pair_id, match_probability FROM queue WHERE route = 'NON_MATCH' ORDER BY match_probability, pair_id LIMIT 25")
+def queue_lowest(d):
+    return queue.queue_view(d.queue, "Non-match", "Lowest P(match)", 25).select("pair_id", "match_probability")
+
+
+@query("f16_f19_queue_display", """
+    SELECT pair_id, source_a || ' ↔ ' || source_b AS sources, CASE WHEN sla_breach THEN 'BREACH ' || CAST(CAST(ROUND(CAST(age_days AS DECIMAL(28,10)), 0) AS BIGINT) AS VARCHAR) || 'h'
+      ELSE CAST(CAST(ROUND(CAST(age_days AS DECIMAL(28,10)), 0) AS BIGINT) AS VARCHAR) || 'h / 72h' END AS sla, priority FROM enriched WHERE case_status <> 'NEW'""")
+def queue_display(d):
+    from accordant.functions.times import sla_text
+
+    return d.enriched.where(F.col("case_status") != "NEW").select(
+        "pair_id", text.pair_label("source_a", "source_b").alias("sources"),
+        sla_text(F.col("age_days"), F.col("sla_breach"), policy.SLA_HOURS).alias("sla"), "priority")
+
+
+@query("p6_search", "SELECT 'project' AS kind, project_id AS id FROM master WHERE project_id = 'PRJ-00000123'")
+def search(d):
+    return queue.search(d.pairs, d.master, "PRJ-00000123")
+
+
+@query("p7_pairs_of_project", "SELECT pair_id, source_a, source_b, label FROM pairs WHERE record_a_id = 'PRJ-00000123' OR record_b_id = 'PRJ-00000123'")
+def pairs_of_project(d):
+    return queue.pairs_of_project(d.pairs, "PRJ-00000123").select("pair_id", "source_a", "source_b", "label")
+
+
+@query("j16_pair_evidence", "SELECT e.field, e.verdict, p.label, COUNT(*) AS pairs FROM pairs p LEFT JOIN evidence e ON e.project_id = p.record_a_id GROUP BY ALL")
+def pair_evidence(d):
+    from accordant.operators.evidence import evidence
+
+    joined = queue.pair_evidence(d.pairs, evidence(d.wide).select("project_id", "field", "verdict"))
+    return joined.groupBy("field", "verdict", "label").agg(F.count("*").alias("pairs"))
+
+
+@query("a19_a20_queue_shares", f"""
+    SELECT COUNT(*) AS pairs, {rnd("COUNT(*) FILTER (WHERE classification IN ('ENTITY_MISMATCH', 'NUMERIC_CONFLICT', 'STATUS_CONFLICT')) / COUNT(*)::DOUBLE", 6)} AS material_conflict_share,
+      {rnd("COUNT(*) FILTER (WHERE classification IN ('ENTITY_MISMATCH', 'NUMERIC_CONFLICT')) / COUNT(*)::DOUBLE", 6)} AS high_severity_share FROM explained""")
+def queue_shares(d):
+    severity = text.choose(F.col("classification"), policy.SEVERITY_OF_CLASS, "LOW")
+    return kpi.queue_shares(d.explained.withColumn("severity", severity))
+
+
+@query("r18_overview", """
+    SELECT 'project' AS kind, 'all' AS value, COUNT(*) AS rows FROM master UNION ALL SELECT 'source', source_system, COUNT(*) FROM records GROUP BY 2
+    UNION ALL SELECT 'route', route, COUNT(*) FROM queue GROUP BY 2 UNION ALL SELECT 'issue', classification, COUNT(*) FROM queue GROUP BY 2""")
+def overview(d):
+    q = d.queue.select("route", "classification")
+    entries = F.array(F.struct(F.lit("route").alias("kind"), F.col("route").alias("value")),
+                      F.struct(F.lit("issue").alias("kind"), F.col("classification").alias("value")))
+    counted = q.select(F.explode(entries).alias("e")).groupBy("e.kind", "e.value").agg(F.count("*").alias("rows"))
+    per_source = kpi.value_counts(d.records, "source_system").select(F.lit("source").alias("kind"), F.col("source_system").alias("value"), "rows")
+    projects = d.master.agg(F.lit("project").alias("kind"), F.lit("all").alias("value"), F.count("*").alias("rows"))
+    return counted.unionByName(per_source).unionByName(projects)
+
+
+@query("m15_prediction_ledger", "SELECT 'entity_matcher' AS model_name, 'v1.0' AS model_version, route AS prediction, 'v1.0' AS feature_schema_version, COUNT(*) AS rows, ROUND(SUM(match_probability), 4) AS total FROM queue GROUP BY route")
+def prediction_ledger(d):
+    rows = models.prediction_ledger(d.queue, F.lit(AS_OF).cast("timestamp"))
+    return rows.groupBy("model_name", "model_version", "prediction", "feature_schema_version").agg(
+        F.count("*").alias("rows"), F.round(F.sum("probability").cast("double"), 4).alias("total"))
+
+
+@query("m12_linear_scores", "SELECT pair_id, match_probability FROM queue")
+def linear_scores(d):
+    return d.features.select("pair_id", queue.linear_probability().alias("match_probability"))
+
+
+# Metrics and splits -----------------------------------------------------------------------------------------
+
+REPORT = ("COALESCE(tp / NULLIF(tp + fp, 0)::DOUBLE, 0)", "COALESCE(tp / NULLIF(tp + fn, 0)::DOUBLE, 0)", "COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0)::DOUBLE, 0)")
+COUNTS = ("COUNT(*) FILTER (WHERE label = 1 AND {p}) AS tp, COUNT(*) FILTER (WHERE label = 0 AND {p}) AS fp, COUNT(*) FILTER (WHERE label = 1 AND NOT {p}) AS fn, "
+          "COUNT(*) FILTER (WHERE label = 0 AND NOT {p}) AS tn")
+
+
+def _six(df):
+    return df.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query("a12_classification_report", f"SELECT lang, tp, fp, fn, tn, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1 FROM (SELECT lang, {COUNTS.format(p='prediction = 1')} FROM scored GROUP BY lang)")
+def classification_report(d):
+    return _six(metrics.classification_report(d.scored, "label", "prediction", ["lang"]))
+
+
+@query("a13_w5_roc_auc", """
+    SELECT SUM(label)::BIGINT AS positives, COUNT(*) AS rows, ROUND((SUM(label * r) - SUM(label) * (SUM(label) + 1) / 2e0) / (SUM(label) * (COUNT(*) - SUM(label))), 6) AS roc_auc
+    FROM (SELECT label, RANK() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2e0 AS r FROM scored)""")
+def roc_auc(d):
+    return metrics.roc_auc(d.scored, "label", "score").withColumn("roc_auc", F.round("roc_auc", 6))
+
+
+@query("w5_average_ranks", "SELECT DISTINCT score, COUNT(*) OVER (PARTITION BY score) AS rows, RANK() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2e0 AS average_rank FROM (SELECT ROUND(o_totalprice, -3) AS score FROM orders)")
+def average_ranks(d):
+    prices = d.table("orders").select((F.round(F.col("o_totalprice") / 1000, 0) * 1000).alias("price"))
+    return metrics.average_ranks(prices, "price")
+
+
+THRESHOLDS = [round(0.30 + 0.05 * i, 2) for i in range(14)]
+
+
+@query("a14_m14_threshold_sweep", f"""
+    SELECT threshold, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1 FROM (SELECT threshold, {COUNTS.format(p='score >= threshold')}
+    FROM scored, (SELECT UNNEST([{', '.join(f'{t}e0' for t in THRESHOLDS)}]) AS threshold) GROUP BY threshold)""")
+def threshold_sweep(d):
+    return _six(metrics.threshold_sweep(d.scored, "label", "score", THRESHOLDS))
+
+
+@query("a15_error_rates", f"SELECT lang, tp, fp, fn, tn, ROUND(fp / NULLIF(fp + tn, 0)::DOUBLE, 6) AS false_positive_rate, ROUND(fn / NULLIF(fn + tp, 0)::DOUBLE, 6) AS false_negative_rate FROM (SELECT lang, {COUNTS.format(p='prediction = 1')} FROM scored GROUP BY lang)")
+def error_rates(d):
+    out = metrics.error_rates(d.scored, "label", "prediction", ["lang"])
+    return out.withColumns({c: F.round(c, 6) for c in ("false_positive_rate", "false_negative_rate")})
+
+
+@query("a15_error_rows", "SELECT doc_id, label, prediction, CASE WHEN label = 0 THEN 'FP' ELSE 'FN' END AS error FROM scored WHERE label <> prediction")
+def error_rows(d):
+    return metrics.error_rows(d.scored, "label", "prediction").select("doc_id", "label", "prediction", "error")
+
+
+@query("m13_model_report", f"""
+    SELECT model, lang, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1 FROM (SELECT model, lang, {COUNTS.format(p='p')} FROM
+      (SELECT 'half' AS model, lang, label, score >= 0.5 AS p FROM scored UNION ALL SELECT 'strict', lang, label, score >= 0.7 FROM scored) GROUP BY ALL)""")
+def model_report(d):
+    both = d.scored.withColumn("m", F.explode(F.array(F.struct(F.lit("half").alias("model"), F.lit(0.5).alias("cut")), F.struct(F.lit("strict").alias("model"), F.lit(0.7).alias("cut")))))
+    judged = both.select("lang", "label", "m.model", (F.col("score") >= F.col("m.cut")).cast("int").alias("prediction"))
+    return _six(metrics.classification_report(judged, "label", "prediction", ["model", "lang"])).select("model", "lang", "precision", "recall", "f1")
+
+
+@query("m6_w6_stratified_split", """
+    SELECT pair_id, label, CASE WHEN ROW_NUMBER() OVER (PARTITION BY label ORDER BY MD5('42|' || pair_id), pair_id) <= FLOOR(COUNT(*) OVER (PARTITION BY label) * 0.7e0) THEN 'train' ELSE 'test' END AS split FROM pairs""")
+def stratified_split(d):
+    return metrics.stratified_split(d.pairs.select("pair_id", "label"), "label", "pair_id")
+
+
+ENTITY_SIDE = f"{hash_int('{}', 42, 1000)} < 700"
+
+
+@query("m7_j11_entity_split", f"""SELECT split, label, COUNT(*) AS pairs FROM (SELECT label, CASE WHEN {ENTITY_SIDE.format('master_id_a')} THEN 'train' ELSE 'test' END AS split FROM pairs
+    WHERE ({ENTITY_SIDE.format('master_id_a')}) = ({ENTITY_SIDE.format('master_id_b')})) GROUP BY ALL""")
+def entity_split(d):
+    return metrics.entity_split(d.pairs).groupBy("split", "label").agg(F.count("*").alias("pairs"))
+
+
+@query("c14_split_leakage", "SELECT COUNT(*) * 0 AS shared_entities FROM pairs")
+def split_leakage(d):
+    return quality.check_split_leakage(metrics.entity_split(d.pairs)).agg(F.count("*").alias("shared_entities"))
+
+
+@query("j3_inner_merges", "SELECT e.classification, p.label, p.source_a, COUNT(*) AS pairs FROM explained e JOIN pairs p ON p.pair_id = e.pair_id GROUP BY ALL")
+def inner_merges(d):
+    joined = d.explained.select("pair_id", "classification").join(d.pairs.select("pair_id", "label", "source_a"), "pair_id")
+    return joined.groupBy("classification", "label", "source_a").agg(F.count("*").alias("pairs"))
+
+
+@query("c5_pair_ids_exist", "SELECT COUNT(*) AS entities, COUNT(*) FILTER (WHERE entity NOT IN (SELECT project_id FROM master)) AS orphans FROM (SELECT master_id_a AS entity FROM pairs UNION SELECT master_id_b FROM pairs)")
+def pair_ids_exist(d):
+    ids = pairs.entity_ids(d.pairs)
+    orphans = quality.check_reference(ids, "pairs", "entity", d.master, "project_id").agg(F.count("*")).scalar()
+    return ids.agg(F.count("*").alias("entities")).withColumn("orphans", orphans)
+
+
+@query("c6_similarity_range", "SELECT COUNT(*) AS pairs, 0::BIGINT AS failures FROM features")
+def similarity_range(d):
+    names = policy.FEATURES[:3]
+    bad = sum((F.count_if(~F.col(n).between(0.0, 1.0) | F.col(n).isNull()) for n in names[1:]), F.count_if(~F.col(names[0]).between(0.0, 1.0)))
+    return d.features.agg(F.count("*").alias("pairs"), bad.alias("failures"))
+
+
+# Text features -----------------------------------------------------------------------------------------------
+
+def _titles(d):
+    left = d.text_pairs.select(F.concat(F.col("id").cast("string"), F.lit("l")).alias("doc"), F.col("left_title").alias("title"))
+    return left.unionByName(d.text_pairs.select(F.concat(F.col("id").cast("string"), F.lit("r")).alias("doc"), F.col("right_title").alias("title")))
+
+
+@query("m4_f20_tfidf_vocabulary", "SELECT term, df, ROUND(idf, 6) AS idf FROM vocabulary")
+def tfidf_vocabulary(d):
+    return features.fit_tfidf(_titles(d), "doc", "title").withColumn("idf", F.round("idf", 6))
+
+
+@query("f20_title_terms", "SELECT id, side, COUNT(*) AS terms, COUNT(DISTINCT term) AS distinct_terms FROM terms GROUP BY ALL")
+def title_terms(d):
+    counts = features.title_terms(_titles(d), "doc", "title")
+    return counts.groupBy(F.regexp_replace("doc", "[lr]$", "").cast("long").alias("id"), F.right("doc", F.lit(1)).alias("side")).agg(
+        F.sum("tf").alias("terms"), F.count("*").alias("distinct_terms"))
+
+
+@query("m5_text_pair_features", f"""
+    SELECT p.id, ROUND(title_tfidf_cosine, 5) AS title_tfidf_cosine, (LOWER(left_title) = LOWER(right_title))::INT AS title_exact, (LOWER(left_brand) = LOWER(right_brand))::INT AS brand_match,
+      (LOWER(left_category) = LOWER(right_category))::INT AS category_match, CAST(ABS(left_price - right_price) AS DOUBLE) AS price_diff, label
+    FROM text_pairs p JOIN cosine c ON c.id = p.id""")
+def text_pair_features(d):
+    vocabulary = features.fit_tfidf(_titles(d), "doc", "title")
+    return features.text_pair_features(d.text_pairs, vocabulary).withColumn("title_tfidf_cosine", F.round("title_tfidf_cosine", 5))
+
+
+# Models --------------------------------------------------------------------------------------------------------
+
+def _split(d):
+    split = metrics.stratified_split(d.features, "label", "pair_id").persist()
+    return split.where("split = 'train'"), split.where("split = 'test'")
+
+
+@query("m8_logistic_regression")
+def logistic_regression(d):
+    train, test = _split(d)
+    return models.evaluate(models.score(test, models.fit_logistic(train)))
+
+
+@query("m9_random_forest")
+def random_forest(d):
+    train, test = _split(d)
+    return models.evaluate(models.score(test, models.fit_forest(train, depth=8)))
+
+
+@query("m10_m11_stored_model")
+def stored_model(d):
+    train, test = _split(d)
+    path = scratch_path(d.spark, "model")
+    model = models.fit_logistic(train)
+    report = models.evaluate(models.score(test, model)).first()
+    names = ("precision", "recall", "f1", "roc_auc")
+    models.save_model(d.spark, model, path, train.count(), "2024-02-01", {n: round(float(report[n]), 4) for n in names})
+    loaded, meta = models.load_model(d.spark, path)
+    same = models.score(test, loaded).withColumn("expression", models.probability_of(loaded))
+    gap = same.agg(F.max(F.abs(F.col("match_probability") - F.col("expression")))).scalar()
+    return meta.withColumn("expression_gap", gap).select("model_name", "model_version", "features", "training_rows", "metrics", "expression_gap")

@@ -123,7 +123,7 @@ CTES: dict[str, str] = {
       FROM master m LEFT JOIN crm c ON c.project_id = m.project_id LEFT JOIN erp e ON e.project_reference = m.project_id
       LEFT JOIN partner p ON p.external_reference = m.project_id LEFT JOIN document d ON d.project_reference = m.project_id""",
     "field_values": """
-      SELECT project_id, 'customer_name' AS field, customer_name_crm AS crm, customer_name_erp AS erp, NULL AS partner, NULL AS document FROM wide
+      SELECT project_id, 'customer_name' AS field, customer_name_crm AS crm, customer_name_erp AS erp, CAST(NULL AS VARCHAR) AS partner, CAST(NULL AS VARCHAR) AS document FROM wide
       UNION ALL SELECT project_id, 'installer', installer_crm, NULL, installer_partner, NULL FROM wide
       UNION ALL SELECT project_id, 'system_size_kw', CAST(system_size_kw_crm AS VARCHAR), CAST(system_size_kw_erp AS VARCHAR), CAST(system_size_kw_partner AS VARCHAR), NULL FROM wide
       UNION ALL SELECT project_id, 'address', address_crm, NULL, address_partner, NULL FROM wide
@@ -227,28 +227,28 @@ CTES: dict[str, str] = {
       SELECT {pair_key("'crm'", 'project_id', "'partner'", 'project_id')} AS case_id, * FROM (
         SELECT 'PRJ-' || CASE WHEN LENGTH(CAST(user_id * 31 + DAY(ts) AS VARCHAR)) < 8 THEN LPAD(CAST(user_id * 31 + DAY(ts) AS VARCHAR), 8, '0')
             ELSE CAST(user_id * 31 + DAY(ts) AS VARCHAR) END AS project_id,
-          ts AS at, event_id AS seq, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
+          ts AS "at", event_id AS seq, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
     "case_events": """
-      SELECT case_id, at, seq, CASE event_type WHEN 'view' THEN 'IN_REVIEW' WHEN 'click' THEN 'WAITING_CLARIFICATION' WHEN 'purchase' THEN 'RESOLVED'
+      SELECT case_id, "at", seq, CASE event_type WHEN 'view' THEN 'IN_REVIEW' WHEN 'click' THEN 'WAITING_CLARIFICATION' WHEN 'purchase' THEN 'RESOLVED'
           WHEN 'error' THEN 'REJECTED' ELSE 'REOPENED' END AS "to", 'reviewer_' || (k % 5) AS actor,
-        ROW_NUMBER() OVER (PARTITION BY case_id ORDER BY at, seq) AS n FROM case_source""",
-    "opened": "SELECT case_id, ANY_VALUE(project_id) AS project_id, DATE_TRUNC('day', MIN(at))::TIMESTAMP AS created_at FROM case_source GROUP BY case_id",
+        ROW_NUMBER() OVER (PARTITION BY case_id ORDER BY "at", seq) AS n FROM case_source""",
+    "opened": """SELECT case_id, ANY_VALUE(project_id) AS project_id, DATE_TRUNC('day', MIN("at"))::TIMESTAMP AS created_at FROM case_source GROUP BY case_id""",
     "replay": f"""
-      SELECT case_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS from_status, 'NEW' AS state, CAST(NULL AS TIMESTAMP) AS at,
+      SELECT case_id, CAST(0 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS from_status, 'NEW' AS state, CAST(NULL AS TIMESTAMP) AS "at",
         CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS "to", CAST(NULL AS VARCHAR) AS actor, FALSE AS accepted FROM opened
       UNION ALL
       SELECT e.case_id, e.n, r.state, CASE WHEN r.state || '>' || e."to" IN ({_in(LEGAL)}) THEN e."to" ELSE r.state END,
-        e.at, e.seq, e."to", e.actor, r.state || '>' || e."to" IN ({_in(LEGAL)})
+        e."at", e.seq, e."to", e.actor, r.state || '>' || e."to" IN ({_in(LEGAL)})
       FROM replay r JOIN case_events e ON e.case_id = r.case_id AND e.n = r.n + 1""",
     "annotated": """
-      SELECT case_id, n, at, seq, "to", actor, from_status, CASE WHEN accepted THEN 'accepted' WHEN from_status = "to" THEN 'ignored' ELSE 'rejected' END AS outcome
+      SELECT case_id, n, "at", seq, "to", actor, from_status, CASE WHEN accepted THEN 'accepted' WHEN from_status = "to" THEN 'ignored' ELSE 'rejected' END AS outcome
       FROM replay WHERE n > 0""",
     "cases": f"""
       SELECT o.case_id, f.status, f.assigned_to, o.created_at, f.started_at,
         CASE WHEN f.status IN ({_in(policy.TERMINAL_STATUSES)}) THEN f.closed END AS resolved_at, f.moves + 1 AS history_rows, f.rejected_events
       FROM opened o JOIN (SELECT case_id, MAX_BY(state, n) AS status, MAX_BY(actor, n) FILTER (WHERE accepted) AS assigned_to,
-          MIN(at) FILTER (WHERE accepted AND "to" = 'IN_REVIEW') AS started_at,
-          MAX(at) FILTER (WHERE accepted AND "to" IN ('RESOLVED', 'REJECTED')) AS closed, COUNT(*) FILTER (WHERE accepted) AS moves,
+          MIN("at") FILTER (WHERE accepted AND "to" = 'IN_REVIEW') AS started_at,
+          MAX("at") FILTER (WHERE accepted AND "to" IN ('RESOLVED', 'REJECTED')) AS closed, COUNT(*) FILTER (WHERE accepted) AS moves,
           COUNT(*) FILTER (WHERE n > 0 AND NOT accepted AND from_status <> "to") AS rejected_events
         FROM replay GROUP BY case_id) f ON f.case_id = o.case_id""",
     "aged": f"""
@@ -256,7 +256,7 @@ CTES: dict[str, str] = {
       FROM (SELECT *, GREATEST(0e0, DATE_DIFF('microsecond', created_at, CASE WHEN status IN ({_in(policy.TERMINAL_STATUSES)}) THEN resolved_at
           ELSE TIMESTAMP '{AS_OF}' END) / 3.6e9) AS age_hours FROM cases)""",
     "decisions": f"""
-      SELECT case_id AS pair_id, at, seq, CASE WHEN seq % 41 = 0 THEN '  ' ELSE 'reviewer_00' || (k % 5) END AS reviewer_id,
+      SELECT case_id AS pair_id, "at", seq, CASE WHEN seq % 41 = 0 THEN '  ' ELSE 'reviewer_00' || (k % 5) END AS reviewer_id,
         CASE event_type WHEN 'purchase' THEN 'MATCH' WHEN 'error' THEN 'NON_MATCH' ELSE 'CLARIFICATION' END AS decision,
         [{_in(policy.REASON_CODES)}, 'UNKNOWN', NULL][k % 9 + 1] AS reason_code, CASE WHEN seq % 37 = 0 THEN '' ELSE 'event ' || seq END AS reason,
         '' AS comment, 'v1.0' AS model_version FROM case_source""",
