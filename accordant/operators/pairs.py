@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy
-from accordant.functions.ids import hash_int, pair_key, zero_pad
+from accordant.functions.ids import hash_int, pair_key, shuffle_hash, zero_pad
 from accordant.functions.text import block_key
-from accordant.operators.ranking import hash_rank, ordered_rank
+from accordant.operators.ranking import hash_neighbours, ordered_rank
 
 COLUMNS = ["pair_id", "source_a", "source_b", "record_a_id", "record_b_id", "master_id_a", "master_id_b", "label"]
 # Number ranges of the three pair kinds.
@@ -71,26 +71,23 @@ def _draw_sources(df: DataFrame, sources: list[str], seed: int) -> DataFrame:
         F.col("id_a").alias("master_id_a"), F.col("id_b").alias("master_id_b"))
 
 
-def _neighbours(ranked: DataFrame, keys: list[str], carried: list[str]) -> DataFrame:
-    """Pair each ranked row with the next one of its group."""
-    left = ranked.select(*keys, F.col("rank").alias("_next"), F.col("project_id").alias("id_a"),
-                         *[F.col(c).alias(f"{c}_a") for c in carried])
-    right = ranked.select(*keys, (F.col("rank") - 1).alias("_next"), F.col("project_id").alias("id_b"),
-                          *[F.col(c).alias(f"{c}_b") for c in carried])
-    return left.join(right, [*keys, "_next"])
+def _drawn(paired: DataFrame, carried: list[str]) -> DataFrame:
+    """Row and successor as columns ending in _a and _b."""
+    return paired.select(F.col("project_id").alias("id_a"), F.col("next.project_id").alias("id_b"),
+                         *[F.col(c).alias(f"{c}_a") for c in carried], *[F.col(f"next.{c}").alias(f"{c}_b") for c in carried])
 
 
 def negative_pairs(master: DataFrame, records: DataFrame, n_pairs: int | None = None, seed: int = 42) -> DataFrame:
     """Random pairs of different projects from different sources.
 
-    Projects are ranked in hashed order and each is drawn with its successor; ``n_pairs`` stops
-    after that many draws (draws whose record is missing are dropped, so fewer pairs may remain).
+    Projects are put in hashed order and each is drawn with its successor; ``n_pairs`` stops after
+    that many draws (draws whose record is missing are dropped, so fewer pairs may remain).
     """
     base = presence(master.select("project_id"), records)
-    ranked = hash_rank(base, [], "project_id", seed, "rank")
     if n_pairs is not None:
-        ranked = ranked.where(F.col("rank") <= n_pairs + 1)
-    return _finish(_draw_sources(_neighbours(ranked, [], policy.SOURCES), policy.SOURCES, seed), 0)
+        base = base.orderBy(shuffle_hash(F.col("project_id"), seed), "project_id").limit(n_pairs + 1)
+    paired = hash_neighbours(base, [], "project_id", seed)
+    return _finish(_draw_sources(_drawn(paired, policy.SOURCES), policy.SOURCES, seed), 0)
 
 
 def hard_negative_pairs(master: DataFrame, records: DataFrame, seed: int = 42) -> DataFrame:
@@ -104,8 +101,8 @@ def hard_negative_pairs(master: DataFrame, records: DataFrame, seed: int = 42) -
     shared = base.select("project_id", *HARD_SOURCES, F.explode(F.array(*[
         F.struct(F.lit(c).alias("rule"), F.col(c).alias("shared_value"))
         for c in ("customer_name", "installer", "address")])).alias("g")).select("project_id", *HARD_SOURCES, "g.*")
-    ranked = hash_rank(shared.where(F.col("shared_value").isNotNull()), ["rule", "shared_value"], "project_id", seed, "rank")
-    drawn = _neighbours(ranked, ["rule", "shared_value"], HARD_SOURCES)
+    paired = hash_neighbours(shared.where(F.col("shared_value").isNotNull()), ["rule", "shared_value"], "project_id", seed)
+    drawn = _drawn(paired, HARD_SOURCES)
     flags = [F.first(f"{s}_{side}").alias(f"{s}_{side}") for s in HARD_SOURCES for side in "ab"]
     distinct = drawn.groupBy("id_a", "id_b").agg(*flags)
     return _finish(_draw_sources(distinct, HARD_SOURCES, seed), 0)

@@ -50,6 +50,26 @@ def hash_rank(df: DataFrame, keys: list[str], id_column: str, seed: int,
             .drop("_hash", "_bucket", "_offset", "_inside"))
 
 
+def hash_neighbours(df: DataFrame, keys: list[str], id_column: str, seed: int, prefix: int = 3) -> DataFrame:
+    """Pair each row with the next one of its group in shuffled (hash) order.
+
+    Adds ``next``, a struct of the successor's columns; the last row of a group has none and is
+    left out. The successor is found inside a hash bucket; only the last row of a bucket looks at
+    the first row of the following bucket.
+    """
+    columns = [c for c in df.columns if c not in keys]
+    hashed = df.withColumn("_hash", shuffle_hash(F.col(id_column), seed))
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, prefix))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", id_column)
+    row = F.struct(*columns)
+    linked = hashed.withColumn("_next", F.lead(row).over(inside)).withColumn("_place", F.row_number().over(inside))
+    firsts = linked.where(F.col("_place") == 1).select(*keys, "_bucket", row.alias("_first"))
+    following = firsts.withColumn("_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket")))
+    joined = join_on(linked, following, [*keys, "_bucket"], "left")
+    paired = joined.withColumn("next", F.coalesce("_next", "_first")).where(F.col("next").isNotNull())
+    return paired.select(*df.columns, "next")
+
+
 def ordered_rank(df: DataFrame, keys: list[str], order: list[str], weight: str | None = None,
                  name: str = "row_rank") -> DataFrame:
     """Running sum of ``weight`` (running row count without one) within ``keys`` along ``order``.

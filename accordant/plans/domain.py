@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from accordant import policy
 from accordant.functions.ids import pair_key, zero_pad
@@ -15,6 +16,7 @@ from accordant.operators.cases import annotate, case_states
 
 AS_OF = "2024-02-01 00:00:00"
 TODAY = "2024-01-20"
+_SCHEMAS: dict[str, StructType] = {}  # file -> schema, so that footers are read once per process
 
 
 def _text(values: list[str], at: Column) -> Column:
@@ -29,7 +31,10 @@ class Domain:
     path: str
 
     def table(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        file = f"{self.path}/{name}.parquet"
+        if file not in _SCHEMAS:
+            _SCHEMAS[file] = self.spark.read.parquet(file).schema
+        df = self.spark.read.schema(_SCHEMAS[file]).parquet(file)
         # Files carry zone-less timestamps; the session zone is UTC.
         zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
         return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df

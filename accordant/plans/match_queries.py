@@ -96,7 +96,7 @@ def label_consistency(d):
 
 
 @query("w3_f11_numbered_pairs", """
-    SELECT 'PAIR-' || LPAD(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR), GREATEST(6, LENGTH(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR))), '0') AS pair_id,
+    SELECT 'PAIR-' || LPAD(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR), CAST(GREATEST(6, LENGTH(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR))) AS INTEGER), '0') AS pair_id,
       source_a, source_b, record_a_id, record_b_id, master_id_a, master_id_b, label FROM positives""")
 def numbered_pairs(d):
     return pairs.numbered(d.positives, "positive", ["record_a_id", "source_a", "source_b"])
