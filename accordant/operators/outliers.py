@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accordant.operators.ranking import exact_quantiles, halo_buckets, join_on, ordered_rank
+from accordant.operators.ranking import exact_quantiles, halo_buckets, join_on, ordered_rank, quantiles_of_counts
 
 TREES = 100
 SAMPLE = 256
@@ -113,6 +113,7 @@ def isolation_scores(df: DataFrame, forest: dict) -> DataFrame:
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = shared.value
         for batch in batches:
+            batch = (batch,) if isinstance(batch, pd.Series) else batch
             x = np.column_stack([c.fillna(0.0).to_numpy(dtype=float) for c in batch])
             distinct, back = np.unique(x, axis=0, return_inverse=True) if x.shape[1] > 1 else (
                 lambda u: (u[0][:, None], u[1]))(np.unique(x[:, 0], return_inverse=True))
@@ -122,9 +123,17 @@ def isolation_scores(df: DataFrame, forest: dict) -> DataFrame:
     return df.withColumn("anomaly_score", score(*inputs))
 
 
-def flag_top_share(scored: DataFrame, keys: list[str], score: str, contamination: float | Column, flag: str) -> DataFrame:
-    """Flag scores above the (1 - contamination) quantile of their group."""
-    limit = exact_quantiles(scored, keys, score, {"_limit": 1 - contamination})
+def flag_top_share(scored: DataFrame, keys: list[str], score: str, contamination: float | DataFrame, flag: str) -> DataFrame:
+    """Flag scores above the (1 - contamination) quantile of their group.
+
+    ``contamination`` is one share for all groups, or a table (keys, share) with one per group.
+    """
+    if isinstance(contamination, DataFrame):
+        counted = scored.groupBy(*keys, score).agg(F.count("*").alias("_n"))
+        shared = join_on(counted, contamination, keys)
+        limit = quantiles_of_counts(shared, keys, score, "_n", {"_limit": 1 - F.col("share")})
+    else:
+        limit = exact_quantiles(scored, keys, score, {"_limit": 1 - contamination})
     if keys:
         joined = join_on(scored, limit, keys, "left")
     else:

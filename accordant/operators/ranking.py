@@ -103,8 +103,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probabilities: d
 
 
 def quantiles_of_counts(counted: DataFrame, keys: list[str], value: str, count: str,
-                        probabilities: dict[str, float]) -> DataFrame:
-    """The same from a table of distinct values with their counts."""
+                        probabilities: dict[str, float | Column]) -> DataFrame:
+    """The same from a table of distinct values with their counts.
+
+    A probability may be a column that is constant within each group.
+    """
     ranked = ordered_rank(counted, keys, [value], count, "_upto")
     totals = ranked.groupBy(*keys).agg(F.max("_upto").alias("_total"))
     if keys:
@@ -118,7 +121,7 @@ def quantiles_of_counts(counted: DataFrame, keys: list[str], value: str, count:
 
     aggregates = []
     for name, p in probabilities.items():
-        place = (F.col("_total") - 1) * F.lit(float(p))
+        place = (F.col("_total") - 1) * (p if isinstance(p, Column) else F.lit(float(p)))
         aggregates += [at(F.floor(place)).alias(f"_lo_{name}"), at(F.ceil(place)).alias(f"_hi_{name}"),
                        F.max(place - F.floor(place)).alias(f"_frac_{name}")]
     picked = placed.groupBy(*keys).agg(*aggregates)

@@ -1 +1,140 @@
-"""Queries."""
+"""Measurements: labels, fences, rolling MAD, isolation forest, LOF, injection."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from accordant.operators import anomaly, metrics, outliers, profile
+from accordant.plans.domain import AS_OF
+from accordant.plans.oracle import hash_int
+from accordant.plans.registry import query
+
+DETECTORS = ("iqr", "zscore", "percentile")
+REPORT = ("ROUND(COALESCE(tp / NULLIF(tp + fp, 0)::DOUBLE, 0), 6) AS precision, ROUND(COALESCE(tp / NULLIF(tp + fn, 0)::DOUBLE, 0), 6) AS recall, "
+          "ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0)::DOUBLE, 0), 6) AS f1")
+
+
+def _flags(d):
+    return anomaly.fence_flags(d.telemetry, anomaly.fences(d.telemetry, ["series"], "value"), ["series"], "value")
+
+
+@query("j10_point_labels", "SELECT point_id, label FROM labelled")
+def point_labels(d):
+    return anomaly.label_points(d.telemetry, d.windows, "series", "ts").select("point_id", "label")
+
+
+@query("j10_label_shares", "SELECT series, SUM(label)::BIGINT AS labelled, COUNT(*) AS points FROM labelled GROUP BY 1")
+def label_shares(d):
+    labelled = anomaly.label_points(d.telemetry, d.windows, "series", "ts")
+    return labelled.groupBy("series").agg(F.sum("label").alias("labelled"), F.count("*").alias("points"))
+
+
+@query("n1_n2_n3_fences", "SELECT series, ROUND(iqr_low, 6) AS iqr_low, ROUND(iqr_high, 6) AS iqr_high, ROUND(pct_low, 6) AS pct_low, ROUND(pct_high, 6) AS pct_high, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std FROM fences")
+def fences(d):
+    limits = anomaly.fences(d.telemetry, ["series"], "value")
+    return limits.select("series", *[F.round(c, 6).alias(c) for c in limits.columns if c != "series"])
+
+
+@query("n1_n2_n3_flags", "SELECT point_id, iqr, zscore, percentile FROM flags")
+def fence_flags(d):
+    return _flags(d).select("point_id", *DETECTORS)
+
+
+@query("a28_outlier_shares", "SELECT series, COUNT(*) FILTER (WHERE iqr) AS outliers, ROUND(100 * COUNT(*) FILTER (WHERE iqr) / COUNT(*)::DOUBLE, 4) AS percent FROM flags GROUP BY series")
+def outlier_shares(d):
+    return _flags(d).groupBy("series").agg(F.count_if("iqr").alias("outliers"), F.round(100 * F.count_if("iqr") / F.count("*"), 4).alias("percent"))
+
+
+@query("n4_w1_w2_rolling_mad", "SELECT point_id, ROUND(score, 4) AS score, rolling_mad FROM mad")
+def rolling_mad(d):
+    out = anomaly.rolling_mad(d.telemetry, ["series"], ["ts", "point_id"], "value", bucket=2000)
+    return out.select("point_id", F.round("score", 4).alias("score"), "rolling_mad")
+
+
+@query("n4_one_series", """
+    SELECT COUNT(*) AS points, COUNT(*) FILTER (WHERE ABS(0.6745e0 * (value - center) / (mad + 1e-10)) > 3.5) AS flagged
+    FROM (SELECT *, MEDIAN(ABS(value - center)) OVER (ORDER BY ts, point_id ROWS BETWEEN 48 PRECEDING AND 47 FOLLOWING) AS mad
+      FROM (SELECT *, MEDIAN(value) OVER (ORDER BY ts, point_id ROWS BETWEEN 48 PRECEDING AND 47 FOLLOWING) AS center FROM telemetry))""")
+def one_series(d):
+    """All points as a single unkeyed series, as the file order of the source has it."""
+    whole = d.telemetry.withColumn("all", F.lit("all"))
+    out = anomaly.rolling_mad(whole, ["all"], ["ts", "point_id"], "value", bucket=2000)
+    return out.agg(F.count("*").alias("points"), F.count_if("rolling_mad").alias("flagged"))
+
+
+@query("n9_detector_evaluation", f"""
+    SELECT series, detector, tp, fp, fn, {REPORT} FROM (SELECT series, detector, COUNT(*) FILTER (WHERE label = 1 AND flag) AS tp, COUNT(*) FILTER (WHERE label = 0 AND flag) AS fp, COUNT(*) FILTER (WHERE label = 1 AND NOT flag) AS fn
+      FROM (SELECT m.series, 'rolling_mad' AS detector, l.label, m.rolling_mad AS flag FROM mad m JOIN labelled l ON l.point_id = m.point_id) GROUP BY ALL)""")
+def detector_evaluation(d):
+    flagged = anomaly.rolling_mad(d.telemetry, ["series"], ["ts", "point_id"], "value", bucket=2000)
+    labelled = anomaly.label_points(flagged, d.windows, "series", "ts")
+    judged = labelled.select("series", F.lit("rolling_mad").alias("detector"), "label", F.col("rolling_mad").cast("int").alias("prediction"))
+    report = metrics.classification_report(judged, "label", "prediction", ["series", "detector"]).drop("tn")
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
+
+
+@query("n10_flagged_profile", """
+    SELECT series, COUNT(value) AS count, ROUND(AVG(value), 6) AS mean, ROUND(STDDEV_SAMP(value), 6) AS std, MIN(value) AS min, MAX(value) AS max, ROUND(QUANTILE_CONT(value, 0.25), 6) AS q25,
+      ROUND(QUANTILE_CONT(value, 0.5), 6) AS q50, ROUND(QUANTILE_CONT(value, 0.75), 6) AS q75 FROM mad WHERE rolling_mad GROUP BY series""")
+def flagged_profile(d):
+    flagged = anomaly.rolling_mad(d.telemetry, ["series"], ["ts", "point_id"], "value", bucket=2000).where("rolling_mad")
+    out = profile.describe(flagged, ["series"], "value")
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
+FACTOR = hash_int("CAST(point_id AS VARCHAR)", 43, 1000)
+INJECTED = f"""(SELECT t.point_id, series, ts, CASE WHEN i.point_id IS NOT NULL THEN (SELECT MAX(value) FROM telemetry) * (2 + 3 * {FACTOR.replace('point_id', 't.point_id')} / 1000e0) ELSE value END AS value, i.point_id IS NOT NULL AS hit
+    FROM telemetry t LEFT JOIN (SELECT point_id FROM telemetry ORDER BY MD5('42|' || point_id), point_id LIMIT 50) i ON i.point_id = t.point_id)"""
+
+
+@query("n7_injected_points", f"SELECT point_id, ROUND(value, 6) AS value FROM {INJECTED}")
+def injected_points(d):
+    changed, _ = anomaly.inject(d.telemetry, "point_id", "value")
+    return changed.select("point_id", F.round("value", 6).alias("value"))
+
+
+@query("n8_a29_recovery", f"""
+    SELECT COUNT(*) AS injected, COUNT(*) FILTER (WHERE f) AS detected, ROUND(COUNT(*) FILTER (WHERE f) / COUNT(*)::DOUBLE, 6) AS recovery_rate
+    FROM (SELECT hit, ABS(0.6745e0 * (value - center) / (mad + 1e-10)) > 3.5 AS f FROM (SELECT *, MEDIAN(ABS(value - center)) OVER (PARTITION BY series ORDER BY ts, point_id ROWS BETWEEN 48 PRECEDING AND 47 FOLLOWING) AS mad
+      FROM (SELECT *, MEDIAN(value) OVER (PARTITION BY series ORDER BY ts, point_id ROWS BETWEEN 48 PRECEDING AND 47 FOLLOWING) AS center FROM {INJECTED}))) WHERE hit""")
+def recovery(d):
+    changed, log = anomaly.inject(d.telemetry, "point_id", "value")
+    flags = anomaly.rolling_mad(changed, ["series"], ["ts", "point_id"], "value", bucket=2000)
+    return anomaly.recovery(flags, log, "point_id", "rolling_mad")
+
+
+@query("n11_anomaly_ledger", f"""
+    SELECT 'telemetry' AS source_system, CAST(point_id AS VARCHAR) AS source_record_id, 'iqr' AS anomaly_type, 'outside the IQR fence' AS reason, CAST(value AS DOUBLE) AS anomaly_score, '{AS_OF}' AS detected_at FROM flags WHERE iqr
+    UNION ALL SELECT 'telemetry', CAST(point_id AS VARCHAR), 'zscore', 'more than three deviations from the mean', CAST(value AS DOUBLE), '{AS_OF}' FROM flags WHERE zscore
+    UNION ALL SELECT 'telemetry', CAST(point_id AS VARCHAR), 'percentile', 'outside the 1st to 99th percentile', CAST(value AS DOUBLE), '{AS_OF}' FROM flags WHERE percentile""")
+def anomaly_ledger(d):
+    reasons = {"iqr": "outside the IQR fence", "zscore": "more than three deviations from the mean", "percentile": "outside the 1st to 99th percentile"}
+    rows = anomaly.ledger(_flags(d), "telemetry", "point_id", "value", reasons, F.lit(AS_OF).cast("timestamp"))
+    return rows.drop("evidence").withColumns({"anomaly_score": F.col("anomaly_score").cast("double"), "detected_at": F.date_format("detected_at", "yyyy-MM-dd HH:mm:ss")})
+
+
+@query("n5_isolation_forest")
+def isolation_forest(d):
+    return outliers.isolation_forest(d.telemetry, ["value"], "point_id").select("point_id", "series", "value", "anomaly_score", "isolation_forest")
+
+
+@query("n5_isolation_forest_columns")
+def isolation_forest_columns(d):
+    lines = d.table("lineitem").select(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("row_id"), "l_quantity", "l_extendedprice", "l_discount")
+    return outliers.isolation_forest(lines, ["l_quantity", "l_extendedprice", "l_discount"], "row_id", 0.01)
+
+
+@query("n6_w7_local_outlier_factor")
+def local_outlier_factor(d):
+    return outliers.local_outlier_factor(d.telemetry, ["series"], "value", "point_id").select("point_id", "series", "value", "lof", "local_outlier_factor")
+
+
+@query("n9_forest_evaluation")
+def forest_evaluation(d):
+    """The forest against the labels, cut per series at its label share (at least one percent)."""
+    labelled = anomaly.label_points(d.telemetry, d.windows, "series", "ts")
+    share = labelled.groupBy("series").agg(F.greatest(F.avg("label"), F.lit(0.01)).alias("share"))
+    scored = outliers.isolation_scores(labelled, outliers.fit_isolation_forest(d.telemetry, ["value"], "point_id"))
+    flagged = outliers.flag_top_share(scored, ["series"], "anomaly_score", share, "flag")
+    judged = flagged.select("series", "label", F.col("flag").cast("int").alias("prediction"))
+    return metrics.classification_report(judged, "label", "prediction", ["series"])

@@ -1 +1,87 @@
-"""Queries."""
+"""Streaming forms, run over the given tables until they are drained and compared with batch."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from accordant.operators import anomaly
+from accordant.plans.domain import AS_OF, Domain
+from accordant.plans.registry import query
+from accordant.session import scratch_path
+from accordant.sources import files
+from accordant.streaming import jobs
+
+
+class StreamDomain(Domain):
+    """The same derivations with ``events`` read as a stream."""
+
+    def table(self, name):
+        if name != "events":
+            return super().table(name)
+        schema = self.spark.read.parquet(f"{self.path}/events.parquet").schema
+        raw = self.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(self.path)
+        return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drain(d, df, mode="append"):
+    out, checkpoint = scratch_path(d.spark, "stream"), scratch_path(d.spark, "progress")
+    jobs.run_to_files(df, out, checkpoint, mode)
+    return d.spark.read.parquet(f"{out}/b*")
+
+
+@query("g1_watched_folder", """
+    SELECT 'records' AS kind, COUNT(record_id) AS rows FROM records WHERE source_system = 'erp' UNION ALL SELECT 'quarantine', COUNT(*) - COUNT(record_id) FROM records WHERE source_system = 'erp'
+    UNION ALL SELECT 'ledger', COUNT(*) FROM records WHERE source_system = 'erp'""")
+def watched_folder(d):
+    root = scratch_path(d.spark, "watched")
+    files.write_csv(d.erp.drop("ord"), f"{root}/erp")
+    jobs.watch_exports(d.spark, f"{root}/erp", "erp", f"{root}/out", f"{root}/progress", F.lit(AS_OF).cast("timestamp")).awaitTermination()
+    read = d.spark.read.parquet
+    counted = [read(f"{root}/out/{kind}/batch=*").agg(F.lit(kind).alias("kind"), F.count("*").alias("rows")) for kind in ("records", "quarantine")]
+    ledger = read(f"{root}/out/ledger/batch=*").agg(F.lit("ledger").alias("kind"), F.sum("rows_processed").alias("rows"))
+    return counted[0].unionByName(counted[1]).unionByName(ledger)
+
+
+@query("g2_idempotent_records", "SELECT event_type AS source_system, COUNT(DISTINCT user_id) AS records FROM events GROUP BY 1")
+def idempotent_records(d):
+    """Repeated (type, user) arrivals count once."""
+    arriving = StreamDomain(d.spark, d.path).table("events").select(
+        F.col("event_type").alias("source_system"), F.col("user_id").cast("string").alias("source_record_id"), F.col("ts").alias("ingested_at"))
+    unique = _drain(d, jobs.idempotent(arriving, delay="60 days"))
+    return unique.groupBy("source_system").agg(F.count("*").alias("records"))
+
+
+def _case_stream(d):
+    s = StreamDomain(d.spark, d.path)
+    events = s.case_events.select("case_id", "at", "seq", "to", "implicit", F.date_trunc("day", "at").alias("created_at"))
+    return _drain(d, jobs.case_updates(events), "update")
+
+
+@query("g3_live_case_states", "SELECT case_id, status, CAST(history_rows - 1 AS INTEGER) AS moves FROM cases")
+def live_case_states(d):
+    states = _case_stream(d).where("kind = 'state'")
+    latest = states.groupBy("case_id").agg(F.max_by(F.struct("status", "moves"), "batch").alias("s"))
+    return latest.select("case_id", "s.status", "s.moves")
+
+
+@query("g4_sla_alerts", """
+    SELECT c.case_id, c.status FROM cases c WHERE c.status IN ('NEW', 'IN_REVIEW', 'WAITING_CLARIFICATION', 'REOPENED')
+      AND c.created_at + INTERVAL 72 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
+def sla_alerts(d):
+    return _case_stream(d).where("kind = 'sla_breach'").select("case_id", "status")
+
+
+@query("g5_daily_reason_counts", """
+    SELECT STRFTIME(DATE_TRUNC('day', "at"), '%Y-%m-%d') AS day, COALESCE(reason_code, 'OTHER') AS reason_code, COUNT(*) AS decisions FROM decisions
+    WHERE DATE_TRUNC('day', "at") + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY GROUP BY ALL""")
+def daily_reason_counts(d):
+    """Closed days only: in append mode a day is emitted once the watermark has passed it."""
+    counts = _drain(d, jobs.daily_reason_counts(StreamDomain(d.spark, d.path).decisions))
+    return counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "reason_code", "decisions")
+
+
+@query("g6_flagged_stream", "SELECT point_id, iqr, zscore, percentile FROM flags")
+def flagged_stream(d):
+    limits = anomaly.fences(d.telemetry, ["series"], "value")
+    arriving = StreamDomain(d.spark, d.path).telemetry
+    return _drain(d, jobs.flag_stream(arriving, limits, ["series"], "value")).select("point_id", "iqr", "zscore", "percentile")
