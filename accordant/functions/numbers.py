@@ -9,16 +9,18 @@ from accordant import policy
 from accordant.functions.text import choose, strip
 
 
+def _no_nan(c: Column) -> Column:
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
 def parse_number(c: Column) -> Column:
     """Text or number to double: thousands commas dropped, anything unreadable or NaN is null."""
-    parsed = F.regexp_replace(strip(c), ",", "").try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return _no_nan(F.replace(strip(c), F.lit(","), F.lit("")).try_cast("double"))
 
 
 def to_number(c: Column) -> Column:
     """Lenient conversion without comma handling; unreadable or NaN is null."""
-    parsed = strip(c).try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return _no_nan(strip(c).try_cast("double"))
 
 
 def abs_difference(a: Column, b: Column) -> Column:

@@ -82,9 +82,9 @@ def _jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return jaro_winkler_batch(left, right)
 
 
-def jaro_winkler(a: Column | str, b: Column | str) -> Column:
+def jaro_winkler(a: Column | str, b: Column | str, normalized: bool = False) -> Column:
     """Jaro-Winkler of the matching forms; 0.0 when either side is missing."""
-    return _jaro_winkler(normalize_match(a), normalize_match(b))
+    return _jaro_winkler(a, b) if normalized else _jaro_winkler(normalize_match(a), normalize_match(b))
 
 
 def register(spark: SparkSession, name: str = "jaro_winkler") -> None:

@@ -11,13 +11,17 @@ from accordant import policy
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
+# Every white-space character, ASCII separators included.
+WHITE_SPACE = " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip(c: Column | str) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(_col(c).cast("string"), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(c).cast("string"), F.lit(WHITE_SPACE))
 
 
 def normalize_match(c: Column | str) -> Column:
@@ -41,9 +45,14 @@ def is_blank(c: Column | str) -> Column:
     return _col(c).isNull() | strip(c).isin(policy.BLANK_TEXTS)
 
 
+def flag(condition: Column) -> Column:
+    """1.0 or 0.0."""
+    return F.when(condition, 1.0).otherwise(0.0)
+
+
 def same_text(a: Column | str, b: Column | str) -> Column:
     """1.0 when both matching forms are equal (two missing values count as equal), else 0.0."""
-    return F.when(normalize_match(a) == normalize_match(b), 1.0).otherwise(0.0)
+    return flag(normalize_match(a) == normalize_match(b))
 
 
 def block_key(state: Column | str, city: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions.ids import envelope_id
-from accordant.functions.text import choose
+from accordant.functions.text import choose, strip
 
 
 def crm_export(master: DataFrame) -> DataFrame:
@@ -101,8 +101,7 @@ def wide_view(master: DataFrame, records: DataFrame) -> DataFrame:
 
 def field_value(field: str, source: str) -> Column:
     """Column of the wide view holding a field's value as text; blank text counts as missing."""
-    text = F.col(f"{field}_{source}").cast("string")
-    return F.nullif(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(strip(f"{field}_{source}"), F.lit(""))
 
 
 def project_lookup(wide: DataFrame, project_id: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accordant import policy
 from accordant.functions.numbers import abs_difference
 from accordant.functions.similarity import jaro_winkler
-from accordant.functions.text import same_text, unigrams_and_bigrams, words
+from accordant.functions.text import flag, normalize_match, same_text, unigrams_and_bigrams, words
 from accordant.operators.align import first_record
 
 FIELDS = list(policy.FEATURE_COLUMNS)
@@ -27,19 +27,24 @@ def pair_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
             .join(side("b"), ["source_b", "record_b_id"]))
 
 
-def pairwise_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """The seven matching features per pair."""
-    joined = pair_records(pairs, records)
+def pairwise_features(pairs: DataFrame, records: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """The seven matching features per pair; ``keep`` names pair columns to carry along."""
+    # Normalised once per record instead of once per pair and side.
+    texts = [f for f in FIELDS if f != "system_size_kw"]
+    size = F.nanvl(F.col("system_size_kw").cast("double"), F.lit(None).cast("double")).alias("system_size_kw")
+    normal = records.select("source_system", "record_id", *[normalize_match(f).alias(f) for f in texts], size, "ord")
+    joined = pair_records(pairs, normal)
+
+    def same(field: str):
+        return flag(F.col(f"{field}_a") == F.col(f"{field}_b")).alias(f"{field}_match")
+
+    similar = {"customer_similarity": "customer_name", "installer_similarity": "installer", "address_similarity": "address"}
     return joined.select(
-        "pair_id",
-        *[jaro_winkler(f"{f}_a", f"{f}_b").alias(name) for f, name in (
-            ("customer_name", "customer_similarity"), ("installer", "installer_similarity"),
-            ("address", "address_similarity"))],
-        same_text("city_a", "city_b").alias("city_match"),
-        same_text("state_a", "state_b").alias("state_match"),
-        abs_difference(F.col("system_size_kw_a"), F.col("system_size_kw_b")).alias("capacity_diff"),
-        same_text("status_a", "status_b").alias("status_match"),
-        "label").na.fill(0)
+        "pair_id", *keep,
+        *[jaro_winkler(f"{f}_a", f"{f}_b", normalized=True).alias(name) for name, f in similar.items()],
+        same("city"), same("state"),
+        F.coalesce(F.abs(F.col("system_size_kw_a") - F.col("system_size_kw_b")), F.lit(0.0)).alias("capacity_diff"),
+        same("status"), "label")
 
 
 def baseline_prediction(features: DataFrame) -> DataFrame:

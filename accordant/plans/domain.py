@@ -11,8 +11,10 @@ from pyspark.sql.types import StructType
 
 from accordant import policy
 from accordant.functions.ids import pair_key, zero_pad
+from accordant.functions.text import choose
 from accordant.operators import align, explain, features, pairs, queue
 from accordant.operators.cases import annotate, case_states
+from accordant.session import durable
 
 AS_OF = "2024-02-01 00:00:00"
 TODAY = "2024-01-20"
@@ -65,31 +67,51 @@ class Domain:
                 k.alias("ord")))
 
     @cached_property
-    def crm(self) -> DataFrame:
+    def reported(self) -> DataFrame:
+        """Projects with what each source says about them: deterministic gaps, drifts and spellings.
+
+        One row per project, so that all four exports and the aligned records come from one pass.
+        """
         k = F.col("ord")
-        return align.crm_export(self.master).withColumns({
-            "customer_name": F.when(k % 40 != 33, F.col("customer_name")),
-            "city": F.when(k % 50 != 29, F.col("city")),
-            "status": F.when(k % 25 == 13, F.upper("status")).otherwise(F.col("status"))})
+        size, name, address = F.col("system_size_kw"), F.col("installer"), F.col("address")
+        return self.master.withColumns({
+            "crm_customer": F.when(k % 40 != 33, F.col("customer_name")),
+            "crm_city": F.when(k % 50 != 29, F.col("city")),
+            "crm_status": F.when(k % 25 == 13, F.upper("status")).otherwise(F.col("status")),
+            "erp_id": F.when(k % 50 != 13, F.col("project_id")),
+            "erp_customer": F.when(k % 20 == 3, F.upper("customer_name")).when(k % 33 != 5, F.col("customer_name")),
+            "erp_size": F.when(k % 20 == 7, size * 1.2).when(k % 20 != 11, size),
+            "erp_status": choose(F.col("status"), policy.ERP_STATUS),
+            "partner_installer": F.when(k % 20 == 9, F.replace(name, F.lit("#"), F.lit("-")))
+            .when(k % 60 == 41, F.concat(F.lit("Alt "), name)).otherwise(name),
+            "partner_size": F.when(k % 40 == 11, None).when(k % 30 == 17, size + 1.5).otherwise(size),
+            "partner_address": F.when(k % 45 == 22, F.lower("address")).when(k % 70 != 31, address),
+            "signing_status": choose(F.col("status"), policy.SIGNING_STATUS)})
+
+    @cached_property
+    def staged(self) -> DataFrame:
+        """``reported`` as a stored table: the point where pair building reads it several times."""
+        columns = [c for c in self.reported.columns if c not in ("postcode", "install_date", "updated_at")]
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return durable(self.reported.select(*columns).repartition(parts, "project_id"))
+
+    @cached_property
+    def crm(self) -> DataFrame:
+        r = self.reported.withColumns({c: F.col(f"crm_{n}") for c, n in (("customer_name", "customer"), ("city", "city"), ("status", "status"))})
+        return align.crm_export(r)
 
     @cached_property
     def erp(self) -> DataFrame:
-        k = F.col("ord")
-        size = F.col("installed_capacity")
-        return align.erp_export(self.master).withColumns({
-            "project_reference": F.when(k % 50 != 13, F.col("project_reference")),
-            "customer": F.when(k % 20 == 3, F.upper("customer")).when(k % 33 != 5, F.col("customer")),
-            "installed_capacity": F.when(k % 20 == 7, size * 1.2).when(k % 20 != 11, size)})
+        return self.reported.select(
+            F.col("customer_name").alias("customer_ref"), F.col("erp_id").alias("project_reference"),
+            F.col("erp_customer").alias("customer"), F.col("erp_size").alias("installed_capacity"),
+            F.col("state").alias("region"), F.col("erp_status").alias("record_status"), "ord")
 
     @cached_property
     def partner(self) -> DataFrame:
-        k = F.col("ord")
-        size, name = F.col("capacity"), F.col("installer_name")
-        return align.partner_export(self.master).withColumns({
-            "installer_name": F.when(k % 20 == 9, F.replace(name, F.lit("#"), F.lit("-")))
-            .when(k % 60 == 41, F.concat(F.lit("Alt "), name)).otherwise(name),
-            "capacity": F.when(k % 40 == 11, None).when(k % 30 == 17, size + 1.5).otherwise(size),
-            "site_address": F.when(k % 45 == 22, F.lower("site_address")).when(k % 70 != 31, F.col("site_address"))})
+        r = self.reported.withColumns({"installer": F.col("partner_installer"), "system_size_kw": F.col("partner_size"),
+                                       "address": F.col("partner_address")})
+        return align.partner_export(r)
 
     @cached_property
     def document(self) -> DataFrame:
@@ -99,9 +121,27 @@ class Domain:
     def sources(self) -> dict[str, DataFrame]:
         return {"crm": self.crm, "erp": self.erp, "partner": self.partner, "document": self.document}
 
+    @staticmethod
+    def _records(reported: DataFrame) -> DataFrame:
+        """The aligned records of all sources, as ``align`` gives them, in one pass."""
+        held = {
+            "crm": ("project_id", "crm_customer", "installer", "address", "crm_city", "state", "system_size_kw", "crm_status", "crm_status"),
+            "erp": ("erp_id", "erp_customer", None, None, None, "state", "erp_size", "erp_status", "erp_status"),
+            "partner": ("project_id", None, "partner_installer", "partner_address", None, None, "partner_size", "status", "status"),
+            "document": ("project_id", None, None, None, None, None, None, None, "signing_status")}
+        names = ("record_id", *policy.FEATURE_COLUMNS, "evidence_status")
+        rows = [F.struct(F.lit(source).alias("source_system"), *[
+            (F.lit(None) if c is None else F.col(c)).cast("double" if n == "system_size_kw" else "string").alias(n)
+            for n, c in zip(names, columns)]) for source, columns in held.items()]
+        return reported.select(F.explode(F.array(*rows)).alias("r"), "ord").select("r.*", "ord")
+
     @cached_property
     def records(self) -> DataFrame:
-        return align.align(self.sources)
+        return self._records(self.reported)
+
+    @cached_property
+    def staged_records(self) -> DataFrame:
+        return self._records(self.staged)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -109,19 +149,24 @@ class Domain:
 
     @cached_property
     def positives(self) -> DataFrame:
-        return pairs.positive_pairs(self.master.select("project_id"), self.records)
+        return pairs.positive_pairs(self.staged.select("project_id"), self.staged_records)
 
     @cached_property
     def negatives(self) -> DataFrame:
-        return pairs.negative_pairs(self.master, self.records)
+        return pairs.negative_pairs(self.staged, self.staged_records)
 
     @cached_property
     def pairs(self) -> DataFrame:
         return self.positives.unionByName(self.negatives)
 
+    @cached_property
+    def pair_features(self) -> DataFrame:
+        """Features with the columns of their pair."""
+        return features.pairwise_features(self.pairs, self.staged_records, keep=pairs.COLUMNS[1:-1])
+
     @cached_property
     def features(self) -> DataFrame:
-        return features.pairwise_features(self.pairs, self.records)
+        return self.pair_features.drop(*pairs.COLUMNS[1:-1])
 
     @cached_property
     def explained(self) -> DataFrame:
@@ -129,9 +174,8 @@ class Domain:
 
     @cached_property
     def queue(self) -> DataFrame:
-        """Scored queue; pairs, features and notes share one pass because all are keyed by pair."""
-        base = self.pairs.drop("label").join(self.explained, "pair_id", "left")
-        return queue.with_route(base)
+        """Scored queue in one pass over the pairs; every pair here has both of its records."""
+        return queue.with_route(explain.explain_pairs(self.pair_features))
 
     @cached_property
     def enriched(self) -> DataFrame:

@@ -124,7 +124,7 @@ def freshness(d):
     SELECT source_system, COUNT(*) AS records, COUNT(record_id) AS with_id, COUNT(customer_name) AS customers, COUNT(installer) AS installers,
       ROUND(SUM(system_size_kw), 4) AS size, COUNT(address) AS addresses, COUNT(city) AS cities, COUNT(state) AS states, COUNT(status) AS statuses FROM records GROUP BY 1""")
 def source_projections(d):
-    return d.records.groupBy("source_system").agg(
+    return align.align(d.sources).groupBy("source_system").agg(
         F.count("*").alias("records"), F.count("record_id").alias("with_id"), F.count("customer_name").alias("customers"),
         F.count("installer").alias("installers"), F.round(F.sum("system_size_kw"), 4).alias("size"), F.count("address").alias("addresses"),
         F.count("city").alias("cities"), F.count("state").alias("states"), F.count("status").alias("statuses"))

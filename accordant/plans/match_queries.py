@@ -44,21 +44,21 @@ def _hard_sql() -> str:
 
 @query("j7_hard_negatives", _hard_sql())
 def hard_negatives(d):
-    return pairs.hard_negative_pairs(d.master, d.records)
+    return pairs.hard_negative_pairs(d.staged, d.staged_records)
 
 
 @query("j4_pair_records", """
     SELECT p.pair_id, a.customer_name AS customer_name_a, b.customer_name AS customer_name_b, a.status AS status_a, b.status AS status_b
     FROM pairs p JOIN records a ON a.source_system = p.source_a AND a.record_id = p.record_a_id JOIN records b ON b.source_system = p.source_b AND b.record_id = p.record_b_id""")
 def pair_records(d):
-    return features.pair_records(d.pairs, d.records).select("pair_id", "customer_name_a", "customer_name_b", "status_a", "status_b")
+    return features.pair_records(d.pairs, d.staged_records).select("pair_id", "customer_name_a", "customer_name_b", "status_a", "status_b")
 
 
 @query("j8_f21_blocked_candidates", """
     SELECT p.pair_id, LOWER(a.state) || '_' || LOWER(a.city) AS block_key, p.label FROM pairs p JOIN master a ON a.project_id = p.master_id_a
     JOIN master b ON b.project_id = p.master_id_b WHERE a.state = b.state AND a.city = b.city""")
 def blocked_candidates(d):
-    keyed = pairs.with_block_keys(d.master.withColumnRenamed("project_id", "record_id")).select("record_id", "block_key")
+    keyed = pairs.with_block_keys(d.staged.withColumnRenamed("project_id", "record_id")).select("record_id", "block_key")
     return pairs.block_filter(d.pairs, keyed).select("pair_id", "block_key", "label")
 
 

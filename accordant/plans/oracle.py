@@ -286,7 +286,7 @@ CTES: dict[str, str] = {
         SELECT term, SUM(tf) AS total, COUNT(*) AS df FROM (SELECT id, side, term, COUNT(*) AS tf FROM terms GROUP BY ALL) GROUP BY term
         ORDER BY total DESC, term LIMIT 5000)""",
     "cosine": """
-      SELECT p.id, COALESCE(dot / (SQRT(ll) * SQRT(rr)), 0e0) AS title_tfidf_cosine FROM text_pairs p LEFT JOIN (
+      SELECT p.id, CASE WHEN ll > 0 AND rr > 0 THEN dot / (SQRT(ll) * SQRT(rr)) ELSE 0e0 END AS title_tfidf_cosine FROM text_pairs p LEFT JOIN (
         SELECT id, SUM(l * r) AS dot, SUM(l * l) AS ll, SUM(r * r) AS rr FROM (
           SELECT id, t.term, COUNT(*) FILTER (WHERE side = 'l') * ANY_VALUE(idf) AS l, COUNT(*) FILTER (WHERE side = 'r') * ANY_VALUE(idf) AS r
           FROM terms t JOIN vocabulary v ON v.term = t.term GROUP BY id, t.term) GROUP BY id) c ON c.id = p.id""",
