@@ -28,6 +28,30 @@ def _step(state: Column, event: Column) -> Column:
     return F.when(_accepted(state, event), event["to"]).otherwise(state)
 
 
+def _start_states(functions: DataFrame, segment: int, runs: int) -> DataFrame:
+    """(case_id, run, start) for each run, given what every run does to each status.
+
+    ``functions``: (case_id, run, ends), ``ends`` aligned with STATES. Up to ``segment`` runs are
+    composed at a time; more runs than that are composed into coarser runs first, and so on, so a
+    case of any length is handled in lists of bounded size.
+    """
+    states = F.array(*[F.lit(s) for s in STATES])
+    grouped = (functions.withColumn("part", F.floor(F.col("run") / segment)).groupBy("case_id", "part")
+               .agg(F.array_sort(F.collect_list(F.struct("run", "ends"))).alias("runs")))
+    prefixes = F.aggregate("runs", F.array(states), lambda seen, r: F.concat(seen, F.array(F.transform(
+        F.element_at(seen, -1), lambda s: F.element_at(r["ends"], F.array_position(states, s).cast("int"))))))
+    composed = grouped.select("case_id", "part", prefixes.alias("prefixes"))
+    if runs > segment:
+        whole = composed.select("case_id", F.col("part").alias("run"), F.element_at("prefixes", -1).alias("ends"))
+        coarse = _start_states(whole, segment, -(-runs // segment)).withColumnRenamed("run", "part")
+        composed = composed.join(coarse, ["case_id", "part"])
+    else:
+        composed = composed.withColumn("start", F.lit(policy.INITIAL_STATUS))
+    opened = composed.select("case_id", "part", "start", F.posexplode("prefixes").alias("pos", "prefix"))
+    return opened.select("case_id", (F.col("part") * segment + F.col("pos")).alias("run"),
+                         F.element_at("prefix", F.array_position(states, F.col("start")).cast("int")).alias("start"))
+
+
 def annotate(events: DataFrame, segment: int = 512) -> DataFrame:
     """Each event with the status before it and its outcome: accepted, ignored or rejected.
 
@@ -36,21 +60,19 @@ def annotate(events: DataFrame, segment: int = 512) -> DataFrame:
     is then replayed on its own. No task holds more than one run of a case with many events.
     """
     ranked = ordered_rank(events, ["case_id"], ["at", "seq"], name="n")
+    longest = ranked.agg(F.max("n")).first()[0] or 0
     entry = F.struct("n", "at", "seq", "to", "actor", "note", "implicit")
     runs = (ranked.withColumn("run", F.floor((F.col("n") - 1) / segment))
             .groupBy("case_id", "run").agg(F.array_sort(F.collect_list(entry)).alias("events")))
-
-    long_cases = runs.where(F.col("run") >= 1).select("case_id").distinct()
-    starts = F.array(*[F.lit(s) for s in STATES])
-    ends = F.aggregate("events", starts, lambda now, e: F.transform(now, lambda s: _step(s, e)))
-    functions = (runs.join(long_cases, "case_id", "left_semi")
-                 .select("case_id", "run", F.map_from_arrays(starts, ends).alias("to_end"))
-                 .groupBy("case_id").agg(F.array_sort(F.collect_list(
-                     F.struct("run", F.map_entries("to_end").alias("to_end")))).alias("runs")))
-    first = F.array(F.lit(policy.INITIAL_STATUS))
-    chained = F.aggregate("runs", first, lambda seen, r: F.concat(
-        seen, F.array(F.try_element_at(F.map_from_entries(r["to_end"]), F.element_at(seen, -1)))))
-    opened = functions.select("case_id", F.posexplode(chained).alias("run", "start"))
+    if longest > segment:
+        long_cases = runs.where(F.col("run") >= 1).select("case_id").distinct()
+        ends = F.aggregate("events", F.array(*[F.lit(s) for s in STATES]),
+                           lambda now, e: F.transform(now, lambda s: _step(s, e)))
+        functions = runs.join(long_cases, "case_id", "left_semi").select("case_id", "run", ends.alias("ends"))
+        opened = _start_states(functions, segment, -(-longest // segment))
+        runs = runs.join(opened, ["case_id", "run"], "left")
+    else:
+        runs = runs.withColumn("start", F.lit(None).cast("string"))
 
     trail = F.aggregate(
         "events", F.struct(F.coalesce("start", F.lit(policy.INITIAL_STATUS)).alias("state"),
@@ -58,7 +80,7 @@ def annotate(events: DataFrame, segment: int = 512) -> DataFrame:
         lambda acc, e: F.struct(_step(acc["state"], e).alias("state"),
                                 F.concat(acc["before"], F.array(acc["state"])).alias("before")),
         lambda acc: acc["before"])
-    replayed = runs.join(opened, ["case_id", "run"], "left").select(
+    replayed = runs.select(
         "case_id", F.explode(F.arrays_zip(F.col("events").alias("event"), trail.alias("before"))).alias("z"))
     flat = replayed.select("case_id", F.col("z.event").alias("event"), F.col("z.before").alias("from_status"))
     outcome = (F.when(_accepted(F.col("from_status"), F.col("event")), "accepted")

@@ -14,6 +14,7 @@ from accordant.functions.ids import pair_key, zero_pad
 from accordant.functions.text import choose
 from accordant.operators import align, explain, features, pairs, queue
 from accordant.operators.cases import annotate, case_states
+from accordant.operators.evidence import correction_proposals, evidence
 from accordant.session import durable
 
 AS_OF = "2024-02-01 00:00:00"
@@ -260,11 +261,11 @@ class Domain:
     @cached_property
     def corrections(self) -> DataFrame:
         """Correction proposals of resolved cases from the conflicting fields of their project."""
-        from accordant.operators.evidence import correction_proposals, evidence
-
         resolved = self.cases.where(F.col("status") == "RESOLVED").select("case_id")
         linked = self.opened.select("case_id", "project_id").join(resolved, "case_id", "left_semi")
-        return correction_proposals(evidence(self.wide), linked).withColumn("proposed_by", F.lit("reviewer"))
+        # Only projects with a resolved case are compared.
+        concerned = self.wide.join(linked.select("project_id"), "project_id", "left_semi")
+        return correction_proposals(evidence(concerned), linked).withColumn("proposed_by", F.lit("reviewer"))
 
     # Labelled texts ------------------------------------------------------------------------------
 

@@ -212,8 +212,7 @@ def timestamp_functions(d):
 @query("f9_f10_f11_identifiers", """
     SELECT project_id, 'ENV-' || UPPER(SUBSTR(MD5(project_id), 1, 12)) AS envelope,
       CAST((SELECT LIST_REDUCE(LIST_PREPEND(CAST(0 AS BIGINT), LIST_TRANSFORM(RANGE(8), lambda i: CAST('0x' || SUBSTR(SHA256(project_id), 8 * i + 1, 8) AS BIGINT))),
-        lambda acc, x: (acc * 96 + x) % 100)) AS INTEGER) AS bucket, LPAD(CAST(ord AS VARCHAR), 6, '0') AS padded FROM master WHERE ord < 1000000
-    UNION ALL SELECT project_id, 'ENV-' || UPPER(SUBSTR(MD5(project_id), 1, 12)), NULL, CAST(ord AS VARCHAR) FROM master WHERE ord >= 1000000""")
+        lambda acc, x: (acc * 96 + x) % 100)) AS INTEGER) AS bucket, LPAD(CAST(ord AS VARCHAR), CAST(GREATEST(6, LENGTH(CAST(ord AS VARCHAR))) AS INTEGER), '0') AS padded FROM master""")
 def identifiers(d):
     p = F.col("project_id")
     return d.master.select("project_id", ids.envelope_id(p).alias("envelope"), ids.sha256_mod100(p).cast("int").alias("bucket"),

@@ -392,7 +392,9 @@ def entity_split(d):
     return metrics.entity_split(d.pairs).groupBy("split", "label").agg(F.count("*").alias("pairs"))
 
 
-@query("c14_split_leakage", "SELECT COUNT(*) * 0 AS shared_entities FROM pairs")
+@query("c14_split_leakage", f"""
+    SELECT COUNT(*) AS shared_entities FROM (SELECT entity FROM (SELECT UNNEST([master_id_a, master_id_b]) AS entity, CASE WHEN {ENTITY_SIDE.format('master_id_a')} THEN 'train' ELSE 'test' END AS split
+      FROM pairs WHERE ({ENTITY_SIDE.format('master_id_a')}) = ({ENTITY_SIDE.format('master_id_b')})) GROUP BY entity HAVING COUNT(DISTINCT split) > 1)""")
 def split_leakage(d):
     return quality.check_split_leakage(metrics.entity_split(d.pairs)).agg(F.count("*").alias("shared_entities"))
 
@@ -410,11 +412,11 @@ def pair_ids_exist(d):
     return ids.agg(F.count("*").alias("entities")).withColumn("orphans", orphans)
 
 
-@query("c6_similarity_range", "SELECT COUNT(*) AS pairs, 0::BIGINT AS failures FROM features")
+@query("c6_similarity_range", "SELECT COUNT(*) AS pairs, COUNT(*) FILTER (WHERE customer_similarity NOT BETWEEN 0 AND 1 OR installer_similarity NOT BETWEEN 0 AND 1 OR address_similarity NOT BETWEEN 0 AND 1) AS failures FROM features")
 def similarity_range(d):
     names = policy.FEATURES[:3]
-    bad = sum((F.count_if(~F.col(n).between(0.0, 1.0) | F.col(n).isNull()) for n in names[1:]), F.count_if(~F.col(names[0]).between(0.0, 1.0)))
-    return d.features.agg(F.count("*").alias("pairs"), bad.alias("failures"))
+    bad = ~F.col(names[0]).between(0.0, 1.0) | ~F.col(names[1]).between(0.0, 1.0) | ~F.col(names[2]).between(0.0, 1.0)
+    return d.features.agg(F.count("*").alias("pairs"), F.count_if(bad).alias("failures"))
 
 
 # Text features -----------------------------------------------------------------------------------------------
