@@ -89,3 +89,11 @@ def choose(c: Column, mapping: dict, default=None) -> Column:
     for key, value in mapping.items():
         result = F.when(c == key, value) if result is None else result.when(c == key, value)
     return result.otherwise(F.lit(default))
+
+
+def choose_column(c: Column, mapping: dict[str, Column]) -> Column:
+    """The mapped column for the value of ``c``; unmapped values give null."""
+    result = None
+    for key, column in mapping.items():
+        result = F.when(c == key, column) if result is None else result.when(c == key, column)
+    return result

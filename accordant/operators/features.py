@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions.numbers import abs_difference
 from accordant.functions.similarity import jaro_winkler
-from accordant.functions.text import flag, normalize_match, same_text, unigrams_and_bigrams, words
-from accordant.operators.align import first_record
+from accordant.functions.text import choose_column, flag, normalize_match, same_text, unigrams_and_bigrams, words
 
 FIELDS = list(policy.FEATURE_COLUMNS)
 
 
 def pair_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs with both source records attached; pairs with a missing record are dropped."""
-    unique = first_record(records.select("source_system", "record_id", *FIELDS, "ord"),
-                          ["source_system", "record_id"], ["ord"])
+    """Pairs with both source records attached; pairs with a missing record are dropped.
 
-    def side(s: str) -> DataFrame:
-        return unique.select(F.col("source_system").alias(f"source_{s}"), F.col("record_id").alias(f"record_{s}_id"),
-                             *[F.col(f).alias(f"{f}_{s}") for f in FIELDS])
+    Records are folded to one row per id that holds the first record of every source. A pair whose
+    two records share an id (every true pair of a consistent export does) then needs one lookup;
+    only pairs of different ids are moved a second time.
+    """
+    payload = F.struct(*FIELDS)
+    folded = records.where(F.col("record_id").isNotNull()).groupBy("record_id").agg(
+        *[F.min_by(payload, F.when(F.col("source_system") == s, F.col("ord"))).alias(f"_{s}") for s in policy.SOURCES])
+
+    def of_source(name: str) -> Column:
+        return choose_column(F.col(name), {s: F.col(f"_{s}") for s in policy.SOURCES})
 
-    return (pairs.join(side("a"), ["source_a", "record_a_id"])
-            .join(side("b"), ["source_b", "record_b_id"]))
+    same_id = F.col("record_a_id").eqNullSafe(F.col("record_b_id"))
+    by_a = folded.withColumnRenamed("record_id", "record_a_id")
+    near = pairs.where(same_id).join(by_a, "record_a_id").select(
+        *pairs.columns, of_source("source_a").alias("_a"), of_source("source_b").alias("_b"))
+    half = pairs.where(~same_id).join(by_a, "record_a_id").select(*pairs.columns, of_source("source_a").alias("_a"))
+    far = half.where(F.col("_a").isNotNull()).join(
+        folded.withColumnRenamed("record_id", "record_b_id"), "record_b_id").select(
+        *pairs.columns, "_a", of_source("source_b").alias("_b"))
+    both = near.unionByName(far).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    return both.select(*pairs.columns, *[F.col(f"_{side}.{f}").alias(f"{f}_{side}") for side in "ab" for f in FIELDS])
 
 
 def pairwise_features(pairs: DataFrame, records: DataFrame, keep: list[str] = ()) -> DataFrame:
@@ -56,7 +68,8 @@ def baseline_prediction(features: DataFrame) -> DataFrame:
 
 def title_terms(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(id, term, tf): counts of one- and two-word terms per text."""
-    terms = df.select(id_column, F.explode(unigrams_and_bigrams(words(text_column))).alias("term"))
+    # Partitioned by text while it is still one row: the exploded terms then stay where they are.
+    terms = df.repartition(id_column).select(id_column, F.explode(unigrams_and_bigrams(words(text_column))).alias("term"))
     return terms.groupBy(id_column, "term").agg(F.count("*").alias("tf"))
 
 
@@ -75,15 +88,16 @@ def fit_tfidf(corpus: DataFrame, id_column: str, text_column: str, max_features:
 def tfidf_cosine(pairs: DataFrame, vocabulary: DataFrame, id_column: str, left: str, right: str) -> DataFrame:
     """TF-IDF cosine of two texts per pair, 0.0 when either has no known term.
 
-    Rows are partitioned by pair once; both aggregations reuse that partitioning. The vocabulary
+    Texts are partitioned by pair before they are cut into terms; both aggregations reuse that
+    partitioning, so terms are not shuffled. The vocabulary
     has at most ``max_features`` rows, so it is the small side of the lookup at any data size.
     """
-    sides = pairs.select(id_column, F.explode(F.array(
+    sides = pairs.repartition(id_column).select(id_column, F.explode(F.array(
         F.struct(F.lit("l").alias("side"), F.col(left).alias("t")),
         F.struct(F.lit("r").alias("side"), F.col(right).alias("t")))).alias("s")).select(id_column, "s.*")
     terms = sides.select(id_column, "side", F.explode(unigrams_and_bigrams(words("t"))).alias("term"))
     known = terms.join(F.broadcast(vocabulary.select("term", "idf")), "term")
-    per_term = (known.repartition(id_column).groupBy(id_column, "term")
+    per_term = (known.groupBy(id_column, "term")
                 .agg((F.count_if(F.col("side") == "l") * F.first("idf")).alias("l"),
                      (F.count_if(F.col("side") == "r") * F.first("idf")).alias("r")))
     sums = per_term.groupBy(id_column).agg(

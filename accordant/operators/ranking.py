@@ -62,8 +62,8 @@ def hash_neighbours(df: DataFrame, keys: list[str], id_column: str, seed: int, p
     hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, prefix))
     inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", id_column)
     row = F.struct(*columns)
-    linked = hashed.withColumn("_next", F.lead(row).over(inside)).withColumn("_place", F.row_number().over(inside))
-    firsts = linked.where(F.col("_place") == 1).select(*keys, "_bucket", row.alias("_first"))
+    linked = hashed.withColumn("_next", F.lead(row).over(inside))
+    firsts = hashed.groupBy(*keys, "_bucket").agg(F.min_by(row, F.struct("_hash", id_column)).alias("_first"))
     following = firsts.withColumn("_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket")))
     joined = join_on(linked, following, [*keys, "_bucket"], "left")
     paired = joined.withColumn("next", F.coalesce("_next", "_first")).where(F.col("next").isNotNull())

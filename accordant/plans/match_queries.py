@@ -10,7 +10,7 @@ from accordant.operators import explain, features, kpi, metrics, models, pairs,
 from accordant.plans.domain import AS_OF
 from accordant.plans.oracle import hash_int, jw, norm, pair_key, rnd
 from accordant.plans.registry import query
-from accordant.session import scratch_path
+from accordant.session import durable, scratch_path
 
 PAIR_COLUMNS = ", ".join(pairs.COLUMNS)
 
@@ -450,7 +450,7 @@ def text_pair_features(d):
 # Models --------------------------------------------------------------------------------------------------------
 
 def _split(d):
-    split = metrics.stratified_split(d.features, "label", "pair_id").persist()
+    split = durable(metrics.stratified_split(d.features, "label", "pair_id"))
     return split.where("split = 'train'"), split.where("split = 'test'")
 
 
