@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import line_dedup, token_counts
+from accordant.llm import decontamination, license_scan, line_dedup, token_counts
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def _query(name: str, oracle: str | None = None):
     return register
 
 
+@_query("op1_decontamination")
+def _decontamination(table) -> DataFrame:
+    return decontamination.decontaminate(table("documents"), table("benchmark"))
+
+
 @_query("op6_token_counts")
 def _token_counts(table) -> DataFrame:
     return token_counts.count_tokens(table("documents"))
@@ -35,3 +40,8 @@ def _token_counts(table) -> DataFrame:
 @_query("op7_line_dedup", line_dedup.ORACLE_SQL)
 def _line_dedup(table) -> DataFrame:
     return line_dedup.dedup_lines(table("documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@_query("op9_license_scan", license_scan.ORACLE_SQL)
+def _license_scan(table) -> DataFrame:
+    return license_scan.scan_licenses(table("documents"))
