@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, license_scan, line_dedup, token_counts
+from accordant.llm import decontamination, license_scan, line_dedup, quality_rules, token_counts
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def _decontamination(table) -> DataFrame:
     return decontamination.decontaminate(table("documents"), table("benchmark"))
 
 
+@_query("op2_quality_rules")
+def _quality_rules(table) -> DataFrame:
+    return quality_rules.apply_rules(table("documents"), table("labels"))
+
+
 @_query("op6_token_counts")
 def _token_counts(table) -> DataFrame:
     return token_counts.count_tokens(table("documents"))

@@ -19,7 +19,6 @@ from pyspark.sql.types import StructType
 from accordant.session import scratch_path
 
 #: Separators of words: space and the control characters 09 to 0D. ``bytes.split()`` uses the same set.
-SPACES = " \t\n\x0b\f\r"
 _SPLIT = "[\\x20\\x09-\\x0D]+"
 
 #: Bytes of a text to bytes of lower-cased ASCII letters, digits and non-ASCII characters, else a space.
