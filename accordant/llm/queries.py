@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, license_scan, line_dedup, quality_rules, token_counts
+from accordant.llm import decontamination, license_scan, line_dedup, quality_rules, token_counts, toxicity
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def _quality_rules(table) -> DataFrame:
     return quality_rules.apply_rules(table("documents"), table("labels"))
 
 
+@_query("op4_toxicity")
+def _toxicity(table) -> DataFrame:
+    return toxicity.score_documents(table("documents"), table("labels"))
+
+
 @_query("op6_token_counts")
 def _token_counts(table) -> DataFrame:
     return token_counts.count_tokens(table("documents"))
