@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, license_scan, line_dedup, quality_rules, token_counts, toxicity
+from accordant.llm import decontamination, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def _line_dedup(table) -> DataFrame:
     return line_dedup.dedup_lines(table("documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+@_query("op8_packing")
+def _packing(table) -> DataFrame:
+    return packing.pack_documents(table("documents"))
+
+
 @_query("op9_license_scan", license_scan.ORACLE_SQL)
 def _license_scan(table) -> DataFrame:
     return license_scan.scan_licenses(table("documents"))
