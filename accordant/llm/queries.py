@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
+from accordant.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def _toxicity(table) -> DataFrame:
     return toxicity.score_documents(table("documents"), table("labels"))
 
 
+@_query("op5_jaccard_join", jaccard_join.ORACLE_SQL)
+def _jaccard_join(table) -> DataFrame:
+    return jaccard_join.link_documents(table("documents"))
+
+
 @_query("op6_token_counts")
 def _token_counts(table) -> DataFrame:
     return token_counts.count_tokens(table("documents"))
