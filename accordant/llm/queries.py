@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, quality_rules, token_counts, toxicity
+from accordant.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def _packing(table) -> DataFrame:
 @_query("op9_license_scan", license_scan.ORACLE_SQL)
 def _license_scan(table) -> DataFrame:
     return license_scan.scan_licenses(table("documents"))
+
+
+@_query("op10_substring_dedup", substring_dedup.ORACLE_SQL)
+def _substring_dedup(table) -> DataFrame:
+    return substring_dedup.dedup_substrings(table("documents")).drop("kept")
