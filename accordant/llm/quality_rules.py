@@ -109,9 +109,9 @@ def certified_cutoffs(base: DataFrame, labels: DataFrame, alpha: float = ALPHA,
                   sum(bad) OVER (PARTITION BY stratum, rule ORDER BY value DESC) - bad AS bad_above,
                   sum(good) OVER (PARTITION BY stratum, rule) AS n_good, sum(bad) OVER (PARTITION BY stratum, rule) AS n_bad
         FROM _quality_bins""")
-    families = bins.select("stratum", "rule").distinct().agg((F.lit(delta) / F.count(F.lit(1))).alias("level"))
-    sizes = above.select("stratum", "rule", "n_good").distinct().crossJoin(families)  # one row on the right
-    allowed = sizes.select("stratum", "rule", allowed_rejections("n_good", share, "level").alias("allowed"))
+    level = delta / max(1, bins.select("stratum", "rule").distinct().count())
+    sizes = above.select("stratum", "rule", "n_good").distinct()
+    allowed = sizes.select("stratum", "rule", allowed_rejections("n_good", share, f"{level!r}D").alias("allowed"))
     gain = F.expr(f"bad_above / n_bad - {float(cost)!r}D * good_above / n_good")
     return (above.join(allowed, ["stratum", "rule"]).filter("good_above <= allowed").withColumn("gain", gain).filter("gain > 0")
             .groupBy("stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("best"))
