@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, jaccard_join, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
+from accordant.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def _quality_rules(table) -> DataFrame:
     return quality_rules.apply_rules(table("documents"), table("labels"))
 
 
+@_query("op3_language_id")
+def _language_id(table) -> DataFrame:
+    return language_id.identify(table("pages"), table("documents"))
+
+
 @_query("op4_toxicity")
 def _toxicity(table) -> DataFrame:
     return toxicity.score_documents(table("documents"), table("labels"))
