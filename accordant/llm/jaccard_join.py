@@ -48,44 +48,42 @@ def set_key(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
-def members(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(``doc_id``, ``n_shingles``, ``key``) of every row; the key is null for empty sets."""
+def members_and_sketch(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """One pass over the texts: ``doc_id``, ``n_shingles``, ``key`` and ``node`` of every row (key and node are
+    null for empty sets), and for each task one more row with its compressed part of the ``sketch``."""
     def make():
-        hashes = WordHashes()
+        counts, hashes = np.zeros(CELLS, np.uint32), WordHashes()
 
         def step(ids, texts):
             sets = [shingle_hashes(words_of(t), size, hashes) for t in texts]
-            return ids, [len(h) for h in sets], [set_key(h) if len(h) else None for h in sets]
+            cells = np.concatenate(sets) & np.uint64(CELLS - 1) if sets else np.empty(0, np.uint64)
+            np.add.at(counts, cells.astype(np.int64), 1)
+            keys = [set_key(h) if len(h) else None for h in sets]
+            return ids, [len(h) for h in sets], keys, [node_of(k) if k else None for k in keys], [None] * len(ids)
 
+        step.last = lambda: ([None], [None], [None], [None], [zlib.compress(counts.tobytes(), 1)])
         return step
 
-    return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make, "doc_id long, n_shingles long, key binary")
+    return map_rows(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), make,
+                    "doc_id long, n_shingles long, key binary, node long, sketch binary", rows=1024)
 
 
-def frequency_sketch(docs: DataFrame, text_col: str, size: int) -> np.ndarray:
-    """Eighth-of-a-power-of-two classes of the counts of hashed shingles over all documents: ``CELLS`` bytes.
+def node_of(key: bytes) -> int:
+    """Half of a key, as a number: stands for the set in postings and candidates, never in results."""
+    return int.from_bytes(key[:8], "little", signed=True)
 
-    Each task adds up its own cells; compressed partial sums meet in a tree, so what reaches the driver
-    has a fixed size.
-    """
-    def make():
-        counts, hashes = np.zeros(CELLS, np.uint32), WordHashes()
 
-        def step(texts):
-            sets = [shingle_hashes(words_of(t), size, hashes) for t in texts]
-            cells = np.concatenate(sets) & np.uint64(CELLS - 1) if sets else []
-            np.add(counts, np.bincount(np.asarray(cells, np.int64), minlength=CELLS).astype(np.uint32), out=counts)
-            return ([],)
-
-        step.last = lambda: ([zlib.compress(counts.tobytes(), 1)],)
-        return step
+def frequency_classes(partial: DataFrame) -> np.ndarray:
+    """Eighths of a power of two of the summed ``sketch`` counts: ``CELLS`` bytes.
 
+    Compressed partial sums meet in a tree, so what reaches the driver has a fixed size.
+    """
     def add(a: bytes, b: bytes) -> bytes:
         return zlib.compress((_cells(a) + _cells(b)).tobytes(), 1)
 
-    partial = map_rows(docs.select(F.col(text_col).cast("string")), make, "counts binary", rows=2048).rdd.map(lambda r: bytes(r[0]))
-    total = zlib.compress(np.zeros(CELLS, np.uint32).tobytes(), 1) if partial.isEmpty() else partial.treeReduce(add, 3)
-    return np.minimum(8 * np.log2(_cells(total) + 1.0), 255).astype(np.uint8)
+    parts = partial.filter("sketch IS NOT NULL").select("sketch").rdd.map(lambda r: bytes(r[0]))
+    total = np.zeros(CELLS, np.uint32) if parts.isEmpty() else _cells(parts.treeReduce(add, 3))
+    return np.minimum(8 * np.log2(total + 1.0), 255).astype(np.uint8)
 
 
 def _cells(packed: bytes) -> np.ndarray:
@@ -109,34 +107,38 @@ def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tup
 
 
 def postings(docs: DataFrame, text_col: str, size: int, sketch: np.ndarray, need: Callable[[int], int]) -> DataFrame:
-    """(``token``, ``key``, ``least``): the prefix of every set; equal sets give equal rows."""
+    """(``token``, ``node``, ``least``): the prefix of every set; of equal sets in one task, the first posts."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # CELLS bytes
 
     def make():
-        hashes, sketch = WordHashes(), shared.value
+        hashes, sketch, seen = WordHashes(), shared.value, set()
 
         def step(texts):
-            tokens, keys, least = [], [], []
+            tokens, nodes, least = [np.empty(0, np.int64)], [], []
             for text in texts:
                 h = shingle_hashes(words_of(text), size, hashes)
-                if len(h):
-                    posted, at = prefix(h, sketch, need)
-                    tokens.append(posted.view(np.int64))
-                    keys += [set_key(h)] * len(posted)
-                    least += [at] * len(posted)
-            return np.concatenate(tokens) if tokens else [], keys, least
+                if not len(h) or (key := set_key(h)) in seen:
+                    continue
+                if len(seen) < 200_000:
+                    seen.add(key)
+                posted, at = prefix(h, sketch, need)
+                tokens.append(posted.view(np.int64))
+                nodes += [node_of(key)] * len(posted)
+                least += [at] * len(posted)
+            return np.concatenate(tokens), nodes, least
 
         return step
 
-    return map_rows(docs.select(F.col(text_col).cast("string")), make, "token long, key binary, least int")
+    return map_rows(docs.select(F.col(text_col).cast("string")), make, "token long, node long, least int")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, size: int, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose shingle sets, taken from the texts anew, reach the threshold."""
+    """Of the pairs of nodes (``a``, ``b``), those whose shingle sets, taken from the texts anew, reach the
+    threshold, with the keys of the sets (``a_key``, ``b_key``)."""
     def make():
         last = [None, None]
 
-        def step(a, b, left, right):
+        def step(a, b, a_key, b_key, left, right):
             keep = []
             for i, (x, y) in enumerate(zip(left, right, strict=True)):
                 if last[0] != x:
@@ -145,16 +147,18 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, numerator: int, denomi
                 shared = len(last[1] & other)
                 if denominator * shared >= numerator * (len(last[1]) + len(other) - shared):
                     keep.append(i)
-            return [a[i] for i in keep], [b[i] for i in keep]
+            return [[c[i] for i in keep] for c in (a, b, a_key, b_key)]
 
         return step
 
-    with_texts = (pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("right")), "b")
-                  .join(texts.select(F.col("key").alias("a"), F.col("text").alias("left")), "a"))
-    return map_rows(with_texts.select("a", "b", "left", "right"), make, "a binary, b binary", rows=64)
+    def side(name, text):
+        return texts.select(F.col("node").alias(name), F.col("key").alias(f"{name}_key"), F.col("text").alias(text))
+
+    with_texts = pairs.join(side("b", "right"), "b").join(side("a", "left"), "a")
+    return map_rows(with_texts.select("a", "b", "a_key", "b_key", "left", "right"), make, "a long, b long, a_key binary, b_key binary", rows=64)
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, numerator: int = 90,
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, numerator: int = 80,
                    denominator: int = 100) -> DataFrame:
     """(``doc_id``, ``n_shingles``, ``component_id``) for every row of ``docs``.
 
@@ -163,53 +167,53 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     itself included. Null, empty and blank texts have an empty set and no links, repeated rows link with
     each other, and a null id counts as none: such a row gets the smallest id of its component, if any.
 
-    First every set is verified against one hub of its shingles (the smallest key, where most are shared),
+    First every set is verified against one hub of its shingles (the smallest node, where most are shared),
     which joins a group of near copies in as many steps as it has members. Then only sets that this left
     in different stars are paired: for each shingle, those outside its largest star with all others.
     """
     def need(n: int) -> int:
         return -(-numerator * n // denominator)
 
-    rows = stored(members(docs, id_col, text_col, size), "jaccard-members")
-    sketch = frequency_sketch(docs, text_col, size)
-    posted = postings(docs, text_col, size, sketch, need)
-    distinct = posted.groupBy("token", "key").agg(F.first("least").alias("least"))
-    distinct = stored(distinct, "jaccard-postings")
-    shared = distinct.groupBy("token").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    live = stored(distinct.join(shared.select("token", "hub"), "token"), "jaccard-live")
+    first = stored(members_and_sketch(docs, id_col, text_col, size), "jaccard-members")
+    rows = first.filter("sketch IS NULL").drop("sketch")
+    posted = stored(postings(docs, text_col, size, frequency_classes(first), need), "jaccard-postings")
+    shared = posted.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("token", "hub")
+    live = stored(posted.join(shared, "token").groupBy("token", "node").agg(F.min("least").alias("least"), F.min("hub").alias("hub")), "jaccard-live")
 
     # texts of the sets that share something, one of each
-    wanted = live.select("key").distinct().join(rows.groupBy("key").agg(F.min("doc_id").alias("_doc")), "key")
+    wanted = live.select("node").distinct().join(rows.filter("key IS NOT NULL").groupBy("node", "key").agg(F.min("doc_id").alias("_doc")), "node")
     found = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("text")).join(wanted, "_doc")
 
     def check_key():
         hashes = WordHashes()
 
-        def step(keys, texts):  # rows that repeat an id with another text are left out
+        def step(nodes, keys, texts):  # rows that repeat an id with another text are left out
             keep = [i for i, t in enumerate(texts) if set_key(shingle_hashes(words_of(t), size, hashes)) == bytes(keys[i])]
-            return [keys[i] for i in keep], [texts[i] for i in keep]
+            return [[c[i] for i in keep] for c in (nodes, keys, texts)]
 
         return step
 
-    texts = stored(map_rows(found.select("key", "text"), check_key, "key binary, text string").dropDuplicates(["key"]), "jaccard-texts")
+    # a set that only rows without an id have is found by no id, and links nothing
+    texts = stored(map_rows(found.select("node", "key", "text"), check_key, "node long, key binary, text string").dropDuplicates(["key"]), "jaccard-texts")
 
-    near_hub = live.filter("key <> hub").groupBy("key", "hub").agg(F.count(F.lit(1)).alias("n"))
-    best = near_hub.groupBy("key").agg(F.max(F.struct("n", "hub")).alias("best"))
-    stars = stored(verify(best.select(F.col("best.hub").alias("a"), F.col("key").alias("b")), texts, size, numerator, denominator), "jaccard-stars")
+    near_hub = live.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    best = near_hub.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
+    stars = stored(verify(best.select(F.col("best.hub").alias("a"), F.col("node").alias("b")), texts, size, numerator, denominator), "jaccard-stars")
 
-    starred = live.join(stars.select(F.col("b").alias("key"), F.col("a").alias("parent")), "key", "left").select(
-        "token", "key", "least", F.coalesce("parent", "key").alias("star"))
+    parents = stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
+    starred = live.join(parents, "node", "left").select("token", "node", "least", F.coalesce("parent", "node").alias("star"))
     per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
     apart = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
-    minor = apart.filter("star <> top").select("token", F.col("key").alias("x"), F.col("least").alias("x_least"), F.col("star").alias("x_star"))
-    others = apart.select("token", F.col("key").alias("y"), F.col("least").alias("y_least"), F.col("star").alias("y_star"), (F.col("star") == F.col("top")).alias("major"))
-    met = minor.join(others, (minor["token"] == others["token"]) & (F.col("x_star") != F.col("y_star")) & (F.col("major") | (F.col("x") < F.col("y"))))
+    minor = apart.filter("star <> top").select("token", F.col("node").alias("x"), F.col("least").alias("x_least"), F.col("star").alias("x_star"))
+    others = apart.select(F.col("token").alias("y_token"), F.col("node").alias("y"), F.col("least").alias("y_least"), F.col("star").alias("y_star"),
+                          (F.col("star") == F.col("top")).alias("major"))
+    met = minor.join(others, (F.col("token") == F.col("y_token")) & (F.col("x_star") != F.col("y_star")) & (F.col("major") | (F.col("x") < F.col("y"))))
     candidates = (met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
                   .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x_least", "y_least")).alias("least")).filter("n >= least").select("a", "b"))
     links = stars.unionAll(verify(candidates, texts, size, numerator, denominator))
 
-    component = connected_components(links).select(F.col("node").alias("key"), "root")
+    component = connected_components(links, "a_key", "b_key").select(F.col("node").alias("key"), "root")
     smallest = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("low")).join(component, "key", "left").withColumn("root", F.coalesce("root", "key"))
     by_root = smallest.groupBy("root").agg(F.min("low").alias("component_id"))
     by_key = smallest.join(by_root, "root").select("key", "component_id")

@@ -49,7 +49,7 @@ def _toxicity(table) -> DataFrame:
 
 @_query("op5_jaccard_join", jaccard_join.ORACLE_SQL)
 def _jaccard_join(table) -> DataFrame:
-    return jaccard_join.link_documents(table("documents"))
+    return jaccard_join.link_documents(table("documents"), size=3, numerator=90)
 
 
 @_query("op6_token_counts")
