@@ -4,7 +4,8 @@ The shingles of a set are put in one order for the whole corpus, rarest first as
 sketch of document frequencies can tell (any total order is right; the sketch only makes it cheap). With
 threshold t, two similar sets share at least l shingles among their first n - ceil(t n) + l ones, for any
 l. Each set picks its own l by the estimated cost of its candidates, and a pair is verified only if it
-shares the smaller l of the two. Sets that are equal are one node, so copies are never paired.
+shares as many as the sizes of both and the prefix that ends earlier call for, never fewer than its l.
+Sets that are equal are one node, so copies are never paired.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import zlib
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accordant.llm.components import connected_components
@@ -90,8 +91,9 @@ def _cells(packed: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(packed), np.uint32)
 
 
-def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tuple[np.ndarray, int]:
-    """The shingles to post for a set, and how many of them a partner must share.
+def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tuple[np.ndarray, int, int]:
+    """The shingles to post for a set, how many more than the shortest prefix, and the place of the last
+    one in the order of the corpus (its top 63 bits).
 
     For every l the postings to read are the estimated frequencies of the prefix, and the candidates are
     at most that divided by l; l with the least cost wins.
@@ -103,36 +105,74 @@ def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tup
     others = np.cumsum(np.exp2(cell[order[: n - c + longest]] / 8.0) - 1.0)
     costs = [(others[n - c + at - 1] * (1 + VERIFY / at ** 2), at) for at in range(1, longest + 1)]
     at = min(costs)[1]
-    return h[order[: n - c + at]], at
+    posted = order[: n - c + at]
+    return h[posted], at, int(cell[posted[-1]]) << 55 | int(h[posted[-1]]) >> 9
 
 
 def postings(docs: DataFrame, text_col: str, size: int, sketch: np.ndarray, need: Callable[[int], int]) -> DataFrame:
-    """(``token``, ``node``, ``least``): the prefix of every set; of equal sets in one task, the first posts."""
+    """(``token``, ``node``): the prefix of every set, and a row without a token for each set with its
+    ``size``, number of ``posted`` tokens and ``last`` place. Of equal sets in one task, the first posts."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # CELLS bytes
 
     def make():
         hashes, sketch, seen = WordHashes(), shared.value, set()
 
         def step(texts):
-            tokens, nodes, least = [np.empty(0, np.int64)], [], []
+            tokens, nodes, facts = [], [], []
             for text in texts:
                 h = shingle_hashes(words_of(text), size, hashes)
                 if not len(h) or (key := set_key(h)) in seen:
                     continue
                 if len(seen) < 200_000:
                     seen.add(key)
-                posted, at = prefix(h, sketch, need)
-                tokens.append(posted.view(np.int64))
-                nodes += [node_of(key)] * len(posted)
-                least += [at] * len(posted)
-            return np.concatenate(tokens), nodes, least
+                posted, _, last = prefix(h, sketch, need)
+                tokens += [*posted.view(np.int64).tolist(), None]
+                nodes += [node_of(key)] * (len(posted) + 1)
+                facts += [(None, None, None)] * len(posted) + [(len(h), len(posted), last)]
+            return tokens, nodes, *(map(list, zip(*facts)) if facts else ([], [], []))
 
         return step
 
-    return map_rows(docs.select(F.col(text_col).cast("string")), make, "token long, node long, least int")
+    return map_rows(docs.select(F.col(text_col).cast("string")), make, "token long, node long, size int, posted int, last long")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, size: int, numerator: int, denominator: int) -> DataFrame:
+def required_overlap(numerator: int, denominator: int) -> Column:
+    """Shingles that sets of sizes ``x_size`` and ``y_size`` must share to reach the threshold."""
+    total = numerator + denominator
+    return F.floor((F.lit(numerator).cast("long") * (F.col("x_size") + F.col("y_size")) + (total - 1)) / total)
+
+
+def of_earlier(x: Column, y: Column) -> Column:
+    """The value of the side whose prefix ends earlier in the order; the greater one if they end together.
+
+    All shingles that this side has posted and the other contains are posted by the other, too. So they
+    share what they share in prefixes, and at most what this side has not posted.
+    """
+    return (F.when(F.col("x_last") < F.col("y_last"), x).when(F.col("x_last") > F.col("y_last"), y).otherwise(F.greatest(x, y)))
+
+
+def texts_of(nodes: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(``node``, ``key``, ``text``): one text for each set of the given nodes.
+
+    A set that only rows without an id have is not found, and links nothing.
+    """
+    wanted = nodes.join(rows.filter("key IS NOT NULL").groupBy("node", "key").agg(F.min("doc_id").alias("_doc")), "node")
+    found = (docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("text")).join(wanted, "_doc")
+             .dropDuplicates(["_doc", "node", "key", "text"]))
+
+    def make():
+        hashes = WordHashes()
+
+        def step(nodes, keys, texts):  # rows that repeat an id with another text are left out
+            keep = [i for i, t in enumerate(texts) if set_key(shingle_hashes(words_of(t), size, hashes)) == bytes(keys[i])]
+            return [[c[i] for i in keep] for c in (nodes, keys, texts)]
+
+        return step
+
+    return map_rows(found.select("node", "key", "text"), make, "node long, key binary, text string")
+
+
+def verify(pairs: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, size: int, numerator: int, denominator: int) -> DataFrame:
     """Of the pairs of nodes (``a``, ``b``), those whose shingle sets, taken from the texts anew, reach the
     threshold, with the keys of the sets (``a_key``, ``b_key``)."""
     def make():
@@ -151,6 +191,9 @@ def verify(pairs: DataFrame, texts: DataFrame, size: int, numerator: int, denomi
 
         return step
 
+    pairs = stored(pairs, "jaccard-pairs")
+    texts = stored(texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, rows, id_col, text_col, size), "jaccard-texts")
+
     def side(name, text):
         return texts.select(F.col("node").alias(name), F.col("key").alias(f"{name}_key"), F.col("text").alias(text))
 
@@ -169,7 +212,8 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     First every set is verified against one hub of its shingles (the smallest node, where most are shared),
     which joins a group of near copies in as many steps as it has members. Then only sets that this left
-    in different stars are paired: for each shingle, those outside its largest star with all others.
+    in different stars are paired: for each shingle, those outside its largest star with all others, as far
+    as their sizes, what they share in prefixes and what they have beyond can reach the threshold.
     """
     def need(n: int) -> int:
         return -(-numerator * n // denominator)
@@ -177,41 +221,43 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = stored(members_and_sketch(docs, id_col, text_col, size), "jaccard-members")
     rows = first.filter("sketch IS NULL").drop("sketch")
     posted = stored(postings(docs, text_col, size, frequency_classes(first), need), "jaccard-postings")
-    shared = posted.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("token", "hub")
-    live = stored(posted.join(shared, "token").groupBy("token", "node").agg(F.min("least").alias("least"), F.min("hub").alias("hub")), "jaccard-live")
+    tokens = posted.filter("token IS NOT NULL").select("token", "node")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("token", "hub")
+    live = stored(tokens.join(shared, "token").groupBy("token", "node").agg(F.min("hub").alias("hub")), "jaccard-live")
 
-    # texts of the sets that share something, one of each
-    wanted = live.select("node").distinct().join(rows.filter("key IS NOT NULL").groupBy("node", "key").agg(F.min("doc_id").alias("_doc")), "node")
-    found = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).cast("string").alias("text")).join(wanted, "_doc")
+    # the most that a set can share: its posted shingles that others posted, and those not posted
+    facts = posted.filter("token IS NULL").groupBy("node").agg(F.min("size").alias("size"), F.min("posted").alias("posted"), F.min("last").alias("last"))
+    reach = live.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    facts = stored(facts.join(reach, "node").select("node", "size", "last", (F.col("size") - F.col("posted")).alias("rest"), "n"), "jaccard-facts")
 
-    def check_key():
-        hashes = WordHashes()
+    def side(name):
+        return facts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n")])
 
-        def step(nodes, keys, texts):  # rows that repeat an id with another text are left out
-            keep = [i for i, t in enumerate(texts) if set_key(shingle_hashes(words_of(t), size, hashes)) == bytes(keys[i])]
-            return [[c[i] for i in keep] for c in (nodes, keys, texts)]
-
-        return step
+    overlap = required_overlap(numerator, denominator)
+    fitting = (F.least("x_size", "y_size") * denominator >= F.greatest("x_size", "y_size") * numerator) & (
+        of_earlier(F.col("x_n") + F.col("x_rest"), F.col("y_n") + F.col("y_rest")) >= overlap)
+    missing = overlap - of_earlier(F.col("x_rest").cast("long"), F.col("y_rest").cast("long"))  # to be shared in the prefixes
 
-    # a set that only rows without an id have is found by no id, and links nothing
-    texts = stored(map_rows(found.select("node", "key", "text"), check_key, "node long, key binary, text string").dropDuplicates(["key"]), "jaccard-texts")
-
-    near_hub = live.filter("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
-    best = near_hub.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
-    stars = stored(verify(best.select(F.col("best.hub").alias("a"), F.col("node").alias("b")), texts, size, numerator, denominator), "jaccard-stars")
+    near_hub = live.filter("node <> hub").groupBy(F.col("node").alias("x"), F.col("hub").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    near_hub = near_hub.join(side("x"), "x").join(side("y"), "y").filter(fitting & (2 * F.col("n") >= missing))
+    best = near_hub.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best")).select(F.col("best.y").alias("a"), F.col("x").alias("b"))
+    stars = stored(verify(best, docs, rows, id_col, text_col, size, numerator, denominator), "jaccard-stars")
 
     parents = stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-    starred = live.join(parents, "node", "left").select("token", "node", "least", F.coalesce("parent", "node").alias("star"))
+    starred = live.join(parents, "node", "left").select("token", "node", F.coalesce("parent", "node").alias("star"))
     per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
-    apart = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
-    minor = apart.filter("star <> top").select("token", F.col("node").alias("x"), F.col("least").alias("x_least"), F.col("star").alias("x_star"))
-    others = apart.select(F.col("token").alias("y_token"), F.col("node").alias("y"), F.col("least").alias("y_least"), F.col("star").alias("y_star"),
-                          (F.col("star") == F.col("top")).alias("major"))
-    met = minor.join(others, (F.col("token") == F.col("y_token")) & (F.col("x_star") != F.col("y_star")) & (F.col("major") | (F.col("x") < F.col("y"))))
-    candidates = (met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-                  .agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x_least", "y_least")).alias("least")).filter("n >= least").select("a", "b"))
-    links = stars.unionAll(verify(candidates, texts, size, numerator, denominator))
+    apart = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token").join(facts, "node"), "jaccard-apart")
+
+    def end(name):
+        return apart.select(F.col("token").alias(f"{name}_token"), F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n", "star")],
+                            (F.col("star") == F.col("top")).alias(f"{name}_major"))
+
+    met = end("x").filter("NOT x_major").join(end("y"), (F.col("x_token") == F.col("y_token")) & (F.col("x_star") != F.col("y_star"))
+                                              & (F.col("y_major") | (F.col("x") < F.col("y"))) & fitting)
+    candidates = (met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), missing.alias("missing"))
+                  .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("missing").alias("missing")).filter("n >= missing").select("a", "b"))
+    links = stars.unionAll(verify(candidates, docs, rows, id_col, text_col, size, numerator, denominator))
 
     component = connected_components(links, "a_key", "b_key").select(F.col("node").alias("key"), "root")
     smallest = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("low")).join(component, "key", "left").withColumn("root", F.coalesce("root", "key"))
