@@ -19,7 +19,7 @@ def envelope_id(project_id: Column) -> Column:
 def pair_key(source_a: Column, record_a: Column, source_b: Column, record_b: Column) -> Column:
     """Pair id from its content: no numbering pass and stable across runs."""
     text = F.concat_ws("|", source_a, record_a, source_b, record_b)
-    return F.concat(F.lit("PAIR-"), F.upper(F.substring(F.md5(text), 1, 16)))
+    return F.concat(F.lit("PAIR-"), F.upper(F.md5(text)))
 
 
 def shuffle_hash(c: Column, seed: int) -> Column:

@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions.text import choose, strip
 
 
-def _no_nan(c: Column) -> Column:
-    return F.nanvl(c, F.lit(None).cast("double"))
+#: Decimal text with an optional exponent; type suffixes of programming languages are not numbers.
+NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
+
+
+def as_double(text: Column) -> Column:
+    """Double of a decimal text; anything else is null."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """``df`` in which NaN counts as missing, like null."""
+    floating = [c for c, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({c: F.nanvl(c, F.lit(None).cast("double")) for c in floating}) if floating else df
 
 
 def parse_number(c: Column) -> Column:
     """Text or number to double: thousands commas dropped, anything unreadable or NaN is null."""
-    return _no_nan(F.replace(strip(c), F.lit(","), F.lit("")).try_cast("double"))
+    return as_double(F.replace(strip(c), F.lit(","), F.lit("")))
 
 
 def to_number(c: Column) -> Column:
     """Lenient conversion without comma handling; unreadable or NaN is null."""
-    return _no_nan(strip(c).try_cast("double"))
+    return as_double(strip(c))
 
 
 def abs_difference(a: Column, b: Column) -> Column:

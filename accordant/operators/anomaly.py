@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accordant.functions.ids import hash_int, shuffle_hash
+from accordant.functions.numbers import nan_to_null
 from accordant.operators.ranking import exact_quantiles, halo_buckets, join_on, ordered_rank
 
 # Detector constants.
@@ -20,6 +21,7 @@ MAD_EPSILON = 1e-10
 
 def fences(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per-group thresholds of the IQR, percentile and z-score detectors."""
+    df = nan_to_null(df)
     q = exact_quantiles(df, keys, value, {"q01": 0.01, "q25": 0.25, "q75": 0.75, "q99": 0.99})
     moments = df.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"))
     spread = F.col("q75") - F.col("q25")
@@ -38,7 +40,7 @@ def z_score(value: Column) -> Column:
 
 def fence_flags(df: DataFrame, limits: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows with one flag per detector; ``limits`` may come from other (earlier) data."""
-    v = F.col(value)
+    v = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
     return join_on(df, limits, keys, "left").select(
         *df.columns, _outside(v, "iqr_low", "iqr_high").alias("iqr"),
         F.coalesce(z_score(v) > Z_LIMIT, F.lit(False)).alias("zscore"),

@@ -64,18 +64,13 @@ def annotate(events: DataFrame, segment: int = 512) -> DataFrame:
     entry = F.struct("n", "at", "seq", "to", "actor", "note", "implicit")
     runs = (ranked.withColumn("run", F.floor((F.col("n") - 1) / segment))
             .groupBy("case_id", "run").agg(F.array_sort(F.collect_list(entry)).alias("events")))
-    if longest > segment:
-        long_cases = runs.where(F.col("run") >= 1).select("case_id").distinct()
-        ends = F.aggregate("events", F.array(*[F.lit(s) for s in STATES]),
-                           lambda now, e: F.transform(now, lambda s: _step(s, e)))
-        functions = runs.join(long_cases, "case_id", "left_semi").select("case_id", "run", ends.alias("ends"))
-        opened = _start_states(functions, segment, -(-longest // segment))
-        runs = runs.join(opened, ["case_id", "run"], "left")
-    else:
-        runs = runs.withColumn("start", F.lit(None).cast("string"))
+    ends = F.aggregate("events", F.array(*[F.lit(s) for s in STATES]),
+                       lambda now, e: F.transform(now, lambda s: _step(s, e)))
+    functions = runs.select("case_id", "run", ends.alias("ends"))
+    runs = runs.join(_start_states(functions, segment, -(-longest // segment)), ["case_id", "run"])
 
     trail = F.aggregate(
-        "events", F.struct(F.coalesce("start", F.lit(policy.INITIAL_STATUS)).alias("state"),
+        "events", F.struct(F.col("start").alias("state"),
                            F.array().cast("array<string>").alias("before")),
         lambda acc, e: F.struct(_step(acc["state"], e).alias("state"),
                                 F.concat(acc["before"], F.array(acc["state"])).alias("before")),

@@ -77,10 +77,10 @@ def explain_pairs(features: DataFrame) -> DataFrame:
             .withColumn("explanation", explanation()))
 
 
-def simulate_decisions(explained: DataFrame, at: str, limit: int = 100, reviewer: str = "reviewer_001",
+def simulate_decisions(explained: DataFrame, at: str, limit: int | None = None, reviewer: str = "reviewer_001",
                        model_version: str = "v1.0") -> DataFrame:
-    """Rule-made decisions on the first pairs of the queue."""
-    first = explained.orderBy("pair_id").limit(limit)
+    """Rule-made decisions on all pairs, or on the first ``limit`` of the queue."""
+    first = explained if limit is None else explained.orderBy("pair_id").limit(limit)
     return first.select(
         "pair_id", F.lit(reviewer).alias("reviewer_id"),
         choose(F.col("classification"), SIMULATED_DECISIONS, DEFAULT_SIMULATED_DECISION).alias("decision"),

@@ -89,14 +89,13 @@ def tfidf_cosine(pairs: DataFrame, vocabulary: DataFrame, id_column: str, left:
     """TF-IDF cosine of two texts per pair, 0.0 when either has no known term.
 
     Texts are partitioned by pair before they are cut into terms; both aggregations reuse that
-    partitioning, so terms are not shuffled. The vocabulary
-    has at most ``max_features`` rows, so it is the small side of the lookup at any data size.
+    partitioning. Spark broadcasts a small vocabulary and shuffles by term for one of any size.
     """
     sides = pairs.repartition(id_column).select(id_column, F.explode(F.array(
         F.struct(F.lit("l").alias("side"), F.col(left).alias("t")),
         F.struct(F.lit("r").alias("side"), F.col(right).alias("t")))).alias("s")).select(id_column, "s.*")
     terms = sides.select(id_column, "side", F.explode(unigrams_and_bigrams(words("t"))).alias("term"))
-    known = terms.join(F.broadcast(vocabulary.select("term", "idf")), "term")
+    known = terms.join(vocabulary.select("term", "idf"), "term")
     per_term = (known.groupBy(id_column, "term")
                 .agg((F.count_if(F.col("side") == "l") * F.first("idf")).alias("l"),
                      (F.count_if(F.col("side") == "r") * F.first("idf")).alias("r")))

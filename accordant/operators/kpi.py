@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy
@@ -18,9 +18,9 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def shares(df: DataFrame, column: str, digits: int = 6) -> DataFrame:
-    """Rows per value with their share of all counted rows (the window runs over the counts)."""
+    """Rows per value with their share of all counted rows."""
     counts = value_counts(df, column)
-    total = F.sum("rows").over(Window.partitionBy())
+    total = counts.agg(F.sum("rows")).scalar()
     return counts.withColumn("share", F.round(F.col("rows") / total, digits))
 
 

@@ -27,7 +27,8 @@ def fit_logistic(train: DataFrame, features: list[str] = policy.FEATURES, c: flo
     return _fit(train, features, classifier)
 
 
-def fit_forest(train: DataFrame, features: list[str] = policy.FEATURES, trees: int = 100, depth: int = 12) -> PipelineModel:
+def fit_forest(train: DataFrame, features: list[str] = policy.FEATURES, trees: int = 100, depth: int = 30) -> PipelineModel:
+    """Random forest; trees grow as deep as Spark allows (30 levels)."""
     classifier = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=trees, maxDepth=depth, seed=42)
     return _fit(train, features, classifier)
 
@@ -94,8 +95,9 @@ def load_or_fit(spark: SparkSession, path: str, train: DataFrame, fallback: bool
     """Stored model, or with ``fallback`` a model fitted now; the flag tells which."""
     try:
         return load_model(spark, path)[0], False
-    except Exception:
-        if not fallback:
+    except Exception as error:
+        missing = any(x in str(error) for x in ("PATH_NOT_FOUND", "does not exist"))
+        if not (fallback and missing):  # a stored model that doesn't fit is an error
             raise
         return fit_logistic(train), True
 

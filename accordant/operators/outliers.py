@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from accordant.operators.ranking import exact_quantiles, halo_buckets, join_on, ordered_rank, quantiles_of_counts
+from accordant.session import durable
 
 TREES = 100
 SAMPLE = 256
@@ -27,24 +28,22 @@ def _expected_path(n: np.ndarray | float) -> np.ndarray:
 def tree_samples(df: DataFrame, columns: list[str], id_column: str, total: int, trees: int, sample: int, seed: int) -> DataFrame:
     """(tree, features) with ``sample`` rows per tree, drawn without replacement by hash.
 
-    A row competes in as many trees as needed to give each about twice its sample, in just one
-    when the table is large; a hash cut keeps the rest out before anything is shuffled.
+    Every tree draws on its own: a row competes in the trees for which its hash lies below one cut,
+    set for about twice the sample, and the smallest hashes win. Only competing rows are shuffled.
     """
-    slots = max(1, min(trees, -(-2 * sample * trees // max(total, 1))))
-    keep = min(1.0, 2.0 * sample * trees / (max(total, 1) * slots))
-    start = F.pmod(F.xxhash64(F.col(id_column), F.lit(seed)), F.lit(trees))
-    rows = df.select(id_column, *columns, F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(slots - 1)), lambda j: F.pmod(start + j, F.lit(trees)))).alias("tree"))
-    draw = F.xxhash64(F.col(id_column), F.col("tree"), F.lit(seed + 1))
-    if keep < 1.0:
-        rows = rows.where(F.pmod(draw, F.lit(1 << 30)) < int(keep * (1 << 30)))
-    order = Window.partitionBy("tree").orderBy(draw, id_column)
-    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).drop("_n", id_column)
+    cut = int(min(1.0, 2.0 * sample / max(total, 1)) * (1 << 30))
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        t.cast("int").alias("tree"), F.xxhash64(F.col(id_column), t, F.lit(seed)).alias("_draw")))
+    rows = df.select(id_column, *columns, F.inline(F.filter(drawn, lambda d: F.pmod(d["_draw"], F.lit(1 << 30)) < cut)))
+    order = Window.partitionBy("tree").orderBy("_draw", id_column)
+    return rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).drop("_n", "_draw", id_column)
 
 
 def _grow(sample: pd.DataFrame, columns: list[str], size: int, seed: int) -> pd.DataFrame:
     """One isolation tree as a node table."""
     tree = int(sample["tree"].iloc[0])
+    if len(sample) < size:
+        raise RuntimeError(f"tree {tree} drew {len(sample)} of {size} rows; draw again with another seed")
     x = np.sort(sample[columns].to_numpy(dtype=float), axis=0) if len(columns) == 1 else sample[columns].to_numpy(dtype=float)
     rng = np.random.default_rng(seed * 100003 + tree)
     limit = int(np.ceil(np.log2(max(size, 2))))
@@ -144,7 +143,8 @@ def flag_top_share(scored: DataFrame, keys: list[str], score: str, contamination
 def isolation_forest(df: DataFrame, columns: list[str], id_column: str, contamination: float = 0.05, seed: int = 42) -> DataFrame:
     """Rows with ``anomaly_score`` and the flag ``isolation_forest``."""
     forest = fit_isolation_forest(df, columns, id_column, seed=seed)
-    return flag_top_share(isolation_scores(df, forest), [], "anomaly_score", contamination, "isolation_forest")
+    scored = durable(isolation_scores(df, forest))  # scored once, for the limit and for the rows
+    return flag_top_share(scored, [], "anomaly_score", contamination, "isolation_forest")
 
 
 def lof_of_sorted(x: np.ndarray, k: int) -> np.ndarray:
@@ -185,5 +185,5 @@ def local_outlier_factor(df: DataFrame, keys: list[str], column: str, id_column:
         run["lof"] = lof_of_sorted(run["_x"].to_numpy(dtype=float), neighbours)
         return run.loc[run["_owned"], names]
 
-    scored = runs.groupBy(*keys, "_bucket").applyInPandas(factor, schema)
+    scored = durable(runs.groupBy(*keys, "_bucket").applyInPandas(factor, schema))
     return flag_top_share(scored, keys, "lof", contamination, "local_outlier_factor")

@@ -21,6 +21,7 @@ from accordant.operators.ranking import hash_neighbours, ordered_rank
 COLUMNS = ["pair_id", "source_a", "source_b", "record_a_id", "record_b_id", "master_id_a", "master_id_b", "label"]
 # Number ranges of the three pair kinds.
 NUMBER_OFFSET = {"positive": 0, "negative": 100000, "hard": 200000}
+RANGE = 100000
 HARD_SOURCES = ["crm", "erp", "partner"]
 
 
@@ -109,9 +110,14 @@ def hard_negative_pairs(master: DataFrame, records: DataFrame, seed: int = 42) -
 
 
 def numbered(pairs: DataFrame, kind: str, order: list[str]) -> DataFrame:
-    """Dense ``PAIR-000001`` style numbers in ``order`` with the offset of the pair kind."""
+    """Dense ``PAIR-000001`` style numbers in ``order`` within the range of the pair kind.
+
+    Ranges hold 100,000 numbers each; the numbers after the last range are dealt to the kinds in
+    turn, so kinds never share a number, however many pairs they have.
+    """
     ranked = ordered_rank(pairs.drop("pair_id"), [], order, name="_n")
-    number = zero_pad(F.col("_n") + NUMBER_OFFSET[kind], 6)
+    beyond = RANGE * len(NUMBER_OFFSET) + (F.col("_n") - RANGE - 1) * len(NUMBER_OFFSET) + NUMBER_OFFSET[kind] // RANGE + 1
+    number = zero_pad(F.when(F.col("_n") <= RANGE, F.col("_n") + NUMBER_OFFSET[kind]).otherwise(beyond), 6)
     return ranked.withColumn("pair_id", F.concat(F.lit("PAIR-"), number)).drop("_n").select(*COLUMNS)
 
 
@@ -131,19 +137,24 @@ def block_filter(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
             .withColumn("block_key", F.col("block_a")).select(*COLUMNS, "block_key"))
 
 
+def _pairs_among(n: Column) -> Column:
+    """n (n - 1) / 2 in whole numbers."""
+    return ((n.cast("decimal(19,0)") * (n - 1).cast("decimal(19,0)")) / 2).cast("long")
+
+
 def block_sizes(keyed: DataFrame) -> DataFrame:
     """Records and implied candidate pairs per block (arithmetic, nothing is expanded)."""
     sizes = keyed.where(F.col("block_key").isNotNull()).groupBy("block_key").agg(F.count("*").alias("records"))
-    return sizes.withColumn("candidates", (F.col("records") * (F.col("records") - 1) / 2).cast("long"))
+    return sizes.withColumn("candidates", _pairs_among(F.col("records")))
 
 
 def blocking_statistics(keyed: DataFrame) -> DataFrame:
     """Candidates before and after blocking and the reduction ratio."""
     total = F.sum("records")
-    before = (total.cast("double") * (total - 1) / 2)
+    before = _pairs_among(total)
     return block_sizes(keyed).agg(
         F.count("*").alias("blocks"), total.alias("records"), F.max("records").alias("largest_block"),
-        before.cast("long").alias("candidates_before"), F.sum("candidates").alias("candidates_after"),
+        before.alias("candidates_before"), F.sum("candidates").alias("candidates_after"),
         F.round(1 - F.sum("candidates") / before, 6).alias("reduction_ratio"))
 
 

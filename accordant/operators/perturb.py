@@ -18,8 +18,10 @@ STATUS_VARIANTS = {
 _SPAN = 65536  # four hex digits per column
 
 
-def _digits(digest: str, i: int) -> Column:
-    return F.conv(F.substring(digest, 4 * i + 1, 4), 16, 10).cast("int")
+def _digits(id_column: str, seed: int, i: int) -> Column:
+    """Draw of the i-th column: four hex digits of a digest, which serves eight columns."""
+    digest = shuffle_hash(F.col(id_column), seed + 2 * (i // 8))
+    return F.conv(F.substring(digest, 4 * (i % 8) + 1, 4), 16, 10).cast("int")
 
 
 def _variant(value: Column, draw: Column) -> Column:
@@ -33,18 +35,15 @@ def _variant(value: Column, draw: Column) -> Column:
 def corruption_plan(df: DataFrame, id_column: str, columns: list[str], rate: float = 0.05, seed: int = 42) -> DataFrame:
     """Rows with, per column, the drawn kind (null for most cells) and the new value.
 
-    ``rate`` is the expected number of corrupted cells per row, spread over at most eight columns.
-    Two digests of the row id supply all draws, so the result does not depend on partitioning.
+    ``rate`` is the expected number of corrupted cells per row, spread over all ``columns``.
+    Digests of the row id supply all draws, so the result does not depend on partitioning.
     """
-    if len(columns) > 8:
-        raise ValueError("at most eight columns per plan")
-    drawn = (df.withColumn("_where", shuffle_hash(F.col(id_column), seed))
-             .withColumn("_how", shuffle_hash(F.col(id_column), seed + 1)))
+    drawn = df
     cut = int(rate / len(columns) * _SPAN)
     for i, c in enumerate(columns):
-        draw = _digits("_how", i)
+        draw = _digits(id_column, seed + 1, i)
         kind = F.get(F.array(*[F.lit(k) for k in KINDS]), draw % 4)
-        drawn = drawn.withColumn(f"_kind_{c}", F.when(_digits("_where", i) < cut, kind))
+        drawn = drawn.withColumn(f"_kind_{c}", F.when(_digits(id_column, seed, i) < cut, kind))
         numeric = dict(df.dtypes)[c] in ("double", "float", "int", "bigint")
         rest = F.floor(draw / 4)
         if numeric:
@@ -59,7 +58,7 @@ def corruption_plan(df: DataFrame, id_column: str, columns: list[str], rate: flo
                    .when(F.col(f"_kind_{c}") == "missing", F.lit(None))
                    .when(F.col(f"_kind_{c}") == "status_variant", _variant(old, rest.cast("int"))).otherwise(old))
         drawn = drawn.withColumn(f"_new_{c}", new)
-    return drawn.drop("_where", "_how")
+    return drawn
 
 
 def corrupted(plan: DataFrame, columns: list[str]) -> DataFrame:

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accordant.functions.numbers import nan_to_null
 from accordant.operators.ranking import exact_quantiles, join_on
 
 
 def mean_by(df: DataFrame, key, columns: list[str], name: str) -> DataFrame:
     """Means of ``columns`` per derived key (hour of day, calendar date ...)."""
-    return df.groupBy(key.alias(name)).agg(*[F.avg(c).alias(f"avg_{c}") for c in columns])
+    return nan_to_null(df).groupBy(key.alias(name)).agg(*[F.avg(c).alias(f"avg_{c}") for c in columns])
 
 
 def describe(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """count, mean, std, min, exact quartiles and max per group."""
+    df = nan_to_null(df)
     basic = df.groupBy(*keys).agg(
         F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"), F.max(value).alias("max"))
@@ -28,7 +30,7 @@ def describe(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 def missing_cells(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing cells per column in one pass, as (column, missing, rows)."""
     columns = columns or df.columns
-    counted = df.agg(F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    counted = nan_to_null(df).agg(F.count("*").alias("rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in columns])
     return counted.select("rows", F.explode(entries).alias("e")).select("e.column", "e.missing", "rows")
 
@@ -90,7 +92,7 @@ def fill_with_mode(df: DataFrame, key: str, target: str) -> DataFrame:
 
 def series_summary(df: DataFrame, time: str, source: str, columns: list[str]) -> DataFrame:
     """Rows, time range, number of sources and means."""
-    per_source = df.groupBy(source).agg(
+    per_source = nan_to_null(df).groupBy(source).agg(
         F.count("*").alias("_n"), F.min(time).alias("_first"), F.max(time).alias("_last"),
         *[F.sum(c).alias(f"_s_{c}") for c in columns], *[F.count(c).alias(f"_c_{c}") for c in columns])
     return per_source.agg(

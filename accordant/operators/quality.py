@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accordant.functions.numbers import as_double, nan_to_null
 from accordant.operators.profile import dependency_groups
 
 RESULT_COLUMNS = ["source_system", "source_record_id", "rule_name", "rule_type", "passed", "details"]
@@ -47,13 +48,16 @@ def max_length(column: str, length: int) -> RowRule:
 
 def has_type(column: str, type_name: str) -> RowRule:
     """Text that is present must be readable as the declared type."""
-    readable = F.col(column).isNull() | F.col(column).try_cast(type_name).isNotNull()
+    text = F.col(column).cast("string")
+    value = as_double(text) if type_name in ("double", "float") else F.col(column).try_cast(type_name)
+    readable = F.col(column).isNull() | value.isNotNull()
     return RowRule(f"{column}_type", "type", readable, F.col(column).cast("string"))
 
 
 def check_rows(df: DataFrame, source_system: str, record_id: str, rules: list[RowRule], failures_only: bool = True) -> DataFrame:
     """One result per row and rule. A condition that is unknown (null) passes, as in SQL, except
     that null never passes ``not_null``."""
+    df = nan_to_null(df)
     entries = [F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.kind).alias("rule_type"),
                         F.coalesce(r.passed, F.lit(True)).alias("passed"), r.shown.alias("details")) for r in rules]
     results = F.array(*entries)

@@ -48,7 +48,7 @@ def enrich_queue(queue: DataFrame, cases: DataFrame, as_of: Column, sla_hours: i
             .drop("_status", "_age", "_breach"))
 
 
-def queue_view(queue: DataFrame, view: str = "All pairs", sort: str = "Highest priority", limit: int | None = 75,
+def queue_view(queue: DataFrame, view: str = "All pairs", sort: str = "Highest priority", limit: int | None = None,
                routes: list[str] | None = None, classes: list[str] | None = None) -> DataFrame:
     """A saved view, sorted and cut; equal sort values are ordered by pair id."""
     spec = policy.QUEUE_VIEWS[view]

@@ -3,7 +3,7 @@
 A window over a whole series, label or source puts that group into one task. The functions here
 give the same numbers while every task sees a bounded share of the rows:
 
-* ``hash_rank``    order given by a hash: digest prefixes split each group evenly;
+* ``hash_rank``    order given by a hash: range partitions over the digest split each group evenly;
 * ``ordered_rank`` order given by values: range partitions, per-partition sums, offsets;
 * ``halo_buckets`` fixed-size runs of ranked rows plus the neighbours a rolling frame needs.
 """
@@ -30,46 +30,37 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hash_rank(df: DataFrame, keys: list[str], id_column: str, seed: int,
-              name: str = "hash_rank", prefix: int = 3) -> DataFrame:
-    """1-based rank of each row within ``keys`` in shuffled (hash) order.
-
-    ``prefix`` hex digits split every group into 16**prefix even buckets; only the bucket counts
-    go through a per-group window.
-    """
+def hash_rank(df: DataFrame, keys: list[str], id_column: str, seed: int, name: str = "hash_rank") -> DataFrame:
+    """1-based rank of each row within ``keys`` in shuffled (hash) order."""
     hashed = df.withColumn("_hash", shuffle_hash(F.col(id_column), seed))
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, prefix))
-    counts = hashed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n"))
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(
-            Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(*_BEFORE)), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", id_column)
-    ranked = hashed.withColumn("_inside", F.row_number().over(inside))
-    return (join_on(ranked, offsets, [*keys, "_bucket"])
-            .withColumn(name, F.col("_offset") + F.col("_inside"))
-            .drop("_hash", "_bucket", "_offset", "_inside"))
-
-
-def hash_neighbours(df: DataFrame, keys: list[str], id_column: str, seed: int, prefix: int = 3) -> DataFrame:
+    return ordered_rank(hashed, keys, ["_hash", id_column], name=name).drop("_hash")
+
+
+def hash_neighbours(df: DataFrame, keys: list[str], id_column: str, seed: int) -> DataFrame:
     """Pair each row with the next one of its group in shuffled (hash) order.
 
     Adds ``next``, a struct of the successor's columns; the last row of a group has none and is
-    left out. The successor is found inside a hash bucket; only the last row of a bucket looks at
-    the first row of the following bucket.
+    left out. Rows are range-partitioned by digest, so the number of parts grows with the table; the
+    successor is found inside a part, and only the last row of a part looks at the first row of the
+    following part.
     """
     columns = [c for c in df.columns if c not in keys]
-    hashed = df.withColumn("_hash", shuffle_hash(F.col(id_column), seed))
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, prefix))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_hash", id_column)
+    ranged = _ranged(df.withColumn("_hash", shuffle_hash(F.col(id_column), seed)), [*keys, "_hash", id_column])
+    inside = Window.partitionBy(*keys, "_part").orderBy("_hash", id_column)
     row = F.struct(*columns)
-    linked = hashed.withColumn("_next", F.lead(row).over(inside))
-    firsts = hashed.groupBy(*keys, "_bucket").agg(F.min_by(row, F.struct("_hash", id_column)).alias("_first"))
-    following = firsts.withColumn("_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bucket")))
-    joined = join_on(linked, following, [*keys, "_bucket"], "left")
+    linked = ranged.withColumn("_next", F.lead(row).over(inside))
+    firsts = ranged.groupBy(*keys, "_part").agg(F.min_by(row, F.struct("_hash", id_column)).alias("_first"))
+    following = firsts.withColumn("_first", F.lead("_first").over(Window.partitionBy(*keys).orderBy("_part")))
+    joined = join_on(linked, following, [*keys, "_part"], "left")
     paired = joined.withColumn("next", F.coalesce("_next", "_first")).where(F.col("next").isNotNull())
     return paired.select(*df.columns, "next")
 
 
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    """``df`` in range partitions, numbered by ``_part``; stored, as the sampled bounds must not change."""
+    return durable(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+
+
 def ordered_rank(df: DataFrame, keys: list[str], order: list[str], weight: str | None = None,
                  name: str = "row_rank") -> DataFrame:
     """Running sum of ``weight`` (running row count without one) within ``keys`` along ``order``.
@@ -79,7 +70,7 @@ def ordered_rank(df: DataFrame, keys: list[str], order: list[str], weight: str |
     boundaries must be the same for the rows and for the per-partition sums.
     """
     amount = F.col(weight) if weight else F.lit(1)
-    ranged = durable(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    ranged = _ranged(df, [*keys, *order])
     inside = Window.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(*_UPTO)
     rows = ranged.withColumn("_run", F.sum(amount).over(inside))
     sums = ranged.groupBy(*keys, "_part").agg(F.sum(amount).alias("_sum"))

@@ -40,6 +40,33 @@ def fence_flags(d):
     return _flags(d).select("point_id", *DETECTORS)
 
 
+HOLED = "(SELECT point_id, series, ts, CASE WHEN point_id % 50 <> 0 THEN value END AS value FROM telemetry)"
+
+
+def _holed(d):
+    """Every fiftieth value is NaN, which counts as missing."""
+    return d.telemetry.withColumn("value", F.when(F.col("point_id") % 50 != 0, F.col("value")).otherwise(F.lit(float("nan"))))
+
+
+@query("n1_n2_n3_flags_with_nan", f"""
+    SELECT point_id, COALESCE(value < q[2] - 1.5e0 * (q[3] - q[2]) OR value > q[3] + 1.5e0 * (q[3] - q[2]), FALSE) AS iqr, COALESCE(ABS((value - mean) / std) > 3, FALSE) AS zscore,
+      COALESCE(value < q[1] OR value > q[4], FALSE) AS percentile
+    FROM {HOLED} t JOIN (SELECT series, QUANTILE_CONT(value, [0.01, 0.25, 0.75, 0.99]) AS q, AVG(value) AS mean, STDDEV_SAMP(value) AS std FROM {HOLED} GROUP BY series) f ON f.series = t.series""")
+def fence_flags_with_nan(d):
+    df = _holed(d)
+    return anomaly.fence_flags(df, anomaly.fences(df, ["series"], "value"), ["series"], "value").select("point_id", *DETECTORS)
+
+
+@query("a8_a10_describe_with_nan", f"""
+    SELECT s.series, COUNT(value) AS count, ROUND(AVG(value), 6) AS mean, ROUND(STDDEV_SAMP(value), 6) AS std, MIN(value) AS min, MAX(value) AS max, (SELECT COUNT(*) - COUNT(value) FROM {HOLED}) AS missing
+    FROM {HOLED} s GROUP BY s.series""")
+def describe_with_nan(d):
+    df = _holed(d)
+    missing = profile.missing_cells(df, ["value"]).select("missing").scalar()
+    out = profile.describe(df, ["series"], "value").select("series", "count", "mean", "std", "min", "max")
+    return out.withColumns({**{c: F.round(c, 6) for c in ("mean", "std")}, "missing": missing})
+
+
 @query("a28_outlier_shares", "SELECT series, COUNT(*) FILTER (WHERE iqr) AS outliers, ROUND(100 * COUNT(*) FILTER (WHERE iqr) / COUNT(*)::DOUBLE, 4) AS percent FROM flags GROUP BY series")
 def outlier_shares(d):
     return _flags(d).groupBy("series").agg(F.count_if("iqr").alias("outliers"), F.round(100 * F.count_if("iqr") / F.count("*"), 4).alias("percent"))

@@ -198,6 +198,15 @@ def number_functions(d):
                          numbers.parse_number(F.col("installer")).isNull().alias("unreadable"))
 
 
+@query("f5_f6_suffixed_numbers", """
+    SELECT project_id, CASE WHEN ord % 4 = 0 THEN CAST(system_size_kw AS DOUBLE) WHEN ord % 4 = 1 THEN CAST(system_size_kw AS DOUBLE) * 100 END AS number FROM master""")
+def suffixed_numbers(d):
+    """Plain and exponent texts are numbers, texts with a type suffix are not."""
+    size = F.col(CAPACITY).cast("string")
+    text = F.concat(size, F.element_at(F.array(*map(F.lit, ("", "e2", "d", "F"))), (F.col("ord") % 4 + 1).cast("int")))
+    return d.master.select("project_id", numbers.to_number(text).alias("number"))
+
+
 @query("f7_f8_f17_timestamps", """
     SELECT event_id, STRFTIME(DATE_TRUNC('minute', ts), '%Y-%m-%dT%H:%M:%S') AS by_minute, STRFTIME(ts, '%Y-%m-%dT%H:%M:%S') AS iso,
       CAST(HOUR(ts) AS INTEGER) AS hour, STRFTIME(ts, '%Y-%m-%d') AS day, TRUE AS garbage_is_null FROM events""")
@@ -428,11 +437,11 @@ def repair_effect(d):
 
 # Perturbation ------------------------------------------------------------------------------------------
 
-CELLS = ["customer_name", "installer", "address", "city", "status", CAPACITY]
+CELLS = ["customer_name", "installer", "address", "city", "status", CAPACITY, "state", "postcode", "install_day"]
 
 
 def _cell(i: int, digest: str) -> str:
-    return f"CAST('0x' || SUBSTR({digest}, {4 * i + 1}, 4) AS INTEGER)"
+    return f"CAST('0x' || SUBSTR({digest}{i // 8}, {4 * (i % 8) + 1}, 4) AS INTEGER)"
 
 
 def _kind(i: int) -> str:
@@ -450,7 +459,8 @@ def _new(i: int, c: str) -> str:
             f"WHEN 'status_variant' THEN {variant} ELSE {c} END")
 
 
-DIGESTS = "(SELECT *, MD5('42|' || project_id) AS w, MD5('43|' || project_id) AS h FROM master)"
+DIGESTS = ("(SELECT *, CAST(install_date AS VARCHAR) AS install_day, MD5('42|' || project_id) AS w0, MD5('43|' || project_id) AS h0, MD5('44|' || project_id) AS w1, "
+           "MD5('45|' || project_id) AS h1 FROM master)")
 LOG_SQL = " UNION ALL ".join(
     f"SELECT 'crm' AS source, project_id AS record_id, '{c}' AS field, {f'CAST(ROUND({c}, 6) AS VARCHAR)' if c == CAPACITY else c} AS old_value, "
     f"{f'CAST(ROUND({_new(i, c)}, 6) AS VARCHAR)' if c == CAPACITY else _new(i, c)} AS new_value, {_kind(i)} AS corruption_type FROM {DIGESTS} WHERE {_kind(i)} IS NOT NULL"
@@ -458,10 +468,11 @@ LOG_SQL = " UNION ALL ".join(
 
 
 def _plan(d):
-    return perturb.corruption_plan(d.master.select("project_id", *CELLS), "project_id", CELLS)
+    master = d.master.withColumn("install_day", F.col("install_date").cast("string"))
+    return perturb.corruption_plan(master.select("project_id", *CELLS), "project_id", CELLS)
 
 
-@query("x1_corrupted_cells", f"SELECT project_id, {', '.join(f'{_new(i, c)} AS {c}' for i, c in enumerate(CELLS[:-1]))}, ROUND({_new(5, CAPACITY)}, 6) AS {CAPACITY} FROM {DIGESTS}")
+@query("x1_corrupted_cells", f"SELECT project_id, {', '.join(f'ROUND({_new(i, c)}, 6) AS {c}' if c == CAPACITY else f'{_new(i, c)} AS {c}' for i, c in enumerate(CELLS))} FROM {DIGESTS}")
 def corrupted_cells(d):
     return perturb.corrupted(_plan(d), CELLS).withColumn(CAPACITY, F.round(CAPACITY, 6))
 

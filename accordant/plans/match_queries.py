@@ -95,11 +95,17 @@ def label_consistency(d):
     return d.pairs.join(wrong, "pair_id", "left").groupBy("source_a", "source_b").agg(F.count("hit").alias("violations"))
 
 
-@query("w3_f11_numbered_pairs", """
-    SELECT 'PAIR-' || LPAD(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR), CAST(GREATEST(6, LENGTH(CAST(ROW_NUMBER() OVER (ORDER BY record_a_id, source_a, source_b) AS VARCHAR))) AS INTEGER), '0') AS pair_id,
-      source_a, source_b, record_a_id, record_b_id, master_id_a, master_id_b, label FROM positives""")
+@query("w3_f11_numbered_pairs", f"""
+    SELECT 'PAIR-' || LPAD(CAST(number AS VARCHAR), CAST(GREATEST(6, LENGTH(CAST(number AS VARCHAR))) AS INTEGER), '0') AS pair_id,
+      source_a, source_b, record_a_id, record_b_id, master_id_a, master_id_b, label
+    FROM (SELECT *, CASE WHEN n <= 100000 THEN n + 100000 * kind ELSE 300000 + (n - 100001) * 3 + kind + 1 END AS number
+      FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY kind ORDER BY record_a_id, source_a, source_b, record_b_id) AS n
+        FROM (SELECT *, 0 AS kind FROM positives UNION ALL BY NAME SELECT *, 1 AS kind FROM negatives UNION ALL BY NAME SELECT *, 2 AS kind FROM ({_hard_sql()}))))""")
 def numbered_pairs(d):
-    return pairs.numbered(d.positives, "positive", ["record_a_id", "source_a", "source_b"])
+    order = ["record_a_id", "source_a", "source_b", "record_b_id"]
+    hard = pairs.hard_negative_pairs(d.staged, d.staged_records)
+    return (pairs.numbered(d.positives, "positive", order).unionByName(pairs.numbered(d.negatives, "negative", order))
+            .unionByName(pairs.numbered(hard, "hard", order)))
 
 
 @query("u1_record_map", "SELECT source_system AS source_name, COUNT(record_id) AS ids, COUNT(*) AS records, MIN(record_id) AS first_id, MAX(record_id) AS last_id FROM records GROUP BY 1")
@@ -189,12 +195,12 @@ def explanations(d):
 
 
 DECISION = "CASE classification WHEN 'ENTITY_MISMATCH' THEN 'REJECT / NON-MATCH' WHEN 'NUMERIC_CONFLICT' THEN 'REQUEST CLARIFICATION' ELSE 'APPROVE / MATCH' END"
-SIMULATED = f"(SELECT pair_id, {DECISION} AS decision, 'AI classification: ' || classification AS reason, label FROM explained ORDER BY pair_id LIMIT 100)"
+SIMULATED = f"(SELECT pair_id, {DECISION} AS decision, 'AI classification: ' || classification AS reason, label FROM explained)"
 
 
-@query("r5_t4_simulated_decisions", f"SELECT pair_id, decision, reason FROM {SIMULATED}")
+@query("r5_t4_simulated_decisions", f"SELECT pair_id, decision, reason FROM {SIMULATED} ORDER BY pair_id LIMIT 100")
 def simulated_decisions(d):
-    return explain.simulate_decisions(d.explained, AS_OF).select("pair_id", "decision", "reason")
+    return explain.simulate_decisions(d.explained, AS_OF, limit=100).select("pair_id", "decision", "reason")
 
 
 @query("a24_simulated_agreement", f"""SELECT COUNT(*) AS decisions, COUNT(*) FILTER (WHERE a) AS agreed, ROUND(COUNT(*) FILTER (WHERE a) / COUNT(*)::DOUBLE, 6) AS agreement_rate
@@ -243,7 +249,7 @@ def saved_views(d):
 
 @query("t2_t3_queue_by_priority", "SELECT pair_id, priority FROM enriched WHERE route = 'MANUAL_REVIEW' ORDER BY priority DESC, pair_id LIMIT 75")
 def queue_by_priority(d):
-    return queue.queue_view(d.enriched, "Needs review").select("pair_id", "priority")
+    return queue.queue_view(d.enriched, "Needs review", limit=75).select("pair_id", "priority")
 
 
 @query("t2_queue_by_uncertainty", "SELECT pair_id, uncertainty FROM queue ORDER BY uncertainty DESC, pair_id LIMIT 300")
@@ -450,7 +456,7 @@ def text_pair_features(d):
 # Models --------------------------------------------------------------------------------------------------------
 
 def _split(d):
-    split = durable(metrics.stratified_split(d.features, "label", "pair_id"))
+    split = durable(metrics.stratified_split(durable(d.features), "label", "pair_id"))
     return split.where("split = 'train'"), split.where("split = 'test'")
 
 
@@ -463,7 +469,7 @@ def logistic_regression(d):
 @query("m9_random_forest")
 def random_forest(d):
     train, test = _split(d)
-    return models.evaluate(models.score(test, models.fit_forest(train, depth=8)))
+    return models.evaluate(models.score(test, models.fit_forest(train)))
 
 
 @query("m10_m11_stored_model")

@@ -26,7 +26,7 @@ def norm_ev(x: str) -> str:
 
 
 def pair_key(sa: str, ra: str, sb: str, rb: str) -> str:
-    return f"'PAIR-' || UPPER(SUBSTR(MD5({sa} || '|' || {ra} || '|' || {sb} || '|' || {rb}), 1, 16))"
+    return f"'PAIR-' || UPPER(MD5({sa} || '|' || {ra} || '|' || {sb} || '|' || {rb}))"
 
 
 def hash_int(x: str, seed: int, modulus: int) -> str:

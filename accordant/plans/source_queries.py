@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from accordant import policy, schemas
-from accordant.operators import cases, perturb
+from accordant.operators import cases
+from accordant.plans import evidence_queries
 from accordant.plans.domain import AS_OF
 from accordant.plans.registry import query
 from accordant.session import scratch_path
@@ -35,6 +36,28 @@ def csv_scan(d):
     return df.drop("_corrupt_record").withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("s1_reordered_csv", """SELECT project_id, customer_name, installer, system_size_kw, NULL::VARCHAR AS address, city, state, status, STRFTIME(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM crm""")
+def reordered_csv(d):
+    """A file with its columns in another order, one too many and one missing."""
+    path = f"{scratch_path(d.spark, 'exports')}/crm.csv"
+    df = d.crm.drop("ord", "address").withColumn("remark", F.lit("x"))
+    files.write_csv(df.select(*reversed(df.columns)), path)
+    read = files.read_csv(d.spark, path, schemas.SOURCE_FILES["crm"])
+    return read.drop("_corrupt_record").withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("s13_malformed_rows", f"""
+    SELECT 'crm' AS source_system, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE ord % 7 <> 0) AS rows_successful, COUNT(*) FILTER (WHERE ord % 7 = 0) AS rows_failed FROM crm""")
+def malformed_rows(d):
+    """Every seventh line has a text for its capacity: it is processed, and fails."""
+    path = f"{scratch_path(d.spark, 'exports')}/crm.csv"
+    size = F.when(F.col("ord") % 7 == 0, F.lit("abc")).otherwise(F.col("system_size_kw").cast("string"))
+    files.write_csv(d.crm.withColumn("system_size_kw", size).drop("ord"), path)
+    records, _ = files.ingest(d.spark, {"crm": path}, _at())
+    runs = files.ingestion_runs(records, "run", _at(), _at())
+    return runs.select("source_system", "rows_processed", "rows_successful", "rows_failed")
+
+
 @query("s2_capped_scan", "SELECT LEAST(COUNT(*), 1000) AS rows, 8::BIGINT AS columns FROM crm")
 def capped_scan(d):
     """The row cap is the feature: a look at the first rows of a file."""
@@ -65,12 +88,10 @@ def latest_case_lines(d):
     return files.read_latest_jsonl(d.spark, path, schemas.CASE_FILE + ", line int", "case_id", "line").select("case_id", "status")
 
 
-@query("s5_corruption_log_file")
+@query("s5_corruption_log_file", evidence_queries.LOG_SQL)
 def corruption_log_file(d):
-    columns = ["customer_name", "installer", "address", "city", "status", "system_size_kw"]
-    plan = perturb.corruption_plan(d.master.select("project_id", *columns), "project_id", columns)
     path = scratch_path(d.spark, "log")
-    files.write_jsonl(perturb.corruption_log(plan, "crm", "project_id", columns), path)
+    files.write_jsonl(evidence_queries.corruption_log(d), path)
     return d.spark.read.schema("source string, record_id string, field string, old_value string, new_value string, corruption_type string").json(path)
 
 

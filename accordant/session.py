@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(app: str = "accordant", master: str | None = None, **conf) -> SparkSession:
     """Session for tools and tests; a cluster job passes its own session instead."""
-    builder = SparkSession.builder.appName(app)
+    builder = SparkSession.builder.appName(app).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

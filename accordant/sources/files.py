@@ -7,17 +7,33 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from accordant import policy, schemas
+from accordant.functions.numbers import as_double
 
 CANONICAL = ["source_system", "source_record_id", "master_project_id", "raw_file_reference", "ingested_at"]
 SUPPORTED = [".csv"]
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, limit: int | None = None) -> DataFrame:
-    """CSV with header under a declared schema; unreadable lines are kept in ``_corrupt_record``."""
-    df = (spark.read.schema(f"{schema}, _corrupt_record string").option("header", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record").option("multiLine", False).csv(path))
+    """CSV with header under a declared schema; unreadable lines are kept in ``_corrupt_record``.
+
+    Columns are bound by name: the header gives their order, columns that are not declared are left
+    out, declared ones that are missing are null. Files of a folder whose headers differ are an error.
+    """
+    declared = StructType.fromDDL(schema)
+    header = spark.read.option("header", True).csv(path).columns
+    in_file = StructType([StructField(c, StringType()) for c in [*header, "_corrupt_record"]])
+    raw = (spark.read.schema(in_file).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+           .option("columnNameOfCorruptRecord", "_corrupt_record").option("multiLine", False).csv(path))
+    # values are read as texts and cast here, so that an unreadable one shows whichever columns are used later
+    typed = {f.name: as_double(F.trim(f.name)) if f.dataType.typeName() == "double" else F.col(f.name).try_cast(f.dataType)
+             for f in declared if f.name in header}
+    bad = reduce(lambda x, y: x | y, [F.col(n).isNotNull() & v.isNull() for n, v in typed.items()], F.lit(False))
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
+    df = raw.select(*[(typed[f.name] if f.name in typed else F.lit(None).cast(f.dataType)).alias(f.name) for f in declared],
+                    F.coalesce(F.col("_corrupt_record"), F.when(bad, line)).alias("_corrupt_record"))
     return df if limit is None else df.limit(limit)
 
 
@@ -75,8 +91,11 @@ def validate_file(spark: SparkSession, path: str, required: list[str]) -> list[s
 
 
 def canonical(df: DataFrame, source: str, id_column: str, file_name: str, at: Column | None = None) -> DataFrame:
-    """Provenance rows; a missing id stays null, so that it can be quarantined."""
+    """Provenance rows; a missing id stays null, so that it can be quarantined, and so does the id of an
+    unreadable line (``_corrupt_record``)."""
     record = F.col(id_column).cast("string")
+    if "_corrupt_record" in df.columns:
+        record = F.when(F.col("_corrupt_record").isNull(), record)
     return df.select(F.lit(source).alias("source_system"), record.alias("source_record_id"),
                      record.alias("master_project_id"), F.lit(file_name).alias("raw_file_reference"),
                      (F.current_timestamp() if at is None else at).alias("ingested_at"))

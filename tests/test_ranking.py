@@ -30,14 +30,14 @@ def test_ordered_rank(frame):
 
 def test_hash_rank_is_a_permutation(frame):
     pdf, df = frame
-    got = hash_rank(df, ["k"], "id", 7, prefix=1).toPandas()
+    got = hash_rank(df, ["k"], "id", 7).toPandas()
     for _, group in got.groupby(got["k"].fillna("none")):
         assert sorted(group["hash_rank"]) == list(range(1, len(group) + 1))
 
 
 def test_neighbours_form_one_chain_per_group(frame):
     pdf, df = frame
-    got = hash_neighbours(df.drop("v"), ["k"], "id", 7, prefix=2).select("id", F.col("next.id").alias("nxt")).toPandas()
+    got = hash_neighbours(df.drop("v"), ["k"], "id", 7).select("id", F.col("next.id").alias("nxt")).toPandas()
     assert len(got) == len(pdf) - 5
     assert got["id"].is_unique and got["nxt"].is_unique
 
