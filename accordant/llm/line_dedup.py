@@ -9,28 +9,29 @@ WINDOW = 3
 
 
 def line_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row (``doc``, ``pos``, ``window``) for every three consecutive lines.
+    """One row (``doc``, ``row``, ``pos``, ``window``) for every three consecutive lines.
 
-    ``window`` is the SHA-256 digest of the lines; texts of fewer than three lines have none.
+    ``window`` is the SHA-256 digest of the lines; texts of fewer than three lines have none. ``row`` tells
+    rows of one id apart by their texts.
     """
-    lines = docs.select(F.col(id_col).cast("long").alias("doc"), F.split(text_col, "\n").alias("lines"))
-    numbered = lines.filter(F.size("lines") >= WINDOW).select("doc", F.posexplode(F.transform(
+    lines = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("row"), F.split(text_col, "\n").alias("lines"))
+    numbered = lines.filter(F.size("lines") >= WINDOW).select("doc", "row", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.size("lines") - (WINDOW - 1)),
         lambda i: F.unhex(F.sha2(F.array_join(F.slice("lines", i, F.lit(WINDOW)), "\n"), 256)))).alias("pos", "window"))
     return numbered.filter(F.col("doc").isNotNull())
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Positions of lines covered by a later occurrence of a window: (``doc``, ``covered`` sorted array).
+    """Positions of lines covered by a later occurrence of a window: (``doc``, ``row``, ``covered`` sorted array).
 
-    The first occurrence in the order of (document, position) stays. Counting is pre-aggregated before
+    The first occurrence in the order of (document, row, position) stays. Counting is pre-aggregated before
     its shuffle, and only windows seen more than once are joined back, a row for each later occurrence.
     """
     windows = line_windows(docs, id_col, text_col)
-    first = (windows.groupBy("window").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = (windows.groupBy("window").agg(F.min(F.struct("doc", "row", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").select("window", "first"))
-    later = windows.join(first, "window").filter(F.struct("doc", "pos") != F.col("first"))
-    return later.groupBy("doc").agg(F.collect_set("pos").alias("starts")).select("doc", F.array_sort(F.array_distinct(
+    later = windows.join(first, "window").filter(F.struct("doc", "row", "pos") != F.col("first"))
+    return later.groupBy("doc", "row").agg(F.collect_set("pos").alias("starts")).select("doc", "row", F.array_sort(F.array_distinct(
         F.flatten(F.transform("starts", lambda p: F.sequence(p, p + (WINDOW - 1)))))).alias("covered"))
 
 
@@ -44,8 +45,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     covered = repeated_lines(docs, id_col, text_col)
-    joined = docs.select(*kept).join(covered.withColumnRenamed("doc", "_doc").withColumnRenamed("covered", "_covered"),
-                                     F.col(id_col).cast("long") == F.col("_doc"), "left")
+    joined = docs.select(*kept).join(covered.select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("covered").alias("_covered")),
+                                     (F.col(id_col).cast("long") == F.col("_doc")) & (F.xxhash64(text_col) == F.col("_row")), "left")
     lines = F.split(F.col(text_col), "\n")
     left = F.array_except(F.transform(lines, lambda _, i: i), F.col("_covered"))  # hashed, in order
     text = F.when(F.col("_covered").isNull(), F.col(text_col)).otherwise(
