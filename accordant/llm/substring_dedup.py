@@ -81,7 +81,7 @@ def anchor_bitmap(docs: DataFrame, length: int) -> np.ndarray:
 
         def step(ids, texts):
             anchor, owner, *_ = segments(texts, hashes, length)
-            cell = np.unique(np.stack([_cells(anchor), owner]), axis=1)[0] if len(anchor) else np.empty(0, np.int64)
+            cell = np.unique(_cells(anchor) * len(texts) + owner) // max(1, len(texts))  # once for each text
             again = cell[1:][cell[1:] == cell[:-1]]
             more[again] = True
             more[cell[once[cell]]] = True
