@@ -47,7 +47,9 @@ def idempotent_records(d):
     """Repeated (type, user) arrivals count once."""
     arriving = StreamDomain(d.spark, d.path).table("events").select(
         F.col("event_type").alias("source_system"), F.col("user_id").cast("string").alias("source_record_id"), F.col("ts").alias("ingested_at"))
-    unique = _drain(d, jobs.idempotent(arriving, delay="60 days"))
+    out = scratch_path(d.spark, "stream")
+    jobs.run_to_unique(arriving, ["source_system", "source_record_id"], out, scratch_path(d.spark, "progress"))
+    unique = d.spark.read.parquet(out)
     return unique.groupBy("source_system").agg(F.count("*").alias("records"))
 
 
@@ -72,12 +74,12 @@ def sla_alerts(d):
 
 
 @query("g5_daily_reason_counts", """
-    SELECT STRFTIME(DATE_TRUNC('day', "at"), '%Y-%m-%d') AS day, COALESCE(reason_code, 'OTHER') AS reason_code, COUNT(*) AS decisions FROM decisions
-    WHERE DATE_TRUNC('day', "at") + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY GROUP BY ALL""")
+    SELECT STRFTIME(DATE_TRUNC('day', "at"), '%Y-%m-%d') AS day, COALESCE(reason_code, 'OTHER') AS reason_code, COUNT(*) AS decisions FROM decisions GROUP BY ALL""")
 def daily_reason_counts(d):
-    """Closed days only: in append mode a day is emitted once the watermark has passed it."""
-    counts = _drain(d, jobs.daily_reason_counts(StreamDomain(d.spark, d.path).decisions))
-    return counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "reason_code", "decisions")
+    """All days, open ones included: every batch updates the counts of its days, and the last one holds."""
+    counts = _drain(d, jobs.daily_reason_counts(StreamDomain(d.spark, d.path).decisions), "update")
+    latest = counts.groupBy("day", "reason_code").agg(F.max_by("decisions", "batch").alias("decisions"))
+    return latest.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "reason_code", "decisions")
 
 
 @query("g6_flagged_stream", "SELECT point_id, iqr, zscore, percentile FROM flags")

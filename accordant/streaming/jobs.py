@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,36 +17,75 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from accordant import policy, schemas
 from accordant.operators.anomaly import fence_flags
 from accordant.operators.cases import LEGAL
-from accordant.sources.files import canonical
+from accordant.sources.files import canonical, ingestion_runs, read_csv, validate_file
 
 
 def watch_exports(spark: SparkSession, folder: str, source: str, out: str, checkpoint: str, at: Column | None = None,
-                  **trigger) -> StreamingQuery:
-    """Watched folder of source exports -> canonical records, quarantine and run ledger.
+                  max_files: int = 100, **trigger) -> StreamingQuery:
+    """Watched folder of source exports -> canonical records, quarantine and a run ledger per file.
 
-    Every micro-batch replaces its own sub-folders, so a repeated batch writes nothing twice.
+    A micro-batch takes at most ``max_files`` files and binds their columns by name. Records without an id
+    and unreadable lines are quarantined; a file without the required columns fails as a whole; a record
+    that is stored already is not written again. Every micro-batch replaces its own sub-folders, so a
+    repeated batch writes nothing twice.
     """
-    arriving = (spark.readStream.schema(schemas.SOURCE_FILES[source]).option("header", True).csv(folder)
-                .withColumn("_file", F.col("_metadata.file_name")))
+    arriving = (spark.readStream.option("maxFilesPerTrigger", max_files).text(folder)
+                .select(F.col("_metadata.file_path").alias("file")))
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = canonical(batch, source, policy.ID_COLUMN[source], "", at).drop("raw_file_reference")
-        usable = F.col("source_record_id").isNotNull()
-        rows.where(usable).write.mode("overwrite").parquet(f"{out}/records/batch={batch_id}")
-        rows.where(~usable).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
-        rows.agg(F.lit(source).alias("source_system"), F.count("*").alias("rows_processed"),
-                 F.count_if(usable).alias("rows_successful"), F.count_if(~usable).alias("rows_failed")
-                 ).write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
+        started = F.lit(datetime.now(timezone.utc))
+        records, failed = [], []
+        for path in sorted(r.file for r in batch.distinct().collect()):  # max_files at most
+            name = os.path.basename(path)
+            problems = validate_file(spark, path, policy.REQUIRED_COLUMNS[source])
+            if problems:
+                failed.append((str(batch_id), source, name, 0, 0, 0, "FAILED: " + "; ".join(problems)))
+            else:
+                records.append(canonical(read_csv(spark, path, schemas.SOURCE_FILES[source]), source, policy.ID_COLUMN[source], name, at))
+        ledger = spark.createDataFrame(failed, "run_id string, source_system string, file_name string, rows_processed long, rows_successful long, "
+                                               "rows_failed long, status string").withColumns({"started_at": started, "completed_at": F.current_timestamp()})
+        if records:
+            rows = reduce(DataFrame.unionByName, records).persist()
+            usable = F.col("source_record_id").isNotNull()
+            fresh = unseen(rows.where(usable), ["source_system", "source_record_id"], f"{out}/records", batch_id)
+            fresh.write.mode("overwrite").parquet(f"{out}/records/batch={batch_id}")
+            rows.where(~usable).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
+            ledger = ledger.unionByName(ingestion_runs(rows, str(batch_id), started, F.current_timestamp()))
+            ledger.write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
+            rows.unpersist()
+        else:
+            ledger.write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
 
     return (arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def unseen(batch: DataFrame, keys: list[str], stored: str, batch_id: int) -> DataFrame:
+    """First row of each key of ``batch`` that no other batch below ``stored`` holds."""
+    first = batch.dropDuplicates(keys)
+    try:
+        earlier = batch.sparkSession.read.parquet(stored).where(F.col("batch") != batch_id).select(*keys)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return first
+    return first.join(earlier, keys, "left_anti")
+
+
 def idempotent(records: DataFrame, time: str = "ingested_at", delay: str = "1 day") -> DataFrame:
-    """Drop repeated (source, record) arrivals within the watermark."""
+    """Drop repeated (source, record) arrivals within the watermark; ``run_to_unique`` has no horizon."""
     return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(["source_system", "source_record_id"])
 
 
+def run_to_unique(df: DataFrame, keys: list[str], out: str, checkpoint: str) -> None:
+    """Store each key once, however late it comes again: batches are compared with what is stored."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        unseen(batch, keys, out, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 STATE_SCHEMA = "status string, created_ms long, started_ms long, resolved_ms long, moves int, alerted boolean"
 OUTPUT_SCHEMA = ("case_id string, kind string, status string, created_at timestamp, started_at timestamp, "
                  "resolved_at timestamp, moves int")

@@ -80,3 +80,21 @@ def test_trees_draw_apart_at_any_size(spark):
         df = spark.range(total).select(F.col("id"), F.rand(3).alias("x"))
         got = outliers.tree_samples(df, ["x"], "id", total, 5, 128, 1).groupBy("tree").count().collect()
         assert sorted(r["count"] for r in got) == [128] * 5
+
+
+def test_watched_folder_by_name_and_once(spark, tmp_path):
+    from accordant.streaming import jobs
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("project_reference,customer_ref,customer,installed_capacity,region,record_status\nP1,C1,Ann,4.5,N,Done\nP2,C2,Bo,abc,N,Done\n,C3,Cy,1,N,Done\n")
+    run = lambda: jobs.watch_exports(spark, str(folder), "erp", str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    run()
+    (folder / "b.csv").write_text("customer_ref,project_reference,customer,installed_capacity,region,record_status\nC1,P1,Ann,4.5,N,Done\nC4,P4,Di,2,N,Done\n")
+    (folder / "c.csv").write_text("customer_ref,customer\nC1,Ann\n")
+    run()
+    records = spark.read.parquet(str(tmp_path / "out/records"))
+    assert sorted((r.source_record_id, r.raw_file_reference) for r in records.collect()) == [("P1", "a.csv"), ("P4", "b.csv")]
+    assert spark.read.parquet(str(tmp_path / "out/quarantine")).count() == 2
+    ledger = {r.file_name: r for r in spark.read.parquet(str(tmp_path / "out/ledger")).collect()}
+    assert (ledger["a.csv"].rows_processed, ledger["a.csv"].rows_failed) == (3, 2) and ledger["c.csv"].status.startswith("FAILED")
