@@ -112,7 +112,7 @@ def certified_cutoffs(base: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     level = delta / max(1, bins.select("stratum", "rule").distinct().count())
     sizes = above.select("stratum", "rule", "n_good").distinct()
     allowed = sizes.select("stratum", "rule", allowed_rejections("n_good", share, f"{level!r}D").alias("allowed"))
-    gain = F.expr(f"bad_above / n_bad - {float(cost)!r}D * good_above / n_good")
+    gain = F.expr(f"coalesce(try_divide(bad_above, n_bad), 0) - {float(cost)!r}D * coalesce(try_divide(good_above, n_good), 0)")
     return (above.join(allowed, ["stratum", "rule"]).filter("good_above <= allowed").withColumn("gain", gain).filter("gain > 0")
             .groupBy("stratum", "rule").agg(F.max(F.struct("gain", "value")).alias("best"))
             .select("stratum", "rule", F.col("best.value").alias("cutoff")))

@@ -326,6 +326,9 @@ def test_quality_rules_bound_false_rejections(spark, empty):
     good = [k for i, k in got.items() if i % 4]
     assert sum(not k for k in good) <= quality_rules.ALPHA * len(good)
     assert sum(k for i, k in got.items() if i % 4 == 0) == 0
+    one_sided = quality_rules.apply_rules(table, marks.filter("quality = 1"))
+    assert one_sided.filter("kept <> (NOT base_failed)").count() == 0
+    assert quality_rules.apply_rules(table, marks.filter("quality = 0")).count() == 1200
     unlabelled = quality_rules.apply_rules(table, marks.limit(0))
     assert unlabelled.filter("kept <> (NOT base_failed)").count() == 0
     assert quality_rules.apply_rules(empty, marks).count() == 0
