@@ -128,7 +128,7 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
 
 
 def passages(docs: DataFrame, first: DataFrame, length: int) -> DataFrame:
-    """(``anchor``, ``id``, ``doc``, ``passage``) of the places in ``first``, from the texts."""
+    """(``anchor``, ``id``, ``doc``, ``n``, ``passage``) of the places in ``first``, from the texts."""
     by_row = first.groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "id", "at", "n")).alias("of"))
     found = _with_row(docs).dropDuplicates(["_doc", "_row"]).join(
         by_row, (F.col("_row") == F.col("row")) & (F.col("_doc") == F.col("doc"))).select("doc", "packed", "of")
@@ -138,12 +138,12 @@ def passages(docs: DataFrame, first: DataFrame, length: int) -> DataFrame:
             out = []
             for d, data, places in zip(doc, packed, of, strict=True):
                 words = _unpack(data).split()
-                out += [(p["anchor"], p["id"], d, b" ".join(words[p["at"] : p["at"] + p["n"] + length - 1])) for p in places]
-            return tuple(map(list, zip(*out))) if out else ([],) * 4
+                out += [(p["anchor"], p["id"], d, p["n"], b" ".join(words[p["at"] : p["at"] + p["n"] + length - 1])) for p in places]
+            return tuple(map(list, zip(*out))) if out else ([],) * 5
 
         return step
 
-    return map_rows(found, make, "anchor long, id long, doc long, passage binary", rows=64)
+    return map_rows(found, make, "anchor long, id long, doc long, n int, passage binary", rows=64)
 
 
 def _with_row(docs: DataFrame) -> DataFrame:
@@ -163,9 +163,10 @@ def _unpack(data: bytes) -> bytes:
 def first_documents(distinct: DataFrame, length: int, shard_words: int, busy: int) -> DataFrame:
     """(``anchor``, ``id``, ``firsts``): for every window of each distinct segment, the smallest document it occurs in."""
     counted = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("segments"))
-    hot = counted.filter(F.col("segments") > busy).select("anchor")
+    # stored, so that Spark knows its size: few anchors are joined without moving the passages
+    hot = stored(counted.filter(F.col("segments") > busy).select("anchor"), "substring-busy")
     calm = distinct.join(hot, "anchor", "left_anti")
-    words = calm.agg(F.sum(F.size(F.split(F.decode("passage", "utf-8"), " ")))).first()[0] or 0
+    words = distinct.agg(F.sum(F.col("n") + (length - 1))).first()[0] or 0
     shards = max(1, -(-words // shard_words))
 
     def index(frame: pd.DataFrame) -> pd.DataFrame:
