@@ -59,7 +59,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable], schema: str, rows: int
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
