@@ -210,7 +210,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     itself included. Null, empty and blank texts have an empty set and no links, repeated rows link with
     each other, and a null id counts as none: such a row gets the smallest id of its component, if any.
 
-    First every set is verified against one hub of its shingles (the smallest node, where most are shared),
+    First every set is verified against one hub of its shingles (the one with which most are shared),
     which joins a group of near copies in as many steps as it has members. Then only sets that this left
     in different stars are paired: for each shingle, those outside its largest star with all others, as far
     as their sizes, what they share in prefixes and what they have beyond can reach the threshold.
@@ -222,13 +222,16 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = first.filter("sketch IS NULL").drop("sketch")
     posted = stored(postings(docs, text_col, size, frequency_classes(first), need), "jaccard-postings")
     tokens = posted.filter("token IS NOT NULL").select("token", "node")
-    shared = tokens.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub <> top").select("token", "hub")
-    live = stored(tokens.join(shared, "token").groupBy("token", "node").agg(F.min("hub").alias("hub")), "jaccard-live")
+    shared = tokens.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("top")).filter("low <> top").select("token")
+    live = stored(tokens.join(shared, "token").distinct(), "jaccard-live")
 
     # the most that a set can share: its posted shingles that others posted, and those not posted
     facts = posted.filter("token IS NULL").groupBy("node").agg(F.min("size").alias("size"), F.min("posted").alias("posted"), F.min("last").alias("last"))
     reach = live.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    facts = stored(facts.join(reach, "node").select("node", "size", "last", (F.col("size") - F.col("posted")).alias("rest"), "n"), "jaccard-facts")
+    facts = stored(facts.join(reach, "node").select("node", "size", "last", (F.col("size") - F.col("posted")).alias("rest"), "n",
+                                                    (F.col("posted") - F.col("n")).alias("alone")), "jaccard-facts")
+    # the hub of a shingle is the set with the fewest shingles of its own: the middle of a group of copies
+    hubs = live.join(facts.select("node", "alone"), "node").groupBy("token").agg(F.min(F.struct("alone", "node")).alias("h")).select("token", F.col("h.node").alias("hub"))
 
     def side(name):
         return facts.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n")])
@@ -238,7 +241,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         of_earlier(F.col("x_n") + F.col("x_rest"), F.col("y_n") + F.col("y_rest")) >= overlap)
     missing = overlap - of_earlier(F.col("x_rest").cast("long"), F.col("y_rest").cast("long"))  # to be shared in the prefixes
 
-    near_hub = live.filter("node <> hub").groupBy(F.col("node").alias("x"), F.col("hub").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    near_hub = live.join(hubs, "token").filter("node <> hub").groupBy(F.col("node").alias("x"), F.col("hub").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     near_hub = near_hub.join(side("x"), "x").join(side("y"), "y").filter(fitting & (2 * F.col("n") >= missing))
     best = near_hub.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best")).select(F.col("best.y").alias("a"), F.col("x").alias("b"))
     stars = stored(verify(best, docs, rows, id_col, text_col, size, numerator, denominator), "jaccard-stars")
