@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -38,7 +39,7 @@ def blocks(text: str) -> list[set[bytes]]:
 
 
 def token_frequency(docs: DataFrame, text_col: str, templates: dict[str, str]) -> dict[bytes, int]:
-    """In how many blocks of all documents each template token occurs; as many entries as the templates have tokens."""
+    """In how many lines of all documents each template token occurs, which orders them; as many entries as the templates have tokens."""
     vocabulary = frozenset(t for x in templates.values() for t in tokens(x))
 
     def make():
@@ -63,17 +64,22 @@ class ContainmentIndex:
 
     def __init__(self, templates: dict[str, str], frequency: dict[bytes, int], numerator: int, denominator: int):
         self.rank = {t: i for i, t in enumerate(sorted(frequency, key=lambda t: (frequency[t], t)))}
-        self.sets, self.need, self.prefix = {}, {}, {}
+        self.sets, self.need, self.prefix, self.span = {}, {}, {}, {}
         for label, text in templates.items():
             ordered = sorted({self.rank[t] for t in tokens(text)})
             need = -(-numerator * len(ordered) // denominator)
             self.sets[label], self.need[label] = frozenset(ordered), need
+            self.span[label] = -(-denominator * len(tokens(text)) // numerator)
             for at, token in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefix.setdefault(token, []).append((label, at))
 
     def matches(self, block: set[bytes]) -> dict[str, float]:
         """Every template contained in ``block`` to the threshold, with its containment."""
-        ranked = sorted(self.rank[t] for t in block if t in self.rank)
+        return self.contained({self.rank[t] for t in block if t in self.rank})
+
+    def contained(self, held: set[int]) -> dict[str, float]:
+        """``matches`` for the ranks of a block's tokens."""
+        ranked = sorted(held)
         found, checked = {}, set()
         for at, token in enumerate(ranked):
             for label, position in self.prefix.get(token, ()):
@@ -90,6 +96,29 @@ class ContainmentIndex:
                     found[label] = shared / size
         return found
 
+    def matches_across_lines(self, words: list[bytes]) -> dict[str, float]:
+        """Every template contained to the threshold in ``span`` consecutive words, wherever lines break.
+
+        A template's span is its number of words divided by the threshold: as many words may stand in
+        between (comment marks, say) as may be missing. A window that holds enough of a template holds a
+        token of its prefix, so only the surroundings of those are compared.
+        """
+        at = [p for p, w in enumerate(words) if w in self.rank]
+        ranks = [self.rank[words[p]] for p in at]
+        longest = max(self.span.values(), default=0)
+        found = {}
+        for k, rank in enumerate(ranks):
+            if rank not in self.prefix:
+                continue
+            around = ranks[bisect_right(at, at[k] - longest) : bisect_left(at, at[k] + longest)]
+            for label in self.contained(set(around)):
+                span, wanted = self.span[label], self.sets[label]
+                for first in range(bisect_right(at, at[k] - span), k + 1):
+                    shared = len(wanted.intersection(ranks[first : bisect_left(at, at[first] + span)]))
+                    if shared >= self.need[label]:
+                        found[label] = max(shared / len(wanted), found.get(label, 0.0))
+        return found
+
 
 def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:
     """(start, label) of every place where a phrase's words stand consecutively."""
@@ -108,8 +137,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   phrases: dict[str, str] | None = None, containment: tuple[int, int] = (4, 5)) -> DataFrame:
     """One row per row of ``docs`` with its phrase places and all labels.
 
-    A block (line) has a template's label when it holds at least the fraction ``containment`` of the
-    template's distinct tokens. ``score`` is 1 with a phrase, else the best such containment, else 0.
+    A block has a template's label when it holds at least the fraction ``containment`` of the template's
+    distinct tokens. Blocks are the lines, and all windows of consecutive words that are as long as the
+    template and its share of foreign words, so that a notice may be wrapped anywhere. ``score`` is 1 with a phrase, else the best such containment, else 0.
     Null and empty texts have no words, empty label strings, null places and score 0. Corpus counts cover
     every document; only counts of template tokens reach the driver.
     """
@@ -129,6 +159,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     if not prefix.isdisjoint(block):
                         for label, share in index.matches(block).items():
                             found[label] = max(share, found.get(label, 0.0))
+                for label, share in index.matches_across_lines(words).items():
+                    found[label] = max(share, found.get(label, 0.0))
             starts = [at for at, _ in places]
             return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
                     ",".join(sorted(base | found.keys())), 1.0 if base else max(found.values(), default=0.0))
@@ -148,7 +180,7 @@ def _values() -> str:
     return ", ".join(rows)
 
 
-#: Same rows by comparing every block with every template.
+#: Same rows by comparing every line with every template; notices wrapped over lines are not in it.
 ORACLE_SQL = f"""
 WITH t AS (SELECT * FROM (VALUES {_values()}) AS v(label, toks, need)),
 d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),

@@ -244,6 +244,37 @@ def test_license_scan(docs, spark, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    isc = "# Permission to use, copy, modify, and/or distribute this software for any\n# purpose with or without fee is hereby granted, provided"
+    mpl = " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not"
+    gpl = "dnl it under the terms of the GNU General Public License as published\ndnl by the Free Software Foundation, either version 3"
+    apart = bsd.replace("\n", "\n" + "other words of the text stand here\n" * 5)
+    rows = [(1, bsd), (2, isc), (3, mpl), (4, gpl), (5, "intro\n" * 50 + bsd.replace(" ", "\n") + "\nend" * 50), (6, apart), (7, bsd + "\n\n" + isc)]
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.scan_licenses(spark.createDataFrame(rows_of(rows), SCHEMA)).collect()}
+    assert got == {1: ("bsd", 1.0), 2: ("isc", 1.0), 3: ("mpl-2.0", 1.0), 4: ("gpl,gpl-notice", 1.0), 5: ("bsd", 1.0), 6: ("", 0.0), 7: ("bsd,isc", 1.0)}
+
+
+def test_windows_across_lines_are_exact():
+    rng = random.Random(7)
+    names = [f"t{i}" for i in range(30)]
+    templates = {f"L{k}": " ".join(rng.sample(names, rng.randrange(2, 9))) for k in range(12)}
+    vocabulary = {n.encode() for t in templates.values() for n in t.split()}
+    index = license_scan.ContainmentIndex(templates, {n: rng.randrange(100) for n in vocabulary}, 3, 4)
+    some = 0
+    for _ in range(300):
+        words = [rng.choice(names + ["x"] * 20).encode() for _ in range(rng.randrange(60))]
+        expected = {}
+        for k, t in templates.items():
+            own, span = set(license_scan.tokens(t)), -(-4 * len(t.split()) // 3)
+            share = max((len(own & set(words[a : a + span])) / len(own) for a in range(len(words))), default=0)
+            if share >= 0.75:
+                expected[k] = share
+        some += len(expected)
+        assert index.matches_across_lines(words) == expected
+    assert some
+
+
 def test_containment_index_is_exact():
     rng = random.Random(6)
     names = [f"t{i}" for i in range(30)]
