@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,6 +17,8 @@ FIT_ROWS = 20_000
 BUCKETS, SELECTED = 1 << 20, 4_096
 #: Least likelihood-ratio statistic of a selected feature, and least number of documents.
 LEAST_G2, LEAST_DOCS = 12.0, 4
+#: Characters up to which the features of a word are remembered.
+LONG = 64
 STEPS, RATE, L2 = 400, 0.2, 1e-4
 #: Weight of the squared change of a score when identity terms are swapped.
 COUNTERFACTUAL = 1.0
@@ -40,20 +43,24 @@ def words_of(text: str | None) -> set[bytes]:
 
 
 class Features(dict):
-    """Hashed features of a word: the word, its beginnings and its runs of four and five characters."""
+    """Hashed features of a word: the word, its beginnings and its runs of four and five characters.
+
+    Text without ASCII separators is one word and is taken whole; words of over ``LONG`` characters aren't remembered.
+    """
 
     def __init__(self, keep: dict[int, int] | None = None, limit: int = 300_000):
         super().__init__()
         self.keep, self.limit = keep, limit
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= self.limit:
-            self.clear()
         w = "^" + word.decode() + "$"
-        w = w if len(w) <= 64 else w[:48] + w[-16:]
-        parts = {w, *(w[:k] for k in (4, 5, 6, 7)), *(w[i : i + k] for k in (4, 5) for i in range(1, len(w) - k))}
+        parts = chain((w,), (w[:k] for k in (4, 5, 6, 7)), (w[i : i + k] for k in (4, 5) for i in range(1, len(w) - k)))
         found = {zlib.crc32(p.encode()) % BUCKETS for p in parts}
-        value = self[word] = tuple(found) if self.keep is None else tuple(self.keep[f] for f in found if f in self.keep)
+        value = tuple(found) if self.keep is None else tuple(self.keep[f] for f in found if f in self.keep)
+        if len(w) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: set[bytes]) -> set[int]:

@@ -392,6 +392,37 @@ def test_toxicity(spark, empty):
     assert toxicity.score_documents(empty, marks).count() == 0
 
 
+def test_toxic_run_in_a_long_text_without_spaces(spark):
+    rng = random.Random(14)
+    signs = [chr(0x4E00 + k) for k in range(300)]
+    rows, labels = [], []
+    for i in range(600):
+        text = "".join(rng.choice(signs) for _ in range(400))
+        bad = i % 3 == 0
+        if bad:
+            at = rng.randrange(60, 340)
+            text = text[:at] + "\u6bd2\u866b\u5783\u573e\u6eda" + text[at:]
+        rows.append((i, text))
+        labels.append((i, 1, int(bad)))
+    rows.append((5000, "\u3002".join(t for _, t in rows[1:3]) * 20 + rows[0][1] + rows[1][1] * 20))
+    table = spark.createDataFrame(rows_of(rows), SCHEMA)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_documents(table, marks).collect()}
+    held = [r for r in got.values() if r.held_out and r.doc_id < 600]
+    assert len(held) > 80 and all(r.predicted == (r.doc_id % 3 == 0) for r in held)
+    assert got[5000].predicted == 1
+
+
+def test_features_of_short_and_long_words():
+    feature = toxicity.Features()
+    for n in (1, 4, 62, 63, 500):
+        word = "".join(chr(97 + i * i % 26) for i in range(n))
+        w = "^" + word + "$"
+        parts = {w, w[:4], w[:5], w[:6], w[:7], *(word[i : i + k] for k in (4, 5) for i in range(n - k + 1))}
+        assert set(feature[word.encode()]) == {zlib.crc32(p.encode()) % toxicity.BUCKETS for p in parts}
+        assert (word.encode() in feature) == (n <= 62)
+
+
 def test_language_id(spark):
     docs = spark.createDataFrame([(i, "the house and the garden with them", "en") for i in range(20)] + [(50 + i, "das haus und der garten mit ihnen", "de") for i in range(20)]
                                  + [(99, None, "de"), (98, "x", None)], "doc_id long, text string, lang string")
