@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accordant.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, packing, quality_rules, substring_dedup, token_counts, toxicity
+from accordant.llm import decontamination, jaccard_join, language_id, license_scan, line_dedup, packing, quality_rules, simhash_balls, spelling_variants, substring_dedup, token_counts, toxicity, whitening
 from accordant.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,18 @@ def _license_scan(table) -> DataFrame:
 @_query("op10_substring_dedup", substring_dedup.ORACLE_SQL)
 def _substring_dedup(table) -> DataFrame:
     return substring_dedup.dedup_substrings(table("documents")).drop("kept")
+
+
+@_query("op11_spelling_variants")
+def _spelling_variants(table) -> DataFrame:
+    return spelling_variants.group_variants(table("documents"), slips=199)
+
+
+@_query("op12_embedding_whitening")
+def _embedding_whitening(table) -> DataFrame:
+    return whitening.whiten(table("embeddings"))
+
+
+@_query("op13_simhash_dedup")
+def _simhash_dedup(table) -> DataFrame:
+    return simhash_balls.group_documents(table("documents"))
