@@ -36,6 +36,20 @@ def csv_scan(d):
     return df.drop("_corrupt_record").withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("s1_quoted_csv", """
+    SELECT project_id, CASE WHEN ord % 3 = 0 THEN customer_name || chr(10) || '"' || city || '", ' || state ELSE customer_name END AS customer_name,
+      CASE WHEN ord % 4 = 0 THEN '"' || installer || '",' || chr(10) || chr(10) ELSE installer END AS installer, system_size_kw, address || ', ' || city AS address
+    FROM crm""")
+def quoted_csv(d):
+    """Line breaks, quotes and separators inside fields."""
+    path = f"{scratch_path(d.spark, 'exports')}/crm.csv"
+    files.write_csv(d.crm.select(
+        "project_id", F.when(F.col("ord") % 3 == 0, F.concat("customer_name", F.lit('\n"'), "city", F.lit('", '), "state")).otherwise(F.col("customer_name")).alias("customer_name"),
+        F.when(F.col("ord") % 4 == 0, F.concat(F.lit('"'), "installer", F.lit('",\n\n'))).otherwise(F.col("installer")).alias("installer"),
+        "system_size_kw", F.concat("address", F.lit(", "), "city").alias("address")), path)
+    return files.read_csv(d.spark, path, "project_id string, customer_name string, installer string, system_size_kw double, address string").drop("_corrupt_record")
+
+
 @query("s1_reordered_csv", """SELECT project_id, customer_name, installer, system_size_kw, NULL::VARCHAR AS address, city, state, status, STRFTIME(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at FROM crm""")
 def reordered_csv(d):
     """A file with its columns in another order, one too many and one missing."""

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from accordant import policy
 from accordant.operators import anomaly
 from accordant.plans.domain import AS_OF, Domain
 from accordant.plans.registry import query
 from accordant.session import scratch_path
 from accordant.sources import files
-from accordant.streaming import jobs
+from accordant.streaming import case_replay, jobs
+
+#: Files, and so micro-batches, in which events arrive.
+ARRIVALS = 6
+OPEN = ", ".join(f"'{s}'" for s in policy.OPEN_STATUSES)
 
 
 class StreamDomain(Domain):
@@ -30,33 +35,63 @@ def _drain(d, df, mode="append"):
 
 
 @query("g1_watched_folder", """
-    SELECT 'records' AS kind, COUNT(record_id) AS rows FROM records WHERE source_system = 'erp' UNION ALL SELECT 'quarantine', COUNT(*) - COUNT(record_id) FROM records WHERE source_system = 'erp'
-    UNION ALL SELECT 'ledger', COUNT(*) FROM records WHERE source_system = 'erp'""")
+    SELECT 'records' AS kind, record_id AS id, 1::BIGINT AS rows FROM records WHERE source_system = 'erp' AND record_id IS NOT NULL
+    UNION ALL SELECT 'quarantine', NULL, COUNT(*) - COUNT(record_id) FROM records WHERE source_system = 'erp'
+    UNION ALL SELECT 'ledger', 'COMPLETED_WITH_ERRORS', COUNT(*) FROM records WHERE source_system = 'erp'
+    UNION ALL SELECT 'ledger', 'FAILED', 0""")
 def watched_folder(d):
+    """Exports whose customers hold line breaks, the same files again under other names, and an empty file."""
     root = scratch_path(d.spark, "watched")
-    files.write_csv(d.erp.drop("ord"), f"{root}/erp")
-    jobs.watch_exports(d.spark, f"{root}/erp", "erp", f"{root}/out", f"{root}/progress", F.lit(AS_OF).cast("timestamp")).awaitTermination()
+    erp = d.erp.withColumn("customer", F.concat(F.lit('"Dear"\n'), "customer", F.lit(", "))).drop("ord").repartition(1)
+    files.write_csv(erp, f"{root}/in/first.csv")
+    folder = f"{root}/in/*.csv"
+
+    def run():
+        jobs.watch_exports(d.spark, folder, "erp", f"{root}/out", f"{root}/progress", F.lit(AS_OF).cast("timestamp")).awaitTermination()
+
+    run()
+    files.write_csv(erp, f"{root}/in/second.csv")
+    d.spark.createDataFrame([], "value string").repartition(1).write.csv(f"{root}/in/third.csv")
+    run()
     read = d.spark.read.parquet
-    counted = [read(f"{root}/out/{kind}/batch=*").agg(F.lit(kind).alias("kind"), F.count("*").alias("rows")) for kind in ("records", "quarantine")]
-    ledger = read(f"{root}/out/ledger/batch=*").agg(F.lit("ledger").alias("kind"), F.sum("rows_processed").alias("rows"))
-    return counted[0].unionByName(counted[1]).unionByName(ledger)
+    records = read(f"{root}/out/records/batch=*").select(F.lit("records").alias("kind"), F.col("source_record_id").alias("id"), F.lit(1).cast("long").alias("rows"))
+    quarantine = read(f"{root}/out/quarantine/batch=0").agg(F.lit("quarantine").alias("kind"), F.lit(None).cast("string").alias("id"), F.count("*").alias("rows"))
+    ledger = read(f"{root}/out/ledger/batch=*").dropDuplicates(["rows_processed", "status"]).select(
+        F.lit("ledger").alias("kind"), F.regexp_extract("status", "^[A-Z_]+", 0).alias("id"), F.col("rows_processed").alias("rows"))
+    return records.unionByName(quarantine).unionByName(ledger)
 
 
-@query("g2_idempotent_records", "SELECT event_type AS source_system, COUNT(DISTINCT user_id) AS records FROM events GROUP BY 1")
+@query("g2_idempotent_records", """
+    SELECT event_type AS source_system, user_id::VARCHAR AS source_record_id, STRFTIME(MIN(ts), '%Y-%m-%d %H:%M:%S') AS first_seen FROM events GROUP BY 1, 2""")
 def idempotent_records(d):
-    """Repeated (type, user) arrivals count once."""
-    arriving = StreamDomain(d.spark, d.path).table("events").select(
-        F.col("event_type").alias("source_system"), F.col("user_id").cast("string").alias("source_record_id"), F.col("ts").alias("ingested_at"))
+    """Of repeated (type, user) arrivals in several micro-batches, the first one stays."""
+    folder = scratch_path(d.spark, "arrivals")
+    rows = d.table("events").select(F.col("event_type").alias("source_system"), F.col("user_id").cast("string").alias("source_record_id"), F.col("ts").alias("ingested_at"))
+    low, high = rows.agg(F.min(F.unix_seconds("ingested_at")), F.max(F.unix_seconds("ingested_at"))).first()
+    part = F.floor((F.unix_seconds("ingested_at") - low) * 3 / (high - low + 1))
+    for k in range(3):
+        rows.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+    arriving = d.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     out = scratch_path(d.spark, "stream")
     jobs.run_to_unique(arriving, ["source_system", "source_record_id"], out, scratch_path(d.spark, "progress"))
-    unique = d.spark.read.parquet(out)
-    return unique.groupBy("source_system").agg(F.count("*").alias("records"))
+    return d.spark.read.parquet(out).select("source_system", "source_record_id", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss").alias("first_seen"))
 
 
 def _case_stream(d):
-    s = StreamDomain(d.spark, d.path)
-    events = s.case_events.select("case_id", "at", "seq", "to", "implicit", F.date_trunc("day", "at").alias("created_at"))
-    return _drain(d, jobs.case_updates(events), "update")
+    """Case updates over the events in several files, one to a micro-batch, in an order of arrival that differs from that of the events.
+
+    An event arrives up to 50 minutes after its time, and the files follow the arrival.
+    """
+    folder = scratch_path(d.spark, "arrivals")
+    events = d.case_events.select("case_id", "at", "seq", "to", "implicit", F.date_trunc("day", "at").alias("created_at"))
+    arrival = F.unix_seconds("at") + F.crc32(F.col("seq").cast("string")) % 3000
+    arriving = events.withColumn("arrival", arrival)
+    low, high = arriving.agg(F.min("arrival"), F.max("arrival")).first()
+    part = F.least(F.floor((F.col("arrival") - low) * ARRIVALS / (high - low + 1)), F.lit(ARRIVALS - 1))
+    for k in range(ARRIVALS):
+        arriving.where(part == k).drop("arrival").coalesce(1).write.mode("append").parquet(folder)
+    stream = d.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return _drain(d, case_replay.case_updates(stream), "update")
 
 
 @query("g3_live_case_states", "SELECT case_id, status, CAST(history_rows - 1 AS INTEGER) AS moves FROM cases")
@@ -66,10 +101,21 @@ def live_case_states(d):
     return latest.select("case_id", "s.status", "s.moves")
 
 
-@query("g4_sla_alerts", """
-    SELECT c.case_id, c.status FROM cases c WHERE c.status IN ('NEW', 'IN_REVIEW', 'WAITING_CLARIFICATION', 'REOPENED')
-      AND c.created_at + INTERVAL 72 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""")
+@query("g4_sla_alerts", f"""
+    SELECT case_id, COALESCE(MAX_BY("to", n) FILTER (WHERE outcome = 'accepted' AND "at" <= due),  'NEW') AS status
+    FROM (SELECT a.*, o.created_at + INTERVAL 72 HOUR AS due, (SELECT DATE_TRUNC('minute', MAX(ts) - INTERVAL 1 HOUR) FROM events) AS settled
+          FROM annotated a JOIN opened o ON o.case_id = a.case_id)
+    WHERE due < settled AND "at" < settled GROUP BY case_id
+    HAVING COALESCE(MAX_BY("to", n) FILTER (WHERE outcome = 'accepted' AND "at" <= due), 'NEW') IN ({OPEN})
+    UNION ALL
+    SELECT case_id, MIN_BY("to", n) FILTER (WHERE outcome = 'accepted' AND "at" > due AND "to" IN ({OPEN})) AS status
+    FROM (SELECT a.*, o.created_at + INTERVAL 72 HOUR AS due, (SELECT DATE_TRUNC('minute', MAX(ts) - INTERVAL 1 HOUR) FROM events) AS settled
+          FROM annotated a JOIN opened o ON o.case_id = a.case_id)
+    WHERE due < settled AND "at" < settled GROUP BY case_id
+    HAVING COALESCE(MAX_BY("to", n) FILTER (WHERE outcome = 'accepted' AND "at" <= due), 'NEW') NOT IN ({OPEN})
+      AND COUNT(*) FILTER (WHERE outcome = 'accepted' AND "at" > due AND "to" IN ({OPEN})) > 0""")
 def sla_alerts(d):
+    """Cases open at their deadline, or reopened after it, as far as the watermark has come."""
     return _case_stream(d).where("kind = 'sla_breach'").select("case_id", "status")
 
 

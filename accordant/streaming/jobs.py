@@ -3,147 +3,135 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from accordant import policy, schemas
 from accordant.operators.anomaly import fence_flags
-from accordant.operators.cases import LEGAL
-from accordant.sources.files import canonical, ingestion_runs, read_csv, validate_file
+from accordant.sources.files import CANONICAL, canonical, empty_files, header_of, ingestion_runs, read_csv, validate_file
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keyed_state(spark: SparkSession) -> None:
+    """Streams started from now on keep their state in RocksDB and store its changes only, batch by batch."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+class Ingest:
+    """Two streams in a row: files to checked records, and those to records that are new."""
+
+    def __init__(self, reading: StreamingQuery, store: Callable[[], StreamingQuery], at_once: bool):
+        self.reading, self._store = reading, store
+        self.storing = None if at_once else store()
+
+    def awaitTermination(self) -> None:
+        self.reading.awaitTermination()
+        self.storing = self.storing or self._store()
+        self.storing.awaitTermination()
+
+    def stop(self) -> None:
+        for stream in (self.reading, self.storing):
+            if stream is not None:
+                stream.stop()
 
 
 def watch_exports(spark: SparkSession, folder: str, source: str, out: str, checkpoint: str, at: Column | None = None,
-                  max_files: int = 100, **trigger) -> StreamingQuery:
+                  max_files: int = 100, **trigger) -> Ingest:
     """Watched folder of source exports -> canonical records, quarantine and a run ledger per file.
 
     A micro-batch takes at most ``max_files`` files and binds their columns by name. Records without an id
-    and unreadable lines are quarantined; a file without the required columns fails as a whole; a record
-    that is stored already is not written again. Every micro-batch replaces its own sub-folders, so a
-    repeated batch writes nothing twice.
+    and unreadable ones are quarantined; a file without the required columns fails as a whole. Files that are
+    empty when a micro-batch looks at the folder fail too, in the ledger of batch -1. Every micro-batch replaces its own sub-folders, so a repeated batch writes nothing twice. Records
+    that pass are staged, and a second stream keeps the first of each id (``first_of_keys``), so that a batch
+    costs what its own files do, however much is stored.
     """
-    arriving = (spark.readStream.option("maxFilesPerTrigger", max_files).text(folder)
-                .select(F.col("_metadata.file_path").alias("file")))
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    arriving = spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", max_files).load(folder).select("path")
+    trigger = trigger or {"availableNow": True}
+    keys = ["source_system", "source_record_id"]
+    staged = f"{out}/staged"
 
     def load(batch: DataFrame, batch_id: int) -> None:
         started = F.lit(datetime.now(timezone.utc))
-        records, failed = [], []
-        for path in sorted(r.file for r in batch.distinct().collect()):  # max_files at most
-            name = os.path.basename(path)
+        by_header, failed = defaultdict(list), []
+        for path in sorted(r.path for r in batch.distinct().collect()):  # max_files at most
             problems = validate_file(spark, path, policy.REQUIRED_COLUMNS[source])
             if problems:
-                failed.append((str(batch_id), source, name, 0, 0, 0, "FAILED: " + "; ".join(problems)))
+                failed.append((str(batch_id), source, os.path.basename(path), 0, 0, 0, "FAILED: " + "; ".join(problems)))
             else:
-                records.append(canonical(read_csv(spark, path, schemas.SOURCE_FILES[source]), source, policy.ID_COLUMN[source], name, at))
-        ledger = spark.createDataFrame(failed, "run_id string, source_system string, file_name string, rows_processed long, rows_successful long, "
-                                               "rows_failed long, status string").withColumns({"started_at": started, "completed_at": F.current_timestamp()})
-        if records:
+                by_header[tuple(header_of(spark, path))].append(path)
+        empty = [("-1", source, name, 0, 0, 0, "FAILED: Empty file") for name in empty_files(spark, folder)]
+        ledger, unfilled = (spark.createDataFrame(rows, "run_id string, source_system string, file_name string, rows_processed long, rows_successful long, "
+                                                  "rows_failed long, status string").withColumns({"started_at": started, "completed_at": F.current_timestamp()})
+                            for rows in (failed, empty))
+        unfilled.write.mode("overwrite").parquet(f"{out}/ledger/batch=-1")
+        if by_header:
+            records = [canonical(read_csv(spark, paths, schemas.SOURCE_FILES[source], file_column="_file"), source, policy.ID_COLUMN[source], F.col("_file"), at)
+                       for paths in by_header.values()]
             rows = reduce(DataFrame.unionByName, records).persist()
             usable = F.col("source_record_id").isNotNull()
-            fresh = unseen(rows.where(usable), ["source_system", "source_record_id"], f"{out}/records", batch_id)
-            fresh.write.mode("overwrite").parquet(f"{out}/records/batch={batch_id}")
+            rows.where(usable).write.mode("overwrite").parquet(f"{staged}/batch={batch_id}")
             rows.where(~usable).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
-            ledger = ledger.unionByName(ingestion_runs(rows, str(batch_id), started, F.current_timestamp()))
+            runs = ingestion_runs(rows, str(batch_id), started, F.current_timestamp())
+            named = spark.createDataFrame([(os.path.basename(p),) for paths in by_header.values() for p in paths], "file_name string")
+            without = named.join(runs, "file_name", "left_anti").select(  # a header and nothing else
+                F.lit(str(batch_id)).alias("run_id"), F.lit(source).alias("source_system"), "file_name", *[F.lit(0).cast("long").alias(c) for c in (
+                    "rows_processed", "rows_successful", "rows_failed")], started.alias("started_at"), F.current_timestamp().alias("completed_at"), F.lit("COMPLETED").alias("status"))
+            ledger = ledger.unionByName(runs).unionByName(without)
             ledger.write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
             rows.unpersist()
         else:
             ledger.write.mode("overwrite").parquet(f"{out}/ledger/batch={batch_id}")
 
-    return (arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start())
+    def store() -> StreamingQuery:
+        fields = ", ".join(f"{c} timestamp" if c == "ingested_at" else f"{c} string" for c in CANONICAL)
+        records = spark.readStream.schema(fields).option("cleanSource", "delete").parquet(f"{staged}/batch=*")
+        return _store_unique(records, keys, ["raw_file_reference", "ingested_at"], f"{out}/records", f"{checkpoint}/records", trigger)
 
+    reading = arriving.writeStream.foreachBatch(load).option("checkpointLocation", f"{checkpoint}/files").trigger(**trigger).start()
+    return Ingest(reading, store, at_once="availableNow" in trigger)
 
-def unseen(batch: DataFrame, keys: list[str], stored: str, batch_id: int) -> DataFrame:
-    """First row of each key of ``batch`` that no other batch below ``stored`` holds."""
-    first = batch.dropDuplicates(keys)
-    try:
-        earlier = batch.sparkSession.read.parquet(stored).where(F.col("batch") != batch_id).select(*keys)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return first
-    return first.join(earlier, keys, "left_anti")
 
+def first_of_keys(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Of a stream, the rows whose key has not come before, the first by ``order`` of those of one micro-batch.
 
-def idempotent(records: DataFrame, time: str = "ingested_at", delay: str = "1 day") -> DataFrame:
-    """Drop repeated (source, record) arrivals within the watermark; ``run_to_unique`` has no horizon."""
-    return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(["source_system", "source_record_id"])
-
+    To be run in update mode. The state holds, without a horizon, the row and the micro-batch of each key; a
+    key that comes again changes neither and is left out. Null is a key like any other.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    now = F.current_timestamp()  # the time of the micro-batch, the same when it is repeated
+    first = rows.withColumn("_batch", now).groupBy(*keys).agg(
+        F.min_by(F.struct("_batch", *rest), F.struct("_batch", *order)).alias("_row"))
+    return first.where(F.col("_row._batch") == now).select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in rest])
 
-def run_to_unique(df: DataFrame, keys: list[str], out: str, checkpoint: str) -> None:
-    """Store each key once, however late it comes again: batches are compared with what is stored."""
 
+def _store_unique(rows: DataFrame, keys: list[str], order: list[str], out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
     def save(batch: DataFrame, batch_id: int) -> None:
-        unseen(batch, keys, out, batch_id).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    df.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-
-
-STATE_SCHEMA = "status string, created_ms long, started_ms long, resolved_ms long, moves int, alerted boolean"
-OUTPUT_SCHEMA = ("case_id string, kind string, status string, created_at timestamp, started_at timestamp, "
-                 "resolved_at timestamp, moves int")
-
+        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-def _row(case_id: str, kind: str, state: list) -> dict:
-    status, created, started, resolved, moves, _ = state
-    stamp = [pd.Timestamp(v, unit="ms") if v is not None and v >= 0 else pd.NaT for v in (created, started, resolved)]
-    return {"case_id": case_id, "kind": kind, "status": status, "created_at": stamp[0], "started_at": stamp[1],
-            "resolved_at": stamp[2], "moves": moves}
+    keyed_state(rows.sparkSession)
+    return (first_of_keys(rows, keys, order).writeStream.outputMode("update").foreachBatch(save)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def case_updates(events: DataFrame, sla_hours: int = policy.SLA_HOURS, delay: str = "1 hour") -> DataFrame:
-    """Live case state per micro-batch, and one SLA alert per case that stays open too long.
+def idempotent(records: DataFrame, time: str = "ingested_at", delay: str = "1 day") -> DataFrame:
+    """Drop repeated (source, record) arrivals within the watermark; ``run_to_unique`` has no horizon."""
+    return records.withWatermark(time, delay).dropDuplicatesWithinWatermark(["source_system", "source_record_id"])
 
-    ``events``: (case_id, at, seq, to, implicit, created_at). State per case is a handful of
-    values. A micro-batch's events of one case are applied in (at, seq) order; bound them with the
-    source's per-trigger limits. The alert fires through an event-time timer at created + SLA.
-    """
-    legal = frozenset(LEGAL)
-    sla_ms = sla_hours * 3600 * 1000
-
-    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        case_id = key[0]
-        if state.hasTimedOut:
-            values = list(state.get)
-            values[5] = True
-            state.update(tuple(values))
-            if values[0] in policy.OPEN_STATUSES:
-                yield pd.DataFrame([_row(case_id, "sla_breach", values)])
-            return
-        batch = pd.concat(list(chunks)).sort_values(["at", "seq"])
-        millis = batch["at"].astype("datetime64[ms]").astype("int64")
-        values = list(state.get) if state.exists else [
-            policy.INITIAL_STATUS, int(batch["created_at"].astype("datetime64[ms]").astype("int64").iloc[0]), -1, -1, 0, False]
-        for to, implicit, ms in zip(batch["to"], batch["implicit"], millis):
-            if f"{values[0]}>{to}" not in legal or (implicit and values[0] not in ("NEW", "REOPENED")):
-                continue
-            values[0], values[4] = to, values[4] + 1
-            if to == "IN_REVIEW" and values[2] < 0:
-                values[2] = int(ms)
-            if to in policy.TERMINAL_STATUSES and values[3] < 0:
-                values[3] = int(ms)
-            if to == "REOPENED":
-                values[3] = -1
-        deadline = values[1] + sla_ms
-        rows = [_row(case_id, "state", values)]
-        if values[0] in policy.OPEN_STATUSES and not values[5]:
-            if deadline > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(deadline)
-            else:
-                values[5] = True
-                rows.append(_row(case_id, "sla_breach", values))
-        state.update(tuple(values))
-        yield pd.DataFrame(rows)
 
-    return (events.withWatermark("at", delay).groupBy("case_id")
-            .applyInPandasWithState(advance, OUTPUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.EventTimeTimeout))
+def run_to_unique(df: DataFrame, keys: list[str], out: str, checkpoint: str, order: list[str] | None = None) -> None:
+    """Store each key once, however late it comes again; of one micro-batch the first row by ``order`` (all other columns by default)."""
+    order = order or [c for c in df.columns if c not in keys]
+    _store_unique(df, keys, order, out, checkpoint, {"availableNow": True}).awaitTermination()
 
 
 def daily_reason_counts(decisions: DataFrame, time: str = "at", delay: str = "1 day") -> DataFrame:
