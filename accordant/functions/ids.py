@@ -33,6 +33,12 @@ def hash_int(c: Column, seed: int, modulus: int) -> Column:
     return head % F.lit(modulus)
 
 
+def hash_mod(c: Column, seed: int, modulus: int) -> Column:
+    """Like ``hash_int``, for moduli of up to 56 bits."""
+    head = F.conv(F.substring(shuffle_hash(c, seed), 1, 14), 16, 10).cast("long")
+    return head % F.lit(modulus)
+
+
 def sha256_mod100(c: Column) -> Column:
     """SHA-256 of the text as one big integer, modulo 100.
 

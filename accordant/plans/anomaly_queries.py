@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from accordant.operators import anomaly, metrics, outliers, profile
+from accordant.operators import anomaly, metrics, neighbours, outliers, profile
 from accordant.plans.domain import AS_OF
 from accordant.plans.oracle import hash_int
 from accordant.plans.registry import query
@@ -140,23 +141,98 @@ def anomaly_ledger(d):
     return rows.drop("evidence").withColumns({"anomaly_score": F.col("anomaly_score").cast("double"), "detected_at": F.date_format("detected_at", "yyyy-MM-dd HH:mm:ss")})
 
 
-@query("n5_isolation_forest")
+def _path(n: str) -> str:
+    return f"CASE WHEN {n} > 2 THEN 2e0 * (LN({n} - 1) + {np.euler_gamma!r}) - 2e0 * ({n} - 1) / {n}::DOUBLE WHEN {n} = 2 THEN 1e0 ELSE 0e0 END"
+
+
+def _mod(x: str, seed: int, modulus: int) -> str:
+    return f"(CAST('0x' || SUBSTR(MD5('{seed}|' || {x}), 1, 14) AS BIGINT) % {modulus})"
+
+
+def forest_sql(source: str, columns: list[str], key: str, trees: int = outliers.TREES, sample: int = outliers.SAMPLE, seed: int = 42) -> str:
+    """Expressions up to ``forest_scores`` (one row for each distinct tuple of the columns), for more than ``sample`` rows."""
+    levels, p, names = int(np.ceil(np.log2(sample))), outliers.DRAWS, ", ".join(columns)
+    parts = [f"forest_rows AS MATERIALIZED (SELECT {key} AS row_key, {_mod(f'CAST({key} AS VARCHAR)', seed, p)} AS place, {', '.join(f'COALESCE({c}, 0) AS {c}' for c in columns)} FROM {source})",
+             f"""level0 AS MATERIALIZED (SELECT tree, CAST(1 AS BIGINT) AS node, {names} FROM (SELECT tree, {names}, ROW_NUMBER() OVER (PARTITION BY tree ORDER BY
+               (place * ((tree * 7919 + {seed * 104_729 + 1_299_709}) % {p}) + tree * 15485863) % {p}, row_key) AS rn FROM forest_rows, (SELECT UNNEST(RANGE({trees})) AS tree)) WHERE rn <= {sample})"""]
+    for k in range(levels + 1):
+        spans = " UNION ALL ".join(f"SELECT tree, node, {i} AS feature, MIN({c}) AS low, MAX({c}) AS high, MD5('{seed}|' || tree || '|' || node || '|{c}') AS o FROM level{k} GROUP BY tree, node" for i, c in enumerate(columns))
+        share = f"{_mod("tree || '|' || node", seed + 1, 1 << 28)} / {float(1 << 28)!r}"
+        found = f"SELECT tree, node, MIN_BY(feature, o) AS feature, MIN_BY(low, o) AS low, MIN_BY(high, o) AS high FROM ({spans}) WHERE high > low AND {k} < {levels} GROUP BY tree, node"
+        parts.append(f"""nodes{k} AS MATERIALIZED (SELECT s.tree, s.node, COALESCE(f.feature, -1) AS feature, f.low + ({share.replace('tree', 's.tree').replace('node', 's.node')}) * (f.high - f.low) AS threshold,
+          CASE WHEN f.feature IS NULL THEN {k} + {_path('s.n')} ELSE 0e0 END AS depth
+          FROM (SELECT tree, node, COUNT(*) AS n FROM level{k} GROUP BY tree, node) s LEFT JOIN ({found}) f ON f.tree = s.tree AND f.node = s.node)""")
+        if k < levels:
+            value = "CASE n.feature " + " ".join(f"WHEN {i} THEN l.{c}" for i, c in enumerate(columns)) + " END"
+            parts.append(f"""level{k + 1} AS MATERIALIZED (SELECT l.tree, 2 * l.node + CASE WHEN {value} <= n.threshold THEN 0 ELSE 1 END AS node, {', '.join(f'l.{c}' for c in columns)}
+              FROM level{k} l JOIN nodes{k} n ON n.tree = l.tree AND n.node = l.node WHERE n.feature >= 0)""")
+    value = "CASE n.feature " + " ".join(f"WHEN {i} THEN w.{c}" for i, c in enumerate(columns)) + " END"
+    parts += [f"tree_nodes AS MATERIALIZED ({' UNION ALL '.join(f'SELECT * FROM nodes{k}' for k in range(levels + 1))})",
+              f"""walk AS (SELECT tree, CAST(1 AS BIGINT) AS node, {names} FROM (SELECT DISTINCT {names} FROM forest_rows), (SELECT UNNEST(RANGE({trees})) AS tree)
+                UNION ALL SELECT w.tree, 2 * w.node + CASE WHEN {value} <= n.threshold THEN 0 ELSE 1 END, {', '.join(f'w.{c}' for c in columns)} FROM walk w JOIN tree_nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature >= 0)""",
+              f"""forest_scores AS MATERIALIZED (SELECT {', '.join(f'w.{c}' for c in columns)}, ROUND(POWER(2e0, -(SUM(n.depth) / {trees}) / {float(outliers._expected_path(sample))!r}), 10) AS anomaly_score
+                FROM walk w JOIN tree_nodes n ON n.tree = w.tree AND n.node = w.node WHERE n.feature < 0 GROUP BY ALL)"""]
+    return "WITH RECURSIVE " + ",\n".join(parts)
+
+
+@query("n5_isolation_forest", f"""{forest_sql('events', ['value'], 'event_id')}
+    SELECT e.event_id AS point_id, e.event_type AS series, e.value, f.anomaly_score, f.anomaly_score > (SELECT QUANTILE_CONT(anomaly_score, 0.95) FROM events JOIN forest_scores USING (value)) AS isolation_forest
+    FROM events e JOIN forest_scores f ON f.value = e.value""")
 def isolation_forest(d):
     return outliers.isolation_forest(d.telemetry, ["value"], "point_id").select("point_id", "series", "value", "anomaly_score", "isolation_forest")
 
 
-@query("n5_isolation_forest_columns")
+LINE_KEY = "l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey"
+LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@query("n5_isolation_forest_columns", f"""{forest_sql('lineitem', LINE_COLUMNS, LINE_KEY)}
+    SELECT {LINE_KEY} AS row_id, f.*, f.anomaly_score > (SELECT QUANTILE_CONT(anomaly_score, 0.99) FROM lineitem JOIN forest_scores USING ({', '.join(LINE_COLUMNS)})) AS isolation_forest
+    FROM lineitem l JOIN forest_scores f USING ({', '.join(LINE_COLUMNS)})""")
 def isolation_forest_columns(d):
-    lines = d.table("lineitem").select(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("row_id"), "l_quantity", "l_extendedprice", "l_discount")
-    return outliers.isolation_forest(lines, ["l_quantity", "l_extendedprice", "l_discount"], "row_id", 0.01)
+    lines = d.table("lineitem").select(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"), *LINE_COLUMNS)
+    return outliers.isolation_forest(lines, LINE_COLUMNS, "row_id", 0.01)
+
 
+#: Neighbours of a value are among the 20 before and the 20 after it; equal gaps in the order of the values.
+LOF_SQL = """WITH ranked AS MATERIALIZED (SELECT event_id, event_type, value, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY value, event_id) AS r FROM events),
+    around AS (SELECT *, LIST({'v': value, 'r': r}) OVER (PARTITION BY event_type ORDER BY r ROWS BETWEEN 20 PRECEDING AND 20 FOLLOWING) AS w FROM ranked),
+    nearest AS MATERIALIZED (SELECT event_id, event_type, r, LIST_SORT(LIST_TRANSFORM(LIST_FILTER(w, lambda x: x.r <> r), lambda x: {'gap': ABS(x.v - value), 'r': x.r}))[1:20] AS k FROM around),
+    links AS MATERIALIZED (SELECT event_id, event_type, r, UNNEST(k).gap AS gap, UNNEST(k).r AS o FROM nearest),
+    density AS MATERIALIZED (SELECT l.event_type, l.r, 1 / (AVG(GREATEST(l.gap, n.k[-1].gap)) + 1e-10) AS lrd FROM links l JOIN nearest n ON n.event_type = l.event_type AND n.r = l.o GROUP BY l.event_type, l.r),
+    factors AS MATERIALIZED (SELECT l.event_type, l.r, ANY_VALUE(l.event_id) AS event_id, ROUND(AVG(o.lrd) / ANY_VALUE(own.lrd), 6) AS lof FROM links l JOIN density o ON o.event_type = l.event_type AND o.r = l.o
+      JOIN density own ON own.event_type = l.event_type AND own.r = l.r GROUP BY l.event_type, l.r)"""
 
-@query("n6_w7_local_outlier_factor")
+
+@query("n6_w7_local_outlier_factor", f"""{LOF_SQL}
+    SELECT f.event_id AS point_id, f.event_type AS series, e.value, f.lof, f.lof > q.q AS local_outlier_factor FROM factors f JOIN events e ON e.event_id = f.event_id
+    JOIN (SELECT event_type, QUANTILE_CONT(lof, 0.95) AS q FROM factors GROUP BY event_type) q ON q.event_type = f.event_type""")
 def local_outlier_factor(d):
     return outliers.local_outlier_factor(d.telemetry, ["series"], "value", "point_id").select("point_id", "series", "value", "lof", "local_outlier_factor")
 
 
-@query("n9_forest_evaluation")
+@query("n6_factors_over_columns", """
+    WITH p AS MATERIALIZED (SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, COALESCE(q, 0) AS z FROM part LEFT JOIN (SELECT l_partkey, SUM(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_partkey = p_partkey),
+      part_pairs AS (SELECT a.id, b.id AS o, SQRT(POWER(a.x - b.x, 2) + POWER(a.y - b.y, 2) + POWER(a.z - b.z, 2)) AS gap, b.x, b.y, b.z FROM p a JOIN p b ON a.id <> b.id),
+      links AS MATERIALIZED (SELECT id, o, gap FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY gap, x, y, z, o) AS r FROM part_pairs) WHERE r <= 20),
+      radius AS (SELECT id, MAX(gap) AS radius FROM links GROUP BY id),
+      density AS MATERIALIZED (SELECT l.id, 1 / (SUM(GREATEST(gap, radius)) / 20 + 1e-10) AS lrd FROM links l JOIN radius r ON r.id = l.o GROUP BY l.id),
+      factors AS MATERIALIZED (SELECT l.id, ROUND(SUM(o.lrd) / 20 / ANY_VALUE(own.lrd), 6) AS lof FROM links l JOIN density o ON o.id = l.o JOIN density own ON own.id = l.id GROUP BY l.id)
+    SELECT id AS p_partkey, lof, lof > (SELECT QUANTILE_CONT(lof, 0.95) FROM factors) AS local_outlier_factor FROM factors""")
+def factors_over_columns(d):
+    """Parts by size, price and quantity sold."""
+    sold = d.table("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.sum("l_quantity").alias("sold"))
+    parts = d.table("part").join(sold, "p_partkey", "left").select("p_partkey", "p_size", "p_retailprice", "sold")
+    return neighbours.local_outlier_factors(parts, ["p_size", "p_retailprice", "sold"]).select("p_partkey", "lof", "local_outlier_factor")
+
+
+@query("n9_forest_evaluation", f"""{forest_sql('events', ['value'], 'event_id')}
+    SELECT series, tp, fp, fn, tn, {REPORT} FROM (SELECT series, COUNT(*) FILTER (WHERE label = 1 AND flag) AS tp, COUNT(*) FILTER (WHERE label = 0 AND flag) AS fp, COUNT(*) FILTER (WHERE label = 1 AND NOT flag) AS fn,
+        COUNT(*) FILTER (WHERE label = 0 AND NOT flag) AS tn
+      FROM (SELECT l.series, l.label, f.anomaly_score > q.q AS flag FROM labelled l JOIN forest_scores f ON f.value = l.value JOIN (
+        SELECT series, s[CAST(FLOOR(pos) AS BIGINT) + 1] + (s[CAST(CEIL(pos) AS BIGINT) + 1] - s[CAST(FLOOR(pos) AS BIGINT) + 1]) * (pos - FLOOR(pos)) AS q
+        FROM (SELECT l.series, LIST_SORT(LIST(f.anomaly_score)) AS s, (COUNT(*) - 1) * (1 - GREATEST(AVG(l.label), 0.01)) AS pos FROM labelled l JOIN forest_scores f ON f.value = l.value GROUP BY l.series)) q
+        ON q.series = l.series) GROUP BY series)""")
 def forest_evaluation(d):
     """The forest against the labels, cut per series at its label share (at least one percent)."""
     labelled = anomaly.label_points(d.telemetry, d.windows, "series", "ts")
@@ -164,4 +240,5 @@ def forest_evaluation(d):
     scored = outliers.isolation_scores(labelled, outliers.fit_isolation_forest(d.telemetry, ["value"], "point_id"))
     flagged = outliers.flag_top_share(scored, ["series"], "anomaly_score", share, "flag")
     judged = flagged.select("series", "label", F.col("flag").cast("int").alias("prediction"))
-    return metrics.classification_report(judged, "label", "prediction", ["series"])
+    report = metrics.classification_report(judged, "label", "prediction", ["series"])
+    return report.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})

@@ -312,8 +312,10 @@ def compose(sql: str) -> str:
 
     for name in _needs(sql):
         visit(name)
+    sql = sql.strip()
     if not ordered:
-        return sql.strip()
-    recursive = "RECURSIVE " if "replay" in ordered else ""
+        return sql
+    own = re.match(r"WITH (RECURSIVE )?", sql)  # expressions that the query brings along follow the shared ones
+    recursive = "RECURSIVE " if "replay" in ordered or (own and own[1]) else ""
     body = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in ordered)
-    return f"WITH {recursive}{body}\n{sql.strip()}"
+    return f"WITH {recursive}{body},\n{sql[own.end():]}" if own else f"WITH {recursive}{body}\n{sql}"
