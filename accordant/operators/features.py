@@ -13,50 +13,78 @@ from accordant.functions.text import choose_column, flag, normalize_match, same_
 FIELDS = list(policy.FEATURE_COLUMNS)
 
 
-def pair_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs with both source records attached; pairs with a missing record are dropped.
+def fold_records(records: DataFrame, fields: list[str] = FIELDS) -> DataFrame:
+    """One row for each record id with the first record (by ``ord``) of every source, as a struct of ``fields`` or null."""
+    payload = F.struct(*fields)
+    return records.where(F.col("record_id").isNotNull()).groupBy("record_id").agg(
+        *[F.min_by(payload, F.when(F.col("source_system") == s, F.col("ord"))).alias(s) for s in policy.SOURCES])
+
+
+def normalized_records(records: DataFrame) -> DataFrame:
+    """Records with their fields in matching form, each brought there once."""
+    texts = [f for f in FIELDS if f != "system_size_kw"]
+    size = F.nanvl(F.col("system_size_kw").cast("double"), F.lit(None).cast("double")).alias("system_size_kw")
+    return records.select("source_system", "record_id", *[normalize_match(f).alias(f) for f in texts], size, "ord")
+
 
-    Records are folded to one row per id that holds the first record of every source. A pair whose
-    two records share an id (every true pair of a consistent export does) then needs one lookup;
+def attach_records(pairs: DataFrame, folded: DataFrame) -> DataFrame:
+    """Pairs with the structs ``_a`` and ``_b`` of their two records; pairs with a missing record are dropped.
+
+    A pair whose two records share an id (every true pair of a consistent export does) needs one lookup;
     only pairs of different ids are moved a second time.
     """
-    payload = F.struct(*FIELDS)
-    folded = records.where(F.col("record_id").isNotNull()).groupBy("record_id").agg(
-        *[F.min_by(payload, F.when(F.col("source_system") == s, F.col("ord"))).alias(f"_{s}") for s in policy.SOURCES])
-
     def of_source(name: str) -> Column:
         return choose_column(F.col(name), {s: F.col(f"_{s}") for s in policy.SOURCES})
 
+    renamed = folded.select(F.col("record_id").alias("_id"), *[F.col(s).alias(f"_{s}") for s in policy.SOURCES])
     same_id = F.col("record_a_id").eqNullSafe(F.col("record_b_id"))
-    by_a = folded.withColumnRenamed("record_id", "record_a_id")
+    by_a = renamed.withColumnRenamed("_id", "record_a_id")
     near = pairs.where(same_id).join(by_a, "record_a_id").select(
         *pairs.columns, of_source("source_a").alias("_a"), of_source("source_b").alias("_b"))
     half = pairs.where(~same_id).join(by_a, "record_a_id").select(*pairs.columns, of_source("source_a").alias("_a"))
-    far = half.where(F.col("_a").isNotNull()).join(
-        folded.withColumnRenamed("record_id", "record_b_id"), "record_b_id").select(
+    far = half.where(F.col("_a").isNotNull()).join(renamed.withColumnRenamed("_id", "record_b_id"), "record_b_id").select(
         *pairs.columns, "_a", of_source("source_b").alias("_b"))
-    both = near.unionByName(far).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    return near.unionByName(far).where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+
+
+def pair_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """Pairs with the fields of both source records; pairs with a missing record are dropped."""
+    both = attach_records(pairs, fold_records(records))
     return both.select(*pairs.columns, *[F.col(f"_{side}.{f}").alias(f"{f}_{side}") for side in "ab" for f in FIELDS])
 
 
+SIMILAR = {"customer_similarity": "customer_name", "installer_similarity": "installer", "address_similarity": "address"}
+
+
+def features_of(attached: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """The seven matching features of pairs with ``_a`` and ``_b`` in matching form.
+
+    Pairs whose three texts are equal or missing on either side never leave the JVM; texts that differ
+    are compared in Arrow batches.
+    """
+    def side(field: str, of: str) -> Column:
+        return F.col(f"_{of}.{field}")
+
+    def equal(field: str) -> Column:
+        return (side(field, "a") == side(field, "b")) | (side(field, "a") == "") | (side(field, "b") == "")
+
+    def same(field: str) -> Column:
+        return flag(side(field, "a") == side(field, "b")).alias(f"{field}_match")
+
+    def rows(part: DataFrame, similarity) -> DataFrame:
+        return part.select(
+            "pair_id", *keep, *[similarity(f).alias(name) for name, f in SIMILAR.items()], same("city"), same("state"),
+            F.coalesce(F.abs(side("system_size_kw", "a") - side("system_size_kw", "b")), F.lit(0.0)).alias("capacity_diff"), same("status"), "label")
+
+    settled = equal("customer_name") & equal("installer") & equal("address")
+    plain = rows(attached.where(settled), lambda f: F.when((side(f, "a") == side(f, "b")) & (side(f, "a") != ""), 1.0).otherwise(0.0))
+    compared = rows(attached.where(~settled), lambda f: jaro_winkler(side(f, "a"), side(f, "b"), normalized=True))
+    return plain.unionByName(compared)
+
+
 def pairwise_features(pairs: DataFrame, records: DataFrame, keep: list[str] = ()) -> DataFrame:
     """The seven matching features per pair; ``keep`` names pair columns to carry along."""
-    # Normalised once per record instead of once per pair and side.
-    texts = [f for f in FIELDS if f != "system_size_kw"]
-    size = F.nanvl(F.col("system_size_kw").cast("double"), F.lit(None).cast("double")).alias("system_size_kw")
-    normal = records.select("source_system", "record_id", *[normalize_match(f).alias(f) for f in texts], size, "ord")
-    joined = pair_records(pairs, normal)
-
-    def same(field: str):
-        return flag(F.col(f"{field}_a") == F.col(f"{field}_b")).alias(f"{field}_match")
-
-    similar = {"customer_similarity": "customer_name", "installer_similarity": "installer", "address_similarity": "address"}
-    return joined.select(
-        "pair_id", *keep,
-        *[jaro_winkler(f"{f}_a", f"{f}_b", normalized=True).alias(name) for name, f in similar.items()],
-        same("city"), same("state"),
-        F.coalesce(F.abs(F.col("system_size_kw_a") - F.col("system_size_kw_b")), F.lit(0.0)).alias("capacity_diff"),
-        same("status"), "label")
+    return features_of(attach_records(pairs, fold_records(normalized_records(records))), keep)
 
 
 def baseline_prediction(features: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions.ids import hash_int, pair_key, shuffle_hash, zero_pad
-from accordant.functions.text import block_key
+from accordant.functions.text import block_key, choose_column
 from accordant.operators.ranking import hash_neighbours, ordered_rank
 
 COLUMNS = ["pair_id", "source_a", "source_b", "record_a_id", "record_b_id", "master_id_a", "master_id_b", "label"]
@@ -38,9 +38,9 @@ def presence(master: DataFrame, records: DataFrame) -> DataFrame:
     return master.join(flags, "project_id")
 
 
-def _finish(df: DataFrame, label: int) -> DataFrame:
+def _finish(df: DataFrame, label: int, also: list[str] = ()) -> DataFrame:
     key = pair_key(F.col("source_a"), F.col("record_a_id"), F.col("source_b"), F.col("record_b_id"))
-    return df.withColumn("pair_id", key).withColumn("label", F.lit(label)).select(*COLUMNS)
+    return df.withColumn("pair_id", key).withColumn("label", F.lit(label)).select(*COLUMNS, *also)
 
 
 def positive_pairs(master: DataFrame, records: DataFrame) -> DataFrame:
@@ -53,7 +53,30 @@ def positive_pairs(master: DataFrame, records: DataFrame) -> DataFrame:
     return _finish(rows.select("s.*", *ids), 1)
 
 
-def _draw_sources(df: DataFrame, sources: list[str], seed: int) -> DataFrame:
+def positives_of(folded: DataFrame) -> DataFrame:
+    """Like ``positive_pairs`` from folded records, with the structs ``_a`` and ``_b`` of both: nothing is moved."""
+    combos = [F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.struct(F.lit(a).alias("source_a"), F.lit(b).alias("source_b"), F.col(a).alias("_a"), F.col(b).alias("_b")))
+              for a, b in combinations(policy.SOURCES, 2)]
+    rows = folded.select("record_id", F.explode(F.array_compact(F.array(*combos))).alias("s"))
+    ids = [F.col("record_id").alias(c) for c in ("record_a_id", "record_b_id", "master_id_a", "master_id_b")]
+    return _finish(rows.select("s.*", *ids), 1, ["_a", "_b"])
+
+
+def neighbours_of(folded: DataFrame, seed: int = 42) -> DataFrame:
+    """Folded records with ``next``, the struct of the following one in hashed order; records travel with it."""
+    return hash_neighbours(folded, [], "record_id", seed)
+
+
+def negatives_of(paired: DataFrame, seed: int = 42) -> DataFrame:
+    """Like ``negative_pairs`` from folded records with their ``next``, with the structs ``_a`` and ``_b`` of both."""
+    sides = paired.select(F.col("record_id").alias("id_a"), F.col("next.record_id").alias("id_b"),
+                          *[F.col(s).alias(f"{s}_record_a") for s in policy.SOURCES], *[F.col(f"next.{s}").alias(f"{s}_record_b") for s in policy.SOURCES])
+    held = sides.withColumns({f"{s}_{side}": F.col(f"{s}_record_{side}").isNotNull() for s in policy.SOURCES for side in "ab"})
+    payload = [choose_column(F.col(f"source_{side}"), {s: F.col(f"{s}_record_{side}") for s in policy.SOURCES}).alias(f"_{side}") for side in "ab"]
+    return _finish(_draw_sources(held, policy.SOURCES, seed, payload), 0, ["_a", "_b"])
+
+
+def _draw_sources(df: DataFrame, sources: list[str], seed: int, also: list[Column] = ()) -> DataFrame:
     """Two different sources per row, chosen by hash, kept when both hold the wanted record."""
     text = F.concat_ws("|", "id_a", "id_b")
     n = len(sources)
@@ -69,7 +92,7 @@ def _draw_sources(df: DataFrame, sources: list[str], seed: int) -> DataFrame:
 
     return drawn.where(held("a") & held("b")).select(
         "source_a", "source_b", F.col("id_a").alias("record_a_id"), F.col("id_b").alias("record_b_id"),
-        F.col("id_a").alias("master_id_a"), F.col("id_b").alias("master_id_b"))
+        F.col("id_a").alias("master_id_a"), F.col("id_b").alias("master_id_b"), *also)
 
 
 def _drawn(paired: DataFrame, carried: list[str]) -> DataFrame:
@@ -138,8 +161,10 @@ def block_filter(pairs: DataFrame, keyed: DataFrame) -> DataFrame:
 
 
 def _pairs_among(n: Column) -> Column:
-    """n (n - 1) / 2 in whole numbers."""
-    return ((n.cast("decimal(19,0)") * (n - 1).cast("decimal(19,0)")) / 2).cast("long")
+    """n (n - 1) / 2 in whole numbers, of up to 38 digits."""
+    wide = n.cast("decimal(19,0)")
+    halved = F.when(n % 2 == 0, F.floor(wide / 2) * (wide - 1)).otherwise(F.floor((wide - 1) / 2) * wide)
+    return halved.cast("decimal(38,0)")
 
 
 def block_sizes(keyed: DataFrame) -> DataFrame:
@@ -155,7 +180,7 @@ def blocking_statistics(keyed: DataFrame) -> DataFrame:
     return block_sizes(keyed).agg(
         F.count("*").alias("blocks"), total.alias("records"), F.max("records").alias("largest_block"),
         before.alias("candidates_before"), F.sum("candidates").alias("candidates_after"),
-        F.round(1 - F.sum("candidates") / before, 6).alias("reduction_ratio"))
+        F.round(1 - F.try_divide(F.sum("candidates").cast("double"), before.cast("double")), 6).alias("reduction_ratio"))
 
 
 def candidate_recall(positives: DataFrame, blocked: DataFrame) -> DataFrame:

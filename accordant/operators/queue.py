@@ -11,24 +11,15 @@ from accordant.functions.text import choose
 from accordant.functions.times import age_hours
 
 
-def linear_probability(weights: dict[str, float] = policy.STANDIN_WEIGHTS,
-                       intercept: float = policy.STANDIN_INTERCEPT) -> Column:
-    """P(match) of a logistic model as a plain expression, rounded to four decimals."""
-    z = F.lit(float(intercept))
-    for name, weight in weights.items():
-        z = z + F.lit(float(weight)) * F.coalesce(F.col(name), F.lit(0.0))
-    return round_dp(1 / (1 + F.exp(-z)), 4)
-
-
-def queue_frame(pairs: DataFrame, features: DataFrame, explained: DataFrame, probability: Column | None = None) -> DataFrame:
-    """Pairs with features, explanation, P(match), route and uncertainty."""
+def queue_frame(pairs: DataFrame, features: DataFrame, explained: DataFrame, probability: Column) -> DataFrame:
+    """Pairs with features, explanation, P(match) by the given expression over the features, route and uncertainty."""
     notes = explained.select("pair_id", "classification", "summary", "clarification")
     joined = pairs.join(features.drop("label"), "pair_id", "left").join(notes, "pair_id", "left")
     return with_route(joined, probability)
 
 
-def with_route(joined: DataFrame, probability: Column | None = None) -> DataFrame:
-    scored = joined.withColumn("match_probability", linear_probability() if probability is None else probability)
+def with_route(joined: DataFrame, probability: Column) -> DataFrame:
+    scored = joined.withColumn("match_probability", probability)
     return (scored.withColumn("route", route(F.col("match_probability")))
             .withColumn("uncertainty", uncertainty(F.col("match_probability"))))
 

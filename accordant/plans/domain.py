@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from accordant import policy
 from accordant.functions.ids import pair_key, zero_pad
 from accordant.functions.text import choose
-from accordant.operators import align, explain, features, pairs, queue
+from accordant.operators import align, explain, features, metrics, models, pairs, queue
 from accordant.operators.cases import annotate, case_states
 from accordant.operators.evidence import correction_proposals, evidence
 from accordant.session import durable
@@ -155,15 +155,34 @@ class Domain:
     def pairs(self) -> DataFrame:
         return self.positives.unionByName(self.negatives)
 
+    @cached_property
+    def folded(self) -> DataFrame:
+        """One row per record id with its record of every source in matching form."""
+        return durable(features.fold_records(features.normalized_records(self.records)))
+
+    @cached_property
+    def attached(self) -> DataFrame:
+        """Pairs with both of their records, from one pass over the folded ones."""
+        return pairs.positives_of(self.folded).unionByName(pairs.negatives_of(pairs.neighbours_of(self.folded)))
+
     @cached_property
     def pair_features(self) -> DataFrame:
         """Features with the columns of their pair."""
-        return features.pairwise_features(self.pairs, self.staged_records, keep=pairs.COLUMNS[1:-1])
+        return features.features_of(self.attached, keep=pairs.COLUMNS[1:-1])
+
+    @cached_property
+    def staged_features(self) -> DataFrame:
+        return durable(self.pair_features)
 
     @cached_property
     def features(self) -> DataFrame:
         return self.pair_features.drop(*pairs.COLUMNS[1:-1])
 
+    @cached_property
+    def matcher(self) -> models.LinearModel:
+        """The matching model, fitted on the pairs whose two entities are on the training side."""
+        return models.fit_newton(metrics.entity_split(self.staged_features).where("split = 'train'"))
+
     @cached_property
     def explained(self) -> DataFrame:
         return explain.explain_pairs(self.features)
@@ -171,7 +190,7 @@ class Domain:
     @cached_property
     def queue(self) -> DataFrame:
         """Scored queue in one pass over the pairs; every pair here has both of its records."""
-        return queue.with_route(explain.explain_pairs(self.pair_features))
+        return queue.with_route(explain.explain_pairs(self.staged_features), self.matcher.match_probability())
 
     @cached_property
     def enriched(self) -> DataFrame:

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions import similarity, text
-from accordant.operators import explain, features, kpi, metrics, models, pairs, quality, queue
+from accordant.operators import explain, features, forest, kpi, metrics, models, pairs, quality, queue
 from accordant.plans.domain import AS_OF
-from accordant.plans.oracle import hash_int, jw, norm, pair_key, rnd
+from accordant.plans.model_sql import linear_sql, newton_sql, random_forest_sql
+from accordant.plans.oracle import CTES, TRAIN_SIDE, hash_int, jw, norm, pair_key, rnd
 from accordant.plans.registry import query
 from accordant.session import durable, scratch_path
 
@@ -64,7 +69,7 @@ def blocked_candidates(d):
 
 @query("a27_block_sizes", "SELECT LOWER(state) || '_' || LOWER(city) AS block_key, COUNT(*) AS records, CAST(COUNT(*) * (COUNT(*) - 1) // 2 AS BIGINT) AS candidates FROM master GROUP BY 1")
 def block_sizes(d):
-    return pairs.block_sizes(pairs.with_block_keys(d.master))
+    return pairs.block_sizes(pairs.with_block_keys(d.master)).withColumn("candidates", F.col("candidates").cast("long"))
 
 
 @query("a27_blocking_statistics", """
@@ -72,7 +77,8 @@ def block_sizes(d):
       SUM(n * (n - 1) // 2)::BIGINT AS candidates_after, ROUND(1 - SUM(n * (n - 1) // 2) / (SUM(n) * (SUM(n) - 1) / 2e0), 6) AS reduction_ratio
     FROM (SELECT state, city, COUNT(*) AS n FROM master GROUP BY ALL)""")
 def blocking_statistics(d):
-    return pairs.blocking_statistics(pairs.with_block_keys(d.master))
+    found = pairs.blocking_statistics(pairs.with_block_keys(d.master))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("candidates_before", "candidates_after")})
 
 
 @query("a27_candidate_recall", """
@@ -220,7 +226,7 @@ def feedback_rows(d):
 
 @query("r6_j1_j2_queue", "SELECT pair_id, source_a, source_b, classification, match_probability, route, uncertainty FROM queue")
 def queue_frame(d):
-    frame = queue.queue_frame(d.pairs, d.features, d.explained)
+    frame = queue.queue_frame(d.pairs, d.staged_features.drop(*pairs.COLUMNS[1:-1]), explain.explain_pairs(d.staged_features), d.matcher.match_probability())
     return frame.select("pair_id", "source_a", "source_b", "classification", "match_probability", "route", "uncertainty")
 
 
@@ -273,9 +279,15 @@ def queue_display(d):
         sla_text(F.col("age_days"), F.col("sla_breach"), policy.SLA_HOURS).alias("sla"), "priority")
 
 
-@query("p6_search", "SELECT 'project' AS kind, project_id AS id FROM master WHERE project_id = 'PRJ-00000123'")
+SOUGHT = [f"PAIR-{hashlib.md5(b'crm|PRJ-00000123|erp|PRJ-00000123').hexdigest().upper()}", "PRJ-00000123", "nothing of that name"]
+
+
+@query("p6_search", f"""
+    SELECT 'pair' AS kind, pair_id AS id FROM pairs WHERE pair_id IN ({", ".join(f"'{x}'" for x in SOUGHT)})
+    UNION ALL SELECT 'project', project_id FROM master WHERE project_id IN ({", ".join(f"'{x}'" for x in SOUGHT)})""")
 def search(d):
-    return queue.search(d.pairs, d.master, "PRJ-00000123")
+    """A pair id, a project id and a text that is neither."""
+    return reduce(DataFrame.unionByName, [queue.search(d.pairs, d.master, x) for x in SOUGHT])
 
 
 @query("p7_pairs_of_project", "SELECT pair_id, source_a, source_b, label FROM pairs WHERE record_a_id = 'PRJ-00000123' OR record_b_id = 'PRJ-00000123'")
@@ -321,7 +333,7 @@ def prediction_ledger(d):
 
 @query("m12_linear_scores", "SELECT pair_id, match_probability FROM queue")
 def linear_scores(d):
-    return d.features.select("pair_id", queue.linear_probability().alias("match_probability"))
+    return d.staged_features.select("pair_id", d.matcher.match_probability().alias("match_probability"))
 
 
 # Metrics and splits -----------------------------------------------------------------------------------------
@@ -389,7 +401,7 @@ def stratified_split(d):
     return metrics.stratified_split(d.pairs.select("pair_id", "label"), "label", "pair_id")
 
 
-ENTITY_SIDE = f"{hash_int('{}', 42, 1000)} < 700"
+ENTITY_SIDE = TRAIN_SIDE
 
 
 @query("m7_j11_entity_split", f"""SELECT split, label, COUNT(*) AS pairs FROM (SELECT label, CASE WHEN {ENTITY_SIDE.format('master_id_a')} THEN 'train' ELSE 'test' END AS split FROM pairs
@@ -455,32 +467,65 @@ def text_pair_features(d):
 
 # Models --------------------------------------------------------------------------------------------------------
 
+SPLIT_SQL = """split_rows AS MATERIALIZED (SELECT f.*, CASE WHEN ROW_NUMBER() OVER (PARTITION BY label ORDER BY MD5('42|' || pair_id), pair_id) <= FLOOR(COUNT(*) OVER (PARTITION BY label) * 0.7e0) THEN 'train' ELSE 'test' END AS split FROM features f),
+  train_rows AS MATERIALIZED (SELECT * FROM split_rows WHERE split = 'train'), test_rows AS (SELECT * FROM split_rows WHERE split = 'test')"""
+LOGISTIC_SQL = f"""WITH {SPLIT_SQL}, logistic AS MATERIALIZED ({newton_sql('train_rows', policy.FEATURES)}),
+  judged AS MATERIALIZED (SELECT t.pair_id, t.label, ROUND({linear_sql(policy.FEATURES)}, 8) AS probability FROM test_rows t, logistic m)"""
+JUDGED_REPORT = f"""SELECT tp, fp, fn, tn, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1, ROUND(roc_auc, 6) AS roc_auc
+  FROM (SELECT {COUNTS.format(p='probability >= 0.5')} FROM judged),
+    (SELECT (SUM(label * r) - SUM(label) * (SUM(label) + 1) / 2e0) / (SUM(label) * (COUNT(*) - SUM(label))) AS roc_auc
+     FROM (SELECT label, RANK() OVER (ORDER BY probability) + (COUNT(*) OVER (PARTITION BY probability) - 1) / 2e0 AS r FROM judged))"""
+#: Size of the forest of the queries; the library's default is 100 trees.
+TREES, DEPTH = 20, 6
+
+
 def _split(d):
-    split = durable(metrics.stratified_split(durable(d.features), "label", "pair_id"))
+    split = durable(metrics.stratified_split(d.staged_features, "label", "pair_id"))
     return split.where("split = 'train'"), split.where("split = 'test'")
 
 
-@query("m8_logistic_regression")
+def _evaluated(scored):
+    return _six(models.evaluate(scored)).withColumn("roc_auc", F.round("roc_auc", 6))
+
+
+@query("m8_logistic_regression", f"{LOGISTIC_SQL} {JUDGED_REPORT}")
 def logistic_regression(d):
     train, test = _split(d)
-    return models.evaluate(models.score(test, models.fit_logistic(train)))
+    return _evaluated(models.score(test, models.fit_newton(train)))
+
+
+@query("m8_coefficients", f"""WITH {SPLIT_SQL}, logistic AS MATERIALIZED ({newton_sql('train_rows', policy.FEATURES)})
+    SELECT UNNEST(['(intercept)', {', '.join(f"'{f}'" for f in policy.FEATURES)}]) AS name, ROUND(UNNEST([{', '.join(f'b{i}' for i in range(len(policy.FEATURES) + 1))}]), 6) AS value, TRUE AS settled FROM logistic""")
+def coefficients(d):
+    """The coefficients, and whether the gradient vanishes there."""
+    model = models.fit_newton(_split(d)[0])
+    rows = [("(intercept)", round(model.intercept, 6)), *((f, round(w, 6)) for f, w in zip(model.features, model.weights))]
+    return d.spark.createDataFrame(rows, "name string, value double").withColumn("settled", F.lit(model.gradient < 1e-9))
 
 
-@query("m9_random_forest")
+@query("m9_random_forest", f"""{random_forest_sql('train_rows', 'test_rows', 'pair_id', policy.FEATURES, TREES, DEPTH).replace('WITH RECURSIVE ', f'WITH RECURSIVE {SPLIT_SQL}, ')},
+    judged AS (SELECT t.label, f.probability FROM test_rows t JOIN forest_probability f ON f.pair_id = t.pair_id) {JUDGED_REPORT}""")
 def random_forest(d):
     train, test = _split(d)
-    return models.evaluate(models.score(test, models.fit_forest(train)))
+    return _evaluated(forest.score(test, forest.fit_forest(train, trees=TREES, depth=DEPTH)))
+
+
+@query("m9_forest_probabilities", f"""{random_forest_sql('train_rows', 'test_rows', 'pair_id', policy.FEATURES, TREES, DEPTH).replace('WITH RECURSIVE ', f'WITH RECURSIVE {SPLIT_SQL}, ')}
+    SELECT pair_id, probability FROM forest_probability""")
+def forest_probabilities(d):
+    train, test = _split(d)
+    return forest.score(test, forest.fit_forest(train, trees=TREES, depth=DEPTH)).select("pair_id", "probability")
 
 
-@query("m10_m11_stored_model")
+@query("m10_m11_stored_model", f"""{LOGISTIC_SQL} SELECT pair_id, {rnd('probability', 4)} AS match_probability, 7::BIGINT AS features, (SELECT COUNT(*) FROM train_rows) AS training_rows FROM judged""")
 def stored_model(d):
+    """Scores of a model that was stored and loaded again, with what its metadata says."""
     train, test = _split(d)
     path = scratch_path(d.spark, "model")
-    model = models.fit_logistic(train)
+    model = models.fit_newton(train)
     report = models.evaluate(models.score(test, model)).first()
     names = ("precision", "recall", "f1", "roc_auc")
     models.save_model(d.spark, model, path, train.count(), "2024-02-01", {n: round(float(report[n]), 4) for n in names})
     loaded, meta = models.load_model(d.spark, path)
-    same = models.score(test, loaded).withColumn("expression", models.probability_of(loaded))
-    gap = same.agg(F.max(F.abs(F.col("match_probability") - F.col("expression")))).scalar()
-    return meta.withColumn("expression_gap", gap).select("model_name", "model_version", "features", "training_rows", "metrics", "expression_gap")
+    row = meta.first()
+    return models.score(test, loaded).select("pair_id", "match_probability", F.lit(len(row["features"])).cast("long").alias("features"), F.lit(row["training_rows"]).alias("training_rows"))

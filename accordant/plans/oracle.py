@@ -11,6 +11,7 @@ from accordant import policy
 from accordant.operators.cases import LEGAL
 from accordant.operators.explain import CLARIFICATIONS, DEFAULT_CLARIFICATION, NOTHING_FOUND
 from accordant.plans.domain import AS_OF
+from accordant.plans.model_sql import linear_sql, newton_sql
 
 
 def rnd(x: str, digits: int) -> str:
@@ -64,8 +65,10 @@ STREETS = "['Harbor','Juniper','Quarry','Sunset','Willow']"
 WAYS = "['Court','Lane','Road','Street','Way']"
 STATUSES = "['Completed','In Progress','Pending','On Hold']"
 
-_WEIGHTED = " + ".join(f"({w}) * COALESCE({f}, 0)" for f, w in policy.STANDIN_WEIGHTS.items())
-PROBABILITY = rnd(f"1 / (1 + EXP(-(({policy.STANDIN_INTERCEPT}) + {_WEIGHTED})))", 4)
+PROBABILITY = rnd(linear_sql(policy.FEATURES), 4)
+
+#: Which side of the entity split an entity is on.
+TRAIN_SIDE = f"{hash_int('{}', 42, 1000)} < 700"
 
 
 def _low(column: str, label: str) -> str:
@@ -190,6 +193,9 @@ CTES: dict[str, str] = {
         CASE WHEN a.status = b.status THEN 1e0 ELSE 0e0 END AS status_match, label
       FROM pairs p JOIN normed a ON a.source_system = p.source_a AND a.record_id = p.record_a_id
       JOIN normed b ON b.source_system = p.source_b AND b.record_id = p.record_b_id""",
+    "entity_train": f"""
+      SELECT f.* FROM features f JOIN pairs p ON p.pair_id = f.pair_id WHERE {TRAIN_SIDE.format('p.master_id_a')} AND {TRAIN_SIDE.format('p.master_id_b')}""",
+    "matcher": newton_sql("entity_train", policy.FEATURES),
     "explained": f"""
       SELECT *, {case_of('classification', CLARIFICATIONS, f"'{DEFAULT_CLARIFICATION}'")} AS clarification, {SUMMARY} AS summary
       FROM (SELECT *, CASE WHEN customer_similarity < 0.5 THEN 'ENTITY_MISMATCH' WHEN capacity_diff > 2.0 THEN 'NUMERIC_CONFLICT'
@@ -199,7 +205,7 @@ CTES: dict[str, str] = {
       SELECT *, CASE WHEN match_probability >= 0.9 THEN 'AUTO_MATCH' WHEN match_probability < 0.3 THEN 'NON_MATCH' ELSE 'MANUAL_REVIEW' END AS route,
         {rnd('0.5 - ABS(match_probability - 0.5)', 4)} AS uncertainty
       FROM (SELECT p.source_a, p.source_b, p.record_a_id, p.record_b_id, p.master_id_a, p.master_id_b, e.*, {PROBABILITY} AS match_probability
-            FROM pairs p LEFT JOIN explained e ON e.pair_id = p.pair_id)""",
+            FROM matcher m, pairs p LEFT JOIN explained e ON e.pair_id = p.pair_id)""",
     "enriched": f"""
       SELECT q.*, COALESCE(c.status, 'NEW') AS case_status, COALESCE({rnd('c.age_hours / 24', 1)}, 0e0) AS age_days,
         {case_of('classification', policy.SEVERITY_OF_CLASS, "'LOW'")} AS severity, COALESCE(c.sla_breach, FALSE) AS sla_breach,
@@ -293,6 +299,10 @@ CTES: dict[str, str] = {
 }
 
 
+#: Expressions that several others read.
+STORED = {"features", "matcher", "queue"}
+
+
 def _needs(sql: str) -> list[str]:
     words = set(re.findall(r"[a-z_]+", sql))
     return [name for name in CTES if name in words and re.search(rf"\b(?:FROM|JOIN)\s+{name}\b|,\s*{name}\b", sql)]
@@ -317,5 +327,5 @@ def compose(sql: str) -> str:
         return sql
     own = re.match(r"WITH (RECURSIVE )?", sql)  # expressions that the query brings along follow the shared ones
     recursive = "RECURSIVE " if "replay" in ordered or (own and own[1]) else ""
-    body = ",\n".join(f"{name} AS ({CTES[name].strip()})" for name in ordered)
+    body = ",\n".join(f"{name} AS {'MATERIALIZED ' * (name in STORED)}({CTES[name].strip()})" for name in ordered)
     return f"WITH {recursive}{body},\n{sql[own.end():]}" if own else f"WITH {recursive}{body}\n{sql}"

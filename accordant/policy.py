@@ -172,15 +172,3 @@ AUDIT_COLUMNS = [
 HANDOFF_COLUMNS = [
     "case_id", "field", "old_value", "new_value", "authority_source", "proposed_by", "synced_at",
 ]
-
-# Our own stand-in for a fitted model, for scoring without a stored artifact.
-STANDIN_INTERCEPT = -2.6
-STANDIN_WEIGHTS = {
-    "customer_similarity": 2.2,
-    "installer_similarity": 1.9,
-    "address_similarity": 1.6,
-    "city_match": 0.4,
-    "state_match": 0.7,
-    "capacity_diff": -0.45,
-    "status_match": 1.3,
-}
