@@ -121,6 +121,27 @@ def quantiles_of_counts(counted: DataFrame, keys: list[str], value: str, count:
         for name in probabilities])
 
 
+def quantile_sketches(df: DataFrame, keys: list[str], value: str, k: int = 800) -> DataFrame:
+    """Mergeable sketches (keys, ``sketch``) of a column, for approximate quantiles on request.
+
+    A rank that ``sketch_quantiles`` answers is off by at most about 2.3 / ``k`` ** 0.9 of the rows (0.6 % for 800)
+    in 99 of 100 cases; a sketch takes some ``k`` * 10 bytes, however many rows it has seen.
+    """
+    number = F.col(value).cast("double")
+    clean = df.where(number.isNotNull() & ~F.isnan(number))
+    return clean.groupBy(*keys).agg(F.kll_sketch_agg_double(number, k).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """Sketches of finer groups (hours, days, files) merged to those of ``keys``."""
+    return sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+    """Approximate quantiles, one column per entry of ``probabilities``."""
+    return sketches.select(*keys, *[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(n) for n, p in probabilities.items()])
+
+
 def halo_buckets(df: DataFrame, rank: str, size: int, before: int, after: int) -> DataFrame:
     """Assign ranked rows to runs of ``size`` rows and copy the edge rows neighbours need.
 

@@ -282,6 +282,23 @@ def exact_quantiles(d):
     return q.withColumns({c: F.round(c, 4) for c in ("p01", "p50", "p99")})
 
 
+@query("a9_sketched_quantiles", """
+    SELECT l_returnflag, UNNEST([0.01e0, 0.5e0, 0.99e0]) AS probability, COUNT(*) AS rows, TRUE AS within FROM lineitem GROUP BY l_returnflag""")
+def sketched_quantiles(d):
+    """Approximate quantiles from merged monthly sketches: are their true ranks within one percent?"""
+    from accordant.operators import ranking
+
+    lines = d.table("lineitem").select("l_returnflag", F.date_trunc("month", "l_shipdate").alias("month"), "l_extendedprice")
+    merged = ranking.merge_sketches(ranking.quantile_sketches(lines, ["l_returnflag", "month"], "l_extendedprice"), ["l_returnflag"])
+    points = {"p01": 0.01, "p50": 0.5, "p99": 0.99}
+    found = ranking.sketch_quantiles(merged, ["l_returnflag"], points)
+    judged = lines.join(found, "l_returnflag").groupBy("l_returnflag").agg(F.count("*").alias("rows"), *[
+        f.alias(f"{n}_{side}") for n in points for side, f in (("upto", F.count_if(F.col("l_extendedprice") <= F.col(n))), ("below", F.count_if(F.col("l_extendedprice") < F.col(n))))])
+    rows = F.array(*[F.struct(F.lit(p).alias("probability"), ((F.col(f"{n}_below") <= (p + 0.01) * F.col("rows")) & (F.col(f"{n}_upto") >= (p - 0.01) * F.col("rows"))).alias("within"))
+                     for n, p in points.items()])
+    return judged.select("l_returnflag", "rows", F.explode(rows).alias("r")).select("l_returnflag", "rows", "r.*")
+
+
 @query("a10_missing_cells", """
     SELECT * FROM (SELECT 'customer_name' AS "column", COUNT(*) FILTER (WHERE customer_name IS NULL) AS missing, COUNT(*) AS rows FROM records
     UNION ALL SELECT 'installer', COUNT(*) FILTER (WHERE installer IS NULL), COUNT(*) FROM records UNION ALL SELECT 'address', COUNT(*) FILTER (WHERE address IS NULL), COUNT(*) FROM records

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.functions import similarity, text
-from accordant.operators import explain, features, forest, kpi, metrics, models, pairs, quality, queue
+from accordant.operators import explain, features, forest, kpi, metrics, models, pairs, quality, queue, queue_store
 from accordant.plans.domain import AS_OF
 from accordant.plans.model_sql import linear_sql, newton_sql, random_forest_sql
 from accordant.plans.oracle import CTES, TRAIN_SIDE, hash_int, jw, norm, pair_key, rnd
@@ -235,6 +235,17 @@ def route_shares(d):
     return kpi.shares(d.queue, "route")
 
 
+@query("r6_updated_queue", "SELECT pair_id, label, classification, match_probability, route, uncertainty FROM queue")
+def updated_queue(d):
+    """A queue stored from older records, of which one in a hundred projects has changed or is missing, brought up to date."""
+    old = d.records.where((F.col("ord") % 200 != 7) | (F.col("source_system") != "partner")).withColumn(
+        "customer_name", F.when(F.col("ord") % 100 == 7, F.concat("customer_name", F.lit(" old"))).otherwise(F.col("customer_name"))).where(F.col("ord") % 500 != 11)
+    root = scratch_path(d.spark, "queue")
+    queue_store.build(old, d.matcher, root)
+    queue_store.update(d.records, d.matcher, root)
+    return queue_store.read(d.spark, root).select("pair_id", "label", "classification", "match_probability", "route", "uncertainty")
+
+
 @query("r7_j12_enriched_queue", "SELECT pair_id, case_status, age_days, severity, sla_breach, priority FROM enriched")
 def enriched_queue(d):
     return d.enriched.select("pair_id", "case_status", "age_days", "severity", "sla_breach", "priority")
@@ -386,15 +397,6 @@ def error_rows(d):
     return metrics.error_rows(d.scored, "label", "prediction").select("doc_id", "label", "prediction", "error")
 
 
-@query("m13_model_report", f"""
-    SELECT model, lang, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1 FROM (SELECT model, lang, {COUNTS.format(p='p')} FROM
-      (SELECT 'half' AS model, lang, label, score >= 0.5 AS p FROM scored UNION ALL SELECT 'strict', lang, label, score >= 0.7 FROM scored) GROUP BY ALL)""")
-def model_report(d):
-    both = d.scored.withColumn("m", F.explode(F.array(F.struct(F.lit("half").alias("model"), F.lit(0.5).alias("cut")), F.struct(F.lit("strict").alias("model"), F.lit(0.7).alias("cut")))))
-    judged = both.select("lang", "label", "m.model", (F.col("score") >= F.col("m.cut")).cast("int").alias("prediction"))
-    return _six(metrics.classification_report(judged, "label", "prediction", ["model", "lang"])).select("model", "lang", "precision", "recall", "f1")
-
-
 @query("m6_w6_stratified_split", """
     SELECT pair_id, label, CASE WHEN ROW_NUMBER() OVER (PARTITION BY label ORDER BY MD5('42|' || pair_id), pair_id) <= FLOOR(COUNT(*) OVER (PARTITION BY label) * 0.7e0) THEN 'train' ELSE 'test' END AS split FROM pairs""")
 def stratified_split(d):
@@ -529,3 +531,32 @@ def stored_model(d):
     loaded, meta = models.load_model(d.spark, path)
     row = meta.first()
     return models.score(test, loaded).select("pair_id", "match_probability", F.lit(len(row["features"])).cast("long").alias("features"), F.lit(row["training_rows"]).alias("training_rows"))
+
+
+HARD_FEATURES = CTES["features"].replace("FROM pairs p", f"FROM ({_hard_sql()}) p")
+EVALUATION_SQL = f"""WITH RECURSIVE sided AS MATERIALIZED (SELECT f.*, {TRAIN_SIDE.format('p.master_id_a')} AS a, {TRAIN_SIDE.format('p.master_id_b')} AS b FROM features f JOIN pairs p ON p.pair_id = f.pair_id),
+  train_rows AS MATERIALIZED (SELECT * FROM sided WHERE a AND b),
+  hard AS MATERIALIZED (SELECT f.*, {TRAIN_SIDE.format('p.master_id_a')} AS a, {TRAIN_SIDE.format('p.master_id_b')} AS b FROM ({HARD_FEATURES}) f JOIN ({_hard_sql()}) p ON p.pair_id = f.pair_id),
+  asked AS MATERIALIZED (SELECT 'random' AS evaluation, * FROM sided WHERE NOT a AND NOT b UNION ALL SELECT 'hard', * FROM sided WHERE NOT a AND NOT b AND label = 1 UNION ALL SELECT 'hard', * FROM hard WHERE NOT a AND NOT b),
+  test_rows AS MATERIALIZED (SELECT *, evaluation || pair_id AS asked_id FROM asked), logistic AS MATERIALIZED ({newton_sql('train_rows', policy.FEATURES)})"""
+
+
+@query("m13_model_report", f"""{random_forest_sql('train_rows', 'test_rows', 'asked_id', policy.FEATURES, TREES, DEPTH).replace('WITH RECURSIVE ', EVALUATION_SQL + ', ')},
+    judged AS (SELECT evaluation, 'baseline' AS model, label, (customer_similarity + installer_similarity + address_similarity + city_match + state_match) / 5 >= 0.8 AS p FROM test_rows
+      UNION ALL SELECT evaluation, 'logistic', label, ROUND({linear_sql(policy.FEATURES)}, 8) >= 0.5 FROM test_rows t, logistic m
+      UNION ALL SELECT evaluation, 'forest', label, probability >= 0.5 FROM test_rows t JOIN forest_probability f ON f.asked_id = t.asked_id)
+    SELECT model, evaluation, ROUND({REPORT[0]}, 6) AS precision, ROUND({REPORT[1]}, 6) AS recall, ROUND({REPORT[2]}, 6) AS f1 FROM (SELECT model, evaluation, {COUNTS.format(p='p')} FROM judged GROUP BY ALL)""")
+def model_report(d):
+    """Fitted models and the baseline on pairs of unseen entities, with random and with hard negatives."""
+    side = metrics.entity_split(d.staged_features)
+    train, test = side.where("split = 'train'"), side.where("split = 'test'")
+    hard = pairs.hard_negative_pairs(d.staged, d.staged_records)
+    hard = metrics.entity_split(features.features_of(features.attach_records(hard, d.folded), keep=pairs.COLUMNS[1:-1])).where("split = 'test'")
+    kept = ["pair_id", *policy.FEATURES, "label"]
+    asked = durable(test.select(F.lit("random").alias("evaluation"), *kept).unionByName(test.where("label = 1").select(F.lit("hard").alias("evaluation"), *kept))
+                    .unionByName(hard.select(F.lit("hard").alias("evaluation"), *kept)))
+    scored = [features.baseline_prediction(asked).withColumn("model", F.lit("baseline")),
+              models.score(asked, d.matcher).withColumn("model", F.lit("logistic")),
+              forest.score(asked, forest.fit_forest(train, trees=TREES, depth=DEPTH)).withColumn("model", F.lit("forest"))]
+    judged = reduce(DataFrame.unionByName, [s.select("model", "evaluation", "label", "prediction") for s in scored])
+    return _six(metrics.classification_report(judged, "label", "prediction", ["model", "evaluation"])).select("model", "evaluation", "precision", "recall", "f1")

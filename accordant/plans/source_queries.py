@@ -6,12 +6,16 @@ operator under test.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordant import policy, schemas
-from accordant.operators import cases
+from accordant.operators import cases, explain
 from accordant.plans import evidence_queries
 from accordant.plans.domain import AS_OF
+from accordant.plans.match_queries import SIMULATED
 from accordant.plans.registry import query
 from accordant.session import scratch_path
 from accordant.sources import files, warehouse
@@ -152,20 +156,41 @@ def handoff_file(d):
     return read.groupBy("field", "authority_source").agg(F.count("*").alias("corrections"))
 
 
-@query("s12_warehouse_refresh", """
-    SELECT 'projects' AS table_name, COUNT(*) AS rows, CAST(SUM(CAST(system_size_kw AS DECIMAL(10,2))) AS DOUBLE) AS total FROM master
-    UNION ALL SELECT 'source_records', COUNT(*), COUNT(record_id)::DOUBLE FROM records UNION ALL SELECT 'entity_matches', COUNT(*), SUM(label)::DOUBLE FROM pairs
-    UNION ALL SELECT 'documents', COUNT(*), COUNT(DISTINCT signing_status)::DOUBLE FROM document""")
+def _content(*columns: str) -> str:
+    """Order-free digest of columns: the sum of a part of each row's MD5."""
+    return f"SUM(CAST('0x' || SUBSTR(MD5(CONCAT_WS('|', {', '.join(columns)})), 1, 8) AS BIGINT))::BIGINT"
+
+
+WAREHOUSE_ROWS = {
+    "projects": ("master", ["project_id", "customer_name", "installer", "CAST(CAST(system_size_kw AS DECIMAL(10,2)) AS VARCHAR)", "address", "city", "state", "postcode", "status"]),
+    "source_records": ("records", ["source_system", "record_id"]),
+    "entity_matches": ("pairs", ["pair_id", "source_a", "source_b", "record_a_id", "record_b_id", "CAST(label AS VARCHAR)"]),
+    "model_predictions": ("explained", ["'ai_reviewer'", "'v1.0'", "classification", "'0.5000'"]),
+    "reviewer_feedback": (SIMULATED, ["pair_id", "decision", "reason", "'v1.0'"]),
+}
+
+
+@query("s12_warehouse_refresh", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS rows, {_content(*columns)} AS content FROM {source}" for name, (source, columns) in WAREHOUSE_ROWS.items()))
 def warehouse_refresh(d):
+    """Five tables, two of them refreshed a second time."""
     root = scratch_path(d.spark, "warehouse")
     records = d.records.select("source_system", F.col("record_id").alias("source_record_id"), F.col("record_id").alias("master_project_id"))
-    warehouse.refresh({"projects": d.master, "source_records": records, "entity_matches": d.pairs, "documents": d.document}, root)
+    predictions = d.explained.select(F.lit("ai_reviewer").alias("model_name"), F.lit("v1.0").alias("model_version"), F.col("classification").alias("prediction"), F.lit(0.5).alias("probability"))
+    feedback = explain.simulate_decisions(d.explained, AS_OF).select("pair_id", F.col("decision").alias("reviewer_decision"), F.col("reason").alias("reviewer_reason"), "model_version")
+    warehouse.refresh({"projects": d.master, "source_records": records.limit(0), "entity_matches": d.pairs, "model_predictions": predictions, "reviewer_feedback": feedback.limit(0)}, root)
+    warehouse.refresh({"source_records": records, "reviewer_feedback": feedback}, root)
 
-    def stored(name, total):
-        return warehouse.read(d.spark, root, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"), total.cast("double").alias("total"))
+    def stored(name, *columns):
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", *columns)), 1, 8), 16, 10).cast("long")
+        return warehouse.read(d.spark, root, name).agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"), F.sum(digest).alias("content"))
 
-    return (stored("projects", F.sum("system_size_kw")).unionByName(stored("source_records", F.count("source_record_id")))
-            .unionByName(stored("entity_matches", F.sum("label"))).unionByName(stored("documents", F.count_distinct("signing_status"))))
+    return reduce(DataFrame.unionByName, [
+        stored("projects", "project_id", "customer_name", "installer", "system_size_kw", "address", "city", "state", "postcode", "status"),
+        stored("source_records", "source_system", "source_record_id"),
+        stored("entity_matches", "pair_id", "source_a", "source_b", "record_a_id", "record_b_id", "label"),
+        stored("model_predictions", "model_name", "model_version", "prediction", "probability"),
+        stored("reviewer_feedback", "pair_id", "reviewer_decision", "reviewer_reason", "model_version")])
 
 
 @query("s13_ingestion_runs", """
@@ -176,6 +201,18 @@ def ingestion_runs(d):
     return files.ingestion_runs(records, "run-1", _at(), _at()).drop("started_at", "completed_at")
 
 
+@query("s13_ledger_of_the_write", """
+    SELECT 'run-2' AS run_id, source_system, source_system || '.csv' AS file_name, COUNT(*) AS rows_processed, COUNT(record_id) AS rows_successful, COUNT(*) - COUNT(record_id) AS rows_failed,
+      CASE WHEN COUNT(*) = COUNT(record_id) THEN 'COMPLETED' ELSE 'COMPLETED_WITH_ERRORS' END AS status, (SELECT COUNT(record_id) FROM records WHERE source_system IN ('crm', 'erp')) AS written
+    FROM records WHERE source_system IN ('crm', 'erp') GROUP BY source_system""")
+def ledger_of_the_write(d):
+    """The ledger counted while the records are written, in one scan of the exports."""
+    records, _ = files.ingest(d.spark, _export(d, ["crm", "erp"]), _at())
+    path = scratch_path(d.spark, "ingested")
+    ledger = files.write_with_ledger(records, path, "run-2", _at(), _at(), {"crm": "crm.csv", "erp": "erp.csv"})
+    return ledger.drop("started_at", "completed_at").withColumn("written", F.lit(d.spark.read.parquet(path).count()))
+
+
 @query("s14_exported_view", "SELECT pair_id, route, match_probability FROM queue WHERE route = 'MANUAL_REVIEW'")
 def exported_view(d):
     from accordant.operators.queue import queue_view

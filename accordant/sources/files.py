@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -170,3 +170,21 @@ def ingestion_runs(records: DataFrame, run_id: str, started: Column, completed:
     ).select(F.lit(run_id).alias("run_id"), "source_system", "file_name", "rows_processed", "rows_successful", "rows_failed",
              started.alias("started_at"), completed.alias("completed_at"),
              F.when(F.col("rows_failed") == 0, "COMPLETED").otherwise("COMPLETED_WITH_ERRORS").alias("status"))
+
+
+def write_with_ledger(records: DataFrame, path: str, run_id: str, started: Column, completed: Column, sources: dict[str, str]) -> DataFrame:
+    """Write the usable canonical records, and return the run ledger counted by the pass that wrote them.
+
+    ``sources``: file name by source, a few of them. Unusable records are counted and left out.
+    """
+    ok = F.col("source_record_id").isNotNull()
+    names = list(sources)
+    counts = Observation()
+    of = [F.col("source_system") == s for s in names]
+    metrics = [m for i, mine in enumerate(of) for m in (F.count_if(mine).alias(f"read{i}"), F.count_if(mine & ok).alias(f"kept{i}"))]
+    records.observe(counts, *metrics).where(ok).write.mode("overwrite").parquet(path)
+    found = counts.get
+    rows = [(run_id, s, sources[s], found[f"read{i}"], found[f"kept{i}"], found[f"read{i}"] - found[f"kept{i}"]) for i, s in enumerate(names)]
+    ledger = records.sparkSession.createDataFrame(rows, "run_id string, source_system string, file_name string, rows_processed long, rows_successful long, rows_failed long")
+    return ledger.select("*", started.alias("started_at"), completed.alias("completed_at"),
+                         F.when(F.col("rows_failed") == 0, "COMPLETED").otherwise("COMPLETED_WITH_ERRORS").alias("status"))
