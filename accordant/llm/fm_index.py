@@ -35,28 +35,40 @@ class FMIndex:
             bits = (values >> bit & 1).astype(np.uint8)
             self.levels.append((bit, RankBits(bits)))
             values = np.concatenate([values[bits == 0], values[bits == 1]])
+        # where the occurrences of each symbol start, less where the levels lead the start of the transform
+        every = np.arange(self.sigma)
+        self.base = self.first[every] - self._down(every, np.zeros(self.sigma, np.int64))[0]
         # smallest owner over 2^k consecutive suffixes
         self.low = [owner[order]]
         while 2 ** len(self.low) <= self.n:
             half, last = 2 ** (len(self.low) - 1), self.low[-1]
             self.low.append(np.minimum(last[:-half], last[half:]))
 
-    def rank(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Occurrences of each symbol in the first ``lo`` and ``hi`` entries of the transform."""
-        start = np.zeros(len(symbol), np.int64)
+    def _down(self, symbol: np.ndarray, *places: np.ndarray) -> list[np.ndarray]:
+        """Places in the transform, followed through the levels of the matrix along the bits of each symbol."""
+        at = list(places)
         for bit, bits in self.levels:
             one = (symbol >> bit & 1).astype(bool)
-            a, b, s = bits.rank(lo), bits.rank(hi), bits.rank(start)
             zeros = self.n - bits.ones
-            lo, hi, start = np.where(one, zeros + a, lo - a), np.where(one, zeros + b, hi - b), np.where(one, zeros + s, start - s)
-        return lo - start, hi - start
+            for k, p in enumerate(at):
+                r = bits.rank(p)
+                at[k] = np.where(one, zeros + r, p - r)
+        return at
 
-    def search(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals of the rows of ``symbols`` (patterns of one length), by backward search."""
+    def search(self, symbols: np.ndarray, until_alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix intervals of the rows of ``symbols`` (patterns of one length), by backward search.
+
+        With ``until_alone``, for patterns that the text holds, a pattern is not extended once what has been read of
+        it has one occurrence: the interval is then that of the part, which is in the same sequence.
+        """
         lo, hi = np.zeros(len(symbols), np.int64), np.full(len(symbols), self.n, np.int64)
+        active = np.arange(len(symbols))
         for column in symbols.T[::-1]:
-            a, b = self.rank(column, lo, hi)
-            lo, hi = self.first[column] + a, self.first[column] + b
+            if until_alone:
+                active = active[hi[active] - lo[active] > 1]
+            c = column[active]
+            a, b = self._down(c, lo[active], hi[active])
+            lo[active], hi[active] = self.base[c] + a, self.base[c] + b
         return lo, hi
 
     def smallest_owner(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:

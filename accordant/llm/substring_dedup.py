@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accordant.llm.fm_index import FMIndex
-from accordant.llm.text import WordHashes, gram_hashes, map_rows, stored
+from accordant.llm.text import gram_hashes, hashed_words, map_rows, stored
 
 LENGTH, ANCHOR = 13, 4
 #: Words that a shard indexes, about; and distinct segments of one anchor beyond which it is cut into windows.
@@ -39,16 +39,14 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().split()
 
 
-def segments(texts: list[str | None], hashes: WordHashes, length: int) -> tuple[np.ndarray, ...]:
+def segments(texts: list[str | None], length: int) -> tuple[np.ndarray, ...]:
     """Segments of a slice of texts: (anchor hash, index of the text, first word, windows, hash of the words)."""
-    words = [words_of(t) for t in texts]
-    sizes = np.array([len(w) for w in words])
-    h = hashes.of([x for w in words for x in w])
+    h, sizes = hashed_words([(t or "").encode() for t in texts])
     n = len(h) - length + 1
     if n < 1:
         return (np.empty(0, np.int64),) * 5
     ends = np.cumsum(sizes)
-    text = np.repeat(np.arange(len(words)), sizes)
+    text = np.repeat(np.arange(len(texts)), sizes)
     g = gram_hashes(h, ANCHOR)
     low = g[:n].copy()
     for i in range(1, length - ANCHOR + 1):
@@ -77,10 +75,10 @@ def anchor_bitmap(docs: DataFrame, length: int) -> np.ndarray:
     Each task marks the classes it has met once and more than once; compressed marks meet in a tree.
     """
     def make():
-        once, more, hashes = np.zeros(CELLS, bool), np.zeros(CELLS, bool), WordHashes()
+        once, more = np.zeros(CELLS, bool), np.zeros(CELLS, bool)
 
         def step(ids, texts):
-            anchor, owner, *_ = segments(texts, hashes, length)
+            anchor, owner, *_ = segments(texts, length)
             cell = np.unique(_cells(anchor) * len(texts) + owner) // max(1, len(texts))  # once for each text
             again = cell[1:][cell[1:] == cell[:-1]]
             more[again] = True
@@ -102,8 +100,8 @@ def anchor_bitmap(docs: DataFrame, length: int) -> np.ndarray:
 
 
 def _row(i: int | None, text: str | None) -> int:
-    """Tells rows with one id apart by their texts (31 bits)."""
-    return xxhash.xxh3_64_intdigest(text or "") & 0x7FFFFFFF
+    """Tells rows with one id apart by their texts."""
+    return xxhash.xxh3_64_intdigest(text or "") & NO_ID
 
 
 def anchored(docs: DataFrame, length: int) -> DataFrame:
@@ -112,10 +110,10 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
     bitmap = docs.sparkSession.sparkContext.broadcast(anchor_bitmap(docs, length))  # CELLS / 8 bytes
 
     def make():
-        hashes, marks = WordHashes(), bitmap.value
+        marks = bitmap.value
 
         def step(ids, texts):
-            anchor, owner, at, n, content = segments(texts, hashes, length)
+            anchor, owner, at, n, content = segments(texts, length)
             cell = _cells(anchor)
             keep = (marks[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool) if len(anchor) else np.empty(0, bool)
             doc = np.array([NO_ID if i is None else i for i in ids], np.int64)
@@ -124,7 +122,7 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
 
         return step
 
-    return map_rows(docs, make, "anchor long, id long, doc long, row int, at int, n int")
+    return map_rows(docs, make, "anchor long, id long, doc long, row long, at int, n int")
 
 
 def passages(docs: DataFrame, first: DataFrame, length: int) -> DataFrame:
@@ -153,7 +151,7 @@ def _with_row(docs: DataFrame) -> DataFrame:
         return lambda ids, texts: ([NO_ID if i is None else i for i in ids], [_row(i, t) for i, t in zip(ids, texts, strict=True)], ids,
                                    [press.compress((t or "").encode()) for t in texts])
 
-    return map_rows(docs, make, "_doc long, _row int, doc_id long, packed binary")
+    return map_rows(docs, make, "_doc long, _row long, doc_id long, packed binary")
 
 
 def _unpack(data: bytes) -> bytes:
@@ -182,7 +180,7 @@ def first_documents(distinct: DataFrame, length: int, shard_words: int, busy: in
         at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, windows, strict=True)])
         firsts = np.empty(len(at), np.int64)
         for k in range(0, len(at), 50_000):
-            lo, hi = fm.search(flat[at[k : k + 50_000, None] + np.arange(length)])
+            lo, hi = fm.search(flat[at[k : k + 50_000, None] + np.arange(length)], until_alone=True)
             firsts[k : k + 50_000] = fm.smallest_owner(lo, hi)
         return pd.DataFrame({"anchor": frame["anchor"], "id": frame["id"], "firsts": np.split(firsts, np.cumsum(windows)[:-1])})
 

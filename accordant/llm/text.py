@@ -80,6 +80,35 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: A number for each byte, 0 for separators; powers of an odd number; and words up to which these hash a word.
+_OF_BYTE = np.array([0 if b in b" \t\n\v\f\r" else xxhash.xxh3_64_intdigest(bytes([b])) for b in range(256)], np.uint64)
+_LONG = 512
+_POWERS = np.multiply.accumulate(np.full(_LONG, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a slice of texts, in order, and the number of words of each text.
+
+    Words are hashed together from their bytes; those of over 512 bytes one by one.
+    """
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    of_byte = _OF_BYTE[data]
+    inside = of_byte != 0
+    starts = np.flatnonzero(inside & ~np.concatenate(([False], inside[:-1])))
+    if not len(starts):
+        return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+    stops = np.flatnonzero(inside & ~np.concatenate((inside[1:], [False]))) + 1
+    place = np.arange(len(data)) - np.repeat(np.concatenate(([0], starts)), np.diff(np.concatenate(([0], starts, [len(data)]))))
+    h = np.add.reduceat(of_byte * _POWERS[np.minimum(place, _LONG - 1)], starts)
+    for i in np.flatnonzero(stops - starts > _LONG):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : stops[i]].tobytes())
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    return h, np.diff(np.searchsorted(starts, np.concatenate(([0], np.cumsum(sizes)))))
+
+
 def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of every ``n`` consecutive word hashes (order matters); empty if there are fewer words."""
     if len(h) < n:
