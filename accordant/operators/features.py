@@ -56,11 +56,11 @@ def pair_records(pairs: DataFrame, records: DataFrame) -> DataFrame:
 SIMILAR = {"customer_similarity": "customer_name", "installer_similarity": "installer", "address_similarity": "address"}
 
 
-def features_of(attached: DataFrame, keep: list[str] = ()) -> DataFrame:
+def features_of(attached: DataFrame, keep: list[str] = (), mostly_equal: bool = True) -> DataFrame:
     """The seven matching features of pairs with ``_a`` and ``_b`` in matching form.
 
-    Pairs whose three texts are equal or missing on either side never leave the JVM; texts that differ
-    are compared in Arrow batches.
+    Texts that differ are compared in Arrow batches. With ``mostly_equal``, pairs whose three texts are equal or
+    missing on either side never leave the JVM; ``attached`` is then evaluated for both kinds, so it should be cheap.
     """
     def side(field: str, of: str) -> Column:
         return F.col(f"_{of}.{field}")
@@ -77,14 +77,18 @@ def features_of(attached: DataFrame, keep: list[str] = ()) -> DataFrame:
             F.coalesce(F.abs(side("system_size_kw", "a") - side("system_size_kw", "b")), F.lit(0.0)).alias("capacity_diff"), same("status"), "label")
 
     settled = equal("customer_name") & equal("installer") & equal("address")
+    def compared(f: str) -> Column:
+        return jaro_winkler(side(f, "a"), side(f, "b"), normalized=True)
+
+    if not mostly_equal:
+        return rows(attached, compared)
     plain = rows(attached.where(settled), lambda f: F.when((side(f, "a") == side(f, "b")) & (side(f, "a") != ""), 1.0).otherwise(0.0))
-    compared = rows(attached.where(~settled), lambda f: jaro_winkler(side(f, "a"), side(f, "b"), normalized=True))
-    return plain.unionByName(compared)
+    return plain.unionByName(rows(attached.where(~settled), compared))
 
 
 def pairwise_features(pairs: DataFrame, records: DataFrame, keep: list[str] = ()) -> DataFrame:
     """The seven matching features per pair; ``keep`` names pair columns to carry along."""
-    return features_of(attach_records(pairs, fold_records(normalized_records(records))), keep)
+    return features_of(attach_records(pairs, fold_records(normalized_records(records))), keep, mostly_equal=False)
 
 
 def baseline_prediction(features: DataFrame) -> DataFrame:

@@ -42,8 +42,10 @@ def _digests(folded: DataFrame) -> DataFrame:
     return folded.select("record_id", F.md5(F.to_json(F.struct(*policy.SOURCES))).alias("digest"))
 
 
-def _scored(attached: DataFrame, model: LinearModel) -> DataFrame:
-    found = features.features_of(attached, keep=pairs.COLUMNS[1:-1])
+def _scored(folded: DataFrame, paired: DataFrame, model: LinearModel) -> DataFrame:
+    """The pairs of folded records, and those with their neighbours, as queue rows."""
+    keep = pairs.COLUMNS[1:-1]
+    found = features.features_of(pairs.positives_of(folded), keep).unionByName(features.features_of(pairs.negatives_of(paired), keep, mostly_equal=False))
     return queue.with_route(explain.explain_pairs(found), model.match_probability())
 
 
@@ -52,7 +54,7 @@ def build(records: DataFrame, model: LinearModel, root: str, version: int = 0) -
     spark = records.sparkSession
     folded = durable(features.fold_records(features.normalized_records(records)))
     paired = durable(pairs.neighbours_of(folded))
-    rows = _scored(pairs.positives_of(folded).unionByName(pairs.negatives_of(paired)), model)
+    rows = _scored(folded, paired, model)
     rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
     _digests(folded).write.parquet(f"{root}/digests/version={version}")
     paired.select("record_id", F.col("next.record_id").alias("next_id")).write.parquet(f"{root}/links/version={version}")
@@ -97,7 +99,7 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
 
     mine = folded.join(owners, "record_id", "left_semi")
     drawn = mine.join(ids, "record_id").join(folded.select(F.col("record_id").alias("next_id"), F.struct("record_id", *policy.SOURCES).alias("next")), "next_id").drop("next_id")
-    rows = durable(_scored(pairs.positives_of(mine).unionByName(pairs.negatives_of(drawn)), model))
+    rows = durable(_scored(mine, drawn, model))
     rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
     owners.withColumnRenamed("record_id", "owner").write.parquet(f"{root}/owners/version={version}")
     changed.select("record_id", "digest").write.parquet(f"{root}/digests/version={version}")

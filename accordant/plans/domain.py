@@ -160,15 +160,12 @@ class Domain:
         """One row per record id with its record of every source in matching form."""
         return durable(features.fold_records(features.normalized_records(self.records)))
 
-    @cached_property
-    def attached(self) -> DataFrame:
-        """Pairs with both of their records, from one pass over the folded ones."""
-        return pairs.positives_of(self.folded).unionByName(pairs.negatives_of(pairs.neighbours_of(self.folded)))
-
     @cached_property
     def pair_features(self) -> DataFrame:
-        """Features with the columns of their pair."""
-        return features.features_of(self.attached, keep=pairs.COLUMNS[1:-1])
+        """Features with the columns of their pair, from one pass over the folded records."""
+        drawn = pairs.negatives_of(pairs.neighbours_of(self.folded))
+        keep = pairs.COLUMNS[1:-1]
+        return features.features_of(pairs.positives_of(self.folded), keep).unionByName(features.features_of(drawn, keep, mostly_equal=False))
 
     @cached_property
     def staged_features(self) -> DataFrame:
