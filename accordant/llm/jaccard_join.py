@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from accordant.llm.components import connected_components
 from accordant.llm.text import LOWER, WordHashes, gram_hashes, map_rows, stored
 
-#: Cells of the frequency sketch, and longest shared prefix that a set may ask for.
-CELLS, LONGEST = 1 << 22, 4
+#: Cells of the frequency sketch.
+CELLS = 1 << 22
+#: Tokens of a set up to which its postings carry them all, so that a pair is met once.
+NARROW = 512
 #: Cost of verifying one candidate, in postings read.
 VERIFY = 20.0
 
@@ -101,10 +103,8 @@ def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tup
     cell = sketch[h & np.uint64(CELLS - 1)]
     order = np.lexsort((h, cell))
     n, c = len(h), need(len(h))
-    longest = min(LONGEST, c)
-    others = np.cumsum(np.exp2(cell[order[: n - c + longest]] / 8.0) - 1.0)
-    costs = [(others[n - c + at - 1] * (1 + VERIFY / at ** 2), at) for at in range(1, longest + 1)]
-    at = min(costs)[1]
+    others = np.cumsum(np.exp2(cell[order] / 8.0) - 1.0)[n - c :]
+    at = 1 + int(np.argmin(others * (1 + VERIFY / np.arange(1, c + 1) ** 2)))
     posted = order[: n - c + at]
     return h[posted], at, int(cell[posted[-1]]) << 55 | int(h[posted[-1]]) >> 9
 
@@ -211,9 +211,11 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each other, and a null id counts as none: such a row gets the smallest id of its component, if any.
 
     First every set is verified against one hub of its shingles (the one with which most are shared),
-    which joins a group of near copies in as many steps as it has members. Then only sets that this left
-    in different stars are paired: for each shingle, those outside its largest star with all others, as far
-    as their sizes, what they share in prefixes and what they have beyond can reach the threshold.
+    which joins a group of near copies in as many steps as it has members. Sets that this leaves outside the
+    largest star of a shingle are verified against a hub of that star, again and again until no link is found.
+    Then only sets still in different stars are paired: for each shingle, those outside its largest star
+    with all others, as far as their sizes, what they share in prefixes and what they have beyond can reach
+    the threshold.
     """
     def need(n: int) -> int:
         return -(-numerator * n // denominator)
@@ -241,26 +243,46 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         of_earlier(F.col("x_n") + F.col("x_rest"), F.col("y_n") + F.col("y_rest")) >= overlap)
     missing = overlap - of_earlier(F.col("x_rest").cast("long"), F.col("y_rest").cast("long"))  # to be shared in the prefixes
 
-    near_hub = live.join(hubs, "token").filter("node <> hub").groupBy(F.col("node").alias("x"), F.col("hub").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    near_hub = near_hub.join(side("x"), "x").join(side("y"), "y").filter(fitting & (2 * F.col("n") >= missing))
-    best = near_hub.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best")).select(F.col("best.y").alias("a"), F.col("x").alias("b"))
-    stars = stored(verify(best, docs, rows, id_col, text_col, size, numerator, denominator), "jaccard-stars")
-
-    parents = stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("parent"))
-    starred = live.join(parents, "node", "left").select("token", "node", F.coalesce("parent", "node").alias("star"))
-    per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
-    mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
-    apart = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token").join(facts, "node"), "jaccard-apart")
+    def toward(sets: DataFrame, hubs: DataFrame) -> DataFrame:
+        """Verified links (``a``, ``b``, with keys) of each set with the one hub of its tokens that it shares most with."""
+        met = sets.join(hubs, "token").filter("node <> hub").groupBy(F.col("node").alias("x"), F.col("hub").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+        met = met.join(side("x"), "x").join(side("y"), "y").filter(fitting & (2 * F.col("n") >= missing))
+        best = met.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best")).select(F.col("best.y").alias("a"), F.col("x").alias("b"))
+        return stored(verify(best, docs, rows, id_col, text_col, size, numerator, denominator), "jaccard-stars")
+
+    # sets outside the largest star of a token are held against that star, until this links nothing more
+    links, step, before = None, toward(live, hubs), live
+    while True:
+        found = step.count()
+        links = step if links is None else links.unionAll(step)
+        if found or links is step:
+            star_of = connected_components(links, "a", "b").select("node", F.col("root").alias("star"))
+            starred = before.select("token", "node").join(star_of, "node", "left").select("token", "node", F.coalesce("star", "node").alias("star"))
+            per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
+            mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
+            before = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
+        if not found:
+            break
+        hubs = (before.filter("star = top").join(facts.select("node", "alone"), "node").groupBy("token").agg(F.min(F.struct("alone", "node")).alias("h"))
+                .select("token", F.col("h.node").alias("hub")))
+        step = toward(before.filter("star <> top"), hubs)
+    held = before.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))  # of one set, no more than it posts
+    held = held.select("node", F.when(F.size("tokens") <= NARROW, F.col("tokens")).alias("tokens"))
+    apart = stored(before.join(facts.join(held, "node"), "node"), "jaccard-paired")
 
     def end(name):
-        return apart.select(F.col("token").alias(f"{name}_token"), F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n", "star")],
+        return apart.select(F.col("token").alias(f"{name}_token"), F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n", "star", "tokens")],
                             (F.col("star") == F.col("top")).alias(f"{name}_major"))
 
+    # two sets meet at the first token they share, and are counted there; those with very many tokens at every one
+    shared = F.array_intersect("x_tokens", "y_tokens")
+    wide = F.col("x_tokens").isNull() | F.col("y_tokens").isNull()
     met = end("x").filter("NOT x_major").join(end("y"), (F.col("x_token") == F.col("y_token")) & (F.col("x_star") != F.col("y_star"))
-                                              & (F.col("y_major") | (F.col("x") < F.col("y"))) & fitting)
-    candidates = (met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), missing.alias("missing"))
-                  .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("missing").alias("missing")).filter("n >= missing").select("a", "b"))
-    links = stars.unionAll(verify(candidates, docs, rows, id_col, text_col, size, numerator, denominator))
+                                              & (F.col("y_major") | (F.col("x") < F.col("y"))) & fitting
+                                              & (wide | ((F.get(shared, F.lit(0)) == F.col("x_token")) & (F.size(shared) >= missing))))
+    candidates = (met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), missing.alias("missing"), F.when(wide, 1).otherwise(F.size(shared)).alias("n"))
+                  .groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("missing").alias("missing")).filter("n >= missing").select("a", "b"))
+    links = links.unionAll(verify(candidates, docs, rows, id_col, text_col, size, numerator, denominator))
 
     component = connected_components(links, "a_key", "b_key").select(F.col("node").alias("key"), "root")
     smallest = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("low")).join(component, "key", "left").withColumn("root", F.coalesce("root", "key"))
