@@ -18,35 +18,71 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns that an operator's own output would replace under other names, and the way back."""
+    taken = {c: f"_input_{c}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(taken), {v: k for k, v in taken.items()}
+
+
+def _with_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number for each id and text: tells rows apart that share an id or have none."""
+    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't call toxic."""
-    scored = toxicity.score_documents(docs, _table(spark, sf_dir, "labels"), keep_columns=True)
-    return scored.filter("predicted = 0").select(docs.columns)
+    """Documents that the classifier doesn't call toxic.
+
+    Every row is judged by its own text, whatever its id; null and empty texts stay, an empty table stays empty,
+    repeated rows stay or go together. Columns of the input come back as they were, also ones named like the scores.
+    """
+    own, back = _aside(docs, ("held_out", "score", "predicted"))
+    scored = toxicity.score_documents(own, _table(spark, sf_dir, "labels"), keep_columns=True)
+    return scored.filter("predicted = 0").drop("held_out", "score", "predicted").withColumnsRenamed(back).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines of repeated three-line windows; those of which no line is left go."""
+    """Documents without lines of repeated three-line windows; those of which no line is left go.
+
+    Null and empty texts stay. Rows without an id take no part and stay as they are, rows that repeat an id with the
+    same text keep or lose the same lines. ``n_chars`` follows the new text where lines went.
+    """
     prepare(spark)
-    kept = line_dedup.dedup_lines(docs).filter("n_removed = 0 OR n_removed < n_lines")
+    own, back = _aside(docs, ("n_lines", "n_removed"))
+    kept = line_dedup.dedup_lines(own).filter("n_removed = 0 OR n_removed < n_lines")
     changed = {"n_chars": F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))} if "n_chars" in docs.columns else {}
-    return kept.withColumns(changed).select(docs.columns)
+    return kept.withColumns(changed).drop("n_lines", "n_removed").withColumnsRenamed(back).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id; rows without an id stay."""
+    """One document of each group of near copies: the one with the smallest id, rows without an id last.
+
+    Rows are told apart by id and text, so of two rows with one id each is judged by its own text, and rows
+    without an id take part. Rows that are equal in both count as one and one of them stays. Null, empty and blank texts
+    have no near copies.
+    """
     prepare(spark)
-    copies = jaccard_join.link_documents(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    keyed = _with_key(docs)
+    found = jaccard_join.link_documents(keyed, id_col="_row").select(F.col("doc_id").alias("_row"), F.col("component_id").alias("group")).distinct()
+    shared = found.join(found.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "group").select("_row", "group")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    members = stored(shared.join(keyed.select("_row", "doc_id"), "_row").select("group", "_row", order.alias("o")), "pipeline-copies")
+    first = members.groupBy("group").agg(F.min("o").alias("first"))
+    copies = members.join(first, "group").filter(F.col("o") != F.col("first")).select("_row").distinct()
+    return keyed.join(copies, "_row", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    pairs = decontamination.contaminated_pairs(docs, _table(spark, sf_dir, "benchmark"))
-    return docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no benchmark item.
+
+    Each row is judged by its own text, also if it repeats an id or has none; null and empty texts stay.
+    """
+    keyed = _with_key(docs)
+    pairs = decontamination.contaminated_pairs(keyed, _table(spark, sf_dir, "benchmark"), id_col="_row")
+    return keyed.join(pairs.select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, with their sequences and offsets."""
+    """The pieces of all documents, with their sequences and offsets; a null text is packed like an empty one."""
     prepare(spark)
     return packing.pack_documents(docs)
 
