@@ -71,8 +71,9 @@ def test_stages_on_their_own_inputs(spark, tables):
     sets = {r: jaccard_join.shingles(jaccard_join.words_of(r[1]), 5) for r in before}
     kept = Counter(after)
     assert not kept - Counter(before)
+    place = lambda r: (r[0] is None, r[0] or 0)
     for r in before:
-        twins = [s for s in before if s[0] < r[0] and sets[r] and 5 * len(sets[r] & sets[s]) >= 4 * len(sets[r] | sets[s])]
+        twins = [s for s in before if place(s) < place(r) and sets[r] and 5 * len(sets[r] & sets[s]) >= 4 * len(sets[r] | sets[s])]
         assert (kept[r] > 0) == (not twins)
     assert 1001 not in {r[0] for r in after}
 
@@ -92,3 +93,39 @@ def test_stages_on_their_own_inputs(spark, tables):
 def test_run_gives_the_last_stage(spark, tables):
     got = corpus_pipeline.run(spark, tables)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 300
+
+
+ODD = "doc_id long, text string, score double, predicted string, held_out string, n_lines string, n_removed string, n_chars long, component_id string, coverage string"
+
+
+def odd(spark, rows):
+    return spark.createDataFrame([(i, t, 0.25, "p", "h", "l", "r", 7, "c", "v") for i, t in rows], ODD)
+
+
+def test_rows_that_share_an_id_or_have_none(spark, tables):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    item = spark.read.parquet(f"{tables}/benchmark.parquet").filter("item_id = 1").first()["text"]
+    one, two, three = say(60), say(60), say(60)
+    rows = [(1, one), (5, one + " more"), (5, two), (5, two), (None, three), (None, three + " x"), (None, one), (7, item + " " + say(9)), (7, say(40)), (None, item), (9, None), (9, ""), (9, None)]
+    docs = odd(spark, rows)
+    stages = dict(corpus_pipeline.STAGES)
+    got = stages["jaccard_join"](spark, docs, tables)
+    assert got.columns == docs.columns
+    texts = Counter((r.doc_id, r.text) for r in got.collect())
+    assert texts[(1, one)] == 1 and texts[(5, two)] == 1 and (5, one + " more") not in texts and (None, one) not in texts
+    assert texts[(None, three)] + texts[(None, three + " x")] == 1 and texts[(9, None)] == 1 and texts[(9, "")] == 1
+    clean = stages["decontamination"](spark, docs, tables)
+    assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(r for r in rows if not (r[1] or "").startswith(item))
+
+
+def test_columns_of_the_input_come_back(spark, tables):
+    block = "\n".join(f"line {i} of a block" for i in range(4))
+    docs = odd(spark, [(1, block), (2, block + "\nand more"), (3, "blorky blorky"), (None, block), (4, None)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, tables)
+        assert got.columns == docs.columns and got.dtypes == docs.dtypes, name
+        for r in got.collect():
+            assert (r.score, r.predicted, r.held_out, r.n_lines, r.n_removed, r.component_id, r.coverage) == (0.25, "p", "h", "l", "r", "c", "v")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), tables).count() == 0
