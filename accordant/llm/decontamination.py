@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+import re
 from functools import reduce
 
 import numpy as np
@@ -18,18 +20,27 @@ COVERAGE = 0.5
 INDEX_WORDS = 1_000_000
 
 
+#: Scripts written without spaces, of which every character is a word: Thai, Lao, Khmer, Myanmar, Han, Kana and their kin.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words without ASCII punctuation, so that case and marks don't hide a passage."""
-    return (text or "").lower().encode().translate(PLAIN).split()
+    """Lower-cased words without ASCII punctuation, so that case and marks don't hide a passage; characters of
+    scripts without spaces are words."""
+    low = (text or "").lower()
+    if not low.isascii() and _UNSPACED.search(low):
+        low = _UNSPACED.sub(r" \g<0> ", low)
+    return low.encode().translate(PLAIN).split()
 
 
 def greedy_tiles(item: list, doc: list, shortest: int = TILE) -> list[tuple[int, int, int]]:
     """Non-overlapping tiles (item start, document start, length), longest first.
 
     Running Karp-Rabin: windows of the current search length over unmarked words are hashed, equal ones
-    are compared and extended; a much longer match restarts the search at its length, otherwise the
-    matches found are marked and the search length shrinks until ``shortest``. ``None`` in ``doc`` never
-    matches, so it separates passages.
+    are compared and extended; a much longer match restarts the search at its length. Otherwise the matches are
+    marked, longest first; of one that others have covered in part, what is left goes back among them if it is
+    long enough. Then the search length shrinks, until ``shortest``. ``None`` in ``doc`` never matches,
+    so it separates passages.
     """
     used_item, used_doc = [False] * len(item), [x is None for x in doc]
     tiles, size = [], max(shortest, len(item))
@@ -42,21 +53,41 @@ def greedy_tiles(item: list, doc: list, shortest: int = TILE) -> list[tuple[int,
             for t in table.get(key, ()):
                 n = _common(item, used_item, p, doc, used_doc, t)
                 if n >= size:
-                    found.append((n, p, t))
+                    found.append((-n, p, t))
                     longest = max(longest, n)
         if longest > 2 * size:
             size = longest
             continue
-        for n, p, t in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-            if not any(used_item[p : p + n]) and not any(used_doc[t : t + n]):
-                used_item[p : p + n] = [True] * n
-                used_doc[t : t + n] = [True] * n
-                tiles.append((p, t, n))
+        heapq.heapify(found)
+        while found:
+            n, p, t = heapq.heappop(found)
+            free = _free_runs(used_item, p, used_doc, t, -n)
+            if free == [(0, -n)]:
+                used_item[p : p - n] = [True] * -n
+                used_doc[t : t - n] = [True] * -n
+                tiles.append((p, t, -n))
+            else:
+                for a, b in free:
+                    if b - a >= size:
+                        heapq.heappush(found, (a - b, p + a, t + a))
         if size == shortest:
             return tiles
         size = size // 2 if size > 2 * shortest else shortest
 
 
+def _free_runs(used_item: list[bool], p: int, used_doc: list[bool], t: int, n: int) -> list[tuple[int, int]]:
+    """Runs of a match of ``n`` words that no tile covers on either side."""
+    runs, start = [], None
+    for k in range(n + 1):
+        free = k < n and not used_item[p + k] and not used_doc[t + k]
+        if free and start is None:
+            start = k
+        elif not free and start is not None:
+            runs.append((start, k))
+            start = None
+    return runs
+
+
 def _windows(words, used, size, base=1_000_003, mod=(1 << 61) - 1):
     """(start, rolling hash) of the windows of unmarked words."""
     top, value, run = pow(base, size - 1, mod), 0, 0
@@ -85,8 +116,11 @@ class SeedIndex:
     def __init__(self, items: list[tuple[int, str]], tile: int):
         hashes = WordHashes()
         self.ids, self.words, seeds, owner, place = [], [], [], [], []
+        self.short: dict[tuple, list] = {}
         for item_id, text in items:
             w = words_of(text)
+            if 0 < len(w) < tile:
+                self.short.setdefault(tuple(w), []).append(item_id)
             g = gram_hashes(hashes.of(w), tile)
             seeds.append(g)
             owner.append(np.full(len(g), len(self.ids), np.int64))
@@ -116,10 +150,10 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     """(``doc_id``, ``item_id``, ``n_tiles``, ``covered``, ``coverage``) for documents whose tiles cover an item.
 
     The benchmark is read in parts of about ``index_words`` words, each broadcast once and compared with
-    every document in one pass without a shuffle. Items of fewer than ``tile`` words never match, nor do
-    items without an id. Tiles may lie in any order, so reordered passages count alike.
+    every document in one pass without a shuffle. Items of fewer than ``tile`` words match documents of the
+    same words and no others. Items without an id or with a repeated one take part each. Tiles may lie in any order, so reordered passages count alike.
     """
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).filter("item_id IS NOT NULL AND text IS NOT NULL")
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).filter("text IS NOT NULL")
     size = items.agg(F.sum(F.size(F.split("text", "\\s+")))).first()[0] or 0
     parts = max(1, -(-size // index_words))
     texts = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
@@ -135,6 +169,8 @@ def _pairs(texts: DataFrame, items: list, tile: int, coverage: float) -> DataFra
         hashes, index = WordHashes(), shared_index.value
 
         def one(words):
+            if len(words) < tile:
+                yield from ((item, 1, len(words), 1.0) for item in index.short.get(tuple(words), ()))
             for k, (starts, places) in index.shared(gram_hashes(hashes.of(words), tile)).items():
                 item = index.words[k]
                 need = coverage * len(item)
@@ -164,11 +200,15 @@ def _pairs(texts: DataFrame, items: list, tile: int, coverage: float) -> DataFra
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: ``contaminated``, ``n_items``, ``item_id`` and ``coverage`` of the best covered item.
 
-    Null and empty texts are clean. A tie for the best item goes to the smallest id. Rows that repeat an
-    id are judged together; rows without an id are judged clean. An empty benchmark leaves all clean.
+    Null and empty texts are clean. A tie for the best item goes to the smallest id, items without an id
+    come last and count as one. Rows that repeat an id are judged together; rows without an id each by its own
+    text. An empty benchmark leaves all clean.
     """
-    pairs = contaminated_pairs(docs, benchmark, id_col, text_col, **options)
-    best = pairs.groupBy("doc_id").agg(F.max(F.struct("coverage", -F.col("item_id"))).alias("best"), F.countDistinct("item_id").alias("n_items"))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id")).join(best, "doc_id", "left").select(
+    own = F.xxhash64(F.col(id_col).cast("string"), F.when(F.col(id_col).isNull(), F.col(text_col).cast("string")))
+    pairs = contaminated_pairs(docs.select(own.alias("_row"), F.col(text_col).alias("_text")), benchmark, "_row", "_text", **options)
+    none = F.lit((1 << 63) - 1)
+    item = F.coalesce("item_id", none)
+    best = pairs.groupBy(F.col("doc_id").alias("_row")).agg(F.max(F.struct("coverage", (-item).alias("item"))).alias("best"), F.countDistinct(item).alias("n_items"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), own.alias("_row")).join(best, "_row", "left").select(
         "doc_id", F.col("best").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        (-F.col("best.col2")).alias("item_id"), F.coalesce("best.coverage", F.lit(0.0)).alias("coverage"))
+        F.nullif(-F.col("best.item"), none).alias("item_id"), F.coalesce("best.coverage", F.lit(0.0)).alias("coverage"))
