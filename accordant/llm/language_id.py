@@ -123,24 +123,24 @@ def identify(pages: DataFrame, docs: DataFrame, page_col: str = "page_id", url_c
         joined = joined.join(_counts(votes, key, n), key, "left")
     everywhere = votes.agg(*[F.sum((F.col("vote") == k).cast("double")) for k in range(n)]).first()
     whole = [x or 0.0 for x in everywhere]
-    prior = F.array(*[F.lit((x + 1.0) / (sum(whole) + n)) for x in whole])
+    mine = F.array(*[F.when(F.col("vote") == k, 1.0).otherwise(0.0) for k in range(n)])  # a page's own vote counts nowhere
+    others = F.array(*[F.lit(x) for x in whole])
+    cast = F.col("vote").isNotNull().cast("double")
+    prior = F.zip_with(others, mine, lambda x, m: (x - m + 1.0) / (sum(whole) - cast + n))
     for key in ("suffix", "domain", "host"):
         own = F.transform(F.col(f"n_{key}"), lambda x, k: F.coalesce(x, F.lit(0.0)) - F.when(F.col("vote") == k, 1.0).otherwise(0.0))
         joined = joined.withColumn("prior", prior).withColumn("own", own).withColumn("size", F.aggregate("own", F.lit(0.0), lambda a, x: a + x))
         prior = F.zip_with("own", "prior", lambda x, p: (x + strength * p) / (F.col("size") + strength))
     joined = joined.withColumn("prior", prior)
 
-    # P(declared | l) and P(suffix | l), with one pseudo-count for each value seen
-    for key in ("declared", "suffix"):
-        table = _counts(votes, key, n).withColumnRenamed(f"n_{key}", f"c_{key}").filter(F.col(key) != "")
-        kinds = table.count()
-        shares = F.array(*[(F.coalesce(F.get(f"c_{key}", k), F.lit(0.0)) + 1.0) / (whole[k] + max(kinds, 1)) for k in range(n)])
-        joined = joined.join(table.select(key, shares.alias(f"p_{key}")), key, "left")
-
-    def log_of(name):
-        return F.when(F.col(name).isNull(), F.array(*[F.lit(0.0)] * n)).otherwise(F.transform(F.col(name), lambda p: F.log(p)))
-
-    total = F.transform("score", lambda s, k: s / temperature + F.get(log_of("p_declared"), k) + F.get(log_of("p_suffix"), k) + F.log(F.get("prior", k)))
+    # P(declared | l), with one pseudo-count for each value seen; the suffix is a level of the prior and counts there
+    table = _counts(votes, "declared", n).filter(F.col("declared") != "")
+    kinds = max(table.count(), 1)
+    joined = joined.join(table, "declared", "left")
+    declared = F.array(*[F.when(F.col("n_declared").isNull(), 0.0).otherwise(F.log(
+        (F.coalesce(F.get("n_declared", F.lit(k)), F.lit(0.0)) - F.get(mine, F.lit(k)) + 1.0) / (whole[k] - F.get(mine, F.lit(k)) + kinds))) for k in range(n)])
+    total = F.transform("score", lambda s, k: s / temperature + F.get(F.col("said"), k) + F.log(F.get("prior", k)))
+    joined = joined.withColumn("said", declared)
     names = F.array(*map(F.lit, languages))
     posterior = joined.withColumn("total", total).withColumn("posterior", _log_normal(F.col("total")))
     return posterior.select("page_id", F.get(names, F.array_position("posterior", F.array_max("posterior")).cast("int") - 1).alias("language"),
