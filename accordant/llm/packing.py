@@ -20,7 +20,6 @@ DEME, ISLANDS = 3_000, 2
 POPULATION, GENERATIONS = 3, 3
 #: A bin filled to this share of the capacity is kept; the pieces of others are dealt to new demes.
 WELL_FILLED = 0.998
-LEVELS = 5
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -169,33 +168,37 @@ def _pack_level(items: DataFrame, capacity: int, demes: int, islands: int, level
     return elites.groupBy("deme").applyInPandas(lambda f: solve(f, True), schema)
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, deme: int = DEME, islands: int = ISLANDS, levels: int = LEVELS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, deme: int = DEME, islands: int = ISLANDS) -> DataFrame:
     """(``uid``, ``sequence_id``, ``offset``) for ``items`` (``uid`` unique, ``length`` 1 to ``capacity``).
 
     Full pieces are sequences by themselves. Others are dealt by hash into demes of about ``deme`` pieces,
     whatever their number; the well-filled bins of each level stay, and the pieces of the others are dealt
-    again to fewer demes, until one deme is left or ``levels`` have passed.
+    again to fewer demes, until one deme is left or a level saves no sequence.
     """
     whole = items.filter(F.col("length") == capacity).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     left, done = items.filter(F.col("length") < capacity).select("uid", "length"), [whole]
     left = stored(left, "packing-left")
-    for level in range(levels):
-        n = left.count()
-        if not n:
-            break
+    level, before = 0, None  # bins that the pieces left had at the level before, and how many
+    while n := left.count():
         demes = max(1, round(n / deme))
         placed = stored(_pack_level(left, capacity, demes, islands, level), "packing-level")
-        fill = placed.groupBy("deme", "bin").agg(F.collect_list(F.struct("length", "uid")).alias("of"), F.sum("length").alias("filled"))
-        last = demes == 1 or level == levels - 1
+        fill = placed.groupBy("deme", "bin").agg(F.collect_list(F.struct("length", "uid")).alias("of"), F.sum("length").alias("filled")).withColumn("level", F.lit(level))
+        fill = stored(fill, "packing-fill")
+        saved = before[1] - fill.count() if before else 1
+        if saved < 0:
+            fill = before[0]
+        last = demes == 1 or saved <= 0
         kept = fill if last else fill.filter(F.col("filled") >= WELL_FILLED * capacity)
         member = F.inline(F.transform(F.sort_array("of"), lambda m, i: F.struct(m["uid"].alias("uid"), F.aggregate(
             F.slice(F.sort_array("of"), F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x["length"]).alias("offset"))))
         # ids of sequences: a negative number made of level, deme and bin, so none meets the uid of a full piece
-        number = (-(F.lit(level + 1) * (1 << 58) + F.col("deme") * (1 << 24) + F.col("bin"))).alias("sequence_id")
+        number = (-((F.col("level") + 1) * F.lit(1 << 54) + F.col("deme") * (1 << 24) + F.col("bin"))).alias("sequence_id")
         done.append(kept.select(number, member).select("uid", "sequence_id", "offset"))
         if last:
             break
-        left = stored(fill.filter(F.col("filled") < WELL_FILLED * capacity).select(F.inline("of")).select("uid", "length"), "packing-left")
+        rest = fill.filter(F.col("filled") < WELL_FILLED * capacity)
+        level, before = level + 1, (rest, rest.count())
+        left = stored(rest.select(F.inline("of")).select("uid", "length"), "packing-left")
     return reduce(DataFrame.unionAll, done)
 
 
