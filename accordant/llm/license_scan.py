@@ -33,13 +33,12 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().translate(PLAIN).split()
 
 
-def blocks(text: str) -> list[set[bytes]]:
-    """Token sets of the lines of a text."""
-    return [set(line.split()) for line in (x.translate(PLAIN) for x in text.encode().split(b"\n"))]
+#: Templates of fewer distinct tokens are only found whole: most of a short notice may be in any sentence.
+SHORT = 10
 
 
 def token_frequency(docs: DataFrame, text_col: str, templates: dict[str, str]) -> dict[bytes, int]:
-    """In how many lines of all documents each template token occurs, which orders them; as many entries as the templates have tokens."""
+    """In how many documents each template token occurs, which orders them; as many entries as the templates have tokens."""
     vocabulary = frozenset(t for x in templates.values() for t in tokens(x))
 
     def make():
@@ -47,8 +46,7 @@ def token_frequency(docs: DataFrame, text_col: str, templates: dict[str, str]) -
 
         def step(texts):
             for text in texts:
-                for block in blocks(text or ""):
-                    seen.update(block & vocabulary)
+                seen.update(vocabulary.intersection(tokens(text or "")))
             return [], []
 
         step.last = lambda: (list(seen.keys()), list(seen.values()))
@@ -62,23 +60,19 @@ def token_frequency(docs: DataFrame, text_col: str, templates: dict[str, str]) -
 class ContainmentIndex:
     """Templates indexed by the prefix of their tokens, rarest token of the corpus first."""
 
-    def __init__(self, templates: dict[str, str], frequency: dict[bytes, int], numerator: int, denominator: int):
+    def __init__(self, templates: dict[str, str], frequency: dict[bytes, int], numerator: int, denominator: int, short: int = 0):
         self.rank = {t: i for i, t in enumerate(sorted(frequency, key=lambda t: (frequency[t], t)))}
         self.sets, self.need, self.prefix, self.span = {}, {}, {}, {}
         for label, text in templates.items():
             ordered = sorted({self.rank[t] for t in tokens(text)})
-            need = -(-numerator * len(ordered) // denominator)
+            need = len(ordered) if len(ordered) < short else -(-numerator * len(ordered) // denominator)
             self.sets[label], self.need[label] = frozenset(ordered), need
             self.span[label] = -(-denominator * len(tokens(text)) // numerator)
             for at, token in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefix.setdefault(token, []).append((label, at))
 
-    def matches(self, block: set[bytes]) -> dict[str, float]:
-        """Every template contained in ``block`` to the threshold, with its containment."""
-        return self.contained({self.rank[t] for t in block if t in self.rank})
-
     def contained(self, held: set[int]) -> dict[str, float]:
-        """``matches`` for the ranks of a block's tokens."""
+        """Every template contained to the threshold in a block, given the ranks of its tokens, with its containment."""
         ranked = sorted(held)
         found, checked = {}, set()
         for at, token in enumerate(ranked):
@@ -138,13 +132,14 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of ``docs`` with its phrase places and all labels.
 
     A block has a template's label when it holds at least the fraction ``containment`` of the template's
-    distinct tokens. Blocks are the lines, and all windows of consecutive words that are as long as the
-    template and its share of foreign words, so that a notice may be wrapped anywhere. ``score`` is 1 with a phrase, else the best such containment, else 0.
+    distinct tokens, or all of them if they are fewer than ``SHORT``. Blocks are all windows of consecutive words that
+    are as long as the template and its share of foreign words, so that a notice may be wrapped anywhere, and
+    words strewn over a long line are none. ``score`` is 1 with a phrase, else the best such containment, else 0.
     Null and empty texts have no words, empty label strings, null places and score 0. Corpus counts cover
     every document; only counts of template tokens reach the driver.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
-    index = ContainmentIndex(templates, token_frequency(docs, text_col, templates), *containment)
+    index = ContainmentIndex(templates, token_frequency(docs, text_col, templates), *containment, SHORT)
 
     def make():
         prefix = frozenset(t for t, r in index.rank.items() if r in index.prefix)
@@ -153,14 +148,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             words = tokens(text or "")
             places = phrase_places(words, phrases)
             base = {label for _, label in places}
-            found = {}
-            if not prefix.isdisjoint(words):
-                for block in blocks(text):
-                    if not prefix.isdisjoint(block):
-                        for label, share in index.matches(block).items():
-                            found[label] = max(share, found.get(label, 0.0))
-                for label, share in index.matches_across_lines(words).items():
-                    found[label] = max(share, found.get(label, 0.0))
+            found = {} if prefix.isdisjoint(words) else index.matches_across_lines(words)
             starts = [at for at, _ in places]
             return (len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
                     ",".join(sorted(base | found.keys())), 1.0 if base else max(found.values(), default=0.0))
@@ -175,23 +163,21 @@ def _values() -> str:
     rows = []
     for label, text in TEMPLATES.items():
         distinct = sorted({t.decode() for t in tokens(text)})
-        need = math.ceil(len(distinct) * 4 / 5)
-        rows.append(f"('{label}', {distinct!r}, {need})")
+        need = len(distinct) if len(distinct) < SHORT else math.ceil(len(distinct) * 4 / 5)
+        rows.append(f"('{label}', {distinct!r}, {need}, {math.ceil(len(tokens(text)) * 5 / 4)})")
     return ", ".join(rows)
 
 
-#: Same rows by comparing every line with every template; notices wrapped over lines are not in it.
+#: Same rows by comparing every window that starts with a token of a template with that template.
 ORACLE_SQL = f"""
-WITH t AS (SELECT * FROM (VALUES {_values()}) AS v(label, toks, need)),
+WITH t AS (SELECT * FROM (VALUES {_values()}) AS v(label, toks, need, span)),
 d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
 w AS (SELECT doc_id, low, regexp_extract_all(low, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM d),
 p AS (SELECT doc_id, low, w, list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' AND w[i+1] = 'by') AS a,
              list_filter(range(1, len(w) + 1), lambda i: w[i] = 'general' AND w[i+1] = 'public' AND w[i+2] = 'license') AS b,
              list_filter(range(1, len(w) + 1), lambda i: w[i] = 'all' AND w[i+1] = 'rights' AND w[i+2] = 'reserved') AS c FROM w),
-x AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS toks
-      FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d)),
-m AS (SELECT x.doc_id, t.label, max(len(list_intersect(t.toks, x.toks)) / len(t.toks)) AS share FROM x, t
-      WHERE len(list_intersect(t.toks, x.toks)) >= t.need GROUP BY ALL),
+x AS (SELECT doc_id, label, need, toks, list_distinct(w[p:p + span - 1]) AS held FROM (SELECT doc_id, w, t.*, unnest(list_filter(range(1, len(w) + 1), lambda i: list_contains(t.toks, w[i]))) AS p FROM w, t)),
+m AS (SELECT doc_id, label, max(len(list_intersect(toks, held)) / len(toks)) AS share FROM x WHERE len(list_intersect(toks, held)) >= need GROUP BY ALL),
 g AS (SELECT doc_id, list(label) AS found, max(share) AS share FROM m GROUP BY doc_id),
 q AS (SELECT *, list_concat(CASE WHEN len(a) > 0 THEN ['cc-by'] ELSE []::VARCHAR[] END, CASE WHEN len(b) > 0 THEN ['gpl'] ELSE []::VARCHAR[] END,
              CASE WHEN len(c) > 0 THEN ['reserved'] ELSE []::VARCHAR[] END) AS base, list_concat(a, b, c) AS places FROM p)
