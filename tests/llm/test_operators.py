@@ -310,7 +310,7 @@ def test_decontamination(spark, docs, empty):
     table = spark.createDataFrame(rows_of(rows), SCHEMA)
     for index_words in (decontamination.INDEX_WORDS, 10):
         got = {r.doc_id: r for r in decontamination.decontaminate(table, bench, index_words=index_words).collect()}
-        assert {i for i, r in got.items() if r.contaminated} == {1}
+        assert {i for i, r in got.items() if r.contaminated} == {1, 6}  # 6 equals a short item
         assert (got[1].item_id, got[1].coverage, got[1].n_items) == (3, 1.0, 2)
     assert decontamination.decontaminate(table, bench.limit(0)).filter("contaminated").count() == 0
     assert decontamination.decontaminate(empty, bench).count() == 0
