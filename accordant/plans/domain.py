@@ -283,14 +283,16 @@ class Domain:
     @cached_property
     def text_pairs(self) -> DataFrame:
         """Labelled document pairs: each labelled document with the next document of its source."""
-        docs = self.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
         labels = self.table("labels").select(F.col("doc_id").alias("id"), "quality", "toxic")
-        left = docs.select(F.col("doc_id").alias("id"), F.col("text").alias("left_title"), F.col("lang").alias("left_brand"),
-                           F.col("source").alias("left_category"), F.col("n_chars").cast("string").alias("left_price"))
-        right = docs.select((F.col("doc_id") - 1).alias("id"), F.col("text").alias("right_title"),
-                            F.col("lang").alias("right_brand"), F.col("source").alias("right_category"),
-                            F.col("n_chars").cast("string").alias("right_price"))
-        return left.join(right, "id").join(labels, "id").withColumn("label", F.col("quality"))
+        wanted = labels.select(F.explode(F.array("id", F.col("id") + 1)).alias("doc_id")).distinct()
+        # ids first: the texts of others are never moved, and those that are wanted are read once
+        docs = durable(self.table("documents").select("doc_id", "text", "lang", "source", "n_chars").join(wanted, "doc_id", "left_semi"))
+
+        def side(name, shift):
+            return docs.select((F.col("doc_id") - shift).alias("id"), F.col("text").alias(f"{name}_title"), F.col("lang").alias(f"{name}_brand"),
+                               F.col("source").alias(f"{name}_category"), F.col("n_chars").cast("string").alias(f"{name}_price"))
+
+        return durable(side("left", 0).join(side("right", 1), "id").join(labels, "id").withColumn("label", F.col("quality")))
 
     @cached_property
     def scored(self) -> DataFrame:

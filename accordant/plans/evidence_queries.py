@@ -56,11 +56,13 @@ def authoritative_values(d):
 
 
 @query("e6_recommended_actions", """
-    SELECT field, CASE verdict WHEN 'MATCH' THEN 'No action — sources agree.' WHEN 'MISSING' THEN 'Request the missing value from the non-reporting source.'
-      ELSE verdict || ': authoritative source is ' || authority_source END AS action, COUNT(*) AS projects FROM evidence GROUP BY ALL""")
+    SELECT project_id, field, CASE verdict WHEN 'MATCH' THEN 'No action — sources agree.' WHEN 'MISSING' THEN 'Request the missing value from the non-reporting source.'
+      ELSE verdict || ': authoritative source is ' || authority_source || CASE WHEN field = 'system_size_kw' THEN '' ELSE ' (' || authority_value || '); update derived values or request clarification.' END END AS action
+    FROM evidence""")
 def recommended_actions(d):
+    """Every action; of capacities without the number, whose text differs between engines."""
     short = F.regexp_replace("action", r" \((.|\n)*\); update.*$", "")
-    return evidence.evidence(d.wide).groupBy("field", short.alias("action")).agg(F.count("*").alias("projects"))
+    return evidence.evidence(d.wide).select("project_id", "field", F.when(F.col("field") == CAPACITY, short).otherwise(F.col("action")).alias("action"))
 
 
 @query("e7_field_values", """
@@ -77,14 +79,17 @@ def verdicts_by_field(d):
     return evidence.evidence(d.wide).groupBy("field", "verdict", "severity").agg(F.count("*").alias("comparisons"))
 
 
-@query("e9_evidence_table", """
-    SELECT e.project_id, e.field, COALESCE(NULLIF(TRIM(v.document), ''), '—') AS document, COALESCE(NULLIF(TRIM(v.erp), ''), '—') AS erp,
+SHOWN = ("crm", "erp", "partner", "document")
+
+
+@query("e9_evidence_table", f"""
+    SELECT e.project_id, e.field, {', '.join(f"COALESCE(NULLIF(TRIM(v.{s}), ''), '—') AS {s}" for s in SHOWN)},
       e.authority_source, e.verdict, e.detail FROM evidence e JOIN field_values v ON v.project_id = e.project_id AND v.field = e.field WHERE e.field <> 'system_size_kw'
-    UNION ALL SELECT e.project_id, e.field, '—', CASE WHEN v.erp IS NULL THEN '—' ELSE 'reported' END, e.authority_source, e.verdict, e.detail
+    UNION ALL SELECT e.project_id, e.field, {', '.join(f"CASE WHEN v.{s} IS NULL THEN '—' ELSE 'reported' END AS {s}" for s in SHOWN)}, e.authority_source, e.verdict, e.detail
       FROM evidence e JOIN field_values v ON v.project_id = e.project_id AND v.field = e.field WHERE e.field = 'system_size_kw'""")
 def evidence_table(d):
-    erp = F.when((F.col("field") == CAPACITY) & (F.col("erp") != "—"), "reported").otherwise(F.col("erp"))
-    return evidence.evidence(d.wide).select("project_id", "field", "document", erp.alias("erp"), "authority_source", "verdict", "detail")
+    shown = [F.when((F.col("field") == CAPACITY) & (F.col(s) != "—"), "reported").otherwise(F.col(s)).alias(s) for s in SHOWN]
+    return evidence.evidence(d.wide).select("project_id", "field", *shown, "authority_source", "verdict", "detail")
 
 
 @query("e10_flagged_lines", """

@@ -192,12 +192,18 @@ def summaries(d):
     return d.explained.select("pair_id", "classification", "summary", "clarification")
 
 
-@query("r4_explanations", """SELECT pair_id, summary AS what_differs, 'Classification: ' || classification AS why_flagged, 4::BIGINT AS considered,
-    'Verify flagged fields and confirm match status.' AS reviewer_action FROM explained""")
+CONSIDERED = {"Customer similarity": "customer_similarity", "Installer similarity": "installer_similarity", "Address similarity": "address_similarity", "Capacity difference": "capacity_diff"}
+
+
+@query("r4_explanations", f"""SELECT pair_id, summary AS what_differs, 'Classification: ' || classification AS why_flagged, '{", ".join(CONSIDERED)}' AS considered,
+    {", ".join(f"ROUND({c}, 6) AS {c}" for c in CONSIDERED.values())}, 'Verify flagged fields and confirm match status.' AS reviewer_action FROM explained""")
 def explanations(d):
+    """The explanations' texts, the numbers in them as numbers."""
     schema = "what_differs string, why_flagged string, evidence_considered array<string>, reviewer_action string"
     parsed = d.explained.select("pair_id", F.from_json("explanation", schema).alias("e"))
-    return parsed.select("pair_id", "e.what_differs", "e.why_flagged", F.size("e.evidence_considered").cast("long").alias("considered"), "e.reviewer_action")
+    labels = F.array_join(F.transform("e.evidence_considered", lambda x: F.split_part(x, F.lit(": "), F.lit(1))), ", ")
+    numbers = [F.round(F.split_part(F.get("e.evidence_considered", F.lit(i)), F.lit(": "), F.lit(2)).cast("double"), 6).alias(c) for i, c in enumerate(CONSIDERED.values())]
+    return parsed.select("pair_id", "e.what_differs", "e.why_flagged", labels.alias("considered"), *numbers, "e.reviewer_action")
 
 
 DECISION = "CASE classification WHEN 'ENTITY_MISMATCH' THEN 'REJECT / NON-MATCH' WHEN 'NUMERIC_CONFLICT' THEN 'REQUEST CLARIFICATION' ELSE 'APPROVE / MATCH' END"

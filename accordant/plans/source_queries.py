@@ -121,17 +121,18 @@ def canonical_records(d):
 
 
 @query("s7_c9_file_validation", """
-    SELECT 'crm' AS source_system, 0::BIGINT AS problems, COUNT(*) AS rows FROM crm UNION ALL SELECT 'erp', 1, COUNT(*) FROM erp UNION ALL SELECT 'partner', 1, COUNT(*) FROM partner""")
+    SELECT 'crm' AS source_system, '' AS problems, COUNT(*) AS rows FROM crm UNION ALL SELECT 'erp', 'Missing required columns: customer', COUNT(*) FROM erp
+    UNION ALL SELECT 'partner', 'Unsupported file format: .dat', COUNT(*) FROM partner""")
 def file_validation(d):
     """A complete file, one without a required column, and one of an unsupported kind."""
     root = scratch_path(d.spark, "exports")
     files.write_csv(d.crm.drop("ord"), f"{root}/crm.csv")
     files.write_csv(d.erp.drop("ord", "customer"), f"{root}/erp.csv")
     files.write_csv(d.partner.drop("ord"), f"{root}/partner.dat")
-    found = [(s, len(files.validate_file(d.spark, f"{root}/{f}", policy.REQUIRED_COLUMNS[s])))
+    found = [(s, "; ".join(files.validate_file(d.spark, f"{root}/{f}", policy.REQUIRED_COLUMNS[s])))
              for s, f in (("crm", "crm.csv"), ("erp", "erp.csv"), ("partner", "partner.dat"))]
     counts = d.records.where("source_system <> 'document'").groupBy("source_system").agg(F.count("*").alias("rows"))
-    return counts.join(d.spark.createDataFrame(found, "source_system string, problems long"), "source_system")
+    return counts.join(d.spark.createDataFrame(found, "source_system string, problems string"), "source_system")
 
 
 @query("s8_u1_multi_source_ingest", "SELECT source_system, COUNT(*) AS records, COUNT(record_id) AS with_id FROM records WHERE source_system <> 'partner' GROUP BY 1")

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from accordant.session import build_session  # noqa: E402
+from accordant.session import build_session, drop_scratch  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -16,4 +16,5 @@ def spark():
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    drop_scratch(session)
