@@ -22,31 +22,40 @@ SIMULATED_DECISIONS = {
     "ENTITY_MISMATCH": "REJECT / NON-MATCH", "NUMERIC_CONFLICT": "REQUEST CLARIFICATION",
 }
 DEFAULT_SIMULATED_DECISION = "APPROVE / MATCH"
+# Limits of the classes, in the order in which they are tried, and of what a summary names.
+CUSTOMER_BELOW, CAPACITY_ABOVE, ADDRESS_BELOW, INSTALLER_BELOW = 0.5, 2.0, 0.7, 0.7
+LOW_BELOW = 0.8
+# Labels of features in summaries and in explanations.
+SUMMARY_LABELS = {
+    "customer_similarity": "Customer name similarity",
+    "installer_similarity": "Installer similarity",
+    "address_similarity": "Address similarity",
+}
+STATUS_DIFFERS = "Status mismatch detected"
+CONSIDERED_LABELS = {
+    "customer_similarity": "Customer similarity",
+    "installer_similarity": "Installer similarity",
+    "address_similarity": "Address similarity",
+    "capacity_diff": "Capacity difference",
+}
 
 
 def discrepancy_class() -> Column:
     """Ordered rules over the pair features; the first that applies names the class."""
     diff = F.col("capacity_diff")
-    return (F.when(F.col("customer_similarity") < 0.5, "ENTITY_MISMATCH")
-            .when(diff.isNull() | (diff > 2.0), "NUMERIC_CONFLICT")
+    return (F.when(F.col("customer_similarity") < CUSTOMER_BELOW, "ENTITY_MISMATCH")
+            .when(diff.isNull() | (diff > CAPACITY_ABOVE), "NUMERIC_CONFLICT")
             .when(F.col("status_match") == 0, "STATUS_CONFLICT")
-            .when(F.col("address_similarity") < 0.7, "FORMATTING_DIFFERENCE")
-            .when(F.col("installer_similarity") < 0.7, "POTENTIAL_DUPLICATE")
+            .when(F.col("address_similarity") < ADDRESS_BELOW, "FORMATTING_DIFFERENCE")
+            .when(F.col("installer_similarity") < INSTALLER_BELOW, "POTENTIAL_DUPLICATE")
             .otherwise("OTHER"))
 
 
 def evidence_summary() -> Column:
-    def low(column: str, label: str) -> Column:
-        return F.when(F.col(column) < 0.8, F.concat(F.lit(f"{label}: "), fixed_text(F.col(column), 2)))
-
+    low = [F.when(F.col(c) < LOW_BELOW, F.concat(F.lit(f"{label}: "), fixed_text(F.col(c), 2))) for c, label in SUMMARY_LABELS.items()]
     gap = F.col("capacity_diff")
-    parts = [
-        low("customer_similarity", "Customer name similarity"),
-        low("installer_similarity", "Installer similarity"),
-        low("address_similarity", "Address similarity"),
-        F.when(gap > 0, F.concat(F.lit("Capacity difference: "), fixed_text(gap, 1), F.lit(" kW"))),
-        F.when(F.col("status_match") == 0, "Status mismatch detected"),
-    ]
+    capacity = F.when(gap > 0, F.concat(F.lit(f"{CONSIDERED_LABELS['capacity_diff']}: "), fixed_text(gap, 1), F.lit(" kW")))
+    parts = [*low, capacity, F.when(F.col("status_match") == 0, STATUS_DIFFERS)]
     text = F.concat_ws("; ", *parts)
     return F.when(text == "", NOTHING_FOUND).otherwise(text)
 
@@ -57,11 +66,7 @@ def clarification(classification: Column) -> Column:
 
 def explanation() -> Column:
     """JSON record for the reviewer (expects ``classification`` and ``summary``)."""
-    considered = [F.concat(F.lit(f"{label}: "), F.coalesce(F.col(c).cast("string"), F.lit("N/A")))
-                  for label, c in (("Customer similarity", "customer_similarity"),
-                                   ("Installer similarity", "installer_similarity"),
-                                   ("Address similarity", "address_similarity"),
-                                   ("Capacity difference", "capacity_diff"))]
+    considered = [F.concat(F.lit(f"{label}: "), F.coalesce(F.col(c).cast("string"), F.lit("N/A"))) for c, label in CONSIDERED_LABELS.items()]
     return F.to_json(F.struct(
         F.col("summary").alias("what_differs"),
         F.concat(F.lit("Classification: "), F.coalesce(F.col("classification"), F.lit("UNKNOWN"))).alias("why_flagged"),
