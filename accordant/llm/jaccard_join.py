@@ -25,8 +25,8 @@ from accordant.llm.text import LOWER, WordHashes, gram_hashes, map_rows, stored
 CELLS = 1 << 22
 #: Tokens of a set up to which its postings carry them all, so that a pair is met once.
 NARROW = 512
-#: Cost of verifying one candidate, in postings read.
-VERIFY = 20.0
+#: Cost of verifying one candidate, and of posting one shingle (written, shuffled and sorted), in postings read.
+VERIFY, POST = 20.0, 200.0
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -97,14 +97,15 @@ def prefix(h: np.ndarray, sketch: np.ndarray, need: Callable[[int], int]) -> tup
     """The shingles to post for a set, how many more than the shortest prefix, and the place of the last
     one in the order of the corpus (its top 63 bits).
 
-    For every l the postings to read are the estimated frequencies of the prefix, and the candidates are
-    at most that divided by l; l with the least cost wins.
+    For every l the postings to write are as many as the prefix is long, those to read its estimated frequencies, and the
+    candidates are at most the latter divided by l; l with the least cost wins.
     """
     cell = sketch[h & np.uint64(CELLS - 1)]
     order = np.lexsort((h, cell))
     n, c = len(h), need(len(h))
     others = np.cumsum(np.exp2(cell[order] / 8.0) - 1.0)[n - c :]
-    at = 1 + int(np.argmin(others * (1 + VERIFY / np.arange(1, c + 1) ** 2)))
+    more = np.arange(1, c + 1)
+    at = 1 + int(np.argmin(POST * more + others * (1 + VERIFY / more**2)))
     posted = order[: n - c + at]
     return h[posted], at, int(cell[posted[-1]]) << 55 | int(h[posted[-1]]) >> 9
 
