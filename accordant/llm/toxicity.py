@@ -30,6 +30,18 @@ IDENTITY_TERMS = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"), ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
     ("gay", "straight", "lesbian", "bisexual", "transgender"), ("immigrants", "refugees", "natives", "foreigners"),
     ("young", "old"), ("blind", "deaf", "disabled"),
+    # German
+    ("männer", "frauen"), ("mann", "frau"), ("jungen", "mädchen"), ("männlich", "weiblich"),
+    ("christen", "muslime", "juden", "buddhisten", "atheisten"), ("christlich", "muslimisch", "jüdisch", "buddhistisch"),
+    ("schwarze", "weiße"), ("schwul", "lesbisch", "bisexuell"), ("flüchtlinge", "einwanderer", "ausländer", "einheimische"),
+    # French
+    ("hommes", "femmes"), ("homme", "femme"), ("garçons", "filles"), ("masculin", "féminin"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"), ("chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée"),
+    ("noirs", "blancs"), ("homosexuels", "lesbiennes", "bisexuels"), ("immigrés", "réfugiés", "étrangers"),
+    # Spanish
+    ("hombres", "mujeres"), ("hombre", "mujer"), ("niños", "niñas"), ("masculino", "femenino"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"), ("cristiano", "musulmán", "judío", "hindú", "budista", "ateo"),
+    ("negros", "blancos"), ("homosexuales", "lesbianas", "bisexuales"), ("inmigrantes", "refugiados", "extranjeros"),
 )
 
 
@@ -117,10 +129,10 @@ def select_features(rows: DataFrame) -> tuple[np.ndarray, int]:
     return order[g2[order] >= LEAST_G2], int(size.sum())
 
 
-def fit(rows: DataFrame, groups=IDENTITY_TERMS) -> tuple[dict[int, int], np.ndarray]:
+def fit(rows: DataFrame, groups=IDENTITY_TERMS, counterfactual: float = COUNTERFACTUAL) -> tuple[dict[int, int], np.ndarray]:
     """Selected features (bucket to place) and weights, the last of which is the constant.
 
-    Minimises mean logistic loss + L2 + ``COUNTERFACTUAL`` times the mean squared change of the logit
+    Minimises mean logistic loss + L2 + ``counterfactual`` times the mean squared change of the logit
     between a text and its counterfactual, over the texts with identity terms.
     """
     rows = rows.persist()
@@ -158,7 +170,7 @@ def fit(rows: DataFrame, groups=IDENTITY_TERMS) -> tuple[dict[int, int], np.ndar
         e = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
         g = np.append(np.bincount(own, e[at], len(w)) + L2 * w, e.sum())
         if pairs:
-            gap = (np.bincount(left_at, w[left], len(pairs)) - np.bincount(right_at, w[right], len(pairs))) * 2 * COUNTERFACTUAL / len(pairs)
+            gap = (np.bincount(left_at, w[left], len(pairs)) - np.bincount(right_at, w[right], len(pairs))) * 2 * counterfactual / len(pairs)
             g[:-1] += np.bincount(left, gap[left_at], len(w)) - np.bincount(right, gap[right_at], len(w))
         step_sizes += g * g
         weights -= RATE * g / np.sqrt(step_sizes)
@@ -171,7 +183,7 @@ def _flat(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-                    keep_columns: bool = False, fit_rows: int = FIT_ROWS) -> DataFrame:
+                    keep_columns: bool = False, fit_rows: int = FIT_ROWS, counterfactual: float = COUNTERFACTUAL) -> DataFrame:
     """``held_out``, ``score`` (0 to 1) and ``predicted`` of every row of ``docs``, by its text alone.
 
     The model sees at most ``fit_rows`` labelled rows, none of them held out. Null and empty texts get the
@@ -179,7 +191,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     A null id is never held out. With ``keep_columns``, the columns of ``docs`` come along.
     """
     known = training_rows(docs, labels, id_col, text_col, label_col, fit_rows)
-    keep, weights = fit(known)
+    keep, weights = fit(known, counterfactual=counterfactual)
     model = docs.sparkSession.sparkContext.broadcast((keep, weights))  # at most SELECTED features
 
     def make():
