@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from accordant.llm import decontamination, language_id, license_scan, packing
+from accordant.llm import decontamination, language_id, license_scan, packing, toxicity
 from accordant.llm.text import hashed_words
 
 
@@ -170,3 +170,32 @@ def test_words_hashed_together():
     of = {}
     assert all(of.setdefault(w, v) == v for w, v in zip(words, h.tolist())) and len(set(of.values())) == len(of)
     assert hashed_words([])[0].size == 0
+
+
+def test_penalty_spares_neutral_mentions(spark):
+    """Some groups are named mostly in toxic texts. Held-out neutral texts that name them: far fewer are called toxic with the penalty."""
+    rng = random.Random(6)
+    plain = [f"w{k}" for k in range(300)]
+    rows, labels, neutral = [], [], set()
+    for i in range(3000):
+        bad = rng.random() < 0.35
+        w = rng.choices(plain, k=25)
+        if bad:
+            w[3] = rng.choice(["blorky", "grunkish", "snarfel"]) if rng.random() < 0.8 else rng.choice(plain)  # not every toxic text gives itself away
+        if rng.random() < (0.7 if bad else 0.06):
+            w.append(rng.choice(["muslims", "musulmanes", "juifs", "frauen"]))
+            if not bad:
+                neutral.add(i)
+        elif rng.random() < 0.2:
+            w.append(rng.choice(["christians", "cristianos", "bouddhistes", "männer"]))
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    wrong, accuracy = {}, {}
+    for weight in (0.0, toxicity.COUNTERFACTUAL):
+        held = [r for r in toxicity.score_documents(docs, marks, counterfactual=weight).collect() if r.held_out]
+        wrong[weight] = sum(r.predicted for r in held if r.doc_id in neutral)
+        accuracy[weight] = sum(r.predicted == labels[r.doc_id][1] for r in held) / len(held)
+    assert wrong[0.0] >= 10 and wrong[toxicity.COUNTERFACTUAL] <= wrong[0.0] / 3, wrong
+    assert accuracy[toxicity.COUNTERFACTUAL] > 0.85, accuracy
