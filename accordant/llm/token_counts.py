@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from accordant.llm import bpe
 from accordant.llm.text import map_rows
 
-CHUNK = 1 << 16
+#: Characters of a chunk.
+CHUNK = 1 << 12
 
 #: The map of a chunk of text, whatever state it is entered in: what stands before its first cut (the
 #: rest of a symbol begun earlier), the tokens emitted between its first and last cut, and what stands
@@ -58,8 +59,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null and empty texts have 0 of each. The special string inside a text is one token, and the text on
     either side of it is counted on its own, as the tokenizer library does by default. Repeated rows are
-    counted each. ``path`` is a byte-level BPE tokenizer file present on every worker; texts longer than
-    ``chunk`` characters are counted chunk by chunk.
+    counted each. ``path`` is a byte-level BPE tokenizer file present on every worker; texts are counted by
+    chunks of ``chunk`` characters.
     """
     file = path or bpe.default_path()
 
@@ -68,11 +69,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         inner = fst.__getitem__
 
         def tokens(part: str) -> int:
-            if len(part) <= chunk:
-                head, *rest = bpe.symbols(part)
-                return (fst.start(head) if head else 0) + sum(map(inner, rest))
             maps = [state_map(part[i : i + chunk], fst) for i in range(0, len(part), chunk)]
-            return total(prefix_scan(maps, inner)[-1], fst.start, inner)
+            return total(prefix_scan(maps, inner)[-1], fst.start, inner) if maps else 0
 
         def step(ids, texts):
             pieces = [(t or "").split(bpe.SPECIAL) for t in texts]
