@@ -212,11 +212,10 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     each other, and a null id counts as none: such a row gets the smallest id of its component, if any.
 
     First every set is verified against one hub of its shingles (the one with which most are shared),
-    which joins a group of near copies in as many steps as it has members. Sets that this leaves outside the
-    largest star of a shingle are verified against a hub of that star, again and again until no link is found.
-    Then only sets still in different stars are paired: for each shingle, those outside its largest star
+    which joins a group of near copies in as many steps as it has members; what these links connect is a star.
+    Then only sets in different stars are paired: for each shingle, those outside its largest star
     with all others, as far as their sizes, what they share in prefixes and what they have beyond can reach
-    the threshold.
+    the threshold. A pair is met once, at the first shingle that both have posted.
     """
     def need(n: int) -> int:
         return -(-numerator * n // denominator)
@@ -251,22 +250,12 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         best = met.groupBy("x").agg(F.max(F.struct("n", "y")).alias("best")).select(F.col("best.y").alias("a"), F.col("x").alias("b"))
         return stored(verify(best, docs, rows, id_col, text_col, size, numerator, denominator), "jaccard-stars")
 
-    # sets outside the largest star of a token are held against that star, until this links nothing more
-    links, step, before = None, toward(live, hubs), live
-    while True:
-        found = step.count()
-        links = step if links is None else links.unionAll(step)
-        if found or links is step:
-            star_of = connected_components(links, "a", "b").select("node", F.col("root").alias("star"))
-            starred = before.select("token", "node").join(star_of, "node", "left").select("token", "node", F.coalesce("star", "node").alias("star"))
-            per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
-            mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
-            before = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
-        if not found:
-            break
-        hubs = (before.filter("star = top").join(facts.select("node", "alone"), "node").groupBy("token").agg(F.min(F.struct("alone", "node")).alias("h"))
-                .select("token", F.col("h.node").alias("hub")))
-        step = toward(before.filter("star <> top"), hubs)
+    links = toward(live, hubs)
+    star_of = connected_components(links, "a", "b").select("node", F.col("root").alias("star"))
+    starred = live.join(star_of, "node", "left").select("token", "node", F.coalesce("star", "node").alias("star"))
+    per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
+    mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
+    before = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
     held = before.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))  # of one set, no more than it posts
     held = held.select("node", F.when(F.size("tokens") <= NARROW, F.col("tokens")).alias("tokens"))
     apart = stored(before.join(facts.join(held, "node"), "node"), "jaccard-paired")
