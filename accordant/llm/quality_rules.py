@@ -11,7 +11,7 @@ rules, so the whole rejects at most ``alpha`` of a stratum's good documents, wit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from accordant.llm.text import stored, word_array
@@ -24,11 +24,11 @@ TOP = 10_000
 
 #: Rule: (statistic, by the base columns); a document with a statistic above the cutoff is rejected.
 RULES = {
-    "symbols": "1000 * n_symbols div n_words",
-    "dup_lines": "1000 * n_dup_lines div n_lines",
-    "repeats": "1000 * n_repeat_words div n_words",
-    "long_words": "100 * word_chars div n_words",
-    "short_words": f"greatest({TOP} - 100 * word_chars div n_words, 0)",
+    "symbols": "1000 * n_symbols div nullif(n_words, 0)",
+    "dup_lines": "1000 * n_dup_lines div nullif(n_lines, 0)",
+    "repeats": "1000 * n_repeat_words div nullif(n_words, 0)",
+    "long_words": "100 * word_chars div nullif(n_words, 0)",
+    "short_words": f"greatest({TOP} - 100 * word_chars div nullif(n_words, 0), 0)",
 }
 
 
@@ -101,14 +101,10 @@ def certified_cutoffs(base: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     label = labels.filter("quality IN (0, 1)").select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
     bins = (_statistics(base, "doc_id", "stratum").join(label, "doc_id").groupBy("stratum", "rule", "value")
             .agg(F.sum("quality").alias("good"), F.sum(1 - F.col("quality")).alias("bad")))
-    bins.createOrReplaceTempView("_quality_bins")
     share = alpha / len(RULES)
-    spark = base.sparkSession
-    above = spark.sql("""
-        SELECT *, sum(good) OVER (PARTITION BY stratum, rule ORDER BY value DESC) - good AS good_above,
-                  sum(bad) OVER (PARTITION BY stratum, rule ORDER BY value DESC) - bad AS bad_above,
-                  sum(good) OVER (PARTITION BY stratum, rule) AS n_good, sum(bad) OVER (PARTITION BY stratum, rule) AS n_bad
-        FROM _quality_bins""")
+    family = Window.partitionBy("stratum", "rule")
+    upto = family.orderBy(F.col("value").desc())
+    above = bins.select("*", *[(F.sum(c).over(upto) - F.col(c)).alias(f"{c}_above") for c in ("good", "bad")], *[F.sum(c).over(family).alias(f"n_{c}") for c in ("good", "bad")])
     level = delta / max(1, bins.select("stratum", "rule").distinct().count())
     sizes = above.select("stratum", "rule", "n_good").distinct()
     allowed = sizes.select("stratum", "rule", allowed_rejections("n_good", share, f"{level!r}D").alias("allowed"))
