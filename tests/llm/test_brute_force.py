@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from accordant.llm import decontamination, language_id, license_scan, packing, toxicity
+from accordant.llm import decontamination, language_id, license_scan, packing, quality_rules, toxicity
 from accordant.llm.text import hashed_words
 
 
@@ -199,3 +199,65 @@ def test_penalty_spares_neutral_mentions(spark):
         accuracy[weight] = sum(r.predicted == labels[r.doc_id][1] for r in held) / len(held)
     assert wrong[0.0] >= 10 and wrong[toxicity.COUNTERFACTUAL] <= wrong[0.0] / 3, wrong
     assert accuracy[toxicity.COUNTERFACTUAL] > 0.85, accuracy
+
+
+def test_verdicts_of_quality_rules_by_definition(spark):
+    rng = random.Random(11)
+    rows, labels = [], []
+    for i in range(2600):
+        lang = "en" if i % 4 else ("de" if i % 8 else None)
+        bad = rng.random() < 0.4
+        w = [f"word{rng.randrange(3000)}" for _ in range(rng.randrange(40, 90))]
+        if bad and rng.random() < 0.7:
+            w = [x + "#*$" if rng.random() < 0.5 else x for x in w]
+        if bad and rng.random() < 0.3:
+            w = [x * 4 for x in w]
+        text = " ".join(w) if rng.random() < 0.5 else "\n".join([" ".join(w[k : k + 8]) for k in range(0, len(w), 8)] + ["same line"] * (5 * bad))
+        rows.append((i, text, lang, "x", "x"))
+        labels.append((i, rng.choice([None, 2]) if i % 97 == 0 else int(not bad)))
+    rows += [(9000, None, "en", "x", "x"), (None, rows[1][1], "en", "x", "x"), (1, rows[1][1], "en", "x", "x")]
+    labels += [(1, labels[1][1]), (None, 1), (77_777, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, kept string, stratum string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int")
+    base = [r.asDict() for r in quality_rules.base_columns(docs).collect()]
+
+    def statistics(r):
+        n = r["n_words"]
+        per = lambda x, y, z=1000: x * z // y if y else 0
+        return {k: min(v, quality_rules.TOP) for k, v in {
+            "symbols": per(r["n_symbols"], n), "dup_lines": per(r["n_dup_lines"], r["n_lines"]), "repeats": per(r["n_repeat_words"], n),
+            "long_words": per(r["word_chars"], n, 100), "short_words": max(quality_rules.TOP - per(r["word_chars"], n, 100), 0)}.items()}
+
+    marked = {(i, q) for i, q in labels if q in (0, 1) and i is not None}
+    of = defaultdict(list)
+    for r in base:
+        if not r["base_failed"]:
+            for i, q in marked:
+                if i == r["doc_id"]:
+                    for rule, v in statistics(r).items():
+                        of[(r["stratum"], rule)].append((v, q))
+    level, share = quality_rules.DELTA / len(of), quality_rules.ALPHA / len(quality_rules.RULES)
+    cutoffs = {}
+    for family, seen in of.items():
+        good, bad = sum(q for _, q in seen), sum(1 - q for _, q in seen)
+        allowed, cdf = -1, 0.0
+        for k in range(good + 1):
+            cdf += math.exp(math.lgamma(good + 1) - math.lgamma(k + 1) - math.lgamma(good - k + 1) + k * math.log(share) + (good - k) * math.log(1 - share))
+            if cdf > level:
+                break
+            allowed = k
+        best = None
+        for cut in {v for v, _ in seen}:
+            g, b = sum(q for v, q in seen if v > cut), sum(1 - q for v, q in seen if v > cut)
+            gain = (b / bad if bad else 0.0) - quality_rules.COST * (g / good if good else 0.0)
+            if g <= allowed and gain > 0:
+                best = max(best or (gain, cut), (gain, cut))
+        if best:
+            cutoffs[family] = best[1]
+    assert {f[1] for f in cutoffs} >= {"symbols", "dup_lines"}
+    expected = Counter()
+    for r in base:
+        rejected = any(v > cutoffs.get((r["stratum"], rule), quality_rules.TOP) for rule, v in statistics(r).items())
+        expected[(r["doc_id"], r["base_failed"], not r["base_failed"] and not rejected)] += 1
+    got = Counter((r.doc_id, r.base_failed, r.kept) for r in quality_rules.apply_rules(docs, marks).collect())
+    assert got == expected and sum(not k[1] and not k[2] for k in got) > 300
