@@ -256,22 +256,27 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     per_star = starred.groupBy("token", "star").agg(F.count(F.lit(1)).alias("n"))
     mixed = per_star.groupBy("token").agg(F.max(F.struct("n", "star")).alias("top"), F.count(F.lit(1)).alias("stars")).filter("stars > 1")
     before = stored(starred.join(mixed.select("token", F.col("top.star").alias("top")), "token"), "jaccard-apart")
-    held = before.groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))  # of one set, no more than it posts
-    held = held.select("node", F.when(F.size("tokens") <= NARROW, F.col("tokens")).alias("tokens"))
+    # each posting of a set carries 32-bit digests of all its tokens in the join, unless they are very many
+    digest = F.hash("token")
+    held = before.groupBy("node").agg(F.array_sort(F.collect_set(digest)).alias("tokens"), F.count(F.lit(1)).alias("all"))
+    held = held.select("node", F.when(F.col("all") <= NARROW, F.col("tokens")).alias("tokens"), (F.col("all") - F.size("tokens")).cast("int").alias("lost"))
     apart = stored(before.join(facts.join(held, "node"), "node"), "jaccard-paired")
 
     def end(name):
-        return apart.select(F.col("token").alias(f"{name}_token"), F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n", "star", "tokens")],
+        return apart.select(F.col("token").alias(f"{name}_token"), F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("size", "last", "rest", "n", "star", "tokens", "lost")],
                             (F.col("star") == F.col("top")).alias(f"{name}_major"))
 
-    # two sets meet at the first token they share, and are counted there; those with very many tokens at every one
+    # two sets meet at the first tokens they share (three, lest digests that are equal by chance stand before them), and
+    # what they share is counted there; sets with very many tokens meet at every one
     shared = F.array_intersect("x_tokens", "y_tokens")
+    number = F.size(shared) + F.col("x_lost") + F.col("y_lost")
     wide = F.col("x_tokens").isNull() | F.col("y_tokens").isNull()
     met = end("x").filter("NOT x_major").join(end("y"), (F.col("x_token") == F.col("y_token")) & (F.col("x_star") != F.col("y_star"))
                                               & (F.col("y_major") | (F.col("x") < F.col("y"))) & fitting
-                                              & (wide | ((F.get(shared, F.lit(0)) == F.col("x_token")) & (F.size(shared) >= missing))))
-    candidates = (met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), missing.alias("missing"), F.when(wide, 1).otherwise(F.size(shared)).alias("n"))
-                  .groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("missing").alias("missing")).filter("n >= missing").select("a", "b"))
+                                              & (wide | (F.array_contains(F.slice(shared, 1, 3), F.hash("x_token")) & (number >= missing))))
+    candidates = (met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), missing.alias("missing"),
+                             F.when(wide, 1).otherwise(0).alias("one"), F.when(~wide, number).otherwise(0).alias("counted"))
+                  .groupBy("a", "b").agg((F.sum("one") + F.max("counted")).alias("n"), F.min("missing").alias("missing")).filter("n >= missing").select("a", "b"))
     links = links.unionAll(verify(candidates, docs, rows, id_col, text_col, size, numerator, denominator))
 
     component = connected_components(links, "a_key", "b_key").select(F.col("node").alias("key"), "root")
