@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from accordant import policy
 from accordant.operators import explain, features, pairs, queue
 from accordant.operators.models import LinearModel
-from accordant.session import durable
+from accordant.session import durable, stored
 
 #: Share of all owners in versions after the first beyond which a store is written anew.
 REBUILD_SHARE = 0.25
@@ -52,8 +52,8 @@ def _scored(folded: DataFrame, paired: DataFrame, model: LinearModel) -> DataFra
 def build(records: DataFrame, model: LinearModel, root: str, version: int = 0) -> None:
     """Score all pairs of ``records`` into an empty store, or as a full new version of one."""
     spark = records.sparkSession
-    folded = durable(features.fold_records(features.normalized_records(records)))
-    paired = durable(pairs.neighbours_of(folded))
+    folded = stored(features.fold_records(features.normalized_records(records)))
+    paired = stored(pairs.neighbours_of(folded))
     rows = _scored(folded, paired, model)
     rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
     _digests(folded).write.parquet(f"{root}/digests/version={version}")
@@ -71,7 +71,7 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
     commits = _commits(spark, root)
     base, version = commits[0]["version"], commits[-1]["version"] + 1
     versions = [c["version"] for c in commits]
-    folded = durable(features.fold_records(features.normalized_records(records)))
+    folded = stored(features.fold_records(features.normalized_records(records)))
     digests = _digests(folded)
     old = _latest(_read(spark, root, "digests", versions), "record_id").where("digest IS NOT NULL")
     both = digests.join(old.select("record_id", F.col("digest").alias("was")), "record_id", "full")
@@ -80,18 +80,18 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
     if not counts["n"]:
         return {"changed": 0, "owners": 0, "pairs": 0}
 
-    stored = _latest(_read(spark, root, "links", versions), "record_id")
+    links_before = _latest(_read(spark, root, "links", versions), "record_id")
     if counts["moved"]:
-        ids = durable(pairs.neighbours_of(folded.select("record_id")).select("record_id", F.col("next.record_id").alias("next_id")))
-        compared = ids.join(stored.select("record_id", F.col("next_id").alias("was_next")), "record_id", "full")
+        ids = stored(pairs.neighbours_of(folded.select("record_id")).select("record_id", F.col("next.record_id").alias("next_id")))
+        compared = ids.join(links_before.select("record_id", F.col("next_id").alias("was_next")), "record_id", "full")
         relinked = durable(compared.where(~F.col("next_id").eqNullSafe(F.col("was_next"))).select("record_id", "next_id"))
     else:
-        ids, relinked = stored.select("record_id", "next_id"), None
+        ids, relinked = links_before.select("record_id", "next_id"), None
     ids = ids.where("next_id IS NOT NULL")
     owners = changed.select("record_id").unionByName(ids.join(changed.select(F.col("record_id").alias("next_id")), "next_id", "left_semi").select("record_id"))
     if relinked is not None:
         owners = owners.unionByName(relinked.select("record_id"))
-    owners = durable(owners.distinct())
+    owners = stored(owners.distinct())
     number, known = owners.count(), folded.count()
     if sum(c["owners"] for c in commits) + number > REBUILD_SHARE * max(known, 1):
         build(records, model, root, version)
@@ -99,11 +99,11 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
 
     mine = folded.join(owners, "record_id", "left_semi")
     drawn = mine.join(ids, "record_id").join(folded.select(F.col("record_id").alias("next_id"), F.struct("record_id", *policy.SOURCES).alias("next")), "next_id").drop("next_id")
-    rows = durable(_scored(mine, drawn, model))
+    rows = stored(_scored(mine, drawn, model))
     rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
     owners.withColumnRenamed("record_id", "owner").write.parquet(f"{root}/owners/version={version}")
     changed.select("record_id", "digest").write.parquet(f"{root}/digests/version={version}")
-    links = relinked if relinked is not None else stored.select("record_id", "next_id").limit(0)
+    links = relinked if relinked is not None else links_before.select("record_id", "next_id").limit(0)
     links.write.parquet(f"{root}/links/version={version}")
     _commit(spark, root, version, False, number, known)
     return {"changed": counts["n"], "owners": number, "pairs": rows.count()}
