@@ -1,5 +1,8 @@
 """Distributed ranks and quantiles against single-machine results, with a hot key."""
 
+import hashlib
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -122,3 +125,35 @@ def test_overlapping_windows_do_not_multiply_points(spark):
     got = label_points(points, windows, "series", "ts").orderBy("id").toPandas()
     assert got["id"].tolist() == list(range(100))
     assert got.loc[got["label"] == 1, "id"].tolist() == [*range(5, 61), 80]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.7, 1.0])
+def test_split_without_moving_rows(spark, share):
+    rng = np.random.default_rng(3)
+    ids = [None if rng.random() < 0.02 else f"p{rng.integers(900) if rng.random() < 0.9 else 7}" for _ in range(3000)]
+    labels = [None if rng.random() < 0.1 else int(rng.random() < 0.8) for _ in ids]
+    rows = list(zip(ids, labels, range(3000)))
+    df = spark.createDataFrame(rows, "id string, y int, n int").cache()
+    split = metrics.stratified_split(df, "y", "id", share)
+    got = split.collect()
+    assert sorted(r.n for r in got) == list(range(3000))
+    for label in (None, 0, 1):
+        def place(i):
+            return "" if i is None else hashlib.md5(f"42|{i}".encode()).hexdigest()
+
+        inside = sorted((place(i) for i, y, _ in rows if y == label))
+        train = sorted(place(r.id) for r in got if r.y == label and r.split == "train")
+        assert train == inside[:int(len(inside) * share + 1e-9)]
+    # nothing but counts, and the rows under the border digests, is shuffled
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan
+
+
+def test_stored_tables_are_compressed(spark):
+    from accordant.session import stored
+
+    df = spark.range(0, 200_000, 1, 4).select("id", F.lit("the same text in every row").alias("t"), F.struct("id", F.lit(None).cast("double").alias("x")).alias("s"))
+    kept = stored(df)
+    assert kept.schema.simpleString() == df.schema.simpleString() and kept.count() == 200_000
+    path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+    assert sum(f.stat().st_size for f in Path(path).glob("*.parquet")) < 200_000 * 26 / 2
