@@ -155,3 +155,17 @@ def test_two_records_with_a_line_break(spark, tmp_path):
     df = files.read_csv(spark, str(tmp_path / "crm.csv"), schemas.SOURCE_FILES["crm"])
     assert sorted((r.project_id, r.customer_name, r.system_size_kw, r._corrupt_record) for r in df.collect()) == [
         ("P1", "Ann\nLee", 4.5, None), ("P2", "Bo", 5.0, None)]
+
+
+def test_cases_of_a_shard_stay_apart(spark, tmp_path):
+    rng = random.Random(4)
+    rows = case_events(rng, 90)
+    batches = [sorted(rows, key=lambda r: r[1])[a:b] for a, b in ((0, 45), (45, len(rows)))]
+    got = []
+    for shards in (1, 3):
+        stream = arrive(spark, tmp_path / f"in{shards}", batches, EVENTS)
+        jobs.run_to_files(case_replay.case_updates(stream, shards=shards), str(tmp_path / f"out{shards}"), str(tmp_path / f"progress{shards}"), "update")
+        out = spark.read.parquet(str(tmp_path / f"out{shards}/b*"))
+        last = out.where("kind = 'state'").groupBy("case_id").agg(F.max_by(F.struct("status", "moves", "created_at"), "batch").alias("s"))
+        got.append((sorted(map(str, last.collect())), sorted(map(str, out.where("kind = 'sla_breach'").drop("batch").collect()))))
+    assert got[0] == got[1] and len(got[0][0]) == len({r[0] for r in rows})
