@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from accordant import policy, schemas
-from accordant.operators import models
+from accordant.operators import features, models
 from accordant.plans.domain import Domain
 from accordant.sources import files, warehouse
 
@@ -82,3 +82,13 @@ def test_model_roundtrip_and_schema_check(spark, domain, tmp_path):
 def test_plans_have_no_cross_joins(spark, name):
     plan = contract.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_terms_are_counted_in_parts_by_bytes_of_text(spark):
+    """Texts that compress well stay in as many tasks as their terms need."""
+    text = " ".join(f"w{i}" for i in range(20_000))
+    corpus = spark.range(60).select(F.col("id").cast("string").alias("doc"), F.lit(text).alias("title"))
+    counts = features.title_terms(corpus, "doc", "title")
+    found = counts.groupBy(F.spark_partition_id().alias("part")).agg(F.sum("tf").alias("terms"), F.countDistinct("doc").alias("docs")).collect()
+    assert sum(r["terms"] for r in found) == 60 * (2 * 20_000 - 1)
+    assert len(found) >= 3 and max(r["docs"] for r in found) * len(text) <= 4 * features.TEXT_PART
