@@ -85,10 +85,27 @@ def test_plans_have_no_cross_joins(spark, name):
 
 
 def test_terms_are_counted_in_parts_by_bytes_of_text(spark):
-    """Texts that compress well stay in as many tasks as their terms need."""
+    """Texts that compress well are not joined to one task, however few bytes they take in a shuffle."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     text = " ".join(f"w{i}" for i in range(20_000))
     corpus = spark.range(60).select(F.col("id").cast("string").alias("doc"), F.lit(text).alias("title"))
     counts = features.title_terms(corpus, "doc", "title")
-    found = counts.groupBy(F.spark_partition_id().alias("part")).agg(F.sum("tf").alias("terms"), F.countDistinct("doc").alias("docs")).collect()
+    try:
+        found = counts.groupBy(F.spark_partition_id().alias("part")).agg(F.sum("tf").alias("terms"), F.countDistinct("doc").alias("docs")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
     assert sum(r["terms"] for r in found) == 60 * (2 * 20_000 - 1)
-    assert len(found) >= 3 and max(r["docs"] for r in found) * len(text) <= 4 * features.TEXT_PART
+    assert len(found) >= 3 and max(r["docs"] for r in found) * len(text) <= 3 * features.TEXT_PART
+
+
+def test_tasks_take_bounded_shares_of_shuffles_and_files(spark, tmp_path):
+    from accordant.session import size_shuffles
+
+    names = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        size_shuffles(spark, str(tmp_path))
+        assert int(spark.conf.get(names[0])) <= 8 << 20 and int(spark.conf.get(names[1])) <= 16 << 20
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
