@@ -45,6 +45,19 @@ def test_neighbours_form_one_chain_per_group(frame):
     assert got["id"].is_unique and got["nxt"].is_unique
 
 
+def test_neighbours_of_one_group(spark):
+    """Every row meets the next one in digest order, across parts as well, and moves once."""
+    ids = [f"PRJ-{i:05d}" for i in range(2000)]
+    paired = hash_neighbours(spark.createDataFrame([(i, i[-1]) for i in ids], "id string, v string").repartition(5), [], "id", 42)
+    order = sorted(ids, key=lambda i: (hashlib.md5(f"42|{i}".encode()).hexdigest(), i))
+    got = {r["id"]: (r["next"]["id"], r["next"]["v"]) for r in paired.collect()}
+    assert got == {a: (b, b[-1]) for a, b in zip(order, order[1:])}
+    plan = paired._jdf.queryExecution().sparkPlan().toString()
+    assert "LogicalRDD" not in plan and "FileScan" not in plan  # nothing is stored on the way
+    one = hash_neighbours(spark.createDataFrame([("a", "x")], "id string, v string"), [], "id", 42)
+    assert one.count() == 0
+
+
 def test_exact_quantiles(frame):
     pdf, df = frame
     got = exact_quantiles(df.where("k is not null"), ["k"], "v", {"a": 0.01, "b": 0.5, "c": 0.99}).toPandas().set_index("k")
