@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from accordant.functions.ids import shuffle_hash
 from accordant.operators.outliers import NEIGHBOURS, flag_top_share
 from accordant.operators.ranking import ordered_rank
-from accordant.session import durable
+from accordant.session import MOST_PARTS, durable
 
 #: Most pivots, and points of a block.
 PIVOTS, BLOCK = 1_024, 2_000
@@ -28,7 +28,10 @@ _SLACK = 1 + 1e-9  # bounds are widened by more than rounding can be
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(((x[:, None, :] - y[None, :, :]) ** 2).sum(2), 0.0))
+    squares = np.zeros((len(x), len(y)))
+    for a, b in zip(x.T, y.T):  # column by column: nothing larger than the result is held
+        squares += (a[:, None] - b[None, :]) ** 2
+    return np.sqrt(squares)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -55,20 +58,26 @@ def _celled(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInPandas(assign, "x array<double>, copies long, point long, cell int, r double")
 
 
-def _nearest(far: np.ndarray, order: np.ndarray, copies: np.ndarray, need: np.ndarray) -> list[np.ndarray]:
-    """For each row of ``far``, the columns that hold its ``need`` nearest copies, by (distance, order)."""
-    out = []
-    for row, n in zip(far, need):
-        if n <= 0:
-            out.append(np.empty(0, np.int64))
-            continue
-        limit = min(len(row), int(n) + 1)
-        cut = np.partition(row, limit - 1)[limit - 1]
-        near = np.flatnonzero(row <= cut)
-        near = near[np.lexsort((order[near], row[near]))]
-        upto = np.cumsum(copies[near])
-        out.append(near[: int(np.searchsorted(upto, n)) + 1])
-    return out
+def _nearest(far: np.ndarray, order: np.ndarray, copies: np.ndarray, need: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of ``far`` that hold the ``need`` nearest copies of each row, by (distance, order).
+
+    ``near`` marks the entries that are looked at; those of a row are next to each other in the result.
+    """
+    row, column = np.nonzero(near & (need > 0)[:, None])
+    place = np.lexsort((order[column], far[row, column], row))
+    row, column = row[place], column[place]
+    upto = np.cumsum(copies[column])
+    before = upto - copies[column]
+    start = np.searchsorted(row, row)  # the first entry of the same row
+    taken = before - before[start] < need[row] if len(row) else np.empty(0, bool)
+    return row[taken], column[taken]
+
+
+def _within(far: np.ndarray, n: int) -> np.ndarray:
+    """The entries of each row that are not farther than its ``n``-th nearest."""
+    if far.shape[1] <= n:
+        return np.isfinite(far)
+    return (far <= np.partition(far, n - 1, axis=1)[:, [n - 1]]) & np.isfinite(far)
 
 
 _LINKS = "point long, other long, gap double, copies long"
@@ -106,20 +115,20 @@ def nearest_neighbours(points: DataFrame, k: int, pivots: int = PIVOTS, block: i
         place = np.lexsort(x.T[::-1])
         rank = np.empty(len(x), np.int64)
         rank[place] = np.arange(len(x))
-        rows = []
+        links, asked = [], []
         for at in range(0, len(x), 256):
             some = slice(at, at + 256)
             far = _distances(x[some], x)
             here = np.arange(len(x))[some]
             far[np.arange(len(here)), here] = np.inf
             need = k - (copies[some] - 1)
-            near = _nearest(far, rank, copies, need)
+            row, own = _nearest(far, rank, copies, need, _within(far, k))
+            held = np.bincount(row, copies[own], len(here))
+            farthest = np.zeros(len(here))
+            np.maximum.at(farthest, row, far[row, own])
             to_pivot = _distances(x[some], pivot)
             bound = (to_pivot + reach[None, :]).min(1)
-            for i, (me, own) in enumerate(zip(here, near)):
-                held = copies[own].sum()
-                if held >= need[i]:
-                    bound[i] = min(bound[i], far[i, own[-1]] if len(own) else 0.0)
+            bound = np.where(held >= need, np.minimum(bound, farthest), bound)
             gap = to_pivot[:, rings["cell"]]
             limit = bound[:, None] * _SLACK
             open_ = (gap - rings["high"].to_numpy()[None, :] <= limit) & (rings["low"].to_numpy()[None, :] - gap <= limit)
@@ -129,15 +138,18 @@ def nearest_neighbours(points: DataFrame, k: int, pivots: int = PIVOTS, block: i
             with np.errstate(divide="ignore", invalid="ignore"):
                 halfway = (gap**2 - (to_pivot[:, [key[0]]]) ** 2) / (2 * between[None, :])
             open_ &= ~(halfway > limit + 1e-12 * (gap + 1))
-            for i, (me, own) in enumerate(zip(here, near)):
-                rows += [(ids[me], ids[o], far[i, o], copies[o], None, None, None, None) for o in own]
-                if need[i] > 0:
-                    rows += [(ids[me], None, None, None, c, b, x[me].tolist(), bound[i]) for c, b in rings.loc[open_[i], ["cell", "block"]].itertuples(index=False)]
-        return pd.DataFrame(rows, columns=["point", "other", "gap", "copies", "cell", "block", "x", "bound"]).astype(
+            open_ &= (need > 0)[:, None]
+            links.append(pd.DataFrame({"point": ids[here[row]], "other": ids[own], "gap": far[row, own], "copies": copies[own], "x": None}))
+            point, ring = np.nonzero(open_)
+            asked.append(pd.DataFrame({"point": ids[here[point]], "cell": rings["cell"].to_numpy()[ring], "block": rings["block"].to_numpy()[ring],
+                                       "x": list(x[here[point]]), "bound": bound[point]}))
+        return pd.concat([*links, *asked], ignore_index=True).reindex(columns=["point", "other", "gap", "copies", "cell", "block", "x", "bound"]).astype(
             {"other": "Int64", "copies": "Int64", "cell": "Int32", "block": "Int32"})
 
     schema = "point long, other long, gap double, copies long, cell int, block int, x array<double>, bound double"
-    local = durable(members.groupBy("cell", "block").applyInPandas(own_block, schema))
+    # a task for about ``block`` points: adaptive execution would join them by their few bytes
+    tasks = max(1, min(-(-total // block), MOST_PARTS))
+    local = durable(members.repartition(tasks, "cell", "block").groupBy("cell", "block").applyInPandas(own_block, schema))
     probes = local.where(F.col("cell").isNotNull()).select("cell", "block", "point", "x", "bound")
     # a block that is looked up often is handed to several tasks
     sizes = probes.groupBy("cell", "block").agg(F.ceil(F.count(F.lit(1)) / PROBES).alias("parts"))
@@ -156,13 +168,12 @@ def nearest_neighbours(points: DataFrame, k: int, pivots: int = PIVOTS, block: i
             part = asked.iloc[at : at + 256]
             far = _distances(_matrix(part["x"]), x)
             far[far > part["bound"].to_numpy()[:, None] * _SLACK] = np.inf
-            for i, own in enumerate(_nearest(far, rank, copies, np.full(len(part), k))):
-                own = own[np.isfinite(far[i, own])]
-                found.append(pd.DataFrame({"point": part["point"].iloc[i], "other": ids[own], "gap": far[i, own], "copies": copies[own]}))
+            row, own = _nearest(far, rank, copies, np.full(len(part), k), np.isfinite(far))
+            found.append(pd.DataFrame({"point": part["point"].to_numpy()[row], "other": ids[own], "gap": far[row, own], "copies": copies[own]}))
         return pd.concat(found, ignore_index=True) if found else pd.DataFrame(columns=["point", "other", "gap", "copies"])
 
     keys = ["cell", "block", "part"]
-    elsewhere = held.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(search, _LINKS)
+    elsewhere = held.repartition(tasks, *keys).groupBy(*keys).cogroup(dealt.repartition(tasks, *keys).groupBy(*keys)).applyInPandas(search, _LINKS)
     links = local.where(F.col("other").isNotNull()).select("point", "other", "gap", "copies").unionByName(elsewhere)
     itself = points.where("copies > 1").select("point", F.col("point").alias("other"), F.lit(-1.0).alias("gap"), (F.col("copies") - 1).alias("copies"))
     links = links.unionByName(itself).join(points.select(F.col("point").alias("other"), "x"), "other")

@@ -40,6 +40,34 @@ def test_factors_over_columns(spark, n, d, k, pivots, block):
     assert (got["local_outlier_factor"] == (got["lof"] > np.quantile(got["lof"], 0.95))).all()
 
 
+def test_nearest_copies_of_many_rows_at_once():
+    rng = np.random.default_rng(5)
+    far, order, copies = rng.integers(0, 6, (50, 30)).astype(float), rng.permutation(30), rng.integers(1, 4, 30)
+    far[far == 5] = np.inf
+    need = rng.integers(-1, 12, 50)
+    row, column = neighbours._nearest(far, order, copies, need, neighbours._within(far, 12))
+    for i in range(50):
+        expected, held = [], 0
+        for j in sorted(np.flatnonzero(np.isfinite(far[i])), key=lambda j: (far[i, j], order[j])):
+            if held >= need[i]:
+                break
+            expected, held = [*expected, j], held + copies[j]
+        assert list(column[row == i]) == expected
+
+
+def test_blocks_are_dealt_to_tasks_by_points(spark):
+    x = pd.DataFrame(np.random.default_rng(2).standard_normal((900, 2)), columns=["a", "b"])
+    points = neighbours.distinct_points(spark.createDataFrame(x), ["a", "b"])
+    seen = []
+    plain = neighbours.durable
+    try:
+        neighbours.durable = lambda df: seen.append(plain(df)) or seen[-1]
+        neighbours.nearest_neighbours(points, 5, pivots=8, block=50)
+    finally:
+        neighbours.durable = plain
+    assert seen[-1].rdd.getNumPartitions() == 18  # few bytes, but a task for each 50 points
+
+
 def test_factors_of_few_rows_and_missing_values(spark):
     df = spark.createDataFrame([(1, 1.0, None), (2, float("nan"), 2.0)], "id int, a double, b double")
     assert [r.lof for r in neighbours.local_outlier_factors(df, ["a", "b"]).collect()] == [1.0, 1.0]
