@@ -52,7 +52,7 @@ def _scored(folded: DataFrame, paired: DataFrame, model: LinearModel) -> DataFra
 def build(records: DataFrame, model: LinearModel, root: str, version: int = 0) -> None:
     """Score all pairs of ``records`` into an empty store, or as a full new version of one."""
     spark = records.sparkSession
-    folded = stored(features.fold_records(features.normalized_records(records)))
+    folded = stored(features.folded_records(records))
     paired = stored(pairs.neighbours_of(folded))
     rows = _scored(folded, paired, model)
     rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
@@ -71,7 +71,7 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
     commits = _commits(spark, root)
     base, version = commits[0]["version"], commits[-1]["version"] + 1
     versions = [c["version"] for c in commits]
-    folded = stored(features.fold_records(features.normalized_records(records)))
+    folded = stored(features.folded_records(records))
     digests = _digests(folded)
     old = _latest(_read(spark, root, "digests", versions), "record_id").where("digest IS NOT NULL")
     both = digests.join(old.select("record_id", F.col("digest").alias("was")), "record_id", "full")

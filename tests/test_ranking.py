@@ -170,3 +170,41 @@ def test_stored_tables_are_compressed(spark):
     assert kept.schema.simpleString() == df.schema.simpleString() and kept.count() == 200_000
     path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
     assert sum(f.stat().st_size for f in Path(path).glob("*.parquet")) < 200_000 * 26 / 2
+
+
+def test_packed_ids_are_the_ids(spark):
+    from accordant.functions.ids import packed_id, unpacked_id
+
+    digest = "0123456789ABCDEF0123456789ABCDEF"
+    ids = [f"PAIR-{digest}", f"PAIR-{digest.lower()}", f"PAIR-{digest}0", f"pair-{digest}", "PAIR-000001", "PAIR-", "", "ä", "\x01#Eg\x01#Eg\x01#Eg\x01#Eg", None]
+    rows = spark.createDataFrame([(i,) for i in ids], "pair_id string").select("pair_id", packed_id(F.col("pair_id")).alias("p")).withColumn("back", unpacked_id(F.col("p"))).collect()
+    assert all(r.back == r.pair_id for r in rows) and len({r.p and bytes(r.p) for r in rows}) == len(ids) and len(rows[0].p) == 16
+
+
+def test_joined_pairs(spark):
+    from accordant.operators import pairs
+
+    left = spark.createDataFrame([("PAIR-000001", 1), ("x", 2), (None, 3)], "pair_id string, a int")
+    right = spark.createDataFrame([("PAIR-000001", 4), (None, 5)], "pair_id string, b int")
+    assert pairs.join_pairs(left, right).collect() == [("PAIR-000001", 1, 4)]
+    assert sorted(map(str, pairs.join_pairs(left, right, "left").collect())) == sorted(map(str, left.join(right, "pair_id", "left").collect()))
+
+
+def test_records_keep_all_fields_on_the_way_to_their_neighbour(spark):
+    from accordant import policy
+    from accordant.operators import features, pairs, ranking
+
+    fields = ", ".join(f"{f} {'double' if f == 'system_size_kw' else 'string'}" for f in features.FIELDS)
+    texts = ["", "a", "b", None]
+    rows = [(s, f"P{i % 17}" if i % 9 else None, i, *[(None, 1.5, 2.0, float("nan"))[(i + j) % 4] if f == "system_size_kw" else texts[(i // 3 + j * i) % 4] for j, f in enumerate(features.FIELDS)])
+            for i in range(120) for s in policy.SOURCES[i % 3:]]
+    records = spark.createDataFrame(rows, f"source_system string, record_id string, ord long, {fields}")
+    plain = features.fold_records(features.normalized_records(records))
+    folded = features.folded_records(records)
+    assert sorted(map(str, folded.collect())) == sorted(map(str, plain.collect()))
+    paired = pairs.neighbours_of(folded.cache())
+    expected = ranking.hash_neighbours(plain.cache(), [], "record_id", 42)
+    assert sorted(map(str, paired.collect())) == sorted(map(str, expected.collect()))
+    plans = paired._jdf.queryExecution().optimizedPlan().toString()
+    moved = next(line for line in plans.splitlines() if "RepartitionByExpression" in line)
+    assert "_part" in moved  # rows are moved before digests and the structs of rows are made
