@@ -18,6 +18,7 @@ from accordant.plans.domain import AS_OF
 from accordant.plans.match_queries import SIMULATED
 from accordant.plans.registry import query
 from accordant.session import scratch_path
+from accordant.session import stored as materialize
 from accordant.sources import files, warehouse
 
 
@@ -176,6 +177,7 @@ WAREHOUSE_ROWS = {
 def warehouse_refresh(d):
     """Five tables, two of them refreshed a second time."""
     root = scratch_path(d.spark, "warehouse")
+    d.neighbours = materialize(d.neighbours)  # two tables are made from it
     records = d.records.select("source_system", F.col("record_id").alias("source_record_id"), F.col("record_id").alias("master_project_id"))
     predictions = d.explained.select(F.lit("ai_reviewer").alias("model_name"), F.lit("v1.0").alias("model_version"), F.col("classification").alias("prediction"), F.lit(0.5).alias("probability"))
     feedback = explain.simulate_decisions(d.explained, AS_OF).select("pair_id", F.col("decision").alias("reviewer_decision"), F.col("reason").alias("reviewer_reason"), "model_version")

@@ -49,7 +49,7 @@ def refresh(tables: dict[str, DataFrame], root: str) -> int:
     version += 1
     for name, df in tables.items():
         current[name] = f"tables/{name}-{version}-{uuid.uuid4().hex}"
-        writer = conform(df, name).write
+        writer = conform(df, name).write.option("compression", "zstd")  # ids are digests, of which others leave the text as it is
         if name in PARTITIONED:
             writer = writer.partitionBy(*PARTITIONED[name])
         writer.parquet(f"{root}/{current[name]}")
