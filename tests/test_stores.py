@@ -126,3 +126,19 @@ def test_forest_follows_its_nodes(spark):
 def test_features_take_few_exchanges(spark):
     plan = contract.queries()["m1_pairwise_features"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") <= 6
+
+
+def test_one_file_is_written_from_what_its_lines_are_made_of(spark, monkeypatch):
+    from accordant.sources import files
+
+    seen = []
+
+    def stop(df, path):
+        seen.append(df)
+        raise InterruptedError
+
+    monkeypatch.setattr(files, "write_csv", stop)
+    with pytest.raises(InterruptedError):
+        contract.QUERIES["g1_watched_folder"](spark, SF)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index('"Dear"') < plan.index("Repartition 1") and seen[0].rdd.getNumPartitions() == 1
