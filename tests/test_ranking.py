@@ -208,3 +208,13 @@ def test_records_keep_all_fields_on_the_way_to_their_neighbour(spark):
     plans = paired._jdf.queryExecution().optimizedPlan().toString()
     moved = next(line for line in plans.splitlines() if "RepartitionByExpression" in line)
     assert "_part" in moved  # rows are moved before digests and the structs of rows are made
+
+
+def test_sizes_of_hash_orders(spark, monkeypatch):
+    from accordant.operators import ranking
+
+    seen = []
+    monkeypatch.setattr(ranking, "stored", lambda df: seen.append(df) or df.localCheckpoint())
+    df = spark.range(50).select((F.col("id") % 3).alias("g"), F.concat(F.lit("p"), "id").alias("k"))
+    assert ranking.hash_neighbours(df, ["g"], "k", 42).count() == 47
+    assert dict(seen[0].dtypes)["_hash"] == "binary"
