@@ -42,36 +42,39 @@ def _digests(folded: DataFrame) -> DataFrame:
     return folded.select("record_id", F.md5(F.to_json(F.struct(*policy.SOURCES))).alias("digest"))
 
 
-def _scored(folded: DataFrame, paired: DataFrame, model: LinearModel) -> DataFrame:
+def _scored(folded: DataFrame, negatives: DataFrame, model: LinearModel) -> DataFrame:
     """The pairs of folded records, and those with their neighbours, as queue rows."""
     keep = pairs.COLUMNS[1:-1]
-    found = features.features_of(pairs.positives_of(folded), keep).unionByName(features.features_of(pairs.negatives_of(paired), keep, mostly_equal=False))
+    found = features.features_of(pairs.positives_of(folded), keep).unionByName(features.features_of(negatives, keep, mostly_equal=False))
     return queue.with_route(explain.explain_pairs(found), model.match_probability())
 
 
 def build(records: DataFrame, model: LinearModel, root: str, version: int = 0) -> None:
     """Score all pairs of ``records`` into an empty store, or as a full new version of one."""
-    spark = records.sparkSession
-    folded = stored(features.folded_records(records))
-    paired = stored(pairs.neighbours_of(folded))
-    rows = _scored(folded, paired, model)
-    rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
+    _build(stored(features.folded_records(records)), model, root, version)
+
+
+def _build(folded: DataFrame, model: LinearModel, root: str, version: int) -> None:
+    draws = stored(pairs.draws_of(pairs.neighbours_of(folded)))  # of a neighbour, the one record it is drawn with
+    rows = _scored(folded, pairs.negatives_of_draws(draws), model)
+    rows.write.parquet(f"{root}/rows/version={version}")
     _digests(folded).write.parquet(f"{root}/digests/version={version}")
-    paired.select("record_id", F.col("next.record_id").alias("next_id")).write.parquet(f"{root}/links/version={version}")
-    _commit(spark, root, version, True, 0, folded.count())
+    draws.select(F.col("record_a_id").alias("record_id"), F.col("record_b_id").alias("next_id")).write.parquet(f"{root}/links/version={version}")
+    _commit(folded.sparkSession, root, version, True, 0, folded.count())
 
 
-def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
+def update(records: DataFrame, model: LinearModel, root: str, folded: DataFrame | None = None) -> dict[str, int]:
     """Bring the store to the state of ``records``, scoring only pairs whose records or drawing changed.
 
     Returns the number of changed ids, of owners written and of pairs scored. The cost is one fold of the records, a
-    comparison of digests, and the pairs of the owners; links are drawn anew only if ids came or went.
+    comparison of digests, and the pairs of the owners; links are drawn anew only if ids came or went. ``folded``: the
+    stored ``folded_records`` of ``records``, where the caller has them.
     """
     spark = records.sparkSession
     commits = _commits(spark, root)
     base, version = commits[0]["version"], commits[-1]["version"] + 1
     versions = [c["version"] for c in commits]
-    folded = stored(features.folded_records(records))
+    folded = stored(features.folded_records(records)) if folded is None else folded
     digests = _digests(folded)
     old = _latest(_read(spark, root, "digests", versions), "record_id").where("digest IS NOT NULL")
     both = digests.join(old.select("record_id", F.col("digest").alias("was")), "record_id", "full")
@@ -94,13 +97,13 @@ def update(records: DataFrame, model: LinearModel, root: str) -> dict[str, int]:
     owners = stored(owners.distinct())
     number, known = owners.count(), folded.count()
     if sum(c["owners"] for c in commits) + number > REBUILD_SHARE * max(known, 1):
-        build(records, model, root, version)
+        _build(folded, model, root, version)
         return {"changed": counts["n"], "owners": known, "pairs": read(spark, root).count()}
 
     mine = folded.join(owners, "record_id", "left_semi")
     drawn = mine.join(ids, "record_id").join(folded.select(F.col("record_id").alias("next_id"), F.struct("record_id", *policy.SOURCES).alias("next")), "next_id").drop("next_id")
-    rows = stored(_scored(mine, drawn, model))
-    rows.withColumn("owner", F.col("record_a_id")).write.parquet(f"{root}/rows/version={version}")
+    rows = stored(_scored(mine, pairs.negatives_of(drawn), model))
+    rows.write.parquet(f"{root}/rows/version={version}")
     owners.withColumnRenamed("record_id", "owner").write.parquet(f"{root}/owners/version={version}")
     changed.select("record_id", "digest").write.parquet(f"{root}/digests/version={version}")
     links = relinked if relinked is not None else links_before.select("record_id", "next_id").limit(0)
@@ -121,6 +124,6 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     rows = _read(spark, root, "rows", [c["version"] for c in commits])
     later = [c["version"] for c in commits[1:]]
     if later:
-        latest = _read(spark, root, "owners", later).groupBy("owner").agg(F.max("version").alias("_latest"))
-        rows = rows.join(latest, "owner", "left").where(F.col("version") == F.coalesce("_latest", F.lit(commits[0]["version"]))).drop("_latest")
+        latest = _read(spark, root, "owners", later).groupBy(F.col("owner").alias("record_a_id")).agg(F.max("version").alias("_latest"))
+        rows = rows.join(latest, "record_a_id", "left").where(F.col("version") == F.coalesce("_latest", F.lit(commits[0]["version"]))).drop("_latest")
     return rows.drop("owner", "version")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from accordant import policy
-from accordant.operators import forest, models, pairs, queue_store, ranking
+from accordant.operators import features, forest, metrics, models, pairs, queue_store, ranking
 from accordant.plans.domain import Domain
 from accordant.sources import warehouse
 
@@ -46,6 +46,32 @@ def test_stored_queue_equals_a_rebuild(spark, records, tmp_path):
     assert done["owners"] == done["changed"] and queue_store.read(spark, root).where("status_match = 0").count() < total
 
 
+def test_update_takes_what_is_folded_and_moves_one_record_of_a_neighbour(spark, records, tmp_path, monkeypatch):
+    root, changed = str(tmp_path / "queue"), records.withColumn("city", F.when(F.col("ord") % 100 == 30, F.lit("elsewhere")).otherwise(F.col("city")))
+    queue_store.build(records, MODEL, root)
+    assert "owner" not in spark.read.parquet(f"{root}/rows").columns  # it is the first record's id
+    folded = features.folded_records(changed).cache()
+    draws = pairs.draws_of(pairs.neighbours_of(folded))
+    assert draws.count() == folded.count() - 1 and set(draws.columns) == {*pairs.DRAWN, "_a", "_b"}
+    assert rows_of(pairs.negatives_of_draws(draws)) == rows_of(pairs.negatives_of(pairs.neighbours_of(folded)))
+    monkeypatch.setattr(features, "folded_records", lambda _: pytest.fail("folded again"))
+    assert queue_store.update(changed, MODEL, root, folded)["changed"] > 0
+    monkeypatch.undo()
+    queue_store.build(changed, MODEL, str(tmp_path / "whole"))
+    assert rows_of(queue_store.read(spark, root)) == rows_of(queue_store.read(spark, str(tmp_path / "whole")))
+
+
+def test_training_pairs_are_the_training_side(spark):
+    rows = [(a, b) for a in [None, *map(str, range(12))] for b in [None, *map(str, range(12))]]
+    df = spark.createDataFrame(rows, "master_id_a string, master_id_b string")
+    assert rows_of(metrics.training_pairs(df)) == rows_of(metrics.entity_split(df).where("split = 'train'"))
+
+
+def test_methods_that_would_be_interpreted_are_not_joined(spark):
+    contract.queries()["c1_c12_unique_keys"](spark, SF)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_refresh_is_all_or_none(spark, tmp_path):
     root = str(tmp_path)
     one = spark.createDataFrame([("P1", "Ann")], "project_id string, customer_name string")
