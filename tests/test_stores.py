@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from accordant import policy
-from accordant.operators import features, forest, metrics, models, pairs, queue_store, ranking
+from accordant.operators import features, forest, metrics, models, pairs, queue, queue_store, ranking
 from accordant.plans.domain import Domain
 from accordant.sources import warehouse
 
@@ -72,6 +72,19 @@ def test_methods_that_would_be_interpreted_are_not_joined(spark):
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
 
 
+def test_queue_frame_moves_pairs_once(spark):
+    df = spark.range(5).select(F.concat(F.lit("PAIR-"), F.upper(F.md5(F.col("id").cast("string")))).alias("pair_id"), F.lit(1).alias("label"))
+    extra = df.select("pair_id", *[F.lit(1.0).alias(f) for f in policy.FEATURES], "label")
+    notes = df.select("pair_id", *[F.lit("x").alias(c) for c in ("classification", "summary", "clarification")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = queue.queue_frame(df, extra, notes, MODEL.match_probability())
+        assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert frame.where("classification = 'x' AND route IS NOT NULL").count() == 5
+
+
 def test_refresh_is_all_or_none(spark, tmp_path):
     root = str(tmp_path)
     one = spark.createDataFrame([("P1", "Ann")], "project_id string, customer_name string")
