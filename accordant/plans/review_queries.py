@@ -10,6 +10,7 @@ from accordant.operators import cases, kpi, qa
 from accordant.plans.domain import AS_OF, TODAY
 from accordant.plans.oracle import blank, rnd
 from accordant.plans.registry import query
+from accordant.session import stored
 
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
@@ -70,7 +71,7 @@ def sync_checks(d):
 @query("r10_states_after_sync", """
     SELECT status, COUNT(*) AS cases FROM (SELECT CASE WHEN status = 'RESOLVED' AND case_id IN (SELECT case_id FROM corrections) THEN 'SYNCED' ELSE status END AS status FROM cases) GROUP BY 1""")
 def states_after_sync(d):
-    synced = cases.sync_events(cases.sync_checks(d.cases, d.corrections), F.lit(AS_OF).cast("timestamp"))
+    synced = stored(cases.sync_events(cases.sync_checks(d.staged_cases, d.corrections), F.lit(AS_OF).cast("timestamp")))
     annotated = cases.annotate(d.case_events.unionByName(synced))
     return cases.case_states(annotated, d.opened.drop("project_id")).groupBy("status").agg(F.count("*").alias("cases"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from accordant import policy
 from accordant.operators import cases, evidence, kpi, pairs, profile, qa, quality
+from accordant.plans.domain import Domain
 
 SOURCES = ["signed_document", "crm", "erp", "partner"]
 
@@ -92,6 +93,29 @@ def test_segmented_fold_equals_replay(spark, segment):
     assert [got[i] for i in range(len(moves))] == replay(moves)
 
 
+def test_short_cases_are_moved_once(spark):
+    moves = [(c, to, False) for c in ("a", "b", None) for to in ("IN_REVIEW", "RESOLVED", "REOPENED")] + [("long", "IN_REVIEW", False)] * 9
+    df = events(spark, moves)
+    short = cases.annotate(df)
+    plan = short._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" not in plan and "SortMergeJoin" not in plan
+    cut = cases.annotate(df, 4)  # one case is cut into runs, the others are not
+    assert short.columns == cut.columns and short.dtypes == cut.dtypes
+    assert sorted(map(str, short.collect())) == sorted(map(str, cut.collect()))
+    assert {r["case_id"] for r in short.collect()} == {"a", "b", "long"} and short.agg(F.max("n")).first()[0] == 9
+
+
+def test_corrections_put_only_concerned_projects_together(spark):
+    d = Domain(spark, "/root/testdata/sf0.001")
+    resolved = d.opened.join(d.cases.where("status = 'RESOLVED'"), "case_id", "left_semi")
+    whole = evidence.correction_proposals(evidence.evidence(d.wide), resolved.select("case_id", "project_id")).withColumn("proposed_by", F.lit("reviewer"))
+    assert sorted(map(str, d.corrections.collect())) == sorted(map(str, whole.collect())) and d.corrections.count() > 0
+    first = d.case_source.groupBy("case_id").agg(F.date_trunc("day", F.min("at")).alias("created_at"), F.first("project_id").alias("project_id"))
+    assert sorted(map(str, d.opened.collect())) == sorted(map(str, first.collect()))
+    read = d.corrections._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" not in read  # of all orders, only those concerned were stored and folded
+
+
 def test_previous_event(spark):
     moves = [("a", "IN_REVIEW", False), ("b", "IN_REVIEW", False), ("a", "RESOLVED", False), ("a", "REOPENED", False)]
     got = {r["seq"]: r["previous_to"] for r in cases.previous_event(events(spark, moves), bucket=2).collect()}
