@@ -172,6 +172,20 @@ def test_stored_tables_are_compressed(spark):
     assert sum(f.stat().st_size for f in Path(path).glob("*.parquet")) < 200_000 * 26 / 2
 
 
+def test_pairs_and_ids_are_not_broadcast(spark):
+    """However small they look: by compressed files and columns in use, Spark takes millions of pairs for a few MB."""
+    from accordant.operators import pairs
+    from accordant.session import stored
+
+    master = stored(spark.createDataFrame([(f"P{i}", "x" if i % 3 else None) for i in range(9)], "project_id string, block_key string"))
+    records = master.select(F.col("project_id").alias("record_id"), F.explode(F.array(F.lit("crm"), F.lit("erp"))).alias("source_system"))
+    positives = pairs.positive_pairs(master.select("project_id"), records)
+    found = pairs.candidate_recall(positives, pairs.block_filter(positives, master.withColumnRenamed("project_id", "record_id")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 5 and plan.count("BroadcastHashJoin") == 0
+    assert found.collect() == [(9, 6, 0.666667)]
+
+
 def test_packed_ids_are_the_ids(spark):
     from accordant.functions.ids import packed_id, unpacked_id
 
