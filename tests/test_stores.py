@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from accordant import policy
-from accordant.operators import features, forest, metrics, models, pairs, queue, queue_store, ranking
+from accordant.operators import explain, features, forest, metrics, models, pairs, queue, queue_store, ranking
 from accordant.plans.domain import Domain
+from accordant.session import CLEANUP, stored
 from accordant.sources import warehouse
 
 SF = "/root/testdata/sf0.001"
@@ -85,6 +88,40 @@ def test_queue_frame_moves_pairs_once(spark):
     assert frame.where("classification = 'x' AND route IS NOT NULL").count() == 5
 
 
+def test_features_and_what_is_explained_of_them_move_once(spark):
+    df = spark.range(5).select(F.concat(F.lit("PAIR-"), F.upper(F.md5(F.col("id").cast("string")))).alias("pair_id"), F.lit(1).alias("label"))
+    moved = pairs.moved_by_pair(df.limit(4).select("pair_id", *[F.lit(0.0 if f == "capacity_diff" else 1.0).alias(f) for f in policy.FEATURES]), policy.FEATURES)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = queue.queue_frame(df, moved, explain.explain_pairs(moved), MODEL.match_probability())
+        plan = frame.select("pair_id", "classification", "match_probability")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("ReusedExchange") == 1
+    assert sorted(r.classification or "" for r in frame.collect()) == ["", *["OTHER"] * 4]
+
+
+def test_stored_features_keep_no_ids(spark):
+    d = Domain(spark, SF)
+    assert rows_of(d.staged_features) == rows_of(d.pair_features)
+    kept = spark.read.parquet(d.staged_features.inputFiles()[0])
+    assert "pair_id" not in kept.columns and "record_a_id" in kept.columns
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        return {str(f) for f in blocks.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before, kept = files(), stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "count"))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and kept.count() == 7
+    assert spark.conf.get(CLEANUP, "false") == "false"
+
+
 def test_refresh_is_all_or_none(spark, tmp_path):
     root = str(tmp_path)
     one = spark.createDataFrame([("P1", "Ann")], "project_id string, customer_name string")
